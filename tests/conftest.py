@@ -10,7 +10,7 @@ os.environ["PYTHONPATH"] = os.pathsep.join(filter(None, [ROOT, os.environ.get("P
 from veriledger.session import build_session  # noqa: E402
 
 
-def local_session(cores="*"):
+def local_session(cores="*", **extra):
     spark = build_session(
         "veriledger-tests",
         f"local[{cores}]",
@@ -20,6 +20,7 @@ def local_session(cores="*"):
             "spark.sql.shuffle.partitions": "8",
             "spark.driver.memory": "6g",
             "spark.sql.catalogImplementation": "in-memory",
+            **extra,
         },
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -28,7 +29,12 @@ def local_session(cores="*"):
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    session = local_session()
-    session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
+    folder = tmp_path_factory.mktemp("spark")
+    session = local_session(
+        **{
+            "spark.checkpoint.dir": str(folder / "shared"),
+            "spark.sql.warehouse.dir": str(folder / "warehouse"),
+        }
+    )
     yield session
     session.stop()

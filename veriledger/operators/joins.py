@@ -61,13 +61,21 @@ def in_reference(df: DataFrame, codes: DataFrame, column: str) -> DataFrame:
 
 
 def flag_member(
-    df: DataFrame, codes: DataFrame, column: str, flag: str, spread_by: Sequence[str]
+    df: DataFrame,
+    codes: DataFrame | Sequence[str],
+    column: str,
+    flag: str,
+    spread_by: Sequence[str],
 ) -> DataFrame:
     """Add ``flag``: is ``column`` one of the codes, with the truth values of SQL ``IN``.
 
     An empty code list gives false for every row.  A NULL value gives NULL, and so does
-    a value without match if the list itself holds a NULL.  The codes are never collected.
+    a value without match if the list itself holds a NULL.
+
+    Codes given as a table are joined and never collected; a literal list is an ``IN``.
     """
+    if not isinstance(codes, DataFrame):
+        return df.withColumn(flag, F.col(column).isin(list(codes)))
     name = codes.columns[0]
     summary = codes.agg(
         F.struct(F.count(F.lit(1)).alias("n"), F.count_if(F.col(name).isNull()).alias("nulls"))
@@ -93,6 +101,6 @@ def flag_member(
     )
 
 
-def flag_currency(transactions: DataFrame, codes: DataFrame) -> DataFrame:
+def flag_currency(transactions: DataFrame, codes: DataFrame | Sequence[str]) -> DataFrame:
     """Add ``currency_ok`` for the currency rule."""
     return flag_member(transactions, codes, "currency", "currency_ok", ["transaction_id"])

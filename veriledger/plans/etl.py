@@ -54,7 +54,10 @@ VERDICTS = (VALID, INVALID, INDETERMINATE, ORPHAN, MALFORMED)
 VERSIONS_DDL = f"{CUSTOMER_DDL}, loaded_at timestamp, run_id string"
 
 
-def enriched(transactions: DataFrame, customers: DataFrame, codes: DataFrame) -> DataFrame:
+Codes = DataFrame | Sequence[str]
+
+
+def enriched(transactions: DataFrame, customers: DataFrame, codes: Codes) -> DataFrame:
     """Deduplicated, cleaned transactions with their customers and the currency flag."""
     tx = clean_transactions(keep_smallest(transactions, ["transaction_id"]))
     cu = clean_customers(keep_smallest(customers, ["customer_id"]))
@@ -64,7 +67,7 @@ def enriched(transactions: DataFrame, customers: DataFrame, codes: DataFrame) ->
 def classified(
     transactions: DataFrame,
     customers: DataFrame,
-    codes: DataFrame,
+    codes: Codes,
     rules: Sequence[Rule],
     unique_customers: bool = False,
 ) -> DataFrame:
@@ -126,7 +129,7 @@ class EtlRun:
     customers: str | None
     transactions: str
     table: str
-    currencies: str | list[str]
+    currencies: str | Sequence[str]
     limits: Limits = field(default_factory=Limits)
     prefix: bool = False
     dimension: str | None = None
@@ -165,7 +168,9 @@ def run_on(
     """
     if run.skip_seen_hours is not None:
         transactions = drop_seen(transactions, seen_ids(spark, run), "transaction_id")
-    codes = read_currencies(spark, run.currencies)
+    codes = run.currencies
+    if isinstance(codes, str):
+        codes = read_currencies(spark, codes)
     rules = default_rules(run.limits)
     rows = classified(transactions, customers, codes, rules, unique_customers)
     counts = Observation(f"verdicts-{run.run_id}")

@@ -61,7 +61,7 @@ def tri_state(condition: Column) -> Column:
 
 def line_enriched(spark: SparkSession, sf: str) -> DataFrame:
     return etl.enriched(
-        testbed.line_transactions(spark, sf), testbed.line_customers(spark, sf), testbed.codes(spark)
+        testbed.line_transactions(spark, sf), testbed.line_customers(spark, sf), testbed.CODES
     )
 
 
@@ -77,7 +77,7 @@ def line_classified(spark: SparkSession, sf: str) -> DataFrame:
     return etl.classified(
         testbed.line_transactions(spark, sf),
         testbed.line_customers(spark, sf),
-        testbed.codes(spark),
+        testbed.CODES,
         rules.default_rules(),
     )
 
@@ -181,7 +181,9 @@ def rule_min_amount(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def rule_currency_member(spark: SparkSession, sf: str) -> DataFrame:
-    flagged = joins.flag_currency(testbed.event_transactions(spark, sf), testbed.codes(spark))
+    """Against the codes as a table."""
+    codes = testbed.code_table(spark)
+    flagged = joins.flag_currency(testbed.event_transactions(spark, sf), codes)
     return flagged.select(
         "transaction_id", tri_state(rules.currency_rule().check).alias("currency_ok")
     )
@@ -212,7 +214,7 @@ def indeterminate_transactions(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def event_verdicts(spark: SparkSession, sf: str) -> DataFrame:
     """The verdict of every event, from the rules on amount, currency and age."""
-    flagged = joins.flag_currency(testbed.event_transactions(spark, sf), testbed.codes(spark))
+    flagged = joins.flag_currency(testbed.event_transactions(spark, sf), testbed.CODES)
     joined = joins.with_customers(flagged, testbed.event_customers(spark, sf))
     judged = rules.judge(joined, [rules.amount_rule(), rules.currency_rule(), rules.age_rule()])
     return judged.select("transaction_id", "customer_id", "verdict")
@@ -258,7 +260,7 @@ def enrich_transactions(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def currency_semi_join(spark: SparkSession, sf: str) -> DataFrame:
     return joins.in_reference(
-        testbed.event_transactions(spark, sf), testbed.codes(spark), "currency"
+        testbed.event_transactions(spark, sf), testbed.code_table(spark), "currency"
     )
 
 
@@ -324,7 +326,7 @@ def consolidate_marts(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def marts_by_upload_window(spark: SparkSession, sf: str) -> DataFrame:
-    flagged = joins.flag_currency(testbed.event_transactions(spark, sf), testbed.codes(spark))
+    flagged = joins.flag_currency(testbed.event_transactions(spark, sf), testbed.CODES)
     joined = joins.with_customers(flagged, testbed.event_customers(spark, sf))
     checks = [rules.amount_rule(), rules.currency_rule(), rules.age_rule()]
     mart = marts.by_upload_window(rules.only(joined, checks, rules.VALID))

@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from veriledger.session import pin_session
-from veriledger.sources.feeds import read_currencies
 
 CODES = ["GEL", "USD", "EUR"]
 
@@ -143,5 +142,6 @@ def line_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mapped(spark, sf_dir, LINE_CUSTOMERS, "customer")
 
 
-def codes(spark: SparkSession) -> DataFrame:
-    return read_currencies(spark, CODES)
+def code_table(spark: SparkSession) -> DataFrame:
+    rows = ", ".join(f"('{c}')" for c in CODES)
+    return spark.sql(f"select * from values {rows} as codes(currency_code)")

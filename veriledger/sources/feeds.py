@@ -4,17 +4,11 @@ from __future__ import annotations
 
 import logging
 
-import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from veriledger.operators.cleaning import mark_malformed
-from veriledger.schemas import (
-    CUSTOMER_DDL,
-    RAW_LINE,
-    TRANSACTION_DDL,
-    with_raw_line,
-)
+from veriledger.schemas import CUSTOMER_DDL, TRANSACTION_DDL, with_raw_line
 
 log = logging.getLogger(__name__)
 
@@ -54,15 +48,10 @@ def read_transactions_with_raw(spark: SparkSession, path: str, prefix: bool = Fa
     return mark_malformed(read_feed(spark, path, with_raw_line(TRANSACTION_DDL), prefix))
 
 
-def read_currencies(spark: SparkSession, source: str | list[str]) -> DataFrame:
-    """The valid codes: a Parquet path or table name, or a literal list from a configuration.
-
-    A list becomes a local relation, whose size Spark knows when it plans the join.
-    """
-    if isinstance(source, str):
-        table = spark.read.parquet(source) if "/" in source else spark.read.table(source)
-        return table.select("currency_code")
-    return spark.createDataFrame(pa.table({"currency_code": pa.array(source, pa.string())}))
+def read_currencies(spark: SparkSession, source: str) -> DataFrame:
+    """The valid codes from a Parquet path or a table name."""
+    table = spark.read.parquet(source) if "/" in source else spark.read.table(source)
+    return table.select("currency_code")
 
 
 def write_feed(records: DataFrame, path: str, mode: str = "append") -> None:
@@ -72,14 +61,3 @@ def write_feed(records: DataFrame, path: str, mode: str = "append") -> None:
     """
     records.write.mode(mode).option("ignoreNullFields", "false").json(path)
 
-
-__all__ = [
-    "RAW_LINE",
-    "read_currencies",
-    "read_customers",
-    "read_customers_with_raw",
-    "read_feed",
-    "read_transactions",
-    "read_transactions_with_raw",
-    "write_feed",
-]
