@@ -1,0 +1,197 @@
+from dataclasses import replace
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from fixtures import BASE, CASES, CUSTOMERS, MALFORMED, RUN_TIME, transactions, write_lines
+from veriledger.operators import marts as mart_ops
+from veriledger.plans import etl
+from veriledger.plans.marts import (
+    MONTHLY,
+    PER_CUSTOMER,
+    PER_MERCHANT,
+    read_mart,
+    run_marts,
+    run_marts_lookback,
+)
+from veriledger.schemas import MONTHLY_DDL, PER_CUSTOMER_DDL, PER_MERCHANT_DDL, RUN_TABLE_DDL, column_names
+from veriledger.sources.cleanup import delete_prefix
+from veriledger.sources.feeds import read_customers, read_transactions
+from veriledger.sources.run_tables import has_run, lookback, read_runs, write_run
+
+
+@pytest.fixture
+def run(tmp_path):
+    return etl.EtlRun(
+        run_id="r1",
+        run_time=RUN_TIME,
+        customers=write_lines(tmp_path / "customers", CUSTOMERS),
+        transactions=write_lines(tmp_path / "transactions", transactions(), MALFORMED),
+        table=str(tmp_path / "judged"),
+        currencies=["GEL", "USD", "EUR"],
+    )
+
+
+def content(spark, table):
+    frame = read_runs(spark, table, RUN_TABLE_DDL).drop("upload_time")
+    return sorted(str(r) for r in frame.collect())
+
+
+def counts(spark, table):
+    frame = read_runs(spark, table, RUN_TABLE_DDL).groupBy("verdict").count()
+    return {r.verdict: r["count"] for r in frame.collect()}
+
+
+def test_repeating_a_run_changes_nothing(spark, run):
+    first = etl.run_etl(spark, run)
+    before = content(spark, run.table)
+    assert etl.run_etl(spark, run) == first
+    assert content(spark, run.table) == before
+    assert len(before) == len(CASES) + len(MALFORMED)
+
+
+def test_a_repeated_run_leaves_no_stale_partition(spark, run, tmp_path):
+    etl.run_etl(spark, run)
+    assert "invalid" in counts(spark, run.table)
+    good = write_lines(tmp_path / "good", [{**BASE, "transaction_id": "a"}])
+    etl.run_etl(spark, replace(run, transactions=good))
+    assert counts(spark, run.table) == {"valid": 1}
+
+
+def test_other_runs_are_left_alone(spark, run):
+    etl.run_etl(spark, run)
+    etl.run_etl(spark, replace(run, run_id="r2", run_time=RUN_TIME + timedelta(hours=6)))
+    assert counts(spark, run.table)["valid"] == 2 * counts_in(CASES, "valid")
+    only = read_runs(spark, run.table, RUN_TABLE_DDL, ["r2"])
+    assert {r.run_id for r in only.select("run_id").distinct().collect()} == {"r2"}
+    assert has_run(spark, run.table, "r2") and not has_run(spark, run.table, "r3")
+    assert read_runs(spark, run.table, RUN_TABLE_DDL, ["r2", "r3"]).count() == only.count()
+    assert read_runs(spark, run.table, RUN_TABLE_DDL, ["r3"]).isEmpty()
+    assert read_runs(spark, run.table, RUN_TABLE_DDL, []).isEmpty()
+
+
+def counts_in(cases, verdict):
+    return sum(1 for _, _, v in cases if v == verdict)
+
+
+def test_ids_seen_in_earlier_runs_can_be_skipped(spark, run, tmp_path):
+    etl.run_etl(spark, run)
+    rows = [{**BASE, "transaction_id": "ok-1"}, {**BASE, "transaction_id": "fresh"}]
+    feed = write_lines(tmp_path / "second", rows)
+    second = replace(
+        run, run_id="r2", run_time=RUN_TIME + timedelta(hours=6), transactions=feed, skip_seen_hours=24
+    )
+    for _ in range(2):
+        etl.run_etl(spark, second)
+        got = read_runs(spark, run.table, RUN_TABLE_DDL, ["r2"]).select("transaction_id").collect()
+        assert [r.transaction_id for r in got] == ["fresh"]
+
+
+def test_late_transaction_meets_its_customer_in_the_dimension(spark, run, tmp_path):
+    dim = str(tmp_path / "dimension")
+    etl.run_etl(spark, replace(run, dimension=dim))
+    late = write_lines(tmp_path / "late", [{**BASE, "transaction_id": "late", "customer_id": "c14"}])
+    update = write_lines(tmp_path / "update", [{"customer_id": "c1", "age": 31}])
+    second = replace(
+        run, run_id="r2", run_time=RUN_TIME + timedelta(hours=6), transactions=late,
+        customers=update, dimension=dim,
+    )
+    assert etl.run_etl(spark, second)["valid"] == 1
+    ages = {r.customer_id: r.age for r in etl.read_dimension(spark, dim).collect()}
+    assert ages["c1"] == 31 and ages["c14"] == 14
+    without = replace(second, run_id="r3", dimension=None)
+    assert etl.run_etl(spark, without)["orphan"] == 1
+    feedless = replace(second, run_id="r4", customers=None)
+    assert etl.run_etl(spark, feedless)["valid"] == 1
+    with pytest.raises(ValueError):
+        etl.run_etl(spark, replace(feedless, dimension=None))
+
+
+def test_empty_feeds_write_an_empty_run(spark, run, tmp_path):
+    report = etl.run_etl(spark, replace(run, transactions=str(tmp_path / "nothing")))
+    assert set(report.values()) == {0}
+    assert read_runs(spark, run.table, RUN_TABLE_DDL).isEmpty()
+
+
+def test_every_transaction_is_counted_once(spark, run):
+    """valid + invalid + indeterminate = joined, and joined + orphans = distinct ids."""
+    tx, cu = read_transactions(spark, run.transactions), read_customers(spark, run.customers)
+    rows = etl.classified(tx, cu, run.currencies, etl.default_rules())
+    by_verdict = {r.verdict: r["count"] for r in rows.groupBy("verdict").count().collect()}
+    joined = etl.enriched(tx, cu, run.currencies).count()
+    assert sum(by_verdict[v] for v in ("valid", "invalid", "indeterminate")) == joined
+    assert joined + by_verdict["orphan"] == tx.select("transaction_id").distinct().count()
+
+
+def test_verdicts_are_directories(spark, run):
+    etl.run_etl(spark, run)
+    plan = etl.read_verdict(spark, run.table, "valid")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(verdict" in plan
+    assert etl.read_verdict(spark, run.table, "valid", ["r1"]).count() == counts_in(CASES, "valid")
+
+
+def test_lookback_bound_is_inclusive_and_open_above(spark, tmp_path):
+    table = str(tmp_path / "t")
+    times = ["05:59:59", "06:00:00", "06:30:00", "11:00:00", "13:00:00"]
+    frame = spark.createDataFrame([(f"2024-01-01 {t}",) for t in times], "t string").select(
+        F.col("t").cast("timestamp").alias("upload_time")
+    )
+    frame = frame.withColumn("upload_hour", F.date_trunc("hour", "upload_time"))
+    write_run(frame, table, "r", ["upload_hour"])
+    stored = read_runs(spark, table, "upload_time timestamp, run_id string, upload_hour timestamp")
+    recent = lookback(stored, datetime(2024, 1, 1, 12, 0, 0))
+    assert sorted(str(r.upload_time)[11:] for r in recent.collect()) == times[1:]
+    half = lookback(stored, datetime(2024, 1, 1, 12, 30, 0))
+    assert sorted(str(r.upload_time)[11:] for r in half.collect()) == times[2:]
+    plan = recent._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(upload_hour" in plan
+    assert "PushedFilters: [IsNotNull(upload_time), GreaterThanOrEqual(upload_time" in plan
+
+
+def test_marts_of_runs(spark, run, tmp_path):
+    folder = str(tmp_path / "marts")
+    etl.run_etl(spark, run)
+    etl.run_etl(spark, replace(run, run_id="r2", run_time=RUN_TIME + timedelta(hours=6)))
+    for runs in (["r1"], ["r2"], ["r2"]):
+        run_marts(spark, run.table, folder, runs)
+    valid = etl.read_verdict(spark, run.table, "valid").where("not isnan(amount)")
+    expected = {r.customer_id: tuple(r) for r in mart_ops.transactions_per_customer(valid).collect()}
+    got = {r.customer_id: tuple(r) for r in read_mart(spark, folder, PER_CUSTOMER).collect()}
+    assert got["c14"] == expected["c14"] == ("c14", 2, 20.0, 10.0)
+    assert str(got["c1"][2:]) == "(nan, nan)"
+    merchants = read_mart(spark, folder, PER_MERCHANT).collect()
+    assert [r.merchant_id for r in merchants] == [None]
+    months = {r.transaction_month: r.num_transactions for r in read_mart(spark, folder, MONTHLY).collect()}
+    # Every valid fixture row has an id but one.
+    assert months == {3: 2 * (counts_in(CASES, "valid") - 1)}
+    for name, ddl in ((PER_CUSTOMER, PER_CUSTOMER_DDL), (PER_MERCHANT, PER_MERCHANT_DDL), (MONTHLY, MONTHLY_DDL)):
+        assert read_mart(spark, folder, name).columns == column_names(ddl)
+
+
+def test_marts_of_a_lookback(spark, run, tmp_path):
+    folder = str(tmp_path / "marts")
+    etl.run_etl(spark, run)
+    etl.run_etl(spark, replace(run, run_id="r2", run_time=RUN_TIME + timedelta(hours=12)))
+    run_marts_lookback(spark, run.table, folder, "m1", RUN_TIME + timedelta(hours=13))
+    got = {r.customer_id: r.num_transactions for r in read_mart(spark, folder, PER_CUSTOMER).collect()}
+    assert got["c14"] == 1
+
+
+def test_marts_of_no_runs_are_empty(spark, tmp_path):
+    assert read_mart(spark, str(tmp_path), PER_CUSTOMER).isEmpty()
+
+
+def test_run_id_is_that_of_the_slot():
+    assert etl.run_id_for(datetime(2024, 3, 1, 11, 59)) == "20240301T060000"
+    assert etl.run_id_for(datetime(2024, 3, 1, 12, 0)) == "20240301T120000"
+    assert etl.run_id_for(datetime(2024, 3, 1, 12, 40), timedelta(hours=1)) == "20240301T120000"
+
+
+def test_delete_prefix(spark, tmp_path):
+    write_lines(tmp_path / "in_1", [BASE])
+    write_lines(tmp_path / "in_2" / "deep", [BASE])
+    kept = write_lines(tmp_path / "other", [BASE])
+    assert delete_prefix(spark, str(tmp_path / "in_")) == 2
+    assert delete_prefix(spark, str(tmp_path / "in_")) == 0
+    assert [p.name for p in tmp_path.iterdir()] == ["other"] and kept
