@@ -131,6 +131,28 @@ def test_verdicts_are_directories(spark, run):
     assert etl.read_verdict(spark, run.table, "valid", ["r1"]).count() == counts_in(CASES, "valid")
 
 
+def test_sql_views(spark, run):
+    etl.run_etl(spark, run)
+    assert "valid_transactions" in etl.create_views(spark, run.table)
+    later = (RUN_TIME + timedelta(hours=5)).strftime("%Y-%m-%d %H:%M:%S")
+    found = spark.sql(
+        f"select * from valid_transactions where upload_time >= timestamp'{later}' - interval 6 hours"
+    )
+    assert found.count() == counts_in(CASES, "valid")
+
+
+def test_compacted_dimension_reads_the_same(spark, run, tmp_path):
+    dim, compact = str(tmp_path / "dimension"), str(tmp_path / "compact")
+    for i in range(2):
+        customers = write_lines(tmp_path / f"cu{i}", [{"customer_id": "a", "age": i}, {"customer_id": f"b{i}"}])
+        etl.run_etl(spark, replace(run, run_id=f"r{i}", run_time=RUN_TIME + timedelta(hours=i), customers=customers, dimension=dim))
+    etl.compact_dimension(spark, dim, compact)
+    latest = sorted(map(str, etl.read_dimension(spark, dim).collect()))
+    assert sorted(map(str, etl.read_dimension(spark, compact).collect())) == latest and len(latest) == 3
+    needed = spark.sql("select * from values ('a'), ('a'), ('zz') as t(customer_id)")
+    assert [r.age for r in etl.read_dimension(spark, dim, needed).collect()] == [1]
+
+
 def test_lookback_bound_is_inclusive_and_open_above(spark, tmp_path):
     table = str(tmp_path / "t")
     times = ["05:59:59", "06:00:00", "06:30:00", "11:00:00", "13:00:00"]

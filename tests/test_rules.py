@@ -27,7 +27,7 @@ def judged(spark, tmp_path_factory):
         currencies=["GEL", "USD", "EUR"],
     )
     report = run_etl(spark, run)
-    return report, read_runs(spark, run.table, RUN_TABLE_DDL).collect()
+    return dict(report), read_runs(spark, run.table, RUN_TABLE_DDL).collect()
 
 
 @pytest.mark.parametrize("name,_change,expected", CASES, ids=[str(c[0]) for c in CASES])
@@ -39,6 +39,7 @@ def test_verdict(judged, name, _change, expected):
 def test_nothing_is_lost(judged):
     report, rows = judged
     assert len(rows) == len(CASES) + len(MALFORMED)
+    assert report.pop("malformed_customers") == 1
     assert sum(report.values()) == len(rows)
     assert report["malformed"] == 2 and report["orphan"] == 2
     assert {r[RAW_LINE] for r in rows if r.verdict == "malformed"} == set(MALFORMED)

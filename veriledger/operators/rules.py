@@ -76,6 +76,16 @@ def only(df: DataFrame, rules: Sequence[Rule], verdict: str) -> DataFrame:
     return df.where(condition)
 
 
+def checked(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, list[Rule]]:
+    """The rules evaluated once per row, as columns, and rules that read those columns.
+
+    A verdict and its reasons use each rule several times.
+    """
+    names = {f"__rule_{i}": rule for i, rule in enumerate(rules)}
+    frame = df.withColumns({column: rule.check for column, rule in names.items()})
+    return frame, [Rule(rule.name, F.col(column)) for column, rule in names.items()]
+
+
 def verdict_of(rules: Sequence[Rule]) -> Column:
     holds = all_hold(rules)
     return F.when(holds, VALID).when(~holds, INVALID).otherwise(INDETERMINATE)
@@ -91,7 +101,10 @@ def reasons_of(rules: Sequence[Rule]) -> Column:
 
 def judge(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Add ``verdict`` and ``reasons``."""
-    return df.withColumns({"verdict": verdict_of(rules), "reasons": reasons_of(rules)})
+    frame, results = checked(df, rules)
+    return frame.select(
+        *df.columns, verdict_of(results).alias("verdict"), reasons_of(results).alias("reasons")
+    )
 
 
 def reason_counts(judged: DataFrame) -> DataFrame:

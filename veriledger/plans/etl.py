@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from veriledger.functions.times import start_of_hour
 from veriledger.operators.cleaning import clean_customers, clean_transactions
 from veriledger.operators.dedup import drop_seen, keep_smallest
-from veriledger.operators.dimension import as_versions, latest_customers
+from veriledger.operators.dimension import as_versions, latest_customers, latest_versions
 from veriledger.operators.joins import flag_currency, with_customers, with_known_customers
 from veriledger.operators.rules import (
     INDETERMINATE,
@@ -26,6 +26,7 @@ from veriledger.operators.rules import (
     VALID,
     Limits,
     Rule,
+    checked,
     default_rules,
     reasons_of,
     verdict_of,
@@ -85,15 +86,15 @@ def classified(
     if not unique_customers:
         customers = keep_smallest(customers, ["customer_id"])
     cu = clean_customers(customers.select(*CUSTOMER_COLUMNS)).withColumn("__known", F.lit(True))
-    joined = with_known_customers(tx, cu)
+    joined, results = checked(with_known_customers(tx, cu), rules)
 
     known = F.col("__known").isNotNull()
     verdict = (
         F.when(F.col(RAW_LINE).isNotNull(), MALFORMED)
         .when(~known, ORPHAN)
-        .otherwise(verdict_of(rules))
+        .otherwise(verdict_of(results))
     )
-    reasons = F.when(known, reasons_of(rules)).otherwise(F.array().cast("array<string>"))
+    reasons = F.when(known, reasons_of(results)).otherwise(F.array().cast("array<string>"))
     customer_fields = [c for c in CUSTOMER_COLUMNS if c != "customer_id"]
     return joined.select(
         *TRANSACTION_COLUMNS,
@@ -143,10 +144,20 @@ def write_customer_versions(
     return write_run(as_versions(customers, run_time), dimension, run_id)
 
 
-def read_dimension(spark: SparkSession, dimension: str) -> DataFrame:
-    """The newest version of every customer ever loaded."""
-    versions = read_runs(spark, dimension, VERSIONS_DDL).drop("run_id")
-    return latest_customers(versions)
+def _read_versions(spark: SparkSession, dimension: str) -> DataFrame:
+    return read_runs(spark, dimension, VERSIONS_DDL).drop("run_id")
+
+
+def read_dimension(
+    spark: SparkSession, dimension: str, needed: DataFrame | None = None
+) -> DataFrame:
+    """The newest version of every customer ever loaded, or of the needed ids only."""
+    return latest_customers(_read_versions(spark, dimension), needed)
+
+
+def compact_dimension(spark: SparkSession, dimension: str, into: str) -> str:
+    """Write the newest versions to another folder, to go on from there."""
+    return write_run(latest_versions(_read_versions(spark, dimension)), into, "compacted")
 
 
 def seen_ids(spark: SparkSession, run: EtlRun) -> DataFrame:
@@ -159,7 +170,10 @@ def seen_ids(spark: SparkSession, run: EtlRun) -> DataFrame:
 
 
 def run_on(
-    spark: SparkSession, transactions: DataFrame, customers: DataFrame, run: EtlRun,
+    spark: SparkSession,
+    transactions: DataFrame,
+    customers: DataFrame,
+    run: EtlRun,
     unique_customers: bool = False,
 ) -> dict[str, int]:
     """Judge the given frames and write them as the run; returns rows per verdict.
@@ -184,21 +198,27 @@ def run_on(
 
 
 def run_etl(spark: SparkSession, run: EtlRun) -> dict[str, int]:
-    """One batch run from the JSON feeds."""
+    """One batch run from the JSON feeds; returns rows per verdict and bad customer lines."""
     pin_session(spark)
+    if run.customers is None and run.dimension is None:
+        raise ValueError("a run needs a customer feed or a dimension")
     transactions = read_transactions_with_raw(spark, run.transactions, run.prefix)
-    customers = None
+    customers, bad_lines = None, None
     if run.customers:
         feed = read_customers_with_raw(spark, run.customers, run.prefix)
-        customers = feed.where(F.col(RAW_LINE).isNull()).drop(RAW_LINE)
-    if run.dimension is None:
-        if customers is None:
-            raise ValueError("a run needs a customer feed or a dimension")
-        return run_on(spark, transactions, customers, run)
-    if customers is not None:
-        write_customer_versions(customers, run.dimension, run.run_id, run.run_time)
-    dimension = read_dimension(spark, run.dimension)
-    return run_on(spark, transactions, dimension, run, unique_customers=True)
+        bad_lines = Observation(f"customers-{run.run_id}")
+        bad = F.count_if(F.col(RAW_LINE).isNotNull()).alias("malformed_customers")
+        customers = feed.observe(bad_lines, bad).where(F.col(RAW_LINE).isNull()).drop(RAW_LINE)
+    if run.dimension:
+        if customers is not None:
+            write_customer_versions(customers, run.dimension, run.run_id, run.run_time)
+        customers = read_dimension(spark, run.dimension)
+    report = run_on(spark, transactions, customers, run, unique_customers=bool(run.dimension))
+    if bad_lines is not None:
+        report |= bad_lines.get
+        if report["malformed_customers"]:
+            log.warning("run %s: %d unreadable customers", run.run_id, report["malformed_customers"])
+    return report
 
 
 def read_verdict(spark: SparkSession, table: str, verdict: str, run_ids=None) -> DataFrame:
@@ -206,6 +226,14 @@ def read_verdict(spark: SparkSession, table: str, verdict: str, run_ids=None) ->
     return read_runs(spark, table, RUN_TABLE_DDL, run_ids).where(F.col("verdict") == verdict)
 
 
+def create_views(spark: SparkSession, table: str, prefix: str = "") -> list[str]:
+    """One temporary view per verdict over a run table, for SQL users."""
+    names = [f"{prefix}{verdict}_transactions" for verdict in VERDICTS]
+    for name, verdict in zip(names, VERDICTS, strict=True):
+        read_verdict(spark, table, verdict).createOrReplaceTempView(name)
+    return names
+
+
 def run_id_for(moment: datetime, every: timedelta = timedelta(hours=6)) -> str:
     """The id of the scheduled slot a moment falls in, so a late start keeps its id."""
     day = moment.replace(hour=0, minute=0, second=0, microsecond=0)

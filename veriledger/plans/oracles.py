@@ -166,7 +166,7 @@ ORACLES: dict[str, str] = {
         select customer_id, case when gender in ('male', 'female', 'other') then gender
                                  else 'unknown' end as gender
         from ({LC}) t""",
-    "parse_timestamps": f"""
+    "parse_timestamp": f"""
         select l_orderkey, l_linenumber, text,
                try_strptime(text, '%Y-%m-%d %H:%M:%S') as parsed
         from ({testbed.SHIP_TEXTS.format(**_TABLES)}) t""",

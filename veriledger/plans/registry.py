@@ -12,7 +12,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veriledger.functions.text import parse_timestamp
+from veriledger.functions import text
 from veriledger.functions.times import bucket
 from veriledger.operators import cleaning, dedup, dimension, joins, marts, rules
 from veriledger.plans import etl, testbed
@@ -152,9 +152,9 @@ def normalize_domain(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query
-def parse_timestamps(spark: SparkSession, sf: str) -> DataFrame:
+def parse_timestamp(spark: SparkSession, sf: str) -> DataFrame:
     texts = testbed.mapped(spark, sf, testbed.SHIP_TEXTS, "lineitem")
-    parsed = parse_timestamp(F.col("text")).cast("timestamp_ntz")
+    parsed = text.parse_timestamp(F.col("text")).cast("timestamp_ntz")
     return texts.select("l_orderkey", "l_linenumber", "text", parsed.alias("parsed"))
 
 
