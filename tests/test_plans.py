@@ -161,3 +161,16 @@ def test_transactions_without_customer_spread_out(hot, conf):
     assert alone.count() == 50_000
     sizes = [r["count"] for r in alone.groupBy(F.spark_partition_id()).count().collect()]
     assert max(sizes) < 50_000 / 2
+
+
+def test_unreadable_lines_spread_out(spark, conf):
+    conf(autoBroadcastJoinThreshold="-1", adaptive__autoBroadcastJoinThreshold="-1")
+    conf(adaptive__coalescePartitions__enabled="false")
+    lines = spark.range(40_000).selectExpr(
+        "cast(null as string) as transaction_id", "cast(null as string) as customer_id",
+        "concat('{', id) as _corrupt_record",
+    )
+    cu = spark.range(10).selectExpr("cast(id as string) as customer_id", "30 as age")
+    joined = joins.with_known_customers(lines, cu)
+    sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 40_000 and max(sizes) < 40_000 / 4

@@ -18,7 +18,7 @@ from pyspark.sql import SparkSession
 from veriledger.operators.rules import Limits
 from veriledger.plans.etl import EtlRun, run_etl, run_id_for
 from veriledger.plans.marts import run_marts, run_marts_lookback
-from veriledger.session import build_session
+from veriledger.session import build_session, size_session
 from veriledger.sources import synthetic
 from veriledger.sources.cleanup import delete_prefix
 from veriledger.sources.feeds import write_feed
@@ -41,6 +41,10 @@ def parser() -> argparse.ArgumentParser:
     etl.add_argument("--min-age", type=int, default=Limits.min_age)
     etl.add_argument("--max-age", type=int, default=Limits.max_age)
 
+    etl.add_argument(
+        "--size", action="store_true", help="set task sizes from the size of the feeds"
+    )
+
     marts = jobs.add_parser("marts", help="summarise the valid rows")
     marts.add_argument("--table", required=True)
     marts.add_argument("--marts", required=True, help="folder of the marts")
@@ -85,6 +89,9 @@ def run_job(spark: SparkSession, args: argparse.Namespace) -> dict:
         else:
             run_marts(spark, args.table, args.marts, [run_id])
         return {"run_id": run_id}
+    if args.size:
+        feeds = filter(None, (args.customers, args.transactions))
+        size_session(spark, *[f"{f}*" if args.prefix else f for f in feeds])
     codes = args.currencies
     run = EtlRun(
         run_id=run_id,

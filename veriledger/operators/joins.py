@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from veriledger.schemas import RAW_LINE
+
 _SPREAD = "__spread"
 
 
@@ -43,15 +45,20 @@ def with_customers(transactions: DataFrame, customers: DataFrame) -> DataFrame:
     return keyed_join(transactions, customers, "customer_id", "inner")
 
 
+def _identity(transactions: DataFrame) -> list[str]:
+    """What tells transactions apart, unreadable lines included."""
+    return [c for c in ("transaction_id", RAW_LINE) if c in transactions.columns]
+
+
 def with_known_customers(transactions: DataFrame, customers: DataFrame) -> DataFrame:
     """All transactions, with the columns of their customer where there is one."""
-    return keyed_join(transactions, customers, "customer_id", "left", ["transaction_id"])
+    return keyed_join(transactions, customers, "customer_id", "left", _identity(transactions))
 
 
 def orphans(transactions: DataFrame, customers: DataFrame) -> DataFrame:
     """Transactions whose customer is NULL or not known."""
     known = customers.select("customer_id")
-    return keyed_join(transactions, known, "customer_id", "left_anti", ["transaction_id"])
+    return keyed_join(transactions, known, "customer_id", "left_anti", _identity(transactions))
 
 
 def in_reference(df: DataFrame, codes: DataFrame, column: str) -> DataFrame:
@@ -103,4 +110,4 @@ def flag_member(
 
 def flag_currency(transactions: DataFrame, codes: DataFrame | Sequence[str]) -> DataFrame:
     """Add ``currency_ok`` for the currency rule."""
-    return flag_member(transactions, codes, "currency", "currency_ok", ["transaction_id"])
+    return flag_member(transactions, codes, "currency", "currency_ok", _identity(transactions))

@@ -71,8 +71,9 @@ def classified(
     codes: Codes,
     rules: Sequence[Rule],
     unique_customers: bool = False,
+    seen: DataFrame | None = None,
 ) -> DataFrame:
-    """Every distinct transaction with its verdict and reasons.
+    """Every distinct transaction with its verdict and reasons, but for ids ``seen`` before.
 
     ``transactions`` may carry the raw line of malformed input.  Such lines are told apart
     by their text, so they neither collapse into one NULL id nor displace a good row.
@@ -82,7 +83,10 @@ def classified(
         keys.append(RAW_LINE)
     else:
         transactions = transactions.withColumn(RAW_LINE, F.lit(None).cast("string"))
-    tx = flag_currency(clean_transactions(keep_smallest(transactions, keys)), codes)
+    tx = keep_smallest(transactions, keys)
+    if seen is not None:
+        tx = drop_seen(tx, seen, "transaction_id")
+    tx = flag_currency(clean_transactions(tx), codes)
     if not unique_customers:
         customers = keep_smallest(customers, ["customer_id"])
     cu = clean_customers(customers.select(*CUSTOMER_COLUMNS)).withColumn("__known", F.lit(True))
@@ -180,13 +184,12 @@ def run_on(
 
     The counts are observed while writing, so they cost no job of their own.
     """
-    if run.skip_seen_hours is not None:
-        transactions = drop_seen(transactions, seen_ids(spark, run), "transaction_id")
+    seen = None if run.skip_seen_hours is None else seen_ids(spark, run)
     codes = run.currencies
     if isinstance(codes, str):
         codes = read_currencies(spark, codes)
     rules = default_rules(run.limits)
-    rows = classified(transactions, customers, codes, rules, unique_customers)
+    rows = classified(transactions, customers, codes, rules, unique_customers, seen)
     counts = Observation(f"verdicts-{run.run_id}")
     observed = stamped(rows, run.run_time).observe(
         counts, *[F.count_if(F.col("verdict") == v).alias(v) for v in VERDICTS]

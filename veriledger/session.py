@@ -9,6 +9,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 MIB = 1024 * 1024
+MAX_TASKS = 100_000
 
 # Needed for right results: text timestamps and month() follow the session zone.
 REQUIRED = {"spark.sql.session.timeZone": "UTC"}
@@ -31,13 +32,40 @@ def pin_session(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def shuffle_partitions_for(input_bytes: int, cores: int, target_bytes: int = 128 * MIB) -> int:
-    """Initial shuffle partitions: about ``target_bytes`` each, at least two waves.
+def sized_for(input_bytes: int, cores: int) -> dict[str, str]:
+    """Task sizes for a job reading so many bytes.
 
-    AQE merges partitions that come out small but never splits ordinary ones, so
-    the initial number has to be high enough for the largest shuffle of the job.
+    About 128 MiB per task, so that a sort fits in memory, until that would take more than
+    100 000 tasks per stage: map outputs are tracked per pair of map and reduce task, so
+    from there on the tasks grow instead and their sorts spill.  AQE merges partitions that
+    come out small but splits none but hot ones, so the number has to suffice for the
+    largest shuffle, which is the input itself.
     """
-    return max(2 * cores, -(-input_bytes // target_bytes))
+    target = max(128 * MIB, -(-input_bytes // MAX_TASKS))
+    return {
+        "spark.sql.shuffle.partitions": str(max(2 * cores, -(-input_bytes // target))),
+        "spark.sql.files.maxPartitionBytes": str(target),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target // 2),
+    }
+
+
+def input_bytes(spark: SparkSession, *paths: str) -> int:
+    """Total size of the files below some paths or path patterns."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    total = 0
+    for path in map(hadoop.Path, paths):
+        fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        for status in fs.globStatus(path) or []:
+            total += fs.getContentSummary(status.getPath()).getLength()
+    return total
+
+
+def size_session(spark: SparkSession, *paths: str) -> dict[str, str]:
+    """Set the task sizes of the session for a job over these inputs."""
+    settings = sized_for(input_bytes(spark, *paths), spark.sparkContext.defaultParallelism)
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    return settings
 
 
 def build_session(
