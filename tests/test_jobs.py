@@ -191,6 +191,32 @@ def test_marts_of_runs(spark, run, tmp_path):
         assert read_mart(spark, folder, name).columns == column_names(ddl)
 
 
+def test_marts_need_a_finished_run(spark, run, tmp_path):
+    etl.run_etl(spark, run)
+    (tmp_path / "judged" / "run_id=r1" / "_SUCCESS").unlink()
+    with pytest.raises(ValueError):
+        run_marts(spark, run.table, str(tmp_path / "marts"), ["r1"])
+
+
+def test_amounts_may_be_read_as_doubles(spark, run):
+    etl.run_etl(spark, replace(run, double_amounts=True))
+    rows = {r.transaction_id: r for r in read_runs(spark, run.table, RUN_TABLE_DDL).collect()}
+    assert rows["ok-1"].amount == 10.1
+    assert rows["edge"].verdict == "valid" and rows["low"].verdict == "invalid"
+
+
+def test_verdicts_do_not_depend_on_ansi_mode(spark, run):
+    etl.run_etl(spark, run)
+    before = content(spark, run.table)
+    ansi = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", str(ansi != "true").lower())
+    try:
+        etl.run_etl(spark, run)
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", ansi)
+    assert content(spark, run.table) == before
+
+
 def test_marts_of_a_lookback(spark, run, tmp_path):
     folder = str(tmp_path / "marts")
     etl.run_etl(spark, run)

@@ -1,3 +1,4 @@
+from dataclasses import replace
 from datetime import datetime, timedelta
 
 import pytest
@@ -100,6 +101,16 @@ def test_a_batch_done_again_counts_once(spark, feed, tmp_path):
     assert outcome(feed.table()) == before
 
 
+def test_copies_in_later_batches_can_be_skipped(spark, feed, tmp_path):
+    feed.run = replace(feed.run, skip_seen_hours=1)
+    feed.land_customers(CUSTOMERS, "c.json")
+    for wave, ids in enumerate((["a", "b"], ["b", "c"], ["a", "d"])):
+        rows = [{**BASE, "transaction_id": i} for i in ids]
+        write_lines(tmp_path / "tx", rows, name=f"{wave}.json")
+        feed.judge()
+    assert outcome(feed.table()) == [(i, "valid") for i in "abcd"]
+
+
 def test_customers_of_an_earlier_wave_are_known(spark, feed, tmp_path):
     feed.land_customers([{"customer_id": "c1", "age": 30}], "1.json")
     feed.land_customers([{"customer_id": "c1", "age": 13}, {"customer_id": "c2", "age": 20}], "2.json")

@@ -126,7 +126,7 @@ class EtlRun:
     ``currencies`` is a table, a Parquet path or a list of codes.  With ``skip_seen_hours``
     ids that earlier runs uploaded within that time are left out.  ``dimension`` names the
     folder of accumulated customers; without it a transaction meets only the customers in
-    the feed of its own run.
+    the feed of its own run.  ``double_amounts`` reads amounts without rounding to float.
     """
 
     run_id: str
@@ -139,6 +139,7 @@ class EtlRun:
     prefix: bool = False
     dimension: str | None = None
     skip_seen_hours: float | None = None
+    double_amounts: bool = False
 
 
 def write_customer_versions(
@@ -205,7 +206,9 @@ def run_etl(spark: SparkSession, run: EtlRun) -> dict[str, int]:
     pin_session(spark)
     if run.customers is None and run.dimension is None:
         raise ValueError("a run needs a customer feed or a dimension")
-    transactions = read_transactions_with_raw(spark, run.transactions, run.prefix)
+    transactions = read_transactions_with_raw(
+        spark, run.transactions, run.prefix, run.double_amounts
+    )
     customers, bad_lines = None, None
     if run.customers:
         feed = read_customers_with_raw(spark, run.customers, run.prefix)

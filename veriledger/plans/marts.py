@@ -17,7 +17,7 @@ from veriledger.operators.rules import VALID
 from veriledger.plans.etl import read_verdict
 from veriledger.schemas import MONTHLY_DDL, PER_CUSTOMER_DDL, PER_MERCHANT_DDL
 from veriledger.session import pin_session
-from veriledger.sources.run_tables import lookback, read_runs, write_run
+from veriledger.sources.run_tables import has_run, lookback, read_runs, write_run
 
 log = logging.getLogger(__name__)
 
@@ -53,6 +53,8 @@ def run_marts(spark: SparkSession, table: str, folder: str, run_ids: Sequence[st
     """The marts of the named runs, one partial result per run."""
     pin_session(spark)
     for run_id in run_ids:
+        if not has_run(spark, table, run_id):
+            raise ValueError(f"run {run_id} of {table} has not been written to its end")
         write_marts(read_verdict(spark, table, VALID, [run_id]), folder, run_id)
 
 

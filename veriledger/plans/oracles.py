@@ -143,7 +143,7 @@ def _reason_counts() -> str:
 _ENRICHED = f"transaction_id, {_TX_PAYLOAD}, {_CU_PAYLOAD}"
 
 ORACLES: dict[str, str] = {
-    "currency_reference_scan": "select n_name as currency_code from nation",
+    "currency_reference_scan": "select s_name as currency_code from supplier",
     "incremental_lookback": """
         select * from events
         where ts >= timestamp '2024-01-31 00:00:00' - interval 6 hour""",

@@ -92,7 +92,7 @@ def in_first_run() -> Column:
 @query
 def currency_reference_scan(spark: SparkSession, sf: str) -> DataFrame:
     """One column of a reference table."""
-    return testbed.table(spark, sf, "nation").select(F.col("n_name").alias("currency_code"))
+    return testbed.table(spark, sf, "supplier").select(F.col("s_name").alias("currency_code"))
 
 
 @query

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from veriledger.session import pin_session
+from veriledger.session import MIB, input_bytes, pin_session
 
 CODES = ["GEL", "USD", "EUR"]
 
@@ -117,8 +117,20 @@ SHIP_TEXTS = """
 """
 
 
+SMALL_TABLE = 256 * MIB
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return pin_session(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    """A test table.
+
+    A small one is often a single row group, which only one task can read; its rows are
+    then dealt out, a MiB of file to a task.  Larger tables have splits enough.
+    """
+    path = f"{sf_dir}/{name}.parquet"
+    rows = pin_session(spark).read.parquet(path)
+    size = input_bytes(spark, path)
+    tasks = min(spark.sparkContext.defaultParallelism, size // MIB)
+    return rows.repartition(tasks) if size < SMALL_TABLE and tasks > 1 else rows
 
 
 def mapped(spark: SparkSession, sf_dir: str, text: str, *names: str) -> DataFrame:

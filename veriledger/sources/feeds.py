@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from veriledger.operators.cleaning import mark_malformed
-from veriledger.schemas import CUSTOMER_DDL, TRANSACTION_DDL, with_raw_line
+from veriledger.schemas import CUSTOMER_DDL, TRANSACTION_DDL, retyped, with_raw_line
 
 log = logging.getLogger(__name__)
 
@@ -35,17 +35,31 @@ def read_customers(spark: SparkSession, path: str, prefix: bool = False) -> Data
     return read_feed(spark, path, CUSTOMER_DDL, prefix)
 
 
-def read_transactions(spark: SparkSession, path: str, prefix: bool = False) -> DataFrame:
-    return read_feed(spark, path, TRANSACTION_DDL, prefix)
+def transaction_ddl(double_amounts: bool = False) -> str:
+    """The declared feed schema, in which amounts are floats, or the same with doubles.
+
+    A float amount keeps about seven digits: 10.1 becomes 10.100000381469727 once widened.
+    """
+    doubles = {"amount": "double", "total_amount": "double"}
+    return retyped(TRANSACTION_DDL, doubles) if double_amounts else TRANSACTION_DDL
+
+
+def read_transactions(
+    spark: SparkSession, path: str, prefix: bool = False, double_amounts: bool = False
+) -> DataFrame:
+    return read_feed(spark, path, transaction_ddl(double_amounts), prefix)
 
 
 def read_customers_with_raw(spark: SparkSession, path: str, prefix: bool = False) -> DataFrame:
     return mark_malformed(read_feed(spark, path, with_raw_line(CUSTOMER_DDL), prefix))
 
 
-def read_transactions_with_raw(spark: SparkSession, path: str, prefix: bool = False) -> DataFrame:
+def read_transactions_with_raw(
+    spark: SparkSession, path: str, prefix: bool = False, double_amounts: bool = False
+) -> DataFrame:
     """Transactions plus the raw text of lines that are no JSON at all."""
-    return mark_malformed(read_feed(spark, path, with_raw_line(TRANSACTION_DDL), prefix))
+    ddl = with_raw_line(transaction_ddl(double_amounts))
+    return mark_malformed(read_feed(spark, path, ddl, prefix))
 
 
 def read_currencies(spark: SparkSession, source: str) -> DataFrame:
