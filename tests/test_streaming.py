@@ -154,7 +154,8 @@ def start_to_parquet(frame, tmp_path):
     )
 
 
-def test_stream_dedup_across_batches(spark, tmp_path):
+@pytest.mark.parametrize("salts", [1, 4])
+def test_stream_dedup_across_batches(spark, tmp_path, salts):
     schema = "id string, ts timestamp, n int"
     waves = [
         [("a", "2024-01-01 00:00:00", 1), ("b", "2024-01-01 00:01:00", 1), ("a", "2024-01-01 00:02:00", 2)],
@@ -164,11 +165,23 @@ def test_stream_dedup_across_batches(spark, tmp_path):
         records = [dict(zip(("id", "ts", "n"), r)) for r in wave]
         write_lines(tmp_path / "in", records, name=f"{i}.json")
         stream = spark.readStream.schema(schema).json(str(tmp_path / "in"))
-        finish(start_to_parquet(dedup_stream(stream, "id", "ts", "1 hour"), tmp_path))
+        finish(start_to_parquet(dedup_stream(stream, "id", "ts", "1 hour", salts), tmp_path))
         got = spark.read.parquet(str(tmp_path / "out"))
         assert sorted(r.id for r in got.collect()) == (["a", "b"], ["a", "b", "c"])[i]
 
 
+def test_a_hot_key_of_a_stream_is_thinned_out_first(spark, tmp_path):
+    rows = [{"id": "hot" if i % 3 == 0 else f"k{i}", "ts": "2024-01-01 00:00:00"} for i in range(3000)]
+    write_lines(tmp_path / "in", rows)
+    stream = spark.readStream.schema("id string, ts timestamp").json(str(tmp_path / "in"))
+    query = start_to_parquet(dedup_stream(stream, "id", "ts", "1 hour", salts=4), tmp_path)
+    finish(query)
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 2001
+    progress = next(p for p in query.recentProgress if p["numInputRows"])
+    by_key, by_share = (o["numRowsUpdated"] for o in progress["stateOperators"])
+    assert by_share == 2004 and by_key == 2001
+
+
 def test_stream_windows_come_out_when_complete(spark, tmp_path):
     schema = "transaction_id string, amount double, upload_time timestamp"
 

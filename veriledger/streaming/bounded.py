@@ -13,9 +13,21 @@ def _as_instant(df: DataFrame, column: str) -> DataFrame:
     return df.withColumn(column, F.col(column).cast("timestamp"))
 
 
-def dedup_stream(stream: DataFrame, key: str, time_column: str, delay: str) -> DataFrame:
-    """One row per key among copies that arrive within ``delay`` of each other."""
+def dedup_stream(
+    stream: DataFrame, key: str, time_column: str, delay: str, salts: int = 1
+) -> DataFrame:
+    """One row per key among copies that arrive within ``delay`` of each other.
+
+    All copies of a key go to one task.  If single keys may hold much of the stream, use
+    ``salts``: copies are first removed within so many random shares of each key, and only
+    one row per share goes on to the removal by key.  The seed makes the share of a row
+    the same when a task is repeated.
+    """
     timed = _as_instant(stream, time_column).withWatermark(time_column, delay)
+    if salts > 1:
+        share = F.floor(F.rand(seed=1) * salts).cast("int")
+        timed = timed.withColumn("__share", share).dropDuplicatesWithinWatermark([key, "__share"])
+        timed = timed.drop("__share")
     return timed.dropDuplicatesWithinWatermark([key])
 
 
