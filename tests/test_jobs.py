@@ -114,6 +114,12 @@ def test_empty_feeds_write_an_empty_run(spark, run, tmp_path):
     assert read_runs(spark, run.table, RUN_TABLE_DDL).isEmpty()
 
 
+def test_a_missing_customer_feed_leaves_orphans(spark, run, tmp_path):
+    report = etl.run_etl(spark, replace(run, customers=str(tmp_path / "nothing")))
+    assert report["orphan"] == len(CASES) and report["malformed"] == len(MALFORMED)
+    assert report.get("malformed_customers", 0) == 0
+
+
 def test_every_transaction_is_counted_once(spark, run):
     """valid + invalid + indeterminate = joined, and joined + orphans = distinct ids."""
     tx, cu = read_transactions(spark, run.transactions), read_customers(spark, run.customers)

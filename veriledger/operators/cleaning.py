@@ -25,7 +25,8 @@ def widen_amounts(transactions: DataFrame) -> DataFrame:
 def exact_amounts(transactions: DataFrame) -> DataFrame:
     """Money columns as decimals of cents, so that sums do not depend on the order of rows.
 
-    It also undoes the artefacts of a float feed, in which 10.1 reads as 10.100000381.
+    It also undoes the artefacts of a float feed, in which 10.1 reads as 10.100000381.  NaN
+    has no decimal and becomes NULL.
     """
     return transactions.withColumns(
         {c: F.col(c).cast("decimal(18,2)") for c in ("amount", "total_amount")}

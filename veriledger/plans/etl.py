@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -174,6 +175,18 @@ def seen_ids(spark: SparkSession, run: EtlRun) -> DataFrame:
     ).select("transaction_id")
 
 
+def _observed(observation: Observation) -> dict[str, int]:
+    """What a finished job observed; empty if it never had to read the observed rows.
+
+    A join with an empty side is dropped from the plan, and the observation with it; asking
+    for its values is then an error on the JVM side.
+    """
+    try:
+        return dict(observation.get)
+    except Py4JJavaError:
+        return {}
+
+
 def run_on(
     spark: SparkSession,
     transactions: DataFrame,
@@ -196,7 +209,7 @@ def run_on(
         counts, *[F.count_if(F.col("verdict") == v).alias(v) for v in VERDICTS]
     )
     path = write_run(observed, run.table, run.run_id, ["verdict", "upload_hour"])
-    report = dict(counts.get)
+    report = {verdict: 0 for verdict in VERDICTS} | _observed(counts)
     log.info("run %s written to %s: %s", run.run_id, path, report)
     return report
 
@@ -221,8 +234,8 @@ def run_etl(spark: SparkSession, run: EtlRun) -> dict[str, int]:
         customers = read_dimension(spark, run.dimension)
     report = run_on(spark, transactions, customers, run, unique_customers=bool(run.dimension))
     if bad_lines is not None:
-        report |= bad_lines.get
-        if report["malformed_customers"]:
+        report |= _observed(bad_lines)
+        if report.get("malformed_customers"):
             log.warning("run %s: %d unreadable customers", run.run_id, report["malformed_customers"])
     return report
 
