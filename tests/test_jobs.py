@@ -16,6 +16,7 @@ from veriledger.plans.marts import (
     run_marts_lookback,
 )
 from veriledger.schemas import MONTHLY_DDL, PER_CUSTOMER_DDL, PER_MERCHANT_DDL, RUN_TABLE_DDL, column_names
+from veriledger.sources import synthetic
 from veriledger.sources.cleanup import delete_prefix
 from veriledger.sources.feeds import read_customers, read_transactions
 from veriledger.sources.run_tables import has_run, lookback, read_runs, write_run
@@ -159,6 +160,32 @@ def test_compacted_dimension_reads_the_same(spark, run, tmp_path):
     assert [r.age for r in etl.read_dimension(spark, dim, needed).collect()] == [1]
 
 
+def test_rebalanced_files(spark, run, tmp_path):
+    """Rare verdicts come in one file each, the common one is split."""
+    customers = synthetic.customers(spark, 50, partitions=2)
+    rows = synthetic.with_dirt(synthetic.transactions(spark, 20_000, 50, partitions=8), 0.01)
+    settings = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "300k",
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        report = etl.run_on(spark, rows, customers, replace(run, rebalance=True))
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    found = read_runs(spark, run.table, RUN_TABLE_DDL).groupBy("verdict", F.input_file_name()).count()
+    files = {}
+    for row in found.collect():
+        files.setdefault(row.verdict, []).append(row["count"])
+    assert {v: sum(n) for v, n in files.items()} == {v: n for v, n in report.items() if n}
+    assert len(files["valid"]) > 1
+    assert all(len(n) == 1 for v, n in files.items() if v != "valid")
+
+
 def test_lookback_bound_is_inclusive_and_open_above(spark, tmp_path):
     table = str(tmp_path / "t")
     times = ["05:59:59", "06:00:00", "06:30:00", "11:00:00", "13:00:00"]

@@ -42,6 +42,7 @@ def parser() -> argparse.ArgumentParser:
     etl.add_argument("--max-age", type=int, default=Limits.max_age)
 
     etl.add_argument("--double-amounts", action="store_true", help="read amounts as doubles")
+    etl.add_argument("--rebalance", action="store_true", help="write evenly sized files")
     etl.add_argument(
         "--size", action="store_true", help="set task sizes from the size of the feeds"
     )
@@ -106,6 +107,7 @@ def run_job(spark: SparkSession, args: argparse.Namespace) -> dict:
         dimension=args.dimension,
         skip_seen_hours=args.skip_seen_hours,
         double_amounts=args.double_amounts,
+        rebalance=args.rebalance,
     )
     return {"run_id": run_id, **run_etl(spark, run)}
 

@@ -128,6 +128,8 @@ class EtlRun:
     ids that earlier runs uploaded within that time are left out.  ``dimension`` names the
     folder of accumulated customers; without it a transaction meets only the customers in
     the feed of its own run.  ``double_amounts`` reads amounts without rounding to float.
+    ``rebalance`` spends one more shuffle on even files: otherwise each task of the join
+    writes a file of its own for every verdict it meets, most of them small.
     """
 
     run_id: str
@@ -141,6 +143,7 @@ class EtlRun:
     dimension: str | None = None
     skip_seen_hours: float | None = None
     double_amounts: bool = False
+    rebalance: bool = False
 
 
 def write_customer_versions(
@@ -208,6 +211,8 @@ def run_on(
     observed = stamped(rows, run.run_time).observe(
         counts, *[F.count_if(F.col("verdict") == v).alias(v) for v in VERDICTS]
     )
+    if run.rebalance:
+        observed = observed.hint("rebalance", "verdict")
     path = write_run(observed, run.table, run.run_id, ["verdict", "upload_hour"])
     report = {verdict: 0 for verdict in VERDICTS} | _observed(counts)
     log.info("run %s written to %s: %s", run.run_id, path, report)
