@@ -20,11 +20,18 @@ def test_generate_judge_summarise_delete(spark, tmp_path, capsys):
     report = call(*etl, "--currencies", tmp_path / "codes", "--run-id", "only-gel")
     assert 0 < report["valid"] < 300 and report["valid"] + report["invalid"] == 300
 
-    call("marts", "--table", table, "--marts", marts, "--run-id", "20240506T120000")
-    mart = read_mart(spark, str(marts), PER_CUSTOMER)
-    assert mart.selectExpr("sum(num_transactions)").first()[0] == 300
-    call("marts", "--table", table, "--marts", marts, "--run-id", "look", "--run-time", "2024-05-06T14:00:00", "--lookback-hours", 6)
-    assert mart.isEmpty() is False
+    def total(folder):
+        mart = read_mart(spark, str(folder), PER_CUSTOMER)
+        return mart.selectExpr("sum(num_transactions)").first()[0]
+
+    base = ["marts", "--table", table, "--marts"]
+    assert call(*base, marts, "--run-id", "20240506T120000") == {"runs": ["20240506T120000"]}
+    assert total(marts) == 300
+    assert call(*base, marts) == {"runs": ["only-gel"]}
+    assert total(marts) == 300 + report["valid"]
+    look = tmp_path / "look"
+    call(*base, look, "--run-time", "2024-05-06T14:00:00", "--lookback-hours", 6)
+    assert total(look) == 300 + report["valid"]
 
     assert call("delete", "--prefix", feed / "trans") == {"deleted": 1}
     assert [p.name for p in feed.iterdir()] == ["customers"]

@@ -231,6 +231,22 @@ def test_marts_need_a_finished_run(spark, run, tmp_path):
         run_marts(spark, run.table, str(tmp_path / "marts"), ["r1"])
 
 
+def test_pending_runs_are_summarised_once(spark, run, tmp_path):
+    folder = str(tmp_path / "marts")
+    assert run_marts(spark, run.table, folder) == []
+    etl.run_etl(spark, run)
+    assert run_marts(spark, run.table, folder) == ["r1"]
+    for i in (3, 2):
+        etl.run_etl(spark, replace(run, run_id=f"r{i}", run_time=RUN_TIME + timedelta(hours=6 * i)))
+    (tmp_path / "judged" / "run_id=r3" / "_SUCCESS").unlink()
+    assert run_marts(spark, run.table, folder) == ["r2"]
+    assert run_marts(spark, run.table, folder) == []
+    (tmp_path / "marts" / MONTHLY / "run_id=r2" / "_SUCCESS").unlink()
+    assert run_marts(spark, run.table, folder) == ["r2"]
+    got = {r.customer_id: r.num_transactions for r in read_mart(spark, folder, PER_CUSTOMER).collect()}
+    assert got["c14"] == 2
+
+
 def test_amounts_may_be_read_as_doubles(spark, run):
     etl.run_etl(spark, replace(run, double_amounts=True))
     rows = {r.transaction_id: r for r in read_runs(spark, run.table, RUN_TABLE_DDL).collect()}

@@ -1,7 +1,7 @@
 """The jobs from the command line, for ``spark-submit`` or a scheduler.
 
     python -m veriledger etl --customers DIR --transactions DIR --table DIR --currencies GEL,EUR,USD
-    python -m veriledger marts --table DIR --marts DIR --run-id RUN
+    python -m veriledger marts --table DIR --marts DIR
     python -m veriledger generate --out DIR
     python -m veriledger delete --prefix PATH
 """
@@ -52,8 +52,9 @@ def parser() -> argparse.ArgumentParser:
     marts.add_argument("--marts", required=True, help="folder of the marts")
     marts.add_argument("--lookback-hours", type=float, help="instead of one run, the last hours")
 
+    etl.add_argument("--run-id", help="default: the six-hour slot of the run time")
+    marts.add_argument("--run-id", help="default: all runs not summarised yet")
     for job in (etl, marts):
-        job.add_argument("--run-id", help="default: the six-hour slot of the run time")
         job.add_argument("--run-time", type=datetime.fromisoformat, help="default: now, in UTC")
 
     generate = jobs.add_parser("generate", help="write feeds of generated records")
@@ -88,20 +89,22 @@ def run_job(spark: SparkSession, args: argparse.Namespace) -> dict:
     if args.job == "marts":
         if args.lookback_hours:
             run_marts_lookback(spark, args.table, args.marts, run_id, run_time, args.lookback_hours)
-        else:
-            run_marts(spark, args.table, args.marts, [run_id])
-        return {"run_id": run_id}
+            return {"runs": [run_id]}
+        named = [args.run_id] if args.run_id else None
+        return {"runs": run_marts(spark, args.table, args.marts, named)}
     if args.size:
         feeds = filter(None, (args.customers, args.transactions))
         size_session(spark, *[f"{f}*" if args.prefix else f for f in feeds])
-    codes = args.currencies
+    codes: str | list[str] = args.currencies
+    if "," in codes:
+        codes = [c for c in codes.split(",") if c]
     run = EtlRun(
         run_id=run_id,
         run_time=run_time,
         customers=args.customers,
         transactions=args.transactions,
         table=args.table,
-        currencies=codes.split(",") if "," in codes else codes,
+        currencies=codes,
         limits=Limits(args.min_amount, args.min_age, args.max_age),
         prefix=args.prefix,
         dimension=args.dimension,

@@ -55,7 +55,6 @@ VERDICTS = (VALID, INVALID, INDETERMINATE, ORPHAN, MALFORMED)
 
 VERSIONS_DDL = f"{CUSTOMER_DDL}, loaded_at timestamp, run_id string"
 
-
 Codes = DataFrame | Sequence[str]
 
 

@@ -17,7 +17,13 @@ from veriledger.operators.rules import VALID
 from veriledger.plans.etl import read_verdict
 from veriledger.schemas import MONTHLY_DDL, PER_CUSTOMER_DDL, PER_MERCHANT_DDL
 from veriledger.session import pin_session
-from veriledger.sources.run_tables import has_run, lookback, read_runs, write_run
+from veriledger.sources.run_tables import (
+    finished_runs,
+    has_run,
+    lookback,
+    read_runs,
+    write_run,
+)
 
 log = logging.getLogger(__name__)
 
@@ -49,24 +55,39 @@ def write_marts(valid: DataFrame, folder: str, run_id: str) -> None:
         log.info("mart %s written to %s", name, path)
 
 
-def run_marts(spark: SparkSession, table: str, folder: str, run_ids: Sequence[str]) -> None:
-    """The marts of the named runs, one partial result per run."""
+def pending_runs(spark: SparkSession, table: str, folder: str) -> list[str]:
+    """Finished runs of a judged table that are not in all three marts yet."""
+    done = [set(finished_runs(spark, f"{folder}/{name}")) for name in _BUILDERS]
+    return [r for r in finished_runs(spark, table) if not all(r in d for d in done)]
+
+
+def run_marts(
+    spark: SparkSession, table: str, folder: str, run_ids: Sequence[str] | None = None
+) -> list[str]:
+    """The marts of the named runs, or of all pending ones; one partial result per run.
+
+    Whenever it is started, each run is summarised exactly once.
+    """
     pin_session(spark)
+    if run_ids is None:
+        run_ids = pending_runs(spark, table, folder)
     for run_id in run_ids:
         if not has_run(spark, table, run_id):
             raise ValueError(f"run {run_id} of {table} has not been written to its end")
         write_marts(read_verdict(spark, table, VALID, [run_id]), folder, run_id)
+    return list(run_ids)
 
 
 def run_marts_lookback(
     spark: SparkSession, table: str, folder: str, run_id: str, now: datetime, hours: float = 6
 ) -> None:
-    """The marts of everything uploaded in the hours before ``now``.
+    """The marts of everything finished runs uploaded in the hours before ``now``.
 
     Overlapping lookbacks count rows twice and late ones miss rows; ``run_marts`` does not.
     """
     pin_session(spark)
-    write_marts(lookback(read_verdict(spark, table, VALID), now, hours), folder, run_id)
+    valid = read_verdict(spark, table, VALID, finished_runs(spark, table))
+    write_marts(lookback(valid, now, hours), folder, run_id)
 
 
 def read_mart(spark: SparkSession, folder: str, name: str) -> DataFrame:

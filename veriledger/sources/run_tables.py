@@ -66,11 +66,21 @@ def read_runs(
     return read_runs(spark, table, ddl, present)
 
 
+def _finished(spark: SparkSession, pattern: str) -> list[str]:
+    """Names of the run folders matching a pattern that were written to their end."""
+    marks = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{pattern}/_SUCCESS")
+    fs = marks.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [status.getPath().getParent().getName() for status in fs.globStatus(marks) or []]
+
+
 def has_run(spark: SparkSession, table: str, run_id: str) -> bool:
     """Has the run been written to its end?"""
-    jvm = spark.sparkContext._jvm
-    done = jvm.org.apache.hadoop.fs.Path(f"{run_path(table, run_id)}/_SUCCESS")
-    return done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(done)
+    return bool(_finished(spark, run_path(table, run_id)))
+
+
+def finished_runs(spark: SparkSession, table: str) -> list[str]:
+    """Ids of the runs of a table that were written to their end, in order."""
+    return sorted(name.removeprefix("run_id=") for name in _finished(spark, run_path(table, "*")))
 
 
 def lookback(
