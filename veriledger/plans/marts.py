@@ -11,8 +11,10 @@ from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from veriledger.operators import marts
+from veriledger.operators.cleaning import exact_amounts
 from veriledger.operators.rules import VALID
 from veriledger.plans.etl import read_verdict
 from veriledger.schemas import MONTHLY_DDL, PER_CUSTOMER_DDL, PER_MERCHANT_DDL
@@ -37,6 +39,7 @@ _BUILDERS = {
     PER_MERCHANT: marts.transactions_per_merchant,
     MONTHLY: marts.monthly_transactions,
 }
+_MONEY = {"total_amount", "average_transaction_amount", "total_sales"}
 _STORED = {
     PER_CUSTOMER: f"{PER_CUSTOMER_DDL}, num_amounts bigint, run_id string",
     PER_MERCHANT: f"{PER_MERCHANT_DDL}, run_id string",
@@ -44,14 +47,21 @@ _STORED = {
 }
 
 
-def write_marts(valid: DataFrame, folder: str, run_id: str) -> None:
+def write_marts(valid: DataFrame, folder: str, run_id: str, exact: bool = False) -> None:
     """The three marts of some valid rows, as one run.
 
+    With ``exact`` money is summed as decimals of cents, whatever the order of rows; NaN
+    amounts are then left out instead of turning the sum to NaN.
+
     Each is a scan of three or four columns of a Parquet table, cheaper than keeping the
     whole rows in memory for all of them.
     """
+    if exact:
+        valid = exact_amounts(valid)
     for name, build in _BUILDERS.items():
-        path = write_run(build(valid), f"{folder}/{name}", run_id)
+        mart = build(valid)
+        money = {c: F.col(c).cast("double") for c in mart.columns if c in _MONEY}
+        path = write_run(mart.withColumns(money), f"{folder}/{name}", run_id)
         log.info("mart %s written to %s", name, path)
 
 
@@ -62,7 +72,11 @@ def pending_runs(spark: SparkSession, table: str, folder: str) -> list[str]:
 
 
 def run_marts(
-    spark: SparkSession, table: str, folder: str, run_ids: Sequence[str] | None = None
+    spark: SparkSession,
+    table: str,
+    folder: str,
+    run_ids: Sequence[str] | None = None,
+    exact: bool = False,
 ) -> list[str]:
     """The marts of the named runs, or of all pending ones; one partial result per run.
 
@@ -74,7 +88,7 @@ def run_marts(
     for run_id in run_ids:
         if not has_run(spark, table, run_id):
             raise ValueError(f"run {run_id} of {table} has not been written to its end")
-        write_marts(read_verdict(spark, table, VALID, [run_id]), folder, run_id)
+        write_marts(read_verdict(spark, table, VALID, [run_id]), folder, run_id, exact)
     return list(run_ids)
 
 

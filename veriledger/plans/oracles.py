@@ -78,6 +78,9 @@ def _line_pipeline(feed: str = LT, key: str = "transaction_id", customers: str =
 
 _LINE = _line_pipeline()
 
+# The sum of exact cents.
+_SUM = "sum(cast(round(amount * 100) as hugeint)) / 100.0::double"
+
 # The average of exact cents, rounded half up to six decimals by whole-number arithmetic.
 _CUSTOMER_MART = """
     select customer_id, num_transactions, cents / 100.0::double as total_amount,
@@ -88,24 +91,24 @@ _CUSTOMER_MART = """
                  count(amount) as num_amounts
           from lv group by customer_id) sums
 """
-_CUSTOMER_TOTALS = """
+_CUSTOMER_TOTALS = f"""
     select customer_id, count(transaction_id) as num_transactions,
-           round(sum(amount), 2) as total_amount
+           {_SUM} as total_amount
     from lv group by customer_id
 """
-_MERCHANT_MART = """
+_MERCHANT_MART = f"""
     select merchant_id, count(transaction_id) as num_transactions,
-           round(sum(amount), 2) as total_sales
+           {_SUM} as total_sales
     from lv group by merchant_id
 """
-_MONTHLY_MART = """
+_MONTHLY_MART = f"""
     select cast(month(timestamp) as integer) as transaction_month,
-           count(transaction_id) as num_transactions, round(sum(amount), 2) as total_amount
+           count(transaction_id) as num_transactions, {_SUM} as total_amount
     from lv group by 1
 """
-_REPORT = """
+_REPORT = f"""
     select verdict, count(*) as num_rows, count(transaction_id) as num_ids,
-           round(sum(amount), 2) as total_amount
+           {_SUM} as total_amount
     from lo group by verdict
 """
 
@@ -224,13 +227,13 @@ ORACLES: dict[str, str] = {
     "monthly_transactions": _LINE + _MONTHLY_MART,
     "monthly_transactions_by_year": f"""{_LINE}
         select cast(date_trunc('month', timestamp) as timestamp) as month_start,
-               count(transaction_id) as num_transactions, round(sum(amount), 2) as total_amount
+               count(transaction_id) as num_transactions, {_SUM} as total_amount
         from lv group by 1""",
     "consolidate_marts": _LINE + _CUSTOMER_MART,
     "marts_by_upload_window": f"""{_EVENT_JOIN}
         select time_bucket(interval 6 hour, upload_time) as window_start,
                time_bucket(interval 6 hour, upload_time) + interval 6 hour as window_end,
-               count(transaction_id) as num_transactions, round(sum(amount), 2) as total_amount
+               count(transaction_id) as num_transactions, {_SUM} as total_amount
         from ej where p group by 1, 2""",
     "id_batch_messages": """
         select cast(floor(c_custkey / 100.0) as bigint) as batch,
