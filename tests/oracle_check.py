@@ -69,7 +69,7 @@ if __name__ == "__main__":
 
     data = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     session, duck = local_session(), connect(data)
-    for key in sys.argv[2:] or entry.queries():
+    for key in sys.argv[2:] or entry.oracle_sql():
         try:
             print(key, *compare(session, duck, data, key), flush=True)
         except Exception as error:  # noqa: BLE001
