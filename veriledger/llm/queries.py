@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veriledger.llm import bpe_tree, content_sort, warc
+from veriledger.llm import bpe_tree, content_sort, superminhash, warc
 from veriledger.llm.common import table
 
 # Parameter: the tokenizer file of the encoding query.
@@ -24,6 +24,11 @@ def op5_bpe_segment_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate group of every document."""
+    return superminhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which document stays for each document."""
     return content_sort.exact_duplicates(table(spark, sf_dir, "documents"))
@@ -37,6 +42,7 @@ def op10_warc_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op5_bpe_segment_tree": op5_bpe_segment_tree,
+    "op7_superminhash": op7_superminhash,
     "op9_content_sort": op9_content_sort,
     "op10_warc_shards": op10_warc_shards,
 }
