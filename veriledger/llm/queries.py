@@ -6,13 +6,30 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veriledger.llm import bpe_tree, content_sort, superminhash, warc
-from veriledger.llm.common import table
+from veriledger.llm import bpe_tree, content_sort, superminhash, toxicity, warc
+from veriledger.llm.common import remainder, table
 
 # Parameter: the tokenizer file of the encoding query.
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
+def toxicity_judge(spark: SparkSession, sf_dir: str) -> toxicity.Judge:
+    """Learned from the labelled documents outside the held-out fold."""
+    learn = table(spark, sf_dir, "labels").filter(remainder("doc_id", 5) != 0)
+    return toxicity.train(table(spark, sf_dir, "documents"), learn)
+
+
+def op4_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of every document."""
+    scores = toxicity.score(table(spark, sf_dir, "documents"), toxicity_judge(spark, sf_dir))
+    return scores.select(
+        "doc_id",
+        (remainder("doc_id", 5) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op5_bpe_segment_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and digests of ids and decoded text of every document."""
     rows = bpe_tree.encode_and_decode(table(spark, sf_dir, "documents"), TOKENIZER)
@@ -41,6 +58,7 @@ def op10_warc_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_kneser_ney": op4_kneser_ney,
     "op5_bpe_segment_tree": op5_bpe_segment_tree,
     "op7_superminhash": op7_superminhash,
     "op9_content_sort": op9_content_sort,
