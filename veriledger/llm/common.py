@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,3 +36,20 @@ def written(frame: DataFrame, purpose: str) -> DataFrame:
     path = shared_folder(spark, purpose)
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
+
+
+def groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
+    """The groups of a stream sorted by ``key``, one at a time."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = batch.column(key).to_numpy(zero_copy_only=False)
+        cuts = [0, *(1 + np.flatnonzero(keys[1:] != keys[:-1])).tolist(), len(keys)]
+        for start, end in zip(cuts, cuts[1:], strict=False):
+            if held and held[-1].column(key)[0].as_py() != keys[start]:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(start, end - start))
+    if held:
+        yield pa.Table.from_batches(held)

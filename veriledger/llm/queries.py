@@ -6,12 +6,26 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veriledger.llm import bpe_tree, content_sort, superminhash, toxicity, warc
+from veriledger.llm import bpe_tree, content_sort, dimension_scan, pfair, superminhash, toxicity, warc
 from veriledger.llm.common import remainder, table
 
 # Parameter: the tokenizer file of the encoding query.
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
+# Parameters: target shares of the sources, that of all others together, and the rows of a block.
+SHARES, OTHER_SHARE, BLOCK_ROWS = {"src0": 6, "src1": 4, "src2": 3, "src3": 2}, 5, 64
+
+
+def op2_dimension_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest vectors of every hundredth vector."""
+    return dimension_scan.nearest_neighbours(table(spark, sf_dir, "embeddings"))
+
+
+def op3_pfair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where every document stands in the mixture of the sources."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source")
+    return pfair.mixed(docs, SHARES, OTHER_SHARE, BLOCK_ROWS)
+
 
 def toxicity_judge(spark: SparkSession, sf_dir: str) -> toxicity.Judge:
     """Learned from the labelled documents outside the held-out fold."""
@@ -58,6 +72,8 @@ def op10_warc_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_dimension_scan": op2_dimension_scan,
+    "op3_pfair": op3_pfair,
     "op4_kneser_ney": op4_kneser_ney,
     "op5_bpe_segment_tree": op5_bpe_segment_tree,
     "op7_superminhash": op7_superminhash,
@@ -66,6 +82,40 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op3_pfair": """
+        with recursive edf(slot, done, chosen) as (
+            select -1, [0, 0, 0, 0, 0], -1
+            union all
+            select slot + 1,
+                   list_transform(done, lambda d, i: case when i - 1 = next then d + 1 else d end),
+                   next
+            from (
+                select slot, done, list_min(list_transform([6, 4, 3, 2, 5], lambda s, i:
+                    case when (done[i] * 20) // s <= slot + 1
+                         then (((done[i] + 1) * 20 + s - 1) // s) * 100 + i - 1 end)) % 100 as next
+                from edf where slot < 19
+            )
+        ), turns as (
+            select slot, chosen as k, row_number() over (partition by chosen order by slot) - 1 as turn
+            from edf where slot >= 0
+        ), placed as (
+            select doc_id, source, k, row_number() over (partition by k order by part, doc_id) - 1 as place
+            from (
+                select doc_id, source, ('0x' || substr(md5(cast(doc_id as varchar)), 1, 3))::int as part,
+                       case source when 'src0' then 0 when 'src1' then 1 when 'src2' then 2
+                                   when 'src3' then 3 else 4 end as k
+                from documents
+            )
+        ), slotted as (
+            select doc_id, source, place, place // 64 as mix_block,
+                   (place // 64) // [6, 4, 3, 2, 5][placed.k + 1] * 20 + slot as mix_slot
+            from placed join turns
+              on turns.k = placed.k and turn = (place // 64) % [6, 4, 3, 2, 5][placed.k + 1]
+        )
+        select doc_id, source, mix_block, mix_slot,
+               row_number() over (order by mix_slot, place) - 1 as mix_position
+        from slotted
+    """,
     "op9_content_sort": r"""
         with n as (
             select doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') as norm

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veriledger.llm.common import written
+from veriledger.llm.common import groups, written
 from veriledger.llm.components import EDGES, components, edge_batch, spanning
 
 WIDTH = 5
@@ -149,28 +149,11 @@ def sign(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", slice_
     return rows.mapInArrow(_signed(slice_words), _SIGNATURE_ROW)
 
 
-def _groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
-    """The groups of a stream sorted by ``key``, one at a time."""
-    held: list[pa.RecordBatch] = []
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        keys = batch.column(key).to_numpy(zero_copy_only=False)
-        cuts = [0, *(1 + np.flatnonzero(keys[1:] != keys[:-1])).tolist(), len(keys)]
-        for start, end in zip(cuts, cuts[1:], strict=False):
-            if held and held[-1].column(key)[0].as_py() != keys[start]:
-                yield pa.Table.from_batches(held)
-                held = []
-            held.append(batch.slice(start, end - start))
-    if held:
-        yield pa.Table.from_batches(held)
-
-
 def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per bucket, the spanning forest of the members whose signatures agree enough."""
     a: list[int] = []
     b: list[int] = []
-    for bucket in _groups(batches, "bucket"):
+    for bucket in groups(batches, "bucket"):
         ids = bucket.column("id").to_numpy()
         rows = np.frombuffer(b"".join(bucket.column("signature").to_pylist()), dtype=np.uint16).reshape(len(ids), -1)
         if len(ids) == 2:
@@ -252,7 +235,7 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """
     a: list[int] = []
     b: list[int] = []
-    for block in _groups(batches, "block"):
+    for block in groups(batches, "block"):
         ids = block.column("id").to_numpy()
         asks = block.column("asks").to_numpy(zero_copy_only=False).astype(bool)
         sets = [np.frombuffer(s, dtype=np.uint64) for s in block.column("shingles").to_pylist()]
