@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veriledger.llm import bpe_tree, content_sort, dimension_scan, pfair, superminhash, toxicity, warc
+from veriledger.llm import (
+    bpe_tree, content_sort, dimension_scan, line_templates, pfair, superminhash, toxicity, warc,
+)
 from veriledger.llm.common import remainder, table
 
 # Parameter: the tokenizer file of the encoding query.
@@ -16,6 +18,13 @@ TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 SHARES, OTHER_SHARE, BLOCK_ROWS = {"src0": 6, "src1": 4, "src2": 3, "src3": 2}, 5, 64
 
 
+def op1_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without lines whose template recurs, as counts and a digest."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    clean = line_templates.without_recurring_lines(docs)
+    return clean.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("text_sha256"))
+
+
 def op2_dimension_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten nearest vectors of every hundredth vector."""
     return dimension_scan.nearest_neighbours(table(spark, sf_dir, "embeddings"))
@@ -72,6 +81,7 @@ def op10_warc_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_line_templates": op1_line_templates,
     "op2_dimension_scan": op2_dimension_scan,
     "op3_pfair": op3_pfair,
     "op4_kneser_ney": op4_kneser_ney,
@@ -81,7 +91,57 @@ QUERIES = {
     "op10_warc_shards": op10_warc_shards,
 }
 
+# The documents without recurring lines, as a common table expression over ``{docs}``.
+LINES_SQL = r"""
+    raw as (
+        select doc_id, text, string_split(text, chr(10)) as parts from {docs}
+    ), line as (
+        select doc_id, unnest(range(len(parts))) as nr, unnest(parts) as words from raw
+    ), shaped as (
+        select doc_id, nr,
+               list_transform(string_split(trim(regexp_replace(words, '[\x20\x09-\x0D]+', ' ', 'g')), ' '),
+                              lambda t: case when regexp_matches(t, '[0-9]') then '<*>' else t end) as tokens
+        from line where doc_id is not null
+    ), usable as (
+        select doc_id, nr, tokens, (len(tokens), tokens[1], tokens[2], tokens[3]) as leaf
+        from shaped where len(tokens) >= 3
+    ), shape as (
+        select leaf, tokens, min(doc_id) as first_doc, max(doc_id) as last_doc from usable group by all
+    ), leaves as (
+        select leaf, count(*) as different from shape group by leaf
+        having count(*) > 1 and min(first_doc) < max(last_doc)
+    ), token as (
+        select leaf, different, tokens, unnest(range(len(tokens))) as place, unnest(tokens) as token
+        from shape join leaves using (leaf)
+    ), constant as (
+        select leaf, place, token from token group by all having 2 * count(*) > max(different)
+    ), agreeing as (
+        select leaf, tokens from token join constant using (leaf, place, token)
+        group by all having count(*) >= len(tokens) * 0.7
+    ), member as (
+        select shape.*, agreeing.leaf is not null as general
+        from shape left join agreeing using (leaf, tokens)
+    ), template as (
+        select leaf, tokens,
+               case when general then min(first_doc) over (partition by leaf, general) else first_doc end as first_doc,
+               case when general then max(last_doc) over (partition by leaf, general) else last_doc end as last_doc
+        from member
+    ), gone as (
+        select distinct usable.doc_id, nr
+        from usable join template using (leaf, tokens)
+        where first_doc < last_doc and usable.doc_id <> first_doc
+    ), cleaned as (
+        select line.doc_id, count(*) as n_lines, count(gone.nr) as n_dropped,
+               coalesce(string_agg(words, chr(10) order by line.nr) filter (gone.nr is null), '') as text
+        from line left join gone on gone.doc_id = line.doc_id and gone.nr = line.nr
+        group by line.doc_id
+    )
+"""
+
 ORACLES = {
+    "op1_line_templates": "with" + LINES_SQL.format(docs="documents") + """
+        select doc_id, n_lines, n_dropped, sha256(text) as text_sha256 from cleaned
+    """,
     "op3_pfair": """
         with recursive edf(slot, done, chosen) as (
             select -1, [0, 0, 0, 0, 0], -1
