@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veriledger.llm import (
-    bpe_tree, content_sort, dimension_scan, line_templates, pfair, superminhash, toxicity, warc,
+    bpe_tree, content_sort, dimension_scan, gated_lm, line_templates, pfair, superminhash, toxicity, warc,
 )
 from veriledger.llm.common import remainder, table
 
@@ -64,6 +64,13 @@ def op5_bpe_segment_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_gated_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log probability of every document, learned from those outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents")
+    scores = gated_lm.score(docs, docs.filter(remainder("doc_id", 7) != 2))
+    return scores.withColumn("held_out", remainder("doc_id", 7) == 2)
+
+
 def op7_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The near-duplicate group of every document."""
     return superminhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -86,6 +93,7 @@ QUERIES = {
     "op3_pfair": op3_pfair,
     "op4_kneser_ney": op4_kneser_ney,
     "op5_bpe_segment_tree": op5_bpe_segment_tree,
+    "op6_gated_lm": op6_gated_lm,
     "op7_superminhash": op7_superminhash,
     "op9_content_sort": op9_content_sort,
     "op10_warc_shards": op10_warc_shards,
