@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veriledger.llm import (
-    bpe_tree, content_sort, dimension_scan, gated_lm, line_templates, pfair, superminhash, toxicity, warc,
+    bpe_tree, content_sort, dimension_scan, gated_lm, line_templates, pfair, secret_forest, superminhash, toxicity, warc,
 )
 from veriledger.llm.common import remainder, table
 
@@ -76,6 +76,15 @@ def op7_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return superminhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_secret_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every candidate for a secret in the documents, judged by a forest trained outside the held-out fold."""
+    found = secret_forest.secrets(table(spark, sf_dir, "documents"), learn=remainder("doc_id", 5) != 0)
+    return found.select(
+        "doc_id", "start", "end", F.sha2("candidate", 256).alias("candidate_sha256"), "label",
+        (remainder("doc_id", 5) == 0).alias("held_out"), "score", "secret",
+    )
+
+
 def op9_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which document stays for each document."""
     return content_sort.exact_duplicates(table(spark, sf_dir, "documents"))
@@ -95,6 +104,7 @@ QUERIES = {
     "op5_bpe_segment_tree": op5_bpe_segment_tree,
     "op6_gated_lm": op6_gated_lm,
     "op7_superminhash": op7_superminhash,
+    "op8_secret_forest": op8_secret_forest,
     "op9_content_sort": op9_content_sort,
     "op10_warc_shards": op10_warc_shards,
 }
