@@ -17,6 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from veriledger.llm.common import written
 
@@ -215,21 +216,31 @@ def train(
     return best
 
 
-def score(docs: DataFrame, judge: Judge, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, score``: how likely each whole text is toxic, from 0 to 1.
+def scored(docs: DataFrame, judge: Judge, text_col: str = "text", name: str = "toxic_score") -> DataFrame:
+    """``docs`` with the score of each whole text in a column ``name``, which it may not have yet.
 
-    No shuffle; the models are broadcast, and bounded by the sample they come from.  Null
-    and empty texts are scored as texts without evidence; repeated rows are scored each.
-    A judge trained without texts of both classes gives 0 everywhere.  Other columns are
-    ignored, whatever their names.
+    No shuffle; the models are broadcast, and bounded by the sample they come from.
     """
+    if name in docs.columns:
+        raise ValueError(f"there is a column {name} already")
     shared = docs.sparkSession.sparkContext.broadcast(judge)
 
-    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def score_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         read = Reader()
         for batch in batches:
-            found = [shared.value.scores([read(t)])[0] for t in batch.column("text").to_pylist()]
-            yield pa.record_batch([batch.column("doc_id"), pa.array(found, pa.float64())], names=["doc_id", "score"])
+            found = [shared.value.scores([read(t)])[0] for t in batch.column(text_col).to_pylist()]
+            yield pa.record_batch([*batch.columns, pa.array(found, pa.float64())], names=[*batch.schema.names, name])
+
+    kept = docs.schema
+    return docs.mapInArrow(score_batches, T.StructType([*kept.fields, T.StructField(name, T.DoubleType())]))
+
 
+def score(docs: DataFrame, judge: Judge, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, score``: how likely each whole text is toxic, from 0 to 1.
+
+    Null and empty texts are scored as texts without evidence; repeated rows are scored each;
+    an empty table gives an empty one.  A judge trained without texts of both classes gives
+    0 everywhere.  Other columns are ignored, whatever their names.
+    """
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(scored, "doc_id bigint, score double")
+    return scored(rows, judge, name="score").select("doc_id", "score")
