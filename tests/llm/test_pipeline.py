@@ -1,0 +1,98 @@
+"""Each stage of the pipeline on its own input, against plain models."""
+
+import pathlib
+
+import corpus_pipeline
+import duckdb
+import pyarrow.parquet as pq
+import pytest
+from samples import SF, components, documents
+from tokenizers import Tokenizer
+
+from veriledger.llm import queries, toxicity
+from veriledger.llm.common import remainder
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+@pytest.fixture(scope="module")
+def steps(spark, tmp_path_factory):
+    """Input and output of each stage, in memory, and the folder of its output."""
+    docs, found = spark.read.parquet(f"{SF}/documents.parquet"), []
+    for name, stage in corpus_pipeline.STAGES:
+        folder = str(tmp_path_factory.mktemp("stage") / name)
+        stage(spark, docs, SF).write.parquet(folder)
+        after = spark.read.parquet(folder)
+        found.append((docs.collect(), after.collect(), folder, docs, after.columns))
+        docs = after
+    return found
+
+
+def test_columns(steps):
+    assert [s[4] for s in steps[:-1]] == [COLUMNS] * 4
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "line dedup", "near-duplicates", "mixing", "encoding"]
+
+
+def test_toxic_documents_go(spark, steps):
+    before, after, _, docs, _ = steps[0]
+    labels = spark.read.parquet(f"{SF}/labels.parquet").filter(remainder("doc_id", 5) != 0)
+    scores = {r.doc_id: r.score for r in toxicity.score(docs, toxicity.train(docs, labels)).collect()}
+    assert sorted(after) == sorted(r for r in before if scores[r.doc_id] < 0.5)
+
+
+def test_recurring_lines_go(steps):
+    before, after, _, _, _ = steps[1]
+    rows = [(r.doc_id, r.text) for r in before]
+    connection = duckdb.connect()
+    connection.execute("create table given (doc_id bigint, text varchar)")
+    connection.executemany("insert into given values (?, ?)", rows)
+    want = {
+        i: t
+        for i, n, t in connection.execute("with" + queries.LINES_SQL.format(docs="given") + "select doc_id, n_dropped, text from cleaned").fetchall()
+        if n == 0 or t.strip(" \t\n\r\x0b\x0c")
+    }
+    assert {r.doc_id: r.text for r in after} == want
+    assert all(r.n_chars == len(r.text) for r in after)
+
+
+def test_one_of_each_group_stays(steps):
+    before, after, _, _, _ = steps[2]
+    want = {i for i, (_, root) in components([(r.doc_id, r.text) for r in before]).items() if i == root}
+    assert sorted(after) == sorted(r for r in before if r.doc_id in want)
+
+
+def test_files_hold_the_mixture(spark, steps):
+    before, after, folder, docs, _ = steps[3]
+    assert sorted(after) == sorted(before)
+    connection = duckdb.connect()
+    connection.execute("create table documents (doc_id bigint, source varchar)")
+    connection.executemany("insert into documents values (?, ?)", [(r.doc_id, r.source) for r in before])
+    order = connection.execute(f"select doc_id from ({queries.ORACLES['op3_pfair']}) order by mix_position").fetchall()
+    files = sorted(pathlib.Path(folder).glob("part-*.parquet"))
+    assert [i for f in files for i in pq.read_table(f).column("doc_id").to_pylist()] == [i for (i,) in order]
+
+
+def test_every_document_is_encoded(steps):
+    before, after, _, _, _ = steps[4]
+    library = Tokenizer.from_file(queries.TOKENIZER)
+    library.no_truncation()
+    assert {r.doc_id: r.ids for r in after} == {
+        r.doc_id: library.encode(r.text, add_special_tokens=False).ids for r in before
+    }
+
+
+def test_run_applies_all_stages(spark, steps):
+    assert sorted(corpus_pipeline.run(spark, SF).select("doc_id", "n_tokens").collect()) == sorted(
+        (r.doc_id, r.n_tokens) for r in steps[-1][1]
+    )
+
+
+def test_stages_take_odd_documents(spark):
+    rows = [(1, None), (2, ""), (3, "\n\n"), (4, "a b c d"), (5, "a b c d"), (6, "x" * 3000), (None, "no id")]
+    docs = documents(spark, rows)
+    for i, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        docs = spark.createDataFrame(stage(spark, docs, SF).collect() or [], docs.schema if i < 4 else stage(spark, docs, SF).schema)
+    assert sorted((r.doc_id for r in docs.collect()), key=str) == [1, 2, 3, 4, 6, None]
+    empty = documents(spark, [])
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, SF).collect() == []
