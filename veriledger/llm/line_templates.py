@@ -21,9 +21,14 @@ _BITS = 1 << 23
 _ROW_BITS = 1 << 15
 
 
-def shape_of(line: Column) -> Column:
-    """A line with single spaces between tokens and its tokens with digits masked."""
-    plain = F.trim(F.regexp_replace(line, BLANKS, " "))
+def plain_line(line: Column) -> Column:
+    """A line with single spaces between its tokens."""
+    uneven = line.rlike("[\\x09-\\x0D]|  ")
+    return F.trim(F.when(uneven, F.regexp_replace(line, BLANKS, " ")).otherwise(line))
+
+
+def shape_of(plain: Column) -> Column:
+    """A plain line with its tokens with digits masked."""
     return F.when(plain.rlike("[0-9]"), F.regexp_replace(plain, _DIGITS, VARIABLE)).otherwise(plain)
 
 
@@ -32,15 +37,19 @@ def token_count(shape: Column) -> Column:
 
 
 def _lines(docs: DataFrame, depth: int, least_tokens: int) -> DataFrame:
-    """``doc, line, shape, tokens, leaf, code`` of every line that can be a template."""
-    split = docs.filter("doc is not null").select("doc", F.posexplode(F.split("text", "\n")).alias("line", "words"))
-    shaped = split.select("doc", "line", shape_of(F.col("words")).alias("shape"))
+    """``doc, line, shape, tokens, leaf, code`` of every line that can be a template.
+
+    Shapes are worked out inside the array that is exploded: once a line, however many
+    columns and filters refer to them.
+    """
+    shapes = F.transform(F.transform(F.split("text", "\n"), plain_line), shape_of)
+    counted = F.transform(shapes, lambda s, i: F.struct(i.alias("line"), s.alias("shape"), token_count(s).alias("tokens")))
+    usable = F.filter(counted, lambda c: (c["tokens"] >= least_tokens) & (c["shape"] != ""))
     return (
-        shaped.withColumn("tokens", token_count(F.col("shape")))
-        .filter((F.col("tokens") >= least_tokens) & (F.col("shape") != ""))
+        docs.filter("doc is not null").select("doc", F.explode(usable).alias("found")).select("doc", "found.*")
         .withColumn("leaf", F.xxhash64("tokens", F.substring_index("shape", " ", depth)))
         .withColumn("code", F.xxhash64("shape"))
-    )
+    )
 
 
 def _filter_of(leaves: DataFrame) -> DataFrame:
