@@ -17,7 +17,8 @@ def test_generate_judge_summarise_delete(spark, tmp_path, capsys):
     assert (report["run_id"], report["valid"]) == ("20240506T120000", 300)
 
     spark.sql("select * from values ('GEL') as t(currency_code)").write.parquet(str(tmp_path / "codes"))
-    report = call(*etl, "--currencies", tmp_path / "codes", "--run-id", "only-gel")
+    assert call(*etl, "--currencies", "GEL,EUR,USD")["run_id"] == "20240506T120000"
+    report = call(*etl, "--currency-path", tmp_path / "codes", "--run-id", "only-gel")
     assert 0 < report["valid"] < 300 and report["valid"] + report["invalid"] == 300
 
     def total(folder):
@@ -33,5 +34,14 @@ def test_generate_judge_summarise_delete(spark, tmp_path, capsys):
     call(*base, look, "--run-time", "2024-05-06T14:00:00", "--lookback-hours", 6)
     assert total(look) == 300 + report["valid"]
 
+    assert call(*etl, "--currencies", "GEL", "--run-id", "one-code")["valid"] == report["valid"]
+    assert call(*base, tmp_path / "exact", "--exact", "--run-id", "one-code") == {"runs": ["one-code"]}
+
+    # Other inputs in the same slot: a run of its own.
+    call("generate", "--out", feed, "--customers", 20, "--transactions", 100)
+    other = call(*etl, "--currencies", "GEL,EUR,USD")
+    assert (other["run_id"], other["valid"]) == ("20240506T120000-2", 400)
+
+    assert call("delete", "--feed", feed / "trans") == {"deleted": 0}
     assert call("delete", "--prefix", feed / "trans") == {"deleted": 1}
     assert [p.name for p in feed.iterdir()] == ["customers"]

@@ -6,11 +6,14 @@ from pyspark.sql import functions as F
 
 from fixtures import BASE, CASES, CUSTOMERS, MALFORMED, RUN_TIME, transactions, write_lines
 from veriledger.operators import marts as mart_ops
+from veriledger.operators.cleaning import exact_amounts
+from veriledger.operators.rules import Rule
 from veriledger.plans import etl
 from veriledger.plans.marts import (
     MONTHLY,
     PER_CUSTOMER,
     PER_MERCHANT,
+    compact_marts,
     read_mart,
     run_marts,
     run_marts_lookback,
@@ -19,7 +22,7 @@ from veriledger.schemas import MONTHLY_DDL, PER_CUSTOMER_DDL, PER_MERCHANT_DDL,
 from veriledger.sources import synthetic
 from veriledger.sources.cleanup import delete_prefix
 from veriledger.sources.feeds import read_customers, read_transactions
-from veriledger.sources.run_tables import has_run, lookback, read_runs, write_run
+from veriledger.sources.run_tables import RunTaken, has_run, lookback, read_runs, write_run
 
 
 @pytest.fixture
@@ -292,3 +295,94 @@ def test_delete_prefix(spark, tmp_path):
     assert delete_prefix(spark, str(tmp_path / "in_")) == 2
     assert delete_prefix(spark, str(tmp_path / "in_")) == 0
     assert [p.name for p in tmp_path.iterdir()] == ["other"] and kept
+
+
+def test_unfinished_runs_are_read_nowhere(spark, run, tmp_path):
+    etl.run_etl(spark, run)
+    second = replace(run, run_id="r2", run_time=RUN_TIME + timedelta(hours=6))
+    etl.run_etl(spark, second)
+    (tmp_path / "judged" / "run_id=r2" / "_SUCCESS").unlink()
+    for ids in (None, ["r1", "r2"], ["r1", "r2", "r3"]):
+        assert {r.run_id for r in read_runs(spark, run.table, RUN_TABLE_DDL, ids).collect()} == {"r1"}
+    assert read_runs(spark, run.table, RUN_TABLE_DDL, ["r2"]).isEmpty()
+    etl.create_views(spark, run.table, "done_")
+    assert {r.run_id for r in spark.table("done_valid_transactions").collect()} == {"r1"}
+    third = replace(run, run_id="r3", run_time=RUN_TIME + timedelta(hours=7), skip_seen_hours=0.5)
+    assert etl.seen_ids(spark, third).isEmpty()
+
+
+def test_a_run_of_another_owner_is_not_replaced(spark, run):
+    etl.run_etl(spark, replace(run, owner="one"))
+    with pytest.raises(RunTaken):
+        etl.run_etl(spark, replace(run, owner="two"))
+    etl.run_etl(spark, replace(run, owner="one"))
+
+
+def test_unnamed_runs_of_other_inputs_stand_beside_each_other(spark, run, tmp_path):
+    slot = replace(run, named=False)
+    assert etl.run_etl(spark, slot)["run_id"] == "r1"
+    assert etl.run_etl(spark, slot)["run_id"] == "r1"
+    other = write_lines(tmp_path / "other", [{**BASE, "transaction_id": "fresh"}])
+    assert etl.run_etl(spark, replace(slot, transactions=other))["run_id"] == "r1-2"
+    assert set(r.run_id for r in read_runs(spark, run.table, RUN_TABLE_DDL).collect()) == {"r1", "r1-2"}
+
+
+def test_marts_follow_a_repeated_run(spark, run, tmp_path):
+    marts_folder = str(tmp_path / "marts")
+    few = write_lines(tmp_path / "few", [{**BASE, "transaction_id": "a"}])
+    more = write_lines(tmp_path / "more", [{**BASE, "transaction_id": i} for i in "abc"])
+    for feed, want in ((few, 1), (more, 3)):
+        etl.run_etl(spark, replace(run, transactions=feed))
+        assert run_marts(spark, run.table, marts_folder) == ["r1"]
+        assert read_mart(spark, marts_folder, PER_CUSTOMER).first().num_transactions == want
+    assert run_marts(spark, run.table, marts_folder) == []
+    with pytest.raises(ValueError):
+        compact_marts(spark, marts_folder, marts_folder)
+    compact_marts(spark, marts_folder, str(tmp_path / "compact"))
+    for name in (PER_CUSTOMER, PER_MERCHANT, MONTHLY):
+        both = [sorted(read_mart(spark, f, name).collect()) for f in (marts_folder, str(tmp_path / "compact"))]
+        assert both[0] == both[1]
+
+
+def test_stored_orphans_are_judged_once_their_customer_is_known(spark, run, tmp_path):
+    dim = str(tmp_path / "dimension")
+    feed = write_lines(tmp_path / "late", [{**BASE, "transaction_id": i, "customer_id": "new"} for i in "ab"])
+    first = replace(run, transactions=feed, dimension=dim)
+    assert etl.run_etl(spark, first)["orphan"] == 2
+    update = write_lines(tmp_path / "update", [{"customer_id": "new", "age": 31}])
+    resent = replace(
+        first, run_id="r2", run_time=RUN_TIME + timedelta(hours=1), customers=update, skip_seen_hours=24,
+        transactions=write_lines(tmp_path / "again", [{**BASE, "transaction_id": "a", "customer_id": "new"}]),
+    )
+    assert etl.run_etl(spark, resent)["valid"] == 1
+    again = replace(first, run_id="r3", run_time=RUN_TIME + timedelta(hours=2))
+    assert etl.judge_orphans_again(spark, again)["valid"] == 1
+    assert etl.stored_orphans(spark, replace(again, run_id="r4")).isEmpty()
+
+
+def test_own_rules_and_a_named_table(spark, run, tmp_path):
+    rule = Rule("no_gel", F.col("currency") != "GEL")
+    own = replace(run, rules=[rule], catalog="ledger_of_tests")
+    etl.run_etl(spark, own)
+    named = spark.table("ledger_of_tests")
+    assert {r.verdict for r in named.where("currency = 'GEL'").collect()} <= {"invalid", "orphan"}
+    assert named.count() == len(CASES) + len(MALFORMED)
+    good = write_lines(tmp_path / "good", [{**BASE, "transaction_id": "a", "currency": "USD"}])
+    etl.run_etl(spark, replace(own, transactions=good))
+    spark.catalog.refreshTable("ledger_of_tests")
+    assert [(r.transaction_id, r.verdict) for r in spark.table("ledger_of_tests").collect()] == [("a", "valid")]
+    spark.sql("drop table ledger_of_tests")
+
+
+def test_a_dimension_is_not_compacted_into_itself(spark, tmp_path):
+    with pytest.raises(ValueError):
+        etl.compact_dimension(spark, str(tmp_path / "d"), f"{tmp_path}/d/")
+
+
+def test_exact_amounts_of_any_size(spark):
+    frame = spark.sql(
+        "select * from values (0.505D, 1D), (double('NaN'), 1e17), (1e300, double('inf')) as t(amount, total_amount)"
+    )
+    found = [(r.amount, r.total_amount) for r in exact_amounts(frame).collect()]
+    assert [tuple(None if v is None else float(v) for v in r) for r in found] == [(0.51, 1.0), (None, 1e17), (None, None)]
+    assert float(exact_amounts(frame, 3).first().amount) == 0.505

@@ -3,13 +3,12 @@
 import pytest
 from pyspark.sql import functions as F
 
-from oracle_check import entry
-from veriledger.operators import dedup, joins, marts, rules
+from veriledger.operators import dedup, dimension, joins, marts, rules
 from veriledger.plans import registry
 from veriledger.sources.run_tables import read_runs, write_run
 
 SF = "/root/testdata/sf0.001"
-LAZY = [n for n in entry.queries() if not n.startswith(("stored_", "stream_"))]
+LAZY = [n for n in registry.QUERIES if not n.startswith(("stored_", "stream_", "resent_"))]
 
 
 def plan_of(frame):
@@ -56,7 +55,7 @@ def conf(spark):
 
 @pytest.mark.parametrize("name", LAZY)
 def test_no_python_and_no_cross_join(spark, name):
-    plan = plan_of(entry.queries()[name](spark, SF))
+    plan = plan_of(registry.QUERIES[name](spark, SF))
     for operator in ("PythonUDF", "ArrowEvalPython", "BatchEvalPython", "InPandas", "Cartesian", "NestedLoop"):
         assert operator not in plan
 
@@ -75,6 +74,36 @@ def test_copies_of_a_hot_key_collapse_before_the_shuffle(spark):
     assert shuffled_records(kept) == 133_333 + 8
 
 
+def test_ids_seen_are_dropped_without_another_shuffle_of_the_feed(spark, conf):
+    conf(autoBroadcastJoinThreshold="-1", adaptive__autoBroadcastJoinThreshold="-1", adaptive__enabled="false")
+    feed = spark.range(1000).selectExpr("cast(id as string) as transaction_id", "id as amount")
+    seen = spark.range(10).selectExpr("cast(id as string) as transaction_id")
+    plan = plan_of(dedup.drop_seen(dedup.keep_smallest(feed, ["transaction_id"]), seen, "transaction_id"))
+    assert "LeftAnti" in plan and plan.count("Exchange") == 2
+
+
+def test_consolidated_marts_read_the_feed_once(spark, conf):
+    conf(adaptive__enabled="false")
+    assert plan_of(registry.consolidate_marts(spark, SF)).count("row_number()") <= 4
+
+
+def test_few_ids_reach_the_versions_before_a_shuffle(spark, conf):
+    conf(adaptive__enabled="false")
+    versions = spark.range(5000).selectExpr(
+        "cast(id as string) as customer_id", "30 as age", "timestamp '2024-01-01' as loaded_at"
+    )
+    needed = versions.select("customer_id").limit(7)
+    plan = plan_of(dimension.latest_customers(versions, needed))
+    assert "BroadcastHashJoin" in plan
+    assert dimension.latest_customers(versions, needed).count() == 7
+    assert dimension.latest_versions(versions, needed, most_ids=3).count() == 7
+
+
+def test_a_lookback_by_name_reads_only_its_hours(spark):
+    plan = plan_of(registry.stored_lookback_by_name(spark, SF))
+    assert "PartitionFilters: [isnotnull(upload_hour" in plan
+
+
 def test_lookback_reaches_the_scan(spark):
     plan = plan_of(registry.incremental_lookback(spark, SF))
     assert "PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts" in plan

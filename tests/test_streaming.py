@@ -8,7 +8,7 @@ from fixtures import BASE, CASES, CUSTOMERS, MALFORMED, RUN_TIME, transactions,
 from veriledger.plans import etl
 from veriledger.schemas import RUN_TABLE_DDL, TRANSACTION_DDL
 from veriledger.sources.run_tables import read_runs
-from veriledger.streaming.bounded import dedup_stream, window_totals
+from veriledger.streaming.bounded import dedup_stream, late_rows, window_totals
 from veriledger.streaming.incremental import stream_customers, stream_transactions
 from veriledger.streaming.landing import land, read_landed, read_messages
 
@@ -76,7 +76,46 @@ def test_two_waves_equal_the_batch_answer(spark, feed, tmp_path):
     feed.judge()  # restarted without new files
     expected = [(str(n), v) for n, _, v in CASES] + [(m, "malformed") for m in MALFORMED]
     assert outcome(feed.table()) == sorted(expected)
-    assert {r.run_id for r in feed.table().collect()} == {"batch-000000000", "batch-000000001"}
+    ids = sorted({r.run_id for r in feed.table().collect()})
+    assert [i[-10:] for i in ids] == ["-000000000", "-000000001"]
+    assert len({i[:-10] for i in ids}) == 1
+
+
+def test_a_renewed_checkpoint_and_a_second_feed_replace_nothing(spark, feed, tmp_path):
+    feed.land_customers(CUSTOMERS, "c.json")
+    write_lines(tmp_path / "tx", [{**BASE, "transaction_id": "a"}], name="1.json")
+    feed.judge()
+    write_lines(tmp_path / "other", [{**BASE, "transaction_id": "b"}], name="1.json")
+    other = replace(feed.run, transactions=str(tmp_path / "other"))
+    finish(stream_transactions(spark, other, str(tmp_path / "other-check"), clock=feed.clock))
+    assert outcome(feed.table()) == [("a", "valid"), ("b", "valid")]
+    finish(stream_transactions(spark, feed.run, str(tmp_path / "renewed"), clock=feed.clock))
+    assert outcome(feed.table()) == [("a", "valid"), ("a", "valid"), ("b", "valid")]
+
+
+def test_landed_files_go_once_they_are_judged(spark, feed, tmp_path):
+    feed.land_customers(CUSTOMERS, "c.json")
+    queue, landing = tmp_path / "queue", tmp_path / "tx"
+    for wave in range(3):
+        write_lines(queue, [{**BASE, "transaction_id": f"t{wave}"}], name=f"{wave}.txt")
+        finish(land(read_messages(spark, path=str(queue)), str(landing), str(tmp_path / "land-check")))
+        feed.judge(clean="delete")
+    left = [p for p in landing.rglob("part-*") if p.stat().st_size]
+    assert len(left) == 1
+    assert outcome(feed.table()) == [(f"t{i}", "valid") for i in range(3)]
+
+
+def test_a_judging_stream_can_archive(spark, feed, tmp_path):
+    feed.land_customers(CUSTOMERS, "c.json")
+    for wave in range(3):
+        write_lines(tmp_path / "tx", [{**BASE, "transaction_id": f"t{wave}"}], name=f"{wave}.json")
+        finish(stream_transactions(
+            spark, feed.run, str(tmp_path / "tx-check"), "archive", None, feed.clock, str(tmp_path / "archive")
+        ))
+    assert list((tmp_path / "archive").rglob("0.json"))
+    assert outcome(feed.table()) == [(f"t{i}", "valid") for i in range(3)]
+    with pytest.raises(ValueError):
+        read_landed(spark, str(tmp_path / "tx"), TRANSACTION_DDL, "archive")
 
 
 def test_several_batches_in_one_start(spark, feed, tmp_path):
@@ -182,6 +221,18 @@ def test_a_hot_key_of_a_stream_is_thinned_out_first(spark, tmp_path):
     assert by_share == 2004 and by_key == 2001
 
 
+def test_late_rows_are_counted(spark, tmp_path):
+    schema, dropped = "id string, ts timestamp", 0
+    for i, (key, hour) in enumerate([("a", "10"), ("b", "12"), ("late", "03")]):
+        write_lines(tmp_path / "in", [{"id": key, "ts": f"2024-01-01 {hour}:00:00"}], name=f"{i}.json")
+        stream = spark.readStream.schema(schema).json(str(tmp_path / "in"))
+        query = start_to_parquet(dedup_stream(stream, "id", "ts", "1 hour"), tmp_path)
+        finish(query)
+        dropped += late_rows(query)
+    assert sorted(r.id for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["a", "b"]
+    assert dropped == 1
+
+
 def test_stream_windows_come_out_when_complete(spark, tmp_path):
     schema = "transaction_id string, amount double, upload_time timestamp"
 

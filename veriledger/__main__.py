@@ -11,6 +11,7 @@ from __future__ import annotations
 import argparse
 import json
 import logging
+import secrets
 from datetime import datetime
 
 from pyspark.sql import SparkSession
@@ -20,7 +21,7 @@ from veriledger.plans.etl import EtlRun, run_etl, run_id_for
 from veriledger.plans.marts import run_marts, run_marts_lookback
 from veriledger.session import build_session, size_session
 from veriledger.sources import synthetic
-from veriledger.sources.cleanup import delete_prefix
+from veriledger.sources.cleanup import delete_feed
 from veriledger.sources.feeds import write_feed
 from veriledger.streaming.incremental import utc_now
 
@@ -33,7 +34,11 @@ def parser() -> argparse.ArgumentParser:
     etl.add_argument("--customers")
     etl.add_argument("--transactions", required=True)
     etl.add_argument("--table", required=True, help="folder of the judged table")
-    etl.add_argument("--currencies", required=True, help="path, table name, or codes with commas")
+    codes = etl.add_mutually_exclusive_group(required=True)
+    codes.add_argument("--currencies", help="the codes, with commas between")
+    codes.add_argument("--currency-path", help="Parquet folder with the codes")
+    codes.add_argument("--currency-table", help="catalog table with the codes")
+    etl.add_argument("--catalog", help="catalog table to keep over the judged table")
     etl.add_argument("--dimension", help="folder of accumulated customers")
     etl.add_argument("--prefix", action="store_true", help="feed paths are name prefixes")
     etl.add_argument("--skip-seen-hours", type=float)
@@ -50,9 +55,10 @@ def parser() -> argparse.ArgumentParser:
     marts = jobs.add_parser("marts", help="summarise the valid rows")
     marts.add_argument("--table", required=True)
     marts.add_argument("--marts", required=True, help="folder of the marts")
+    marts.add_argument("--exact", action="store_true", help="sum money as decimals of cents")
     marts.add_argument("--lookback-hours", type=float, help="instead of one run, the last hours")
 
-    etl.add_argument("--run-id", help="default: the six-hour slot of the run time")
+    etl.add_argument("--run-id", help="default: the six-hour slot of the run time, never replacing a run of other inputs")
     marts.add_argument("--run-id", help="default: all runs not summarised yet")
     for job in (etl, marts):
         job.add_argument("--run-time", type=datetime.fromisoformat, help="default: now, in UTC")
@@ -61,16 +67,20 @@ def parser() -> argparse.ArgumentParser:
     generate.add_argument("--out", required=True)
     generate.add_argument("--customers", type=int, default=synthetic.CUSTOMERS_PER_BATCH)
     generate.add_argument("--transactions", type=int, default=synthetic.TRANSACTIONS_PER_BATCH)
-    generate.add_argument("--seed", type=int, default=1)
+    generate.add_argument("--seed", type=int, help="default: another one for each call")
     generate.add_argument("--dirt", type=float, default=0.0, help="share of each defect")
 
     delete = jobs.add_parser("delete", help="delete processed inputs")
-    delete.add_argument("--prefix", required=True)
+    what = delete.add_mutually_exclusive_group(required=True)
+    what.add_argument("--feed", help="a folder that has been read")
+    what.add_argument("--prefix", help="everything whose path begins so")
     return top
 
 
 def run_job(spark: SparkSession, args: argparse.Namespace) -> dict:
     if args.job == "generate":
+        if args.seed is None:
+            args.seed = secrets.randbits(31)
         customers = synthetic.customers(spark, args.customers, args.seed)
         transactions = synthetic.transactions(
             spark, args.transactions, args.customers, args.seed, utc_now().year
@@ -80,24 +90,26 @@ def run_job(spark: SparkSession, args: argparse.Namespace) -> dict:
             transactions = synthetic.with_dirt(transactions, args.dirt, args.seed)
         write_feed(customers, f"{args.out}/customers")
         write_feed(transactions, f"{args.out}/transactions")
-        return {"customers": args.customers, "transactions": args.transactions}
+        return {"customers": args.customers, "transactions": args.transactions, "seed": args.seed}
     if args.job == "delete":
-        return {"deleted": delete_prefix(spark, args.prefix)}
+        return {"deleted": delete_feed(spark, args.feed or args.prefix, bool(args.prefix))}
 
     run_time = args.run_time or utc_now()
     run_id = args.run_id or run_id_for(run_time)
     if args.job == "marts":
         if args.lookback_hours:
-            run_marts_lookback(spark, args.table, args.marts, run_id, run_time, args.lookback_hours)
+            run_marts_lookback(
+                spark, args.table, args.marts, run_id, run_time, args.lookback_hours, args.exact
+            )
             return {"runs": [run_id]}
         named = [args.run_id] if args.run_id else None
-        return {"runs": run_marts(spark, args.table, args.marts, named)}
+        return {"runs": run_marts(spark, args.table, args.marts, named, args.exact)}
     if args.size:
         feeds = filter(None, (args.customers, args.transactions))
         size_session(spark, *[f"{f}*" if args.prefix else f for f in feeds])
-    codes: str | list[str] = args.currencies
-    if "," in codes:
-        codes = [c for c in codes.split(",") if c]
+    codes: str | list[str] = args.currency_path or args.currency_table
+    if args.currencies is not None:
+        codes = [c for c in args.currencies.split(",") if c]
     run = EtlRun(
         run_id=run_id,
         run_time=run_time,
@@ -111,6 +123,9 @@ def run_job(spark: SparkSession, args: argparse.Namespace) -> dict:
         skip_seen_hours=args.skip_seen_hours,
         double_amounts=args.double_amounts,
         rebalance=args.rebalance,
+        named=args.run_id is not None,
+        catalog=args.catalog,
+        currency_table=bool(args.currency_table),
     )
     return {"run_id": run_id, **run_etl(spark, run)}
 

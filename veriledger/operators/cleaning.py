@@ -22,14 +22,16 @@ def widen_amounts(transactions: DataFrame) -> DataFrame:
     )
 
 
-def exact_amounts(transactions: DataFrame) -> DataFrame:
-    """Money columns as decimals of cents, so that sums do not depend on the order of rows.
+def exact_amounts(transactions: DataFrame, places: int = 2) -> DataFrame:
+    """Money columns as decimals, so that sums do not depend on the order of rows.
 
-    It also undoes the artefacts of a float feed, in which 10.1 reads as 10.100000381.  NaN
-    has no decimal and becomes NULL.
+    Amounts are rounded to ``places`` places *before* they are summed: that undoes the
+    artefacts of a float feed, in which 10.1 reads as 10.100000381, and is wrong for feeds
+    with finer amounts.  NaN, infinite and amounts of over 10^28 have no such decimal and
+    become NULL.
     """
     return transactions.withColumns(
-        {c: F.col(c).cast("decimal(18,2)") for c in ("amount", "total_amount")}
+        {c: F.col(c).try_cast(f"decimal({28 + places},{places})") for c in ("amount", "total_amount")}
     )
 
 

@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from veriledger.operators.joins import keyed_join
-
 
 def _first_per_key(df: DataFrame, keys: Sequence[str], order: list[Column]) -> DataFrame:
     """The first row of each key under an order.
@@ -38,6 +36,9 @@ def keep_latest(df: DataFrame, keys: Sequence[str], latest_by: Sequence[str]) ->
 
 
 def drop_seen(df: DataFrame, seen: DataFrame, key: str) -> DataFrame:
-    """Rows whose key is not yet in ``seen``; rows with a NULL key are kept."""
-    others = [c for c in df.columns if c != key]
-    return keyed_join(df, seen.select(key).distinct(), key, "left_anti", others)
+    """Rows whose key is not yet in ``seen``; rows with a NULL key are kept.
+
+    ``df`` should hold each key once, as after the removal of duplicates by that key alone:
+    the join then goes on in the partitions left by it, and no key can be hot.
+    """
+    return df.join(seen.select(key).where(F.col(key).isNotNull()).distinct(), key, "left_anti")

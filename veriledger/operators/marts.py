@@ -60,12 +60,13 @@ def by_upload_window(valid: DataFrame, hours: int = 6) -> DataFrame:
     )
 
 
-def customer_partials(valid: DataFrame) -> DataFrame:
+def customer_partials(valid: DataFrame, *by: str) -> DataFrame:
     """The customer mart plus the number of amounts, which merging averages needs.
 
-    Valid rows may lack an id, so ``num_transactions`` is not that number.
+    Valid rows may lack an id, so ``num_transactions`` is not that number.  Further columns
+    ``by`` keep partials apart, say those of several runs in one pass.
     """
-    return valid.groupBy("customer_id").agg(
+    return valid.groupBy(*by, "customer_id").agg(
         _count_ids(),
         F.sum("amount").alias("total_amount"),
         F.avg("amount").alias("average_transaction_amount"),
@@ -73,13 +74,17 @@ def customer_partials(valid: DataFrame) -> DataFrame:
     )
 
 
-def merge_customer_partials(partials: DataFrame) -> DataFrame:
-    """One row per customer over the partial marts of several runs."""
+def merge_customer_partials(partials: DataFrame, partial: bool = False) -> DataFrame:
+    """One row per customer over the partial marts of several runs.
+
+    With ``partial`` the number of amounts stays, so that the result can be merged again.
+    """
     total, amounts = F.sum("total_amount"), F.sum("num_amounts")
     return partials.groupBy("customer_id").agg(
         F.sum("num_transactions").alias("num_transactions"),
         total.alias("total_amount"),
         F.when(amounts > 0, total / amounts).alias("average_transaction_amount"),
+        *([amounts.alias("num_amounts")] if partial else []),
     )
 
 

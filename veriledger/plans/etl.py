@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import datetime, timedelta
 
 from py4j.protocol import Py4JJavaError
@@ -37,21 +37,25 @@ from veriledger.schemas import (
     CUSTOMER_DDL,
     JUDGED_COLUMNS,
     RAW_LINE,
+    RUN_LEVELS,
     RUN_TABLE_DDL,
     TRANSACTION_COLUMNS,
 )
-from veriledger.session import pin_session
+from veriledger.session import fingerprint, pin_session
+from veriledger.sources.catalog import keep_registered
 from veriledger.sources.feeds import (
+    feed_pattern,
     read_currencies,
     read_customers_with_raw,
     read_transactions_with_raw,
 )
-from veriledger.sources.run_tables import lookback, read_runs, write_run
+from veriledger.sources.run_tables import free_run_id, lookback, read_runs, write_run
 
 log = logging.getLogger(__name__)
 
 ORPHAN, MALFORMED = "orphan", "malformed"
-VERDICTS = (VALID, INVALID, INDETERMINATE, ORPHAN, MALFORMED)
+JUDGED = (VALID, INVALID, INDETERMINATE)
+VERDICTS = (*JUDGED, ORPHAN, MALFORMED)
 
 VERSIONS_DDL = f"{CUSTOMER_DDL}, loaded_at timestamp, run_id string"
 
@@ -78,15 +82,14 @@ def classified(
     ``transactions`` may carry the raw line of malformed input.  Such lines are told apart
     by their text, so they neither collapse into one NULL id nor displace a good row.
     """
-    keys = ["transaction_id"]
-    if RAW_LINE in transactions.columns:
-        keys.append(RAW_LINE)
-    else:
+    if RAW_LINE not in transactions.columns:
         transactions = transactions.withColumn(RAW_LINE, F.lit(None).cast("string"))
-    tx = keep_smallest(transactions, keys)
+    # One key for both kinds of rows, so that what follows can go on in its partitions.
+    key = F.coalesce(F.concat(F.lit("line "), RAW_LINE), F.concat(F.lit("id "), "transaction_id"))
+    tx = keep_smallest(transactions.withColumn("__key", key), ["__key"])
     if seen is not None:
-        tx = drop_seen(tx, seen, "transaction_id")
-    tx = flag_currency(clean_transactions(tx), codes)
+        tx = drop_seen(tx, seen.select(F.concat(F.lit("id "), "transaction_id").alias("__key")), "__key")
+    tx = flag_currency(clean_transactions(tx.drop("__key")), codes)
     if not unique_customers:
         customers = keep_smallest(customers, ["customer_id"])
     cu = clean_customers(customers.select(*CUSTOMER_COLUMNS)).withColumn("__known", F.lit(True))
@@ -123,12 +126,17 @@ def stamped(classified_rows: DataFrame, run_time: datetime) -> DataFrame:
 class EtlRun:
     """What one run reads and writes.
 
-    ``currencies`` is a table, a Parquet path or a list of codes.  With ``skip_seen_hours``
+    ``currencies`` is a list of codes, a Parquet path or a table; ``currency_table`` says which
+    of the latter, else a slash tells.  With ``skip_seen_hours``
     ids that earlier runs uploaded within that time are left out.  ``dimension`` names the
     folder of accumulated customers; without it a transaction meets only the customers in
     the feed of its own run.  ``double_amounts`` reads amounts without rounding to float.
     ``rebalance`` spends one more shuffle on even files: otherwise each task of the join
-    writes a file of its own for every verdict it meets, most of them small.
+    writes a file of its own for every verdict it meets, most of them small.  ``rules`` takes
+    the place of the default rules and their ``limits``.  A run that is not ``named``, whose id
+    is just its time slot, never replaces a run of other inputs: it takes the next free id.
+    ``owner`` signs the run; one signed by another owner is not replaced.  ``catalog`` is the
+    name of a table of the session catalog to be kept over the run table.
     """
 
     run_id: str
@@ -143,13 +151,18 @@ class EtlRun:
     skip_seen_hours: float | None = None
     double_amounts: bool = False
     rebalance: bool = False
+    rules: Sequence[Rule] | None = None
+    named: bool = True
+    owner: str | None = None
+    catalog: str | None = None
+    currency_table: bool | None = None
 
 
 def write_customer_versions(
-    customers: DataFrame, dimension: str, run_id: str, run_time: datetime
+    customers: DataFrame, dimension: str, run_id: str, run_time: datetime, owner: str | None = None
 ) -> str:
     """Add the customers of one run to the dimension, replacing an earlier attempt."""
-    return write_run(as_versions(customers, run_time), dimension, run_id)
+    return write_run(as_versions(customers, run_time), dimension, run_id, owner=owner)
 
 
 def _read_versions(spark: SparkSession, dimension: str) -> DataFrame:
@@ -165,18 +178,42 @@ def read_dimension(
 
 def compact_dimension(spark: SparkSession, dimension: str, into: str) -> str:
     """Write the newest versions to another folder, to go on from there."""
+    if into.rstrip("/") == dimension.rstrip("/"):
+        raise ValueError("a dimension cannot be compacted into itself: it is read meanwhile")
     return write_run(latest_versions(_read_versions(spark, dimension)), into, "compacted")
 
 
 def seen_ids(spark: SparkSession, run: EtlRun) -> DataFrame:
-    """Ids other runs uploaded in the hours before this one."""
+    """Ids other runs judged in the hours before this one.
+
+    Orphans were not judged: one that is sent again may have a customer by now.
+    """
     table = read_runs(spark, run.table, RUN_TABLE_DDL)
     recent = lookback(table, run.run_time, run.skip_seen_hours)
     return recent.where(
-        (F.col("run_id") != run.run_id) & (F.col("upload_time") < F.lit(str(run.run_time)))
+        F.col("verdict").isin(*JUDGED)
+        & (F.col("run_id") != run.run_id)
+        & (F.col("upload_time") < F.lit(str(run.run_time)))
     ).select("transaction_id")
 
 
+def stored_orphans(spark: SparkSession, run: EtlRun) -> DataFrame:
+    """Orphans of finished runs that no run has judged since, as a feed.
+
+    Their amounts are those of the run table, already cleaned.
+    """
+    table = read_runs(spark, run.table, RUN_TABLE_DDL).where(F.col("run_id") != run.run_id)
+    judged = table.where(F.col("verdict").isin(*JUDGED)).select("transaction_id")
+    waiting = table.where(F.col("verdict") == ORPHAN).select(*TRANSACTION_COLUMNS)
+    return drop_seen(keep_smallest(waiting, ["transaction_id"]), judged, "transaction_id")
+
+
+def judge_orphans_again(spark: SparkSession, run: EtlRun) -> dict[str, int]:
+    """Judge stored orphans against the dimension as it is now; what stays orphan is written too."""
+    customers = read_dimension(spark, run.dimension)
+    return run_on(spark, stored_orphans(spark, run), customers, run, unique_customers=True)
+
+
 def _observed(observation: Observation) -> dict[str, int]:
     """What a finished job observed; empty if it never had to read the observed rows.
 
@@ -203,8 +240,8 @@ def run_on(
     seen = None if run.skip_seen_hours is None else seen_ids(spark, run)
     codes = run.currencies
     if isinstance(codes, str):
-        codes = read_currencies(spark, codes)
-    rules = default_rules(run.limits)
+        codes = read_currencies(spark, codes, run.currency_table)
+    rules = default_rules(run.limits) if run.rules is None else run.rules
     rows = classified(transactions, customers, codes, rules, unique_customers, seen)
     counts = Observation(f"verdicts-{run.run_id}")
     observed = stamped(rows, run.run_time).observe(
@@ -212,7 +249,11 @@ def run_on(
     )
     if run.rebalance:
         observed = observed.hint("rebalance", "verdict")
-    path = write_run(observed, run.table, run.run_id, ["verdict", "upload_hour"])
+    path = write_run(
+        observed, run.table, run.run_id, ["verdict", "upload_hour"], owner=run.owner
+    )
+    if run.catalog:
+        keep_registered(spark, run.catalog, run.table, RUN_TABLE_DDL, RUN_LEVELS, run.run_id)
     report = {verdict: 0 for verdict in VERDICTS} | _observed(counts)
     log.info("run %s written to %s: %s", run.run_id, path, report)
     return report
@@ -223,6 +264,10 @@ def run_etl(spark: SparkSession, run: EtlRun) -> dict[str, int]:
     pin_session(spark)
     if run.customers is None and run.dimension is None:
         raise ValueError("a run needs a customer feed or a dimension")
+    if not run.named:
+        feeds = [f for f in (run.customers, run.transactions) if f]
+        owner = fingerprint(spark, *[feed_pattern(f, run.prefix) for f in feeds])
+        run = replace(run, owner=owner, run_id=free_run_id(spark, run.table, run.run_id, owner))
     transactions = read_transactions_with_raw(
         spark, run.transactions, run.prefix, run.double_amounts
     )
@@ -234,14 +279,16 @@ def run_etl(spark: SparkSession, run: EtlRun) -> dict[str, int]:
         customers = feed.observe(bad_lines, bad).where(F.col(RAW_LINE).isNull()).drop(RAW_LINE)
     if run.dimension:
         if customers is not None:
-            write_customer_versions(customers, run.dimension, run.run_id, run.run_time)
+            write_customer_versions(
+                customers, run.dimension, run.run_id, run.run_time, run.owner
+            )
         customers = read_dimension(spark, run.dimension)
     report = run_on(spark, transactions, customers, run, unique_customers=bool(run.dimension))
     if bad_lines is not None:
         report |= _observed(bad_lines)
         if report.get("malformed_customers"):
             log.warning("run %s: %d unreadable customers", run.run_id, report["malformed_customers"])
-    return report
+    return {"run_id": run.run_id, **report} if not run.named else report
 
 
 def read_verdict(spark: SparkSession, table: str, verdict: str, run_ids=None) -> DataFrame:

@@ -20,8 +20,7 @@ from veriledger.plans.etl import read_verdict
 from veriledger.schemas import MONTHLY_DDL, PER_CUSTOMER_DDL, PER_MERCHANT_DDL
 from veriledger.session import pin_session
 from veriledger.sources.run_tables import (
-    finished_runs,
-    has_run,
+    finish_times,
     lookback,
     read_runs,
     write_run,
@@ -66,9 +65,13 @@ def write_marts(valid: DataFrame, folder: str, run_id: str, exact: bool = False)
 
 
 def pending_runs(spark: SparkSession, table: str, folder: str) -> list[str]:
-    """Finished runs of a judged table that are not in all three marts yet."""
-    done = [set(finished_runs(spark, f"{folder}/{name}")) for name in _BUILDERS]
-    return [r for r in finished_runs(spark, table) if not all(r in d for d in done)]
+    """Finished runs of a judged table that are not in all three marts as they are now.
+
+    A run that was written again after its summary is pending again.  One listing a table.
+    """
+    done = [finish_times(spark, f"{folder}/{name}") for name in _BUILDERS]
+    written = finish_times(spark, table)
+    return [r for r, at in written.items() if any(d.get(r, -1) <= at for d in done)]
 
 
 def run_marts(
@@ -80,35 +83,58 @@ def run_marts(
 ) -> list[str]:
     """The marts of the named runs, or of all pending ones; one partial result per run.
 
-    Whenever it is started, each run is summarised exactly once.
+    Whenever it is started, each run is summarised exactly once.  A run that is replaced
+    while it is being summarised is summarised again.
     """
     pin_session(spark)
     if run_ids is None:
         run_ids = pending_runs(spark, table, folder)
     for run_id in run_ids:
-        if not has_run(spark, table, run_id):
-            raise ValueError(f"run {run_id} of {table} has not been written to its end")
-        write_marts(read_verdict(spark, table, VALID, [run_id]), folder, run_id, exact)
+        while True:
+            before = finish_times(spark, table).get(run_id)
+            if before is None:
+                raise ValueError(f"run {run_id} of {table} has not been written to its end")
+            write_marts(read_verdict(spark, table, VALID, [run_id]), folder, run_id, exact)
+            if finish_times(spark, table).get(run_id) == before:
+                break
     return list(run_ids)
 
 
 def run_marts_lookback(
-    spark: SparkSession, table: str, folder: str, run_id: str, now: datetime, hours: float = 6
+    spark: SparkSession,
+    table: str,
+    folder: str,
+    run_id: str,
+    now: datetime,
+    hours: float = 6,
+    exact: bool = False,
 ) -> None:
     """The marts of everything finished runs uploaded in the hours before ``now``.
 
     Overlapping lookbacks count rows twice and late ones miss rows; ``run_marts`` does not.
     """
     pin_session(spark)
-    valid = read_verdict(spark, table, VALID, finished_runs(spark, table))
-    write_marts(lookback(valid, now, hours), folder, run_id)
+    valid = read_verdict(spark, table, VALID)
+    write_marts(lookback(valid, now, hours), folder, run_id, exact)
+
+
+def compact_marts(spark: SparkSession, folder: str, into: str) -> None:
+    """Merge the partial results of all runs into one run of each mart, in another folder.
+
+    To go on from there: later runs are summarised beside it, and reading merges few partials.
+    """
+    if into.rstrip("/") == folder.rstrip("/"):
+        raise ValueError("marts cannot be compacted into themselves: they are read meanwhile")
+    for name in _BUILDERS:
+        mart = read_mart(spark, folder, name, partial=True)
+        write_run(mart, f"{into}/{name}", "compacted")
 
 
-def read_mart(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A mart over all its runs, one row per key."""
+def read_mart(spark: SparkSession, folder: str, name: str, partial: bool = False) -> DataFrame:
+    """A mart over all its runs, one row per key; ``partial`` keeps what a later merge needs."""
     partials = read_runs(spark, f"{folder}/{name}", _STORED[name])
     if name == PER_CUSTOMER:
-        return marts.merge_customer_partials(partials)
+        return marts.merge_customer_partials(partials, partial)
     if name == PER_MERCHANT:
         return marts.merge_totals(partials, "merchant_id", "total_sales")
     return marts.merge_totals(partials, "transaction_month", "total_amount")

@@ -10,9 +10,11 @@ ET = testbed.EVENT_TRANSACTIONS.format(**_TABLES)
 EC = testbed.EVENT_CUSTOMERS.format(**_TABLES)
 LT = testbed.LINE_TRANSACTIONS.format(**_TABLES)
 LC = testbed.LINE_CUSTOMERS.format(**_TABLES)
+DT = testbed.DIRTY_TRANSACTIONS.format(**_TABLES)
 
 CODES = "('GEL', 'USD', 'EUR')"
-SPLIT = "timestamp '1998-07-01 00:00:00'"
+# Rows without a time belong to the second run.
+FIRST_RUN = "coalesce(timestamp < timestamp '1998-07-01 00:00:00', false)"
 
 _TX_PAYLOAD = (
     "currency, timestamp, amount, total_amount, status, customer_id, merchant_id, city, "
@@ -78,24 +80,25 @@ def _line_pipeline(feed: str = LT, key: str = "transaction_id", customers: str =
 
 _LINE = _line_pipeline()
 
-# The sum of exact cents.
-_SUM = "sum(cast(round(amount * 100) as hugeint)) / 100.0::double"
+# Sums and averages of doubles, given out in cents and to four places off the ties.
+_SUM = "round(sum(amount), 2)"
+_AVERAGE = "round({} + 0.0000003, 4)"
 
-# The average of exact cents, rounded half up to six decimals by whole-number arithmetic.
-_CUSTOMER_MART = """
+_CUSTOMER_MART = f"""
+    select customer_id, count(transaction_id) as num_transactions, {_SUM} as total_amount,
+           {_AVERAGE.format("avg(amount)")} as average_transaction_amount
+    from lv group by customer_id
+"""
+# The same from exact cents; the average of decimals has six places.
+_EXACT_CUSTOMER_MART = f"""
     select customer_id, num_transactions, cents / 100.0::double as total_amount,
-           ((cents * 20000 + num_amounts) // (2 * num_amounts))::double / 1000000::double
+           {_AVERAGE.format("((cents * 20000 + num_amounts) // (2 * num_amounts))::double / 1000000::double")}
                as average_transaction_amount
     from (select customer_id, count(transaction_id) as num_transactions,
-                 sum(cast(round(amount * 100) as hugeint)) as cents,
-                 count(amount) as num_amounts
+                 sum(case when not isnan(amount) then cast(round(amount * 100) as hugeint) end) as cents,
+                 count(case when not isnan(amount) then 1 end) as num_amounts
           from lv group by customer_id) sums
 """
-_CUSTOMER_TOTALS = f"""
-    select customer_id, count(transaction_id) as num_transactions,
-           {_SUM} as total_amount
-    from lv group by customer_id
-"""
 _MERCHANT_MART = f"""
     select merchant_id, count(transaction_id) as num_transactions,
            {_SUM} as total_sales
@@ -113,7 +116,7 @@ _REPORT = f"""
 """
 
 # Two runs split by time: duplicates are removed within a run only.
-_TWO_RUNS = _line_pipeline(key=f"transaction_id, timestamp < {SPLIT}")
+_TWO_RUNS = _line_pipeline(key=f"transaction_id, {FIRST_RUN}")
 
 # The JSON feed declares float amounts, which can change which duplicate is the smallest.
 _FLOAT_FEED = f"""
@@ -134,15 +137,38 @@ _EVENT_JOIN = f"""
 """
 
 
-def _reason_counts() -> str:
+def _reason_counts(**more: str) -> str:
     parts = []
-    for name, condition in _RULES.items():
+    for name, condition in {**_RULES, **more}.items():
         parts.append(f"select '{name}' as reason from lj where not ({condition})")
         parts.append(f"select 'unknown:{name}' as reason from lj where ({condition}) is null")
     union = " union all ".join(parts)
     return f"{_LINE} select reason, count(*) as num_rows from ({union}) r group by reason"
 
 
+_FLOAT_CUSTOMERS = f"select * replace (cast(balance as float) as balance) from ({LC}) c"
+_COUNTS = "count(*) as num_rows, count(transaction_id) as num_ids"
+
+# The feed sent twice: at first the customers of one segment are missing; then ids judged
+# before are skipped.  Both runs have the same transactions without duplicates.
+_RESENT = f"""
+    {_line_pipeline(customers=f"select * from ({LC}) c where job is distinct from 'BUILDING'").replace("with lt", "with r0 as (select 0), lt", 1)}
+    , full_lc as ({LC}),
+    full_cd as ({_first_of("full_lc", "customer_id", _CU_PAYLOAD)}),
+    second as (
+        select tc.transaction_id, full_cd.customer_id as known, full_cd.age, tc.customer_id,
+               case when full_cd.customer_id is null then 'orphan'
+                    when {_ALL_RULES.replace("customer_id", "tc.customer_id")} then 'valid'
+                    when not ({_ALL_RULES.replace("customer_id", "tc.customer_id")}) then 'invalid'
+                    else 'indeterminate' end as verdict
+        from tc left join full_cd on tc.customer_id = full_cd.customer_id
+        where not exists (select 1 from lo where lo.transaction_id = tc.transaction_id
+                                             and lo.verdict <> 'orphan'))
+    select 'first' as run_id, verdict, {_COUNTS} from lo group by all
+    union all
+    select 'second' as run_id, verdict, {_COUNTS} from second group by all
+"""
+
 _ENRICHED = f"transaction_id, {_TX_PAYLOAD}, {_CU_PAYLOAD}"
 
 ORACLES: dict[str, str] = {
@@ -197,9 +223,9 @@ ORACLES: dict[str, str] = {
     "dedup_customers": f"{_LINE} select * from cd",
     "dedup_across_runs": f"""
         with lt as ({LT}),
-        fresh as (select * from lt where timestamp >= {SPLIT} and not exists (
-                      select 1 from lt e
-                      where e.timestamp < {SPLIT} and e.transaction_id = lt.transaction_id))
+        early as (select transaction_id from lt where {FIRST_RUN}),
+        fresh as (select * from lt where not {FIRST_RUN} and not exists (
+                      select 1 from early where early.transaction_id = lt.transaction_id))
         {_first_of("fresh", "transaction_id", _TX_PAYLOAD)}""",
     "enrich_transactions": f"{_EVENT_JOIN} select * exclude (p) from ej",
     "currency_semi_join": f"select * from ({ET}) t where currency in {CODES}",
@@ -223,6 +249,9 @@ ORACLES: dict[str, str] = {
                coalesce(latest.job, 'unknown') as job, latest.balance
         from lt join latest on lt.customer_id = latest.customer_id""",
     "transactions_per_customer": _LINE + _CUSTOMER_MART,
+    "transactions_per_customer_exact": _LINE + _EXACT_CUSTOMER_MART,
+    "nan_amounts_customer_mart": _line_pipeline(DT) + _CUSTOMER_MART,
+    "nan_amounts_customer_mart_exact": _line_pipeline(DT) + _EXACT_CUSTOMER_MART,
     "transactions_per_merchant": _LINE + _MERCHANT_MART,
     "monthly_transactions": _LINE + _MONTHLY_MART,
     "monthly_transactions_by_year": f"""{_LINE}
@@ -241,13 +270,30 @@ ORACLES: dict[str, str] = {
         from customer""",
     "json_messages": LT,
     "stored_run_report": _LINE + _REPORT,
-    "stored_customer_mart": _TWO_RUNS + _CUSTOMER_TOTALS,
+    "stored_customer_mart": _TWO_RUNS + _CUSTOMER_MART,
+    "stored_compacted_mart": _TWO_RUNS + _CUSTOMER_MART,
+    "stored_mart_after_rerun": _LINE + _CUSTOMER_MART,
+    "stored_lookback_by_name": f"""{_TWO_RUNS}
+        select 'second' as run_id, verdict, {_COUNTS} from lo where not {FIRST_RUN} group by all""",
+    "stored_extra_rule": _reason_counts(paid_by_card="(deposit_method = 'card')"),
+    "resent_orphans": _RESENT,
+    "stored_json_run": _line_pipeline(feed=_FLOAT_FEED, customers=_FLOAT_CUSTOMERS) + f"""
+        select verdict, timestamp '2024-01-01 00:30:00' as upload_time,
+               timestamp '2024-01-01 00:00:00' as upload_hour, {_COUNTS}
+        from lo group by all""",
+    "generated_draws": """
+        select cast(floor(c_custkey / 100.0) as bigint) as batch, 200 as num_transactions,
+               200 as num_in_range, 200 as num_ids
+        from customer group by 1""",
     "stored_merchant_mart": _TWO_RUNS + _MERCHANT_MART,
     "stored_monthly_mart": _TWO_RUNS + _MONTHLY_MART,
-    "stream_run_report": _line_pipeline(
-        feed=_FLOAT_FEED,
-        customers=f"select * replace (cast(balance as float) as balance) from ({LC}) c",
+    "stream_run_report": _line_pipeline(feed=_FLOAT_FEED, customers=_FLOAT_CUSTOMERS)
+    + f"select verdict, {_COUNTS} from lo group by 1",
+    "stream_landed_and_cleaned": _line_pipeline(feed=_FLOAT_FEED, customers=_FLOAT_CUSTOMERS)
+    + f"select verdict, {_COUNTS} from lo group by 1",
+    "stream_two_feeds_report": _line_pipeline(
+        feed=_FLOAT_FEED, key=f"transaction_id, {FIRST_RUN}", customers=_FLOAT_CUSTOMERS
     )
-    + "select verdict, count(*) as num_rows, count(transaction_id) as num_ids from lo group by 1",
+    + f"select verdict, {_COUNTS} from lo group by 1",
     "stream_dedup": "select * from events",
 }

@@ -1,12 +1,15 @@
 """One query per operator, each over whole test tables.
 
-``build(spark, folder)`` gives a DataFrame.  Money is summed as exact decimals, which makes
-the results independent of the order of addition at any size.
+``build(spark, folder)`` gives a DataFrame.  Money is summed as doubles, as in the job, and
+rounded when it is given out, since the last bits depend on the order of addition; the
+queries named ``exact`` sum decimals instead.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,7 +19,14 @@ from veriledger.functions import text
 from veriledger.functions.times import bucket
 from veriledger.operators import cleaning, dedup, dimension, joins, marts, rules
 from veriledger.plans import etl, testbed
-from veriledger.plans.marts import MONTHLY, PER_CUSTOMER, PER_MERCHANT, read_mart, run_marts
+from veriledger.plans.marts import (
+    MONTHLY,
+    PER_CUSTOMER,
+    PER_MERCHANT,
+    compact_marts,
+    read_mart,
+    run_marts,
+)
 from veriledger.schemas import (
     CUSTOMER_COLUMNS,
     RUN_TABLE_DDL,
@@ -26,6 +36,7 @@ from veriledger.schemas import (
 )
 from veriledger.session import shared_folder
 from veriledger.sources import synthetic
+from veriledger.sources.feeds import read_currencies, write_feed
 from veriledger.sources.run_tables import lookback, read_runs
 from veriledger.streaming.bounded import dedup_stream
 from veriledger.streaming.incremental import stream_customers, stream_transactions
@@ -51,10 +62,15 @@ def as_double(column: str) -> Column:
 
 
 def cents(column: str) -> Column:
-    """Sums that a stored mart holds as doubles, one per run."""
+    """A sum of doubles, given out in cents."""
     return F.round(column, 2).alias(column)
 
 
+def average(column: str) -> Column:
+    """An average given out to four places.  The shift keeps it off the ties of rounding."""
+    return F.round(F.col(column) + 3e-7, 4).alias(column)
+
+
 def plain_time(column: str) -> Column:
     """As stored in the test tables: a timestamp without zone."""
     return F.col(column).cast("timestamp_ntz").alias(column)
@@ -75,7 +91,7 @@ def line_verdict(spark: SparkSession, sf: str, verdict: str) -> DataFrame:
 
 
 def line_valid(spark: SparkSession, sf: str) -> DataFrame:
-    return cleaning.exact_amounts(line_verdict(spark, sf, rules.VALID))
+    return line_verdict(spark, sf, rules.VALID)
 
 
 def line_classified(spark: SparkSession, sf: str) -> DataFrame:
@@ -88,7 +104,8 @@ def line_classified(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def in_first_run() -> Column:
-    return F.col("timestamp") < F.lit(RUN_SPLIT).cast("timestamp_ntz")
+    """Rows without a time belong to the second run."""
+    return F.coalesce(F.col("timestamp") < F.lit(RUN_SPLIT).cast("timestamp_ntz"), F.lit(False))
 
 
 # --- scans and layout ---------------------------------------------------------------
@@ -119,8 +136,8 @@ def hour_partition_layout(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def run_quality_report(spark: SparkSession, sf: str) -> DataFrame:
-    report = rules.verdict_counts(cleaning.exact_amounts(line_classified(spark, sf)))
-    return report.select("verdict", "num_rows", "num_ids", as_double("total_amount"))
+    report = rules.verdict_counts(line_classified(spark, sf))
+    return report.select("verdict", "num_rows", "num_ids", cents("total_amount"))
 
 
 # --- cleaning -----------------------------------------------------------------------
@@ -184,10 +201,16 @@ def rule_min_amount(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _stored_codes(spark: SparkSession) -> DataFrame:
+    path = shared_folder(spark, "codes")
+    testbed.code_table(spark).write.parquet(path)
+    return read_currencies(spark, path, table=False)
+
+
 @query
 def rule_currency_member(spark: SparkSession, sf: str) -> DataFrame:
-    """Against the codes as a table."""
-    codes = testbed.code_table(spark)
+    """Against the codes as a stored table."""
+    codes = _stored_codes(spark)
     flagged = joins.flag_currency(testbed.event_transactions(spark, sf), codes)
     return flagged.select(
         "transaction_id", tri_state(rules.currency_rule().check).alias("currency_ok")
@@ -248,8 +271,8 @@ def dedup_across_runs(spark: SparkSession, sf: str) -> DataFrame:
     """The later run without the ids the earlier run has seen."""
     feed = testbed.line_transactions(spark, sf)
     earlier, later = feed.where(in_first_run()), feed.where(~in_first_run())
-    fresh = dedup.drop_seen(later, earlier, "transaction_id")
-    return dedup.keep_smallest(fresh, ["transaction_id"])
+    fresh = dedup.keep_smallest(later, ["transaction_id"])
+    return dedup.drop_seen(fresh, earlier, "transaction_id")
 
 
 # --- joins --------------------------------------------------------------------------
@@ -265,7 +288,7 @@ def enrich_transactions(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def currency_semi_join(spark: SparkSession, sf: str) -> DataFrame:
     return joins.in_reference(
-        testbed.event_transactions(spark, sf), testbed.code_table(spark), "currency"
+        testbed.event_transactions(spark, sf), _stored_codes(spark), "currency"
     )
 
 
@@ -290,42 +313,72 @@ def enrich_with_dimension(spark: SparkSession, sf: str) -> DataFrame:
 # --- marts --------------------------------------------------------------------------
 
 
-def _as_doubles(mart: DataFrame) -> DataFrame:
-    money = ("total_amount", "average_transaction_amount")
-    return mart.withColumns({c: F.col(c).cast("double") for c in money})
+def customer_mart(mart: DataFrame) -> DataFrame:
+    return mart.select(
+        "customer_id", "num_transactions", cents("total_amount"), average("average_transaction_amount")
+    )
+
+
+def _exact_mart(valid: DataFrame) -> DataFrame:
+    mart = marts.transactions_per_customer(cleaning.exact_amounts(valid))
+    return mart.select(
+        "customer_id", "num_transactions", as_double("total_amount"), average("average_transaction_amount")
+    )
 
 
 @query
 def transactions_per_customer(spark: SparkSession, sf: str) -> DataFrame:
-    return _as_doubles(marts.transactions_per_customer(line_valid(spark, sf)))
+    return customer_mart(marts.transactions_per_customer(line_valid(spark, sf)))
+
+
+@query
+def transactions_per_customer_exact(spark: SparkSession, sf: str) -> DataFrame:
+    """With sums of decimals, in which a NaN has no part."""
+    return _exact_mart(line_valid(spark, sf))
 
 
 @query
 def transactions_per_merchant(spark: SparkSession, sf: str) -> DataFrame:
     mart = marts.transactions_per_merchant(line_valid(spark, sf))
-    return mart.select("merchant_id", "num_transactions", as_double("total_sales"))
+    return mart.select("merchant_id", "num_transactions", cents("total_sales"))
 
 
 @query
 def monthly_transactions(spark: SparkSession, sf: str) -> DataFrame:
     mart = marts.monthly_transactions(line_valid(spark, sf))
-    return mart.select("transaction_month", "num_transactions", as_double("total_amount"))
+    return mart.select("transaction_month", "num_transactions", cents("total_amount"))
 
 
 @query
 def monthly_transactions_by_year(spark: SparkSession, sf: str) -> DataFrame:
     mart = marts.monthly_transactions_by_year(line_valid(spark, sf))
-    return mart.select(plain_time("month_start"), "num_transactions", as_double("total_amount"))
+    return mart.select(plain_time("month_start"), "num_transactions", cents("total_amount"))
 
 
 @query
 def consolidate_marts(spark: SparkSession, sf: str) -> DataFrame:
-    """The customer marts of two runs, merged."""
-    valid = line_valid(spark, sf)
-    partials = marts.customer_partials(valid.where(in_first_run())).union(
-        marts.customer_partials(valid.where(~in_first_run()))
+    """The customer marts of two runs, made in one pass and merged."""
+    valid = line_valid(spark, sf).withColumn("first_run", in_first_run())
+    partials = marts.customer_partials(valid, "first_run")
+    return customer_mart(marts.merge_customer_partials(partials))
+
+
+def _dirty_valid(spark: SparkSession, sf: str) -> DataFrame:
+    rows = etl.enriched(
+        testbed.dirty_transactions(spark, sf), testbed.line_customers(spark, sf), testbed.CODES
     )
-    return _as_doubles(marts.merge_customer_partials(partials))
+    return rules.only(rows, rules.default_rules(), rules.VALID)
+
+
+@query
+def nan_amounts_customer_mart(spark: SparkSession, sf: str) -> DataFrame:
+    """A NaN amount is valid and turns the sums of its customer to NaN."""
+    return customer_mart(marts.transactions_per_customer(_dirty_valid(spark, sf)))
+
+
+@query
+def nan_amounts_customer_mart_exact(spark: SparkSession, sf: str) -> DataFrame:
+    return _exact_mart(_dirty_valid(spark, sf))
 
 
 @query
@@ -333,13 +386,9 @@ def marts_by_upload_window(spark: SparkSession, sf: str) -> DataFrame:
     flagged = joins.flag_currency(testbed.event_transactions(spark, sf), testbed.CODES)
     joined = joins.with_customers(flagged, testbed.event_customers(spark, sf))
     checks = [rules.amount_rule(), rules.currency_rule(), rules.age_rule()]
-    valid = cleaning.exact_amounts(rules.only(joined, checks, rules.VALID))
-    mart = marts.by_upload_window(valid)
+    mart = marts.by_upload_window(rules.only(joined, checks, rules.VALID))
     return mart.select(
-        plain_time("window_start"),
-        plain_time("window_end"),
-        "num_transactions",
-        as_double("total_amount"),
+        plain_time("window_start"), plain_time("window_end"), "num_transactions", cents("total_amount")
     )
 
 
@@ -371,10 +420,26 @@ def json_messages(spark: SparkSession, sf: str) -> DataFrame:
     return messages.select(record.alias("record")).select("record.*")
 
 
+@query
+def generated_draws(spark: SparkSession, sf: str) -> DataFrame:
+    """Transactions generated for messages of given ids: how many draws hit a known customer."""
+    ids = testbed.table(spark, sf, "customer").select(
+        "c_custkey", F.col("c_custkey").cast("string").alias("customer_id")
+    )
+    drawn = synthetic.transactions_from_batches(synthetic.id_batches(ids, "c_custkey"), per_batch=200)
+    return drawn.join(ids, "customer_id").groupBy(
+        F.floor(F.col("c_custkey") / 100).cast("bigint").alias("batch")
+    ).agg(
+        F.count("*").alias("num_transactions"),
+        F.count_if((F.col("amount") >= 10) & (F.col("amount") <= 10_000)).alias("num_in_range"),
+        F.count_distinct("transaction_id").alias("num_ids"),
+    )
+
+
 # --- whole jobs, through written tables ---------------------------------------------
 
 
-def _run(folder: str, run_id: str, hour: int) -> etl.EtlRun:
+def _run(folder: str, run_id: str, hour: int, **options) -> etl.EtlRun:
     return etl.EtlRun(
         run_id=run_id,
         run_time=datetime(2024, 1, 1, hour, 30),
@@ -382,86 +447,199 @@ def _run(folder: str, run_id: str, hour: int) -> etl.EtlRun:
         transactions="",
         table=f"{folder}/judged",
         currencies=testbed.CODES,
+        **options,
     )
 
 
+def _both_feeds(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    return testbed.line_transactions(spark, sf), testbed.line_customers(spark, sf)
+
+
 @query
 def stored_run_report(spark: SparkSession, sf: str) -> DataFrame:
     """A run written twice under one id, then counted from its table."""
     folder = shared_folder(spark, "stored-run")
-    feed, customers = testbed.line_transactions(spark, sf), testbed.line_customers(spark, sf)
+    feed, customers = _both_feeds(spark, sf)
     for _ in range(2):
         etl.run_on(spark, feed, customers, _run(folder, "first", 0))
-    table = read_runs(spark, f"{folder}/judged", RUN_TABLE_DDL)
-    report = rules.verdict_counts(cleaning.exact_amounts(table))
-    return report.select("verdict", "num_rows", "num_ids", as_double("total_amount"))
+    report = rules.verdict_counts(read_runs(spark, f"{folder}/judged", RUN_TABLE_DDL))
+    return report.select("verdict", "num_rows", "num_ids", cents("total_amount"))
+
+
+# The stored runs of this process, by session and input: several queries read the same ones.
+_STORED: dict[tuple[str, str], str] = {}
 
 
 def _two_stored_runs(spark: SparkSession, sf: str) -> str:
     """Two runs split by time and their marts, the second mart repeated."""
-    folder = shared_folder(spark, "stored-marts")
-    feed, customers = testbed.line_transactions(spark, sf), testbed.line_customers(spark, sf)
-    etl.run_on(spark, feed.where(in_first_run()), customers, _run(folder, "first", 0))
-    etl.run_on(spark, feed.where(~in_first_run()), customers, _run(folder, "second", 6))
-    for runs in (["first", "second"], ["second"]):
-        run_marts(spark, f"{folder}/judged", f"{folder}/marts", runs, exact=True)
-    return f"{folder}/marts"
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _STORED:
+        folder = shared_folder(spark, "stored-marts")
+        feed, customers = _both_feeds(spark, sf)
+        etl.run_on(spark, feed.where(in_first_run()), customers, _run(folder, "first", 0))
+        etl.run_on(spark, feed.where(~in_first_run()), customers, _run(folder, "second", 6))
+        for runs in (["first", "second"], ["second"]):
+            run_marts(spark, f"{folder}/judged", f"{folder}/marts", runs)
+        _STORED[key] = folder
+    return _STORED[key]
 
 
 @query
 def stored_customer_mart(spark: SparkSession, sf: str) -> DataFrame:
-    mart = read_mart(spark, _two_stored_runs(spark, sf), PER_CUSTOMER)
-    return mart.select("customer_id", "num_transactions", cents("total_amount"))
+    return customer_mart(read_mart(spark, f"{_two_stored_runs(spark, sf)}/marts", PER_CUSTOMER))
 
 
 @query
 def stored_merchant_mart(spark: SparkSession, sf: str) -> DataFrame:
-    mart = read_mart(spark, _two_stored_runs(spark, sf), PER_MERCHANT)
+    mart = read_mart(spark, f"{_two_stored_runs(spark, sf)}/marts", PER_MERCHANT)
     return mart.select("merchant_id", "num_transactions", cents("total_sales"))
 
 
 @query
 def stored_monthly_mart(spark: SparkSession, sf: str) -> DataFrame:
-    mart = read_mart(spark, _two_stored_runs(spark, sf), MONTHLY)
+    mart = read_mart(spark, f"{_two_stored_runs(spark, sf)}/marts", MONTHLY)
     return mart.select("transaction_month", "num_transactions", cents("total_amount"))
 
 
 @query
-def stream_run_report(spark: SparkSession, sf: str) -> DataFrame:
-    """Feeds as messages, landed by one stream and judged by the next, counted by verdict."""
-    folder = shared_folder(spark, "stream-run")
-    customers = testbed.line_customers(spark, sf)
-    feeds = {"transactions": testbed.line_transactions(spark, sf), "customers": customers}
-    for name, feed in feeds.items():
-        synthetic.as_messages(feed).write.text(f"{folder}/queue/{name}")
-        land(
-            read_messages(spark, path=f"{folder}/queue/{name}"),
-            f"{folder}/landing/{name}",
-            f"{folder}/checkpoints/land-{name}",
-        ).awaitTermination()
-    stream_customers(
-        spark, f"{folder}/landing/customers", f"{folder}/dimension", f"{folder}/checkpoints/customers"
+def stored_compacted_mart(spark: SparkSession, sf: str) -> DataFrame:
+    """The customer mart after its runs were merged into one."""
+    compact = shared_folder(spark, "compact-marts")
+    compact_marts(spark, f"{_two_stored_runs(spark, sf)}/marts", compact)
+    return customer_mart(read_mart(spark, compact, PER_CUSTOMER))
+
+
+@query
+def stored_mart_after_rerun(spark: SparkSession, sf: str) -> DataFrame:
+    """A run repeated with more rows after its summary: the marts follow."""
+    folder = shared_folder(spark, "rerun")
+    feed, customers = _both_feeds(spark, sf)
+    for rows in (feed.where(in_first_run()), feed):
+        etl.run_on(spark, rows, customers, _run(folder, "first", 0))
+        run_marts(spark, f"{folder}/judged", f"{folder}/marts")
+    return customer_mart(read_mart(spark, f"{folder}/marts", PER_CUSTOMER))
+
+
+@query
+def stored_lookback_by_name(spark: SparkSession, sf: str) -> DataFrame:
+    """Two runs written by the job into a table of the catalog, and a lookback over it by name."""
+    folder, name = shared_folder(spark, "named"), f"judged_{uuid.uuid4().hex}"
+    feed, customers = _both_feeds(spark, sf)
+    for half, hour, rows in (("first", 0, in_first_run()), ("second", 8, ~in_first_run())):
+        etl.run_on(spark, feed.where(rows), customers, _run(folder, half, hour, catalog=name))
+    recent = lookback(spark.table(name), datetime(2024, 1, 1, 9), hours=6)
+    return recent.groupBy("run_id", "verdict").agg(
+        F.count("*").alias("num_rows"), F.count("transaction_id").alias("num_ids")
+    )
+
+
+@query
+def stored_extra_rule(spark: SparkSession, sf: str) -> DataFrame:
+    """A run with a rule of its own: how many rows each reason applies to."""
+    folder = shared_folder(spark, "extra-rule")
+    feed, customers = _both_feeds(spark, sf)
+    own = [*rules.default_rules(), rules.Rule("paid_by_card", F.col("deposit_method") == "card")]
+    etl.run_on(spark, feed, customers, _run(folder, "first", 0, rules=own))
+    return rules.reason_counts(read_runs(spark, f"{folder}/judged", RUN_TABLE_DDL))
+
+
+@query
+def resent_orphans(spark: SparkSession, sf: str) -> DataFrame:
+    """A feed sent again once more customers are known: ids judged before are skipped, orphans not."""
+    folder = shared_folder(spark, "resent")
+    feed, customers = _both_feeds(spark, sf)
+    few = customers.where(~F.col("job").eqNullSafe(F.lit("BUILDING")))
+    etl.run_on(spark, feed, few, _run(folder, "first", 0))
+    etl.run_on(spark, feed, customers, _run(folder, "second", 6, skip_seen_hours=24))
+    judged = read_runs(spark, f"{folder}/judged", RUN_TABLE_DDL)
+    return judged.groupBy("run_id", "verdict").agg(
+        F.count("*").alias("num_rows"), F.count("transaction_id").alias("num_ids")
+    )
+
+
+@query
+def stored_json_run(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole batch job from JSON files, with the time it stamps on its rows."""
+    folder = shared_folder(spark, "json-run")
+    feed, customers = _both_feeds(spark, sf)
+    write_feed(feed, f"{folder}/transactions")
+    write_feed(customers, f"{folder}/customers")
+    run = replace(
+        _run(folder, "first", 0), customers=f"{folder}/customers", transactions=f"{folder}/transactions"
+    )
+    etl.run_etl(spark, run)
+    return read_runs(spark, run.table, RUN_TABLE_DDL).groupBy(
+        "verdict", plain_time("upload_time"), plain_time("upload_hour")
+    ).agg(F.count("*").alias("num_rows"), F.count("transaction_id").alias("num_ids"))
+
+
+def _landed(spark: SparkSession, folder: str, name: str, feed: DataFrame) -> str:
+    """A feed as messages, landed by a stream."""
+    synthetic.as_messages(feed).write.text(f"{folder}/queue/{name}")
+    land(
+        read_messages(spark, path=f"{folder}/queue/{name}"),
+        f"{folder}/landing/{name}",
+        f"{folder}/checkpoints/land-{name}",
     ).awaitTermination()
-    run = etl.EtlRun(
-        run_id="",
-        run_time=datetime(2024, 1, 1),
-        customers=None,
-        transactions=f"{folder}/landing/transactions",
-        table=f"{folder}/judged",
-        currencies=testbed.CODES,
-        dimension=f"{folder}/dimension",
+    return f"{folder}/landing/{name}"
+
+
+def _judged_stream(spark: SparkSession, folder: str, name: str, feed: DataFrame, clean: str | None = None) -> None:
+    run = replace(
+        _run(folder, "", 0), transactions=_landed(spark, folder, name, feed), dimension=f"{folder}/dimension"
     )
-    stream_transactions(spark, run, f"{folder}/checkpoints/transactions").awaitTermination()
-    judged = read_runs(spark, run.table, RUN_TABLE_DDL)
+    stream_transactions(spark, run, f"{folder}/checkpoints/{name}", clean).awaitTermination()
+
+
+def _with_customers(spark: SparkSession, folder: str, customers: DataFrame) -> None:
+    stream_customers(
+        spark, _landed(spark, folder, "customers", customers), f"{folder}/dimension", f"{folder}/checkpoints/customers"
+    ).awaitTermination()
+
+
+def _stream_report(spark: SparkSession, folder: str) -> DataFrame:
+    judged = read_runs(spark, f"{folder}/judged", RUN_TABLE_DDL)
     return rules.verdict_counts(judged).select("verdict", "num_rows", "num_ids")
 
 
+@query
+def stream_run_report(spark: SparkSession, sf: str) -> DataFrame:
+    """Feeds as messages, landed by one stream and judged by the next, counted by verdict."""
+    folder = shared_folder(spark, "stream-run")
+    feed, customers = _both_feeds(spark, sf)
+    _with_customers(spark, folder, customers)
+    _judged_stream(spark, folder, "transactions", feed)
+    return _stream_report(spark, folder)
+
+
+@query
+def stream_two_feeds_report(spark: SparkSession, sf: str) -> DataFrame:
+    """Two feeds with checkpoints of their own, judged into one table."""
+    folder = shared_folder(spark, "two-feeds")
+    feed, customers = _both_feeds(spark, sf)
+    _with_customers(spark, folder, customers)
+    _judged_stream(spark, folder, "early", feed.where(in_first_run()))
+    _judged_stream(spark, folder, "late", feed.where(~in_first_run()))
+    return _stream_report(spark, folder)
+
+
+@query
+def stream_landed_and_cleaned(spark: SparkSession, sf: str) -> DataFrame:
+    """A stream that deletes the landed files it has judged loses no row."""
+    folder = shared_folder(spark, "cleaned")
+    feed, customers = _both_feeds(spark, sf)
+    _with_customers(spark, folder, customers)
+    _judged_stream(spark, folder, "transactions", feed, clean="delete")
+    return _stream_report(spark, folder)
+
+
 @query
 def stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """Events, doubled on the way in, deduplicated as a stream."""
     folder = shared_folder(spark, "stream-dedup")
     schema = testbed.table(spark, sf, "events").schema
-    events = spark.readStream.schema(schema).parquet(f"{sf}/events.parquet*")
+    # A stream needs a pattern to read a single file; this one matches just that name.
+    events = spark.readStream.schema(schema).parquet(f"{sf}/events.parque[t]")
     distinct = dedup_stream(events.union(events), "event_id", "ts", "1 day")
     (
         distinct.writeStream.format("parquet")
@@ -473,6 +651,3 @@ def stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
     )
     stored = spark.read.schema(distinct.schema).parquet(f"{folder}/events")
     return stored.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
-
-
-

@@ -9,8 +9,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from veriledger.session import MIB, input_bytes, pin_session
+from veriledger.session import pin_session
 
+# The currencies of the tests.
 CODES = ["GEL", "USD", "EUR"]
 
 # Events as transactions: every event has a customer, ids are unique.
@@ -46,7 +47,7 @@ LINE_TRANSACTIONS = """
                 when l.l_partkey % 223 = 0 then 'NaN'
                 else concat(cast(l.l_orderkey as string), '-',
                             cast(l.l_linenumber as string)) end as transaction_id,
-           l.l_shipdate as timestamp,
+           case when l.l_partkey % 193 = 0 then null else l.l_shipdate end as timestamp,
            case when l.l_partkey % 97 = 0 then null
                 when l.l_partkey % 89 = 0 then cast(0.25 as double)
                 else l.l_extendedprice end as amount,
@@ -55,6 +56,7 @@ LINE_TRANSACTIONS = """
                 when o.o_orderstatus = 'O' then 'pending'
                 else 'failed' end as status,
            case when o.o_custkey % 31 = 0 then null
+                when o.o_custkey % 37 = 0 then 'NaN'
                 when o.o_custkey % 29 = 0 then concat('gone-', cast(o.o_custkey as string))
                 else cast(o.o_custkey as string) end as customer_id,
            case when l.l_suppkey % 37 = 0 then null
@@ -73,9 +75,11 @@ LINE_TRANSACTIONS = """
     from {lineitem} l join {orders} o on l.l_orderkey = o.o_orderkey
 """
 
-# Customers with all 15 columns, each of them twice with different balances.
+# Customers with all 15 columns, each of them twice with different balances; some without a
+# usable id.
 LINE_CUSTOMERS = """
-    select cast(c_custkey as string) as customer_id,
+    select case when c_custkey % 37 = 0 then 'NaN'
+                else cast(c_custkey as string) end as customer_id,
            case when c_custkey % 41 = 0 then null else cast(c_custkey % 110 as int) end as age,
            c_name as fullname,
            case when c_custkey % 6 = 0 then null
@@ -116,21 +120,16 @@ SHIP_TEXTS = """
     from {lineitem}
 """
 
-
-SMALL_TABLE = 256 * MIB
+# The same with a NaN among the amounts here and there.
+DIRTY_TRANSACTIONS = LINE_TRANSACTIONS.replace(
+    "else l.l_extendedprice end as amount",
+    "when l.l_partkey % 181 = 0 then cast('NaN' as double) else l.l_extendedprice end as amount",
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A test table.
-
-    A small one is often a single row group, which only one task can read; its rows are
-    then dealt out, a MiB of file to a task.  Larger tables have splits enough.
-    """
-    path = f"{sf_dir}/{name}.parquet"
-    rows = pin_session(spark).read.parquet(path)
-    size = input_bytes(spark, path)
-    tasks = min(spark.sparkContext.defaultParallelism, size // MIB)
-    return rows.repartition(tasks) if size < SMALL_TABLE and tasks > 1 else rows
+    """A test table."""
+    return pin_session(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def mapped(spark: SparkSession, sf_dir: str, text: str, *names: str) -> DataFrame:
@@ -154,6 +153,10 @@ def line_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mapped(spark, sf_dir, LINE_CUSTOMERS, "customer")
 
 
+def dirty_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mapped(spark, sf_dir, DIRTY_TRANSACTIONS, "lineitem", "orders")
+
+
 def code_table(spark: SparkSession) -> DataFrame:
     rows = ", ".join(f"('{c}')" for c in CODES)
     return spark.sql(f"select * from values {rows} as codes(currency_code)")

@@ -69,3 +69,6 @@ PER_CUSTOMER_DDL = (
 )
 PER_MERCHANT_DDL = "merchant_id string, num_transactions bigint, total_sales double"
 MONTHLY_DDL = "transaction_month int, num_transactions bigint, total_amount double"
+
+# The directory levels of a run table, outermost first.
+RUN_LEVELS = ("run_id", "verdict", "upload_hour")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import os
 import tempfile
 import uuid
@@ -32,16 +33,16 @@ def pin_session(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def sized_for(input_bytes: int, cores: int) -> dict[str, str]:
+def sized_for(input_bytes: int, cores: int, most_tasks: int = MAX_TASKS) -> dict[str, str]:
     """Task sizes for a job reading so many bytes.
 
     About 128 MiB per task, so that a sort fits in memory, until that would take more than
-    100 000 tasks per stage: map outputs are tracked per pair of map and reduce task, so
+    ``most_tasks`` tasks per stage: map outputs are tracked per pair of map and reduce task, so
     from there on the tasks grow instead and their sorts spill.  AQE merges partitions that
     come out small but splits none but hot ones, so the number has to suffice for the
     largest shuffle, which is the input itself.
     """
-    target = max(128 * MIB, -(-input_bytes // MAX_TASKS))
+    target = max(128 * MIB, -(-input_bytes // most_tasks))
     return {
         "spark.sql.shuffle.partitions": str(max(2 * cores, -(-input_bytes // target))),
         "spark.sql.files.maxPartitionBytes": str(target),
@@ -60,6 +61,20 @@ def input_bytes(spark: SparkSession, *paths: str) -> int:
     return total
 
 
+def fingerprint(spark: SparkSession, *paths: str) -> str:
+    """A digest of the files below some paths or path patterns: names, sizes and times."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    found = []
+    for path in map(hadoop.Path, paths):
+        fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        for top in fs.globStatus(path) or []:
+            files = fs.listFiles(top.getPath(), True)
+            while files.hasNext():
+                status = files.next()
+                found.append((status.getPath().toString(), status.getLen(), status.getModificationTime()))
+    return hashlib.sha256(repr(sorted(found)).encode()).hexdigest()
+
+
 def size_session(spark: SparkSession, *paths: str) -> dict[str, str]:
     """Set the task sizes of the session for a job over these inputs."""
     settings = sized_for(input_bytes(spark, *paths), spark.sparkContext.defaultParallelism)

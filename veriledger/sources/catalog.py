@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -86,3 +87,37 @@ def append_rows(df: DataFrame, name: str) -> None:
         log.error("append to %s failed: %s", name, error)
         raise
     log.info("appended to %s", name)
+
+
+def keep_registered(
+    spark: SparkSession, name: str, location: str, ddl: str, levels: Sequence[str], run_id: str
+) -> None:
+    """A catalog table over a run table, with the directories of one more run.
+
+    The table is created on first use.  Only the directories of the run are listed; those
+    that an earlier attempt had and this one has not are taken out.
+    """
+    if "." in name:
+        ensure_namespace(spark, name.rpartition(".")[0])
+    if not spark.catalog.tableExists(name):
+        spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING parquet "
+            f"PARTITIONED BY ({', '.join(levels)}) LOCATION '{location}'"
+        )
+    jvm = spark.sparkContext._jvm
+    top = jvm.org.apache.hadoop.fs.Path(f"{location.rstrip('/')}/{levels[0]}={run_id}" + "/*=*" * (len(levels) - 1))
+    fs = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    unescape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+    held = spark.sql(f"SHOW PARTITIONS {name} PARTITION ({levels[0]}='{run_id}')").collect()
+    for row in held:
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({_partition(row[0], unescape)})")
+    for status in fs.globStatus(top) or []:
+        parts = "/".join(status.getPath().toString().split("/")[-len(levels) :])
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION ({_partition(parts, unescape)})")
+    log.info("run %s registered in %s", run_id, name)
+
+
+def _partition(path: str, unescape) -> str:
+    """The partition of a directory such as ``a=1/b=2`` as SQL."""
+    pairs = [part.split("=", 1) for part in path.split("/")]
+    return ", ".join(f"{level}='{unescape(value)}'" for level, value in pairs)

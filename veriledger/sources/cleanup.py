@@ -6,22 +6,29 @@ import logging
 
 from pyspark.sql import SparkSession
 
+from veriledger.sources.feeds import feed_pattern
+
 log = logging.getLogger(__name__)
 
 
-def delete_prefix(spark: SparkSession, prefix: str) -> int:
-    """Delete everything whose path starts with ``prefix``; returns the entries removed.
+def delete_feed(spark: SparkSession, path: str, prefix: bool = False) -> int:
+    """Delete a processed feed; returns the entries removed.
 
-    Only the entries directly matching are listed; directories go as a whole.  Files that
-    land while a run is working would go too, so feeds that keep arriving should be read
-    as a stream, which removes just the files it has finished with.
+    The path means what it means to the reader: a directory, or with ``prefix`` everything
+    whose name begins so.  Only the entries directly matching are listed; directories go as
+    a whole.  Files that land while a run is working would go too, so feeds that keep
+    arriving should be read as a stream, which removes just the files it has finished with.
     """
     jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path
-    pattern = path(prefix if prefix.endswith("/") else f"{prefix}*")
+    pattern = jvm.org.apache.hadoop.fs.Path(feed_pattern(path, prefix))
     fs = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     removed = 0
     for status in fs.globStatus(pattern) or []:
         removed += bool(fs.delete(status.getPath(), True))
-    log.info("deleted %d entries under %s", removed, prefix)
+    log.info("deleted %d entries of %s", removed, path)
     return removed
+
+
+def delete_prefix(spark: SparkSession, prefix: str) -> int:
+    """Delete everything whose path starts with ``prefix``."""
+    return delete_feed(spark, prefix, prefix=True)

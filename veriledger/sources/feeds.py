@@ -13,6 +13,14 @@ from veriledger.schemas import CUSTOMER_DDL, TRANSACTION_DDL, retyped, with_raw_
 log = logging.getLogger(__name__)
 
 
+def feed_pattern(path: str, prefix: bool = False) -> str:
+    """What a feed path stands for: a directory, or with ``prefix`` all names that begin so.
+
+    Reading and deleting share this rule.
+    """
+    return f"{path}*" if prefix and not path.endswith("/") else path
+
+
 def read_feed(spark: SparkSession, path: str, ddl: str, prefix: bool = False) -> DataFrame:
     """All JSON lines below a directory, at any depth.
 
@@ -20,9 +28,9 @@ def read_feed(spark: SparkSession, path: str, ddl: str, prefix: bool = False) ->
     in ``.../customers_2``.  Spark lists the files itself, in parallel when there are
     many.  A path without files gives an empty frame of the same schema and a warning.
     """
-    pattern = f"{path}*" if prefix and not path.endswith("/") else path
     try:
-        return spark.read.schema(ddl).option("recursiveFileLookup", "true").json(pattern)
+        reader = spark.read.schema(ddl).option("recursiveFileLookup", "true")
+        return reader.json(feed_pattern(path, prefix))
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             log.error("cannot read feed %s: %s", path, error)
@@ -62,10 +70,12 @@ def read_transactions_with_raw(
     return mark_malformed(read_feed(spark, path, ddl, prefix))
 
 
-def read_currencies(spark: SparkSession, source: str) -> DataFrame:
-    """The valid codes from a Parquet path or a table name."""
-    table = spark.read.parquet(source) if "/" in source else spark.read.table(source)
-    return table.select("currency_code")
+def read_currencies(spark: SparkSession, source: str, table: bool | None = None) -> DataFrame:
+    """The valid codes from a table or a Parquet path; unless said which, a slash makes a path."""
+    if table is None:
+        table = "/" not in source
+    rows = spark.read.table(source) if table else spark.read.parquet(source)
+    return rows.select("currency_code")
 
 
 def write_feed(records: DataFrame, path: str, mode: str = "append") -> None:

@@ -10,27 +10,75 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import datetime
+from itertools import count
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veriledger.functions.times import instant, lookback_start, start_of_hour
 
+# The signature of a run; Spark's readers skip names that begin with an underscore.
+_OWNER = "_owner"
+
 
 def run_path(table: str, run_id: str) -> str:
     return f"{table.rstrip('/')}/run_id={run_id}"
 
 
+class RunTaken(RuntimeError):
+    """The run was written by somebody else and is not replaced."""
+
+
+def _hadoop(spark: SparkSession, path: str):
+    """A Hadoop path and its file system."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def owner_of(spark: SparkSession, table: str, run_id: str) -> str | None:
+    """Who wrote a run, if it says so."""
+    where, fs = _hadoop(spark, f"{run_path(table, run_id)}/{_OWNER}")
+    if not fs.exists(where):
+        return None
+    stream = fs.open(where)
+    try:
+        return stream.readUTF()
+    finally:
+        stream.close()
+
+
+def _sign(spark: SparkSession, table: str, run_id: str, owner: str) -> None:
+    where, fs = _hadoop(spark, f"{run_path(table, run_id)}/{_OWNER}")
+    stream = fs.create(where, True)
+    stream.writeUTF(owner)
+    stream.close()
+
+
+def free_run_id(spark: SparkSession, table: str, wanted: str, owner: str) -> str:
+    """``wanted`` unless another owner has that run, else the first free ``wanted-2``, ``wanted-3``, …"""
+    for attempt in count(1):
+        run_id = wanted if attempt == 1 else f"{wanted}-{attempt}"
+        where, fs = _hadoop(spark, run_path(table, run_id))
+        if not fs.exists(where) or owner_of(spark, table, run_id) == owner:
+            return run_id
+
+
 def write_run(
     df: DataFrame,
     table: str,
     run_id: str,
     partition_by: Sequence[str] = (),
     max_records_per_file: int = 5_000_000,
+    owner: str | None = None,
 ) -> str:
-    """Write the rows of one run, replacing what an earlier attempt of it wrote."""
+    """Write the rows of one run, replacing what an earlier attempt of it wrote.
+
+    With an ``owner`` the run is signed, and a run signed by another one is not replaced.
+    """
+    spark = df.sparkSession
     path = run_path(table, run_id)
+    if owner and (held := owner_of(spark, table, run_id)) not in (None, owner):
+        raise RunTaken(f"run {run_id} of {table} belongs to {held}")
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "static")
@@ -38,39 +86,36 @@ def write_run(
         .partitionBy(*partition_by)
         .parquet(path)
     )
+    if owner:
+        _sign(spark, table, run_id, owner)
     return path
 
 
 def read_runs(
     spark: SparkSession, table: str, ddl: str, run_ids: Sequence[str] | None = None
 ) -> DataFrame:
-    """All runs of a table, or only some, under its declared schema.
+    """The finished runs of a table, all or only some, under its declared schema.
 
     Naming the runs lists only their directories, which matters once there are many.
-    A table or run without files reads as empty.
+    A run that was not written to its end, or has no files, reads as empty.
     """
     if run_ids is None:
-        paths = [table]
+        run_ids = finished_runs(spark, table)
     else:
-        paths = [run_path(table, r) for r in run_ids]
-    if not paths:
+        run_ids = [r for r in run_ids if has_run(spark, table, r)]
+    if not run_ids:
         return spark.createDataFrame([], ddl)
-    try:
-        return spark.read.schema(ddl).option("basePath", table).parquet(*paths)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-    if len(paths) == 1:
-        return spark.createDataFrame([], ddl)
-    present = [r for r in run_ids if has_run(spark, table, r)]
-    return read_runs(spark, table, ddl, present)
+    paths = [run_path(table, r) for r in run_ids]
+    return spark.read.schema(ddl).option("basePath", table).parquet(*paths)
 
 
-def _finished(spark: SparkSession, pattern: str) -> list[str]:
-    """Names of the run folders matching a pattern that were written to their end."""
-    marks = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{pattern}/_SUCCESS")
-    fs = marks.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return [status.getPath().getParent().getName() for status in fs.globStatus(marks) or []]
+def _finished(spark: SparkSession, pattern: str) -> dict[str, int]:
+    """The run folders matching a pattern that were written to their end, and when."""
+    marks, fs = _hadoop(spark, f"{pattern}/_SUCCESS")
+    return {
+        status.getPath().getParent().getName(): status.getModificationTime()
+        for status in fs.globStatus(marks) or []
+    }
 
 
 def has_run(spark: SparkSession, table: str, run_id: str) -> bool:
@@ -78,9 +123,15 @@ def has_run(spark: SparkSession, table: str, run_id: str) -> bool:
     return bool(_finished(spark, run_path(table, run_id)))
 
 
+def finish_times(spark: SparkSession, table: str) -> dict[str, int]:
+    """When each finished run of a table was written, in milliseconds; one listing."""
+    found = _finished(spark, run_path(table, "*"))
+    return {name.removeprefix("run_id="): found[name] for name in sorted(found)}
+
+
 def finished_runs(spark: SparkSession, table: str) -> list[str]:
     """Ids of the runs of a table that were written to their end, in order."""
-    return sorted(name.removeprefix("run_id=") for name in _finished(spark, run_path(table, "*")))
+    return list(finish_times(spark, table))
 
 
 def lookback(
