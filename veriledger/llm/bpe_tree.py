@@ -20,6 +20,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from veriledger.llm.common import bounded_batches
+
 NOTHING = np.iinfo(np.int64).max
 _ROW = "doc_id bigint, ids array<int>, decoded string"
 _ARROW = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("decoded", pa.string())])
@@ -258,6 +260,7 @@ def encode_and_decode(
     ids; repeated rows are encoded each; an empty table gives an empty one.  Other columns
     are ignored, whatever their names.
     """
+    bounded_batches(docs.sparkSession)
     with open(tokenizer, encoding="utf-8") as file:
         spec = docs.sparkSession.sparkContext.broadcast(file.read())
 

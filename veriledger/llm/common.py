@@ -26,6 +26,12 @@ def remainder(doc_id: str | Column, divisor: int) -> Column:
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % divisor
 
 
+def bounded_batches(spark: SparkSession, rows: int = 1000, size: str = "16m") -> None:
+    """Let the batches that tasks exchange with Python hold few rows: texts may be long."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+
+
 def written(frame: DataFrame, purpose: str) -> DataFrame:
     """``frame`` written to the shared folder and read back.
 

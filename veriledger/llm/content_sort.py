@@ -15,7 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veriledger.llm.common import BLANKS, written
+from veriledger.llm.common import BLANKS, bounded_batches, written
 
 _ROWS = (
     "row_id bigint, text_sha256 string, keep_id bigint, group_size bigint, head boolean, "
@@ -193,6 +193,7 @@ def exact_duplicates(
     kept id only of a group without any other.  Of fully repeated rows the first stays.
     Other columns are ignored, whatever their names.
     """
+    bounded_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("bigint").alias("row_id"), normalised(text_col).alias("norm"))
     rows = rows.withColumn("digest", F.sha2(F.col("norm"), 256))
     order = [F.substring("norm", 1, prefix), F.col("digest"), F.col("row_id").asc_nulls_last()]

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from veriledger.llm.common import written
+from veriledger.llm.common import bounded_batches, written
 
 # A run of characters that keys are made of, long enough for one.
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_\-]{16,}={0,2}")
@@ -233,5 +233,6 @@ def secrets(
     texts have no candidates, a null path counts as empty, repeated rows are searched each,
     an empty table gives an empty one.  Other columns are ignored, whatever their names.
     """
+    bounded_batches(docs.sparkSession)
     found = written(candidates(docs, language(docs, text_col), id_col, text_col, path_col), "candidates")
     return judged(found, known_formats(found), F.lit(True) if learn is None else learn)

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veriledger.llm.common import groups, written
+from veriledger.llm.common import bounded_batches, groups, written
 from veriledger.llm.components import EDGES, components, edge_batch, spanning
 
 WIDTH = 5
@@ -326,6 +326,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     repeat an id share its result, which takes all their texts into account.  An empty table
     gives an empty one.  Other columns are ignored, whatever their names.
     """
+    bounded_batches(docs.sparkSession)
     rows = written(sign(docs, id_col, text_col), "signatures")
     classes = written(
         rows.filter("n_shingles > 0 and doc_id is not null").groupBy("digest")

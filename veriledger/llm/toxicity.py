@@ -19,7 +19,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from veriledger.llm.common import written
+from veriledger.llm.common import bounded_batches, written
 
 _WORD = re.compile(r"[^\W_]+")
 _TRIPLES = "before bigint, left bigint, right bigint, toxic int"
@@ -40,7 +40,7 @@ class _Codes(dict):
 class Reader:
     """Word codes of whole texts; remembers the codes of a bounded number of words."""
 
-    def __init__(self, memory: int = 300_000):
+    def __init__(self, memory: int = 150_000):
         self.codes, self.memory = _Codes(), memory
 
     def __call__(self, text: str | None) -> np.ndarray:
@@ -223,6 +223,7 @@ def scored(docs: DataFrame, judge: Judge, text_col: str = "text", name: str = "t
     """
     if name in docs.columns:
         raise ValueError(f"there is a column {name} already")
+    bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(judge)
 
     def score_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

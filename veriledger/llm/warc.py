@@ -17,6 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from veriledger.llm.common import bounded_batches
 from veriledger.session import shared_folder
 
 MANIFEST = "_manifest"
@@ -159,6 +160,7 @@ def write_archives(
     answers and the others revisit it.  An empty table gives an empty manifest.
     """
     spark = pages.sparkSession
+    bounded_batches(spark)
     payload = F.coalesce(F.col("html"), F.lit(""))
     rows = pages.select(
         F.col("page_id").cast("bigint").alias("page_id"),
