@@ -81,7 +81,10 @@ def test_class_models_sum_to_one():
     left, right = source.integers(0, 30, 400), source.integers(0, 30, 400)
     pairs = np.unique(np.column_stack([left, right]), axis=0)
     counts = source.integers(0, 40, (len(pairs), 2))
-    models = toxicity.ClassModels(pairs[:, 0], pairs[:, 1], counts, 4.0)
+    words = np.arange(30)
+    kinds = np.array([[(counts[pairs[:, 1] == w, c] > 0).sum() for c in range(2)] for w in words])
+    after = np.array([[counts[pairs[:, 0] == w, c].sum() for c in range(2)] for w in words])
+    models = toxicity.ClassModels(words, kinds, after, pairs[:, 0], pairs[:, 1], counts, 4.0)
     assert np.allclose(models.backoff.sum(axis=1), 1)
     for c in range(2):
         for word in range(len(models.words)):

@@ -19,7 +19,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from veriledger.llm.common import bounded_batches, written
+from veriledger.llm.common import bounded_batches, release, written
 
 _WORD = re.compile(r"[^\W_]+")
 _TRIPLES = "before bigint, left bigint, right bigint, toxic int"
@@ -51,36 +51,35 @@ class Reader:
 
 
 class ClassModels:
-    """The two models, from pairs of neighbouring words and how they occur in each class.
-
-    ``left, right`` are the pairs; ``counts`` has for each, in toxic and in ordinary text,
-    the number of different words before the pair: its Kneser-Ney count, to which copies
-    of a text add nothing.  Single words count the different words before them likewise.
-    Both orders lose an absolute ``discount``; what they lose goes to the next order, and
-    in the end to counts that both classes share.  So a pair or word that is rarer than the
-    discount has the same likelihood in both, relative to the order below.
+    """The two models, from words and pairs of neighbouring words and how they occur in each class.
+
+    ``words`` are codes in order; ``kinds`` has for each, in toxic and in ordinary text, the
+    number of different words before it, its Kneser-Ney count, to which copies of a text add
+    nothing; ``after`` the sum of the counts of the pairs it begins.  ``left, right, counts``
+    are pairs and the numbers of different words before them; those that no class has more
+    often than the discount may be left out.  Both orders lose an absolute ``discount``; what
+    they lose goes to the next order, and in the end to counts that both classes share.  So a
+    pair or word that is rarer than the discount has the same likelihood in both, relative to
+    the order below.
     """
 
-    def __init__(self, left: np.ndarray, right: np.ndarray, counts: np.ndarray, discount: float = 8.0):
-        self.words = np.unique(np.concatenate([left, right]))
-        size = len(self.words) + 1  # the last number is that of all unknown words
-        l, r = np.searchsorted(self.words, left), np.searchsorted(self.words, right)
+    def __init__(self, words, kinds, after, left, right, counts, discount: float = 8.0):
+        self.words = words
+        self.size = size = len(words) + 1  # the last number is that of all unknown words
+        l, r = np.searchsorted(words, left), np.searchsorted(words, right)
         keys = l.astype(np.int64) * size + r
         order = np.argsort(keys)
-        l, r, counts = l[order], r[order], counts[order]
-        kinds = np.array([np.bincount(r[counts[:, c] > 0], minlength=size) for c in range(2)], dtype=float)
+        l, counts = l[order], counts[order]
+        kinds, after = np.vstack([kinds, [0, 0]]).T, np.vstack([after, [0, 0]]).T
         shared = kinds.sum(axis=0) + 1.0
         shared /= shared.sum()
-        self.size = size
         self.backoff = np.empty((2, size))  # likelihood of a word by itself
         self.weight = np.ones((2, size))  # what the pairs after a word leave to single words
         above = np.zeros((2, len(l)))  # what a pair has of its own
         for c in range(2):
-            every = max(1.0, kinds[c].sum())
-            own = np.maximum(kinds[c] - discount, 0) / every
+            own = np.maximum(kinds[c] - discount, 0) / max(1.0, kinds[c].sum())
             self.backoff[c] = own + (1 - own.sum()) * shared
-            total = np.maximum(1, np.bincount(l, weights=counts[:, c], minlength=size))
-            above[c] = np.maximum(counts[:, c] - discount, 0) / total[l]
+            above[c] = np.maximum(counts[:, c] - discount, 0) / np.maximum(1, after[c])[l]
             self.weight[c] -= np.bincount(l, weights=above[c], minlength=size)
         some = above.any(axis=0)
         self.keys = np.append(keys[order][some], np.iinfo(np.int64).max)
@@ -191,20 +190,35 @@ def train(
     if texts.select("toxic").distinct().count() < 2:
         return best
     triples = texts.filter("not calibrates").select("text", "toxic").mapInArrow(_triples, _TRIPLES).distinct()
-    pairs = triples.groupBy("left", "right").agg(
-        F.count_if(F.col("toxic") == 1).alias("toxic"), F.count_if(F.col("toxic") == 0).alias("ordinary")
+    pairs = written(
+        triples.groupBy("left", "right").agg(
+            F.count_if(F.col("toxic") == 1).alias("toxic"), F.count_if(F.col("toxic") == 0).alias("ordinary")
+        ),
+        "toxicity-pairs",
     )
-    got = pairs.toArrow()
+    # A row for each word, and the pairs frequent enough to matter: both bounded by the sample.
+    behind = pairs.groupBy(F.col("right").alias("word")).agg(
+        F.count_if(F.col("toxic") > 0).alias("t"), F.count_if(F.col("ordinary") > 0).alias("o")
+    )
+    before = pairs.groupBy(F.col("left").alias("word")).agg(
+        F.sum("toxic").alias("after_t"), F.sum("ordinary").alias("after_o")
+    )
+    got = behind.join(before, "word", "full").fillna(0).orderBy("word").toArrow()
     if not len(got):
         return best
-    left, right, toxic, ordinary = (got.column(n).to_numpy() for n in ("left", "right", "toxic", "ordinary"))
+    words = got.column("word").to_numpy()
+    kinds = np.column_stack([got.column(n).to_numpy() for n in ("t", "o")])
+    after = np.column_stack([got.column(n).to_numpy() for n in ("after_t", "after_o")])
+    got = pairs.filter(F.greatest("toxic", "ordinary") > min(discounts)).toArrow()
+    left, right = got.column("left").to_numpy(), got.column("right").to_numpy()
+    counts = np.column_stack([got.column(n).to_numpy() for n in ("toxic", "ordinary")])
     read = Reader()
     rest = texts.filter("calibrates").select("text", "toxic").toArrow()
     codes = [read(t) for t in rest.column("text").to_pylist()]
     truth = rest.column("toxic").to_numpy()
     share = shares(truth, caution)
     for discount in discounts:
-        models = ClassModels(left, right, np.column_stack([toxic, ordinary]), discount)
+        models = ClassModels(words, kinds, after, left, right, counts, discount)
         ratios = [models.ratios(c) for c in codes]
         for window in windows:
             found = np.array([evidence(r, window) for r in ratios]).reshape(-1, 2)
@@ -231,6 +245,8 @@ def scored(docs: DataFrame, judge: Judge, text_col: str = "text", name: str = "t
         for batch in batches:
             found = [shared.value.scores([read(t)])[0] for t in batch.column(text_col).to_pylist()]
             yield pa.record_batch([*batch.columns, pa.array(found, pa.float64())], names=[*batch.schema.names, name])
+        del read
+        release()
 
     kept = docs.schema
     return docs.mapInArrow(score_batches, T.StructType([*kept.fields, T.StructField(name, T.DoubleType())]))
