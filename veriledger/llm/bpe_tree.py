@@ -20,7 +20,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veriledger.llm.common import bounded_batches
+from veriledger.llm.common import bounded_batches, release
 
 NOTHING = np.iinfo(np.int64).max
 _ROW = "doc_id bigint, ids array<int>, decoded string"
@@ -281,6 +281,7 @@ def encode_and_decode(
                     ],
                     schema=_ARROW,
                 )
+        release()
 
     rows = docs.select(
         F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,6 +34,15 @@ def bounded_batches(spark: SparkSession, rows: int = 1000, size: str = "16m") ->
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
 
 
+def release() -> None:
+    """Give memory that a finished task has freed back to the system: workers outlive their tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def written(frame: DataFrame, purpose: str) -> DataFrame:
     """``frame`` written to the shared folder and read back.
 

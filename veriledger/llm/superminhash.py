@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veriledger.llm.common import bounded_batches, groups, written
+from veriledger.llm.common import bounded_batches, groups, release, written
 from veriledger.llm.components import EDGES, components, edge_batch, spanning
 
 WIDTH = 5
@@ -139,6 +139,8 @@ def _signed(slice_words: int):
                         schema=_SIGNATURE_ARROW,
                     )
                     start, held, sets = i + 1, 0, []
+        del shingle
+        release()
 
     return sign
 
