@@ -6,7 +6,9 @@ last return the columns of ``documents``.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from veriledger.llm import bpe_tree, line_templates, pfair, superminhash, toxicity
@@ -41,15 +43,33 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixed.repartitionByRange("mix_position").sortWithinPartitions("mix_position").select(*docs.columns)
 
 
+def placed(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``mix_position``: how many rows of its files come before each row, file by file, row by row.
+
+    A scan may read the files in any order.  Rows that come from no file have no position.
+    """
+    try:
+        rows = docs.select("*", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at"))
+    except AnalysisException:
+        return docs.withColumn("mix_position", F.lit(None).cast("bigint"))
+    # A row for each file.  Writers number their files; from 100000 on the numbers have more digits.
+    number = F.regexp_extract("file", "part-([0-9]+)[^/]*$", 1).try_cast("bigint")
+    before = W.orderBy(number, "file").rowsBetween(W.unboundedPreceding, -1)
+    files = rows.groupBy("file").agg(F.count("*").alias("n"))
+    starts = files.select("file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    return rows.join(F.broadcast(starts), "file").select(*docs.columns, (F.col("start") + F.col("at")).alias("mix_position"))
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document, with their number and the digests of ids and decoded text."""
-    rows = bpe_tree.encode_and_decode(docs, TOKENIZER)
+    """Token ids of every document, with their number, the digests of ids and decoded text, and its place."""
+    rows = bpe_tree.encode_and_decode(placed(docs), TOKENIZER, keep=("mix_position",))
     return rows.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
         "ids",
+        "mix_position",
     )
 
 

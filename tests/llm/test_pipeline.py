@@ -96,3 +96,27 @@ def test_stages_take_odd_documents(spark):
     empty = documents(spark, [])
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, SF).collect() == []
+
+
+def test_run_keeps_the_order_of_the_mixture(spark, steps):
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(coalesce, "false")  # several files
+    try:
+        rows = corpus_pipeline.run(spark, SF).select("doc_id", "mix_position").collect()
+    finally:
+        spark.conf.unset(coalesce)
+    connection = duckdb.connect()
+    connection.execute("create table documents (doc_id bigint, source varchar)")
+    connection.executemany("insert into documents values (?, ?)", [(r.doc_id, r.source) for r in steps[3][0]])
+    want = connection.execute(f"select doc_id, mix_position from ({queries.ORACLES['op3_pfair']})").fetchall()
+    assert sorted(map(tuple, rows)) == sorted(want)
+
+
+def test_positions_do_not_depend_on_the_order_of_reading(spark, tmp_path):
+    for number, ids in ((2, range(5)), (99_999, range(5, 8)), (100_000, range(8, 300))):
+        spark.createDataFrame([(i,) for i in ids], "doc_id bigint").coalesce(1).write.parquet(str(tmp_path / "one" / str(number)))
+        (file,) = (tmp_path / "one" / str(number)).glob("part-*.parquet")
+        (tmp_path / "all").mkdir(exist_ok=True)
+        (tmp_path / "all" / f"part-{number:05}-x.c000.parquet").write_bytes(file.read_bytes())
+    found = corpus_pipeline.placed(spark.read.parquet(str(tmp_path / "all"))).collect()
+    assert len(found) == 300 and all(r.doc_id == r.mix_position for r in found)

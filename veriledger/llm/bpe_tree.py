@@ -250,16 +250,19 @@ def _slices(texts: list[str], limit: int) -> Iterator[tuple[int, int]]:
 
 
 def encode_and_decode(
-    docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", slice_chars: int = 2_000_000
+    docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", slice_chars: int = 2_000_000,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """``doc_id, ids, decoded`` for every row: the ids of the whole text, and what they decode to.
 
+    The columns named in ``keep`` come after these as they are; their names differ from these.
+
     ``tokenizer`` is the path of a tokenizer file of bounded size, read on the driver and
     broadcast.  There is no shuffle; a task holds one Arrow batch and its encoding.  A text
     is read whole however long it is, a word too.  Null texts count as empty and have no
     ids; repeated rows are encoded each; an empty table gives an empty one.  Other columns
     are ignored, whatever their names.
-    """
+    """
     bounded_batches(docs.sparkSession)
     with open(tokenizer, encoding="utf-8") as file:
         spec = docs.sparkSession.sparkContext.broadcast(file.read())
@@ -278,12 +281,14 @@ def encode_and_decode(
                         batch.column("doc_id").slice(start, end - start),
                         pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
                         pa.array([bpe.decode(x) for x in ids], pa.string()),
+                        *(batch.column(name).slice(start, end - start) for name in keep),
                     ],
-                    schema=_ARROW,
+                    names=[*_ARROW.names, *keep],
                 )
         release()
 
     rows = docs.select(
-        F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")
+        F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), *keep
     )
-    return rows.mapInArrow(encode, _ROW)
+    kept = dict(rows.dtypes)
+    return rows.mapInArrow(encode, ", ".join([_ROW, *(f"{name} {kept[name]}" for name in keep)]))
