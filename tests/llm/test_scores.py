@@ -76,6 +76,28 @@ def test_toxicity_odd_cases(spark):
     assert toxicity.score(documents(spark, []), judge).collect() == []
 
 
+def test_toxicity_sample_skips_what_does_not_fit(spark):
+    docs = documents(spark, [(i, "w " * (4000 if i % 7 == 0 else 5)) for i in range(40)] + [(i, None) for i in range(40, 60)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(90)], "doc_id bigint, toxic int")
+    # Texts over the budget shut nothing out; labels without a text take no place.
+    short = {t: sum(i % 7 != 0 and i % 2 == t for i in range(40)) for t in (0, 1)}
+    found = toxicity.sample(docs, labels, 60, 3000).collect()
+    assert {t: sum(r.toxic == t for r in found) for t in (0, 1)} == short and {len(r.text) for r in found} == {10}
+    found = toxicity.sample(docs, labels, 17, 30_000).collect()
+    assert {t: sum(r.toxic == t for r in found) for t in (0, 1)} == {0: 17, 1: 17}
+    # Long texts take the room that is left.
+    found = toxicity.sample(docs, labels, 60, 10_000).collect()
+    assert sorted(len(r.text) for r in found if r.toxic) == [10] * short[1] + [8000]
+    assert toxicity.fitting([5, 9, 4, 2, 1], 10) == [True, False, True, False, True]
+
+
+def test_toxicity_class_that_never_fits_is_an_error(spark):
+    docs = documents(spark, [(1, "x" * 500), (2, "x")])
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id bigint, toxic int")
+    with pytest.raises(ValueError):
+        toxicity.train(docs, labels, max_chars=100)
+
+
 def test_class_models_sum_to_one():
     source = np.random.default_rng(1)
     left, right = source.integers(0, 30, 400), source.integers(0, 30, 400)

@@ -157,21 +157,42 @@ def _triples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch([pa.array(c) for c in columns], schema=_TRIPLES_ARROW)
 
 
+def fitting(sizes: list[int], most: int) -> list[bool]:
+    """Which of some texts are taken, in their order: each one that still fits into ``most`` characters."""
+    taken, held = [], 0
+    for size in sizes:
+        taken.append(held + size <= most)
+        held += size if taken[-1] else 0
+    return taken
+
+
 def sample(docs: DataFrame, labels: DataFrame, max_docs: int, max_chars: int) -> DataFrame:
     """``text, toxic, calibrates``: at most ``max_docs`` texts and ``max_chars`` characters of each class.
 
     ``labels`` has ``doc_id, toxic``; a document labelled twice is toxic if either says so.
+    Only labels of documents with a text take up a place; copies of a text under one id are
+    one.  Texts come in the order of the hash of their id, those of more than a hundredth of
+    ``max_chars`` after all others, and one that does not fit is skipped by itself.  If no
+    text of a class fits although there are some, that is an error.
     """
     known = labels.filter("toxic in (0, 1) and doc_id is not null").groupBy("doc_id").agg(
         F.max("toxic").cast("int").alias("toxic")
     )
-    order = W.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
-    picked = known.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= max_docs)
-    # At most 2 * max_docs rows.
-    texts = docs.filter("text is not null").join(F.broadcast(picked), "doc_id").select("doc_id", "text", "toxic", "place")
-    so_far = F.sum(F.length("text")).over(W.partitionBy("toxic").orderBy("place", "doc_id", F.xxhash64("text")))
-    fits = texts.withColumn("so_far", so_far).filter(F.col("so_far") <= max_chars)
-    return written(fits.select("text", "toxic", (F.col("place") % 4 == 3).alias("calibrates")), "toxicity-sample")
+    found = docs.filter("text is not null").withColumns({"chars": F.length("text"), "code": F.xxhash64("text")})
+    labelled = found.select("doc_id", "code", "chars").join(known, "doc_id").dropDuplicates(["doc_id", "code"])
+    order = W.partitionBy("toxic").orderBy(F.col("chars") > max_chars // 100, F.xxhash64("doc_id"), "doc_id", "code")
+    # At most 2 * max_docs rows, of numbers.
+    ranked = labelled.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= max_docs).collect()
+    picked = []
+    for toxic in (0, 1):
+        rows = sorted((r for r in ranked if r.toxic == toxic), key=lambda r: r.place)
+        taken = [r for r, fits in zip(rows, fitting([r.chars for r in rows], max_chars), strict=True) if fits]
+        if rows and not taken:
+            raise ValueError(f"no text labelled {toxic} has at most {max_chars} characters")
+        picked += [(r.doc_id, r.code, toxic, place % 4 == 3) for place, r in enumerate(taken, 1)]
+    frame = docs.sparkSession.createDataFrame(picked, "doc_id bigint, code bigint, toxic int, calibrates boolean")
+    texts = found.select("doc_id", "code", "text").join(F.broadcast(frame), ["doc_id", "code"]).dropDuplicates(["doc_id", "code"])
+    return written(texts.select("text", "toxic", "calibrates"), "toxicity-sample")
 
 
 def train(
@@ -180,7 +201,8 @@ def train(
 ) -> Judge:
     """Models from three quarters of a bounded sample of labelled texts; the rest from the last quarter.
 
-    ``docs`` has ``doc_id, text``.  The pairs of words are counted by Spark; their number is
+    ``docs`` has ``doc_id, text``.  Without labelled texts of both classes the judge knows
+    nothing and scores 0.  The pairs of words are counted by Spark; their number is
     bounded by the sample.  Window and discount are those of the smallest loss on the last
     quarter.  There and in the weights, wrongly accusing the ordinary class counts
     ``caution`` times as much as missing the toxic one.
