@@ -233,6 +233,23 @@ def test_secrets_odd_cases(spark):
     assert len(judged) == 80 and all(r.secret == (r.doc_id < 100) for r in judged)
 
 
+def test_secrets_by_context(spark):
+    """Values of any characters and short ones, next to a word for a credential or a sign."""
+    cases = [
+        ("password = 'Tr0ub4dor&3'", "Tr0ub4dor&3"), ("my passwd: x9.y!", "x9.y!"), ("DB_PASSWORD=a@b#c$d%e~f, then", "a@b#c$d%e~f"),
+        ('{"client_secret": "s3cr.et"}', "s3cr.et"), ("the password is hunter2.", "hunter2"), ("token ab.cd.ef gh", "ab.cd.ef"),
+        ("auth: eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0NTY3ODkwIn0.x-y_z", "eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0NTY3ODkwIn0.x-y_z"),
+        ("x = correct.horse!", "correct.horse!"), ("url ?password=hunter2 x", "hunter2"),
+    ]
+    found = secret_forest.secrets(documents(spark, [(i, t) for i, (t, _) in enumerate(cases)])).collect()
+    for i, (text, value) in enumerate(cases):
+        got = {(r.candidate, r.start, r.end) for r in found if r.doc_id == i}
+        assert (value, text.index(value), text.index(value) + len(value)) in got
+    assert secret_forest.spans("see http://a.b/c at 9:30 = ok, monkey business") == []
+    for text in ("key=" * 50_000, "key " * 50_000, "a='" * 50_000, '="' * 50_000):
+        assert sum(e - s for s, e, _ in secret_forest.spans(text)) <= 3 * len(text)
+
+
 def test_language_statistics(spark):
     speech = secret_forest.language(documents(spark, [(1, "Hello hello wörld ab 12"), (2, None), (3, "hello there")]))
     assert {"hello", "there"} <= speech.words and "ab" not in speech.words

@@ -24,6 +24,17 @@ from veriledger.llm.common import bounded_batches, written
 
 # A run of characters that keys are made of, long enough for one.
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_\-]{16,}={0,2}")
+# What names a value: a word for a credential, with or without a sign or a verb, or a sign alone.
+_CREDENTIAL = re.compile(
+    r"(?:passwords?|passwd|passphrase|pwd|secrets?|tokens?|keys?|credentials?)(?![A-Za-z0-9])"
+    r"[\"'\])]{0,2}\s{0,8}(?P<sign>(?:=>|:=|={1,3}|:(?!//)|is\b|are\b)\s{0,8})?",
+    re.IGNORECASE,
+)
+_SIGN = re.compile(r"(?:=>|:=|={1,3}|:(?!//))[ \t]{0,8}")
+# A value: what stands in quotes, or else up to a blank.
+_VALUE = re.compile(r"\"([^\"\s]++)\"|'([^'\s]++)'|([^\s]++)")
+# The least characters of a value after a word for a credential, and of any other value.
+NAMED, ASSIGNED = 4, 6
 _WORD = re.compile(r"[^\W_]+")
 # Characters of a path that say that its content is an example.
 _EXAMPLE = re.compile(r"test|example|sample|doc|mock|fixture", re.IGNORECASE)
@@ -128,7 +139,48 @@ def _bucket(word: str, size: int) -> int:
     return xxhash.xxh3_64_intdigest(word.lower()) % size
 
 
-def features(text: str, start: int, end: int, path: str, speech: Language) -> tuple[list[float], str, str]:
+def _value(text: str, start: int, least: int) -> tuple[int, int] | None:
+    """Where the value is that begins at ``start``, without quotes and closing punctuation."""
+    m = _VALUE.match(text, start)
+    if not m:
+        return None
+    begin, end = m.span(m.lastindex)
+    if m.lastindex == 3:
+        while begin < end and text[begin] in "\"'([{<":
+            begin += 1
+        while begin < end and text[end - 1] in "\"')]}>,;.":
+            end -= 1
+    return (begin, end) if end - begin >= least else None
+
+
+def spans(text: str) -> list[tuple[int, int, bool]]:
+    """Start and end of every candidate in order, and whether a word for a credential stands before it.
+
+    Runs of key characters; and, whatever their characters, values after a word for a
+    credential or a sign of assignment.  A sign within the value of another one names
+    nothing of its own, so that the candidates are never much longer than the text.
+    """
+    found = {m.span(): False for m in CANDIDATE.finditer(text)}
+    for pattern, least in ((_SIGN, ASSIGNED), (_CREDENTIAL, NAMED)):
+        named, until = pattern is _CREDENTIAL, 0
+        for m in pattern.finditer(text):
+            start, signed = m.end(), not named or m["sign"] is not None
+            if m.start() < until:
+                continue
+            # Without a sign the word stands alone and a blank follows it.
+            if not signed and (not text[start - 1].isspace() or text[max(0, m.start() - 1) : m.start()].isalpha()):
+                continue
+            # A sign stands behind a name: on the same line, with few blanks between.
+            if not named and not text[max(0, m.start() - 4) : m.start()].rpartition("\n")[2].strip():
+                continue
+            place = _value(text, start, least)
+            if place:
+                found[place] = found.get(place, False) or named
+                until = place[1] if signed else until
+    return [(*place, found[place]) for place in sorted(found)]
+
+
+def features(text: str, start: int, end: int, path: str, speech: Language, named: bool = False) -> tuple[list[float], str, str]:
     """What the forest sees of a candidate, and the words before and after it."""
     found = text[start:end]
     n = len(found)
@@ -144,7 +196,7 @@ def features(text: str, start: int, end: int, path: str, speech: Language) -> tu
         speech.transitions(found), speech.coverage(found),
         float(close in ("=", ":") and bool(close)), float(lead[-1:] in ("'", '"') and tail[:1] in ("'", '"') and bool(lead)),
         float(lead[-1:] in ("/", ".", "@")),
-        float(path.count("/")), float(bool(_EXAMPLE.search(path))),
+        float(path.count("/")), float(bool(_EXAMPLE.search(path))), float(named),
     ]
     for size, word in ((EXTENSIONS, path.rpartition(".")[2]), (BEFORE, before), (AFTER, after)):
         hot = [0.0] * size
@@ -165,9 +217,9 @@ def candidates(docs: DataFrame, speech: Language, id_col: str = "doc_id", text_c
             rows = []
             columns = (batch.column(n).to_pylist() for n in ("doc_id", "text", "path"))
             for doc_id, text, path in zip(*columns, strict=True):
-                for m in CANDIDATE.finditer(text or ""):
-                    seen, before, after = features(text, m.start(), m.end(), path or "", shared.value)
-                    rows.append((doc_id, m.start(), m.end(), m.group(), before, after, seen))
+                for start, end, named in spans(text or ""):
+                    seen, before, after = features(text, start, end, path or "", shared.value, named)
+                    rows.append((doc_id, start, end, text[start:end], before, after, seen))
             if rows:
                 columns = zip(*rows, strict=True)
                 yield pa.record_batch([pa.array(c, f.type) for c, f in zip(columns, _FINDING_ARROW, strict=True)], schema=_FINDING_ARROW)
@@ -183,13 +235,18 @@ def known_formats(findings: DataFrame) -> Column:
 
     Stands in for findings labelled by people, of which there is no table: access keys of a
     known issuer and long hexadecimal values assigned to a word for a credential are
-    secrets; words without a digit and bare numbers are none.
+    secrets, and so are values of three kinds of characters after a word for a password;
+    words without a digit and bare numbers are none, unless they follow such a word.
     """
     credential = F.lower(F.col("before")).isin("token", "password", "passwd", "secret", "key", "apikey")
+    password = F.lower(F.col("before")).rlike("^(password|passwd|passphrase|pwd)s?$")
+    mixed = F.col("candidate").rlike(r"^(?=.*[A-Za-z])(?=.*[0-9])(?=.*[^A-Za-z0-9])[^<>{}()\[\]$]{8,}$")
     hexadecimal = F.col("candidate").rlike("^[0-9a-f]{18,}$")
     return (
         F.when(F.col("candidate").rlike("^AKIA[0-9A-Z]{16}$"), 1)
         .when(hexadecimal & credential, 1)
+        .when(password & mixed, 1)
+        .when(password, None)
         .when(F.col("candidate").rlike("^[0-9]+$") | ~F.col("candidate").rlike("[0-9]"), 0)
     )
 
