@@ -271,16 +271,21 @@ def prefix_trie(conversations: DataFrame, per_block: int = 8) -> DataFrame:
         )
     )
 
-    # The root, and who a parent's smallest member is.
-    everyone = spines.filter("block = 0").agg(F.count("*").alias("n_convs"), F.min("conv_id").alias("conv_id")).filter("n_convs > 0")
-    top = everyone.withColumn("node", F.lit(START))
-    root = (
-        top.join(following, "node", "left").join(behind, "node", "left")
-        .select(
-            "node", F.lit(None).cast("binary").alias("parent"), "conv_id", F.lit(0).alias("depth"),
-            F.lit(None).cast("bigint").alias("known_parent"), "n_convs", F.coalesce("outer", F.lit(0)).alias("n_children"),
-            F.coalesce("more_leaves", F.lit(1)).alias("n_leaves"), F.coalesce("more_saved", F.lit(0)).alias("saved_tokens"),
-        )
+    # The root: one row, put together from what is known of it.
+    nothing = {c: F.lit(None).cast("bigint") for c in ("n_convs", "conv_id", "outer", "more_leaves", "more_saved")}
+
+    def of_root(frame: DataFrame) -> DataFrame:
+        return frame.select(*[F.col(c) if c in frame.columns else v.alias(c) for c, v in nothing.items()])
+
+    everyone = spines.filter("block = 0").groupBy().agg(F.count("*").alias("n_convs"), F.min("conv_id").alias("conv_id"))
+    known = of_root(everyone).unionByName(of_root(following.filter(F.col("node") == START))).unionByName(
+        of_root(behind.filter(F.col("node") == START))
+    )
+    top = known.groupBy().agg(*[F.max(c).alias(c) for c in nothing]).filter("n_convs > 0").withColumn("node", F.lit(START))
+    root = top.select(
+        "node", F.lit(None).cast("binary").alias("parent"), "conv_id", F.lit(0).alias("depth"),
+        F.lit(None).cast("bigint").alias("known_parent"), "n_convs", F.coalesce("outer", F.lit(0)).alias("n_children"),
+        F.coalesce("more_leaves", F.lit(1)).alias("n_leaves"), F.coalesce("more_saved", F.lit(0)).alias("saved_tokens"),
     )
     parents = (
         forked.select("node", "conv_id").unionByName(straight.filter("full").select("node", "conv_id"))
