@@ -6,7 +6,7 @@ import corpus_pipeline
 import duckdb
 import pyarrow.parquet as pq
 import pytest
-from samples import SF, components, documents
+from samples import SF, components, documents, prose
 from tokenizers import Tokenizer
 
 from veriledger.llm import queries, toxicity
@@ -36,8 +36,9 @@ def test_columns(steps):
 def test_toxic_documents_go(spark, steps):
     before, after, _, docs, _ = steps[0]
     labels = spark.read.parquet(f"{SF}/labels.parquet").filter(remainder("doc_id", 5) != 0)
-    scores = {r.doc_id: r.score for r in toxicity.score(docs, toxicity.train(docs, labels)).collect()}
-    assert sorted(after) == sorted(r for r in before if scores[r.doc_id] < 0.5)
+    judge = toxicity.train(docs, labels, lost=corpus_pipeline.LOST)
+    scores = {r.doc_id: r.score for r in toxicity.score(docs, judge).collect()}
+    assert sorted(after) == sorted(r for r in before if scores[r.doc_id] < judge.threshold)
 
 
 def test_recurring_lines_go(steps):
@@ -87,13 +88,24 @@ def test_run_applies_all_stages(spark, steps):
     )
 
 
+ODD_NAMES = [
+    "file", "at", "start", "n", "toxic_score", "n_lines", "n_dropped", "gone_id", "gone_lines", "kept_3", "mix_slot", "offset",
+    "kept", "copies", "group", "block", "ids", "decoded", "code", "chars", "calibrates", "toxic",
+]
+
+
 def test_stages_take_odd_documents(spark):
     rows = [(1, None), (2, ""), (3, "\n\n"), (4, "a b c d"), (5, "a b c d"), (6, "x" * 3000), (None, "no id")]
-    docs = documents(spark, rows)
+    rows += [(7, "one of three equal rows, as it stands")] * 3 + [(8, prose(3, 60_000))]
+    docs = documents(spark, rows, ODD_NAMES)
     for i, (_, stage) in enumerate(corpus_pipeline.STAGES):
-        docs = spark.createDataFrame(stage(spark, docs, SF).collect() or [], docs.schema if i < 4 else stage(spark, docs, SF).schema)
-    assert sorted((r.doc_id for r in docs.collect()), key=str) == [1, 2, 3, 4, 6, None]
-    empty = documents(spark, [])
+        found = stage(spark, docs, SF)
+        if i < 4:
+            assert found.columns == docs.columns
+            assert all(r[c] == "x" for r in found.collect() for c in ODD_NAMES)
+        docs = spark.createDataFrame(found.collect() or [], docs.schema if i < 4 else found.schema)
+    assert sorted((r.doc_id for r in docs.collect()), key=str) == [1, 2, 3, 4, 6, 7, 8, None]
+    empty = documents(spark, [], ODD_NAMES)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, SF).collect() == []
 

@@ -8,6 +8,8 @@ positions share the leaf's template, every other line is a template of its own.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -71,7 +73,7 @@ def _passing(lines: DataFrame, bitmap: DataFrame) -> DataFrame:
     )
 
 
-def _generalised(shapes: DataFrame, docs: DataFrame, depth: int, least_tokens: int, similarity: float) -> DataFrame:
+def _generalised(shapes: DataFrame, lines: DataFrame, similarity: float) -> DataFrame:
     """``leaf, code`` of the different lines that share the template of their leaf."""
     leaves = shapes.groupBy("leaf").agg(
         F.count("*").alias("different"), F.min("first").alias("first"), F.max("last").alias("last")
@@ -79,7 +81,7 @@ def _generalised(shapes: DataFrame, docs: DataFrame, depth: int, least_tokens: i
     several = written(leaves.filter("different > 1 and first < last").select("leaf", "different"), "leaves")
     # The text of each different line, from the document where it comes first.
     wanted = shapes.join(several, "leaf").select("leaf", "code", F.col("first").alias("doc"), "different")
-    texts = _passing(_lines(docs, depth, least_tokens), _filter_of(several)).select("leaf", "code", "doc", "shape", "tokens")
+    texts = _passing(lines, _filter_of(several)).select("leaf", "code", "doc", "shape", "tokens")
     found = texts.join(wanted, ["leaf", "code", "doc"]).dropDuplicates(["leaf", "code"])
     tokens = written(
         found.select("leaf", "code", "different", "tokens", F.posexplode(F.split("shape", " ")).alias("place", "token")),
@@ -111,11 +113,12 @@ def recurring_lines(
     several different lines is shuffled, behind a filter of fixed size.
     """
     plain = docs.select(F.col(id_col).cast("bigint").alias("doc"), F.col(text_col).alias("text"))
-    lines = written(_lines(plain, depth, least_tokens).select("doc", "line", "leaf", "code"), "lines")
+    # Texts are split and masked once; what follows reads the columns it needs of this table.
+    lines = written(_lines(plain, depth, least_tokens), "lines")
     shapes = written(
         lines.groupBy("leaf", "code").agg(F.min("doc").alias("first"), F.max("doc").alias("last")), "shapes"
     )
-    general = written(_generalised(shapes, plain, depth, least_tokens, similarity), "generalised")
+    general = written(_generalised(shapes, lines, similarity), "generalised")
     members = shapes.join(general, ["leaf", "code"])
     shared = members.groupBy("leaf").agg(F.min("first").alias("first"), F.max("last").alias("last")).filter("first < last")
     by_leaf = members.select("leaf", "code").join(shared.select("leaf", "first"), "leaf").select("leaf", "code", "first")
@@ -138,17 +141,18 @@ def without_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: s
     Other columns are kept as they are; ``n_lines`` and ``n_dropped`` replace columns of
     those names.
     """
-    gone = recurring_lines(docs, id_col, text_col, **options).withColumnRenamed("doc_id", "gone_id")
-    joined = docs.join(gone.withColumnRenamed("dropped", "gone_lines"), docs[id_col] == F.col("gone_id"), "left")
-    lines = F.split(docs[text_col], "\n")
-    stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("gone_lines"))
-    text = F.when(F.col("gone_lines").isNull(), docs[text_col]).otherwise(
-        F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "\n")
-    )
-    kept = [docs[c] for c in docs.columns if c not in (text_col, "n_lines", "n_dropped")]
-    order = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
+    # Names of its own, whatever the columns of ``docs`` are called.
+    gone_id, gone_lines = (f"__{uuid.uuid4().hex}" for _ in range(2))
+    gone = recurring_lines(docs, id_col, text_col, **options).withColumnsRenamed({"doc_id": gone_id, "dropped": gone_lines})
+    joined = docs.join(gone, docs[id_col] == F.col(gone_id), "left")
+    source, dropped = docs[text_col], F.col(gone_lines)
+    lines = F.split(source, "\n")
+    stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), dropped)
+    text = F.when(dropped.isNull(), source).otherwise(F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "\n"))
+    feeds = F.length(source) - F.length(F.replace(source, F.lit("\n"), F.lit("")))
+    kept = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
     return joined.select(
-        *kept, text.alias(text_col),
-        F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("n_lines"),
-        F.coalesce(F.size("gone_lines"), F.lit(0)).cast("long").alias("n_dropped"),
-    ).select(*order, "n_lines", "n_dropped")
+        *[text.alias(c) if c == text_col else docs[c] for c in kept],
+        F.coalesce(feeds + 1, F.lit(0)).cast("long").alias("n_lines"),
+        F.coalesce(F.size(dropped), F.lit(0)).cast("long").alias("n_dropped"),
+    )

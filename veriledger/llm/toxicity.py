@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -133,11 +133,16 @@ def logistic(x: np.ndarray, y: np.ndarray, share: np.ndarray, steps: int = 50, r
 
 @dataclass(frozen=True)
 class Judge:
-    """What a score needs: the models, the window and the weights of the evidence."""
+    """What a score needs: the models, the window and the weights of the evidence.
+
+    ``threshold`` is the score from which a document may be rejected at the stated loss of
+    ordinary ones.
+    """
 
     models: ClassModels | None
     window: int
     weights: np.ndarray
+    threshold: float = 0.5
 
     def scores(self, codes: list[np.ndarray]) -> np.ndarray:
         if self.models is None:
@@ -148,6 +153,15 @@ class Judge:
         return 1 / (1 + np.exp(-np.clip(self.weights[0] + found @ self.weights[1:], -30, 30)))
 
 
+def threshold(chances: np.ndarray, truth: np.ndarray, lost: float) -> float:
+    """The smallest score, 0.5 at most, that no more than a share ``lost`` of the ordinary texts reaches."""
+    ordinary = np.sort(chances[truth == 0])
+    if not len(ordinary):
+        return 0.5
+    allowed = int(lost * len(ordinary))
+    return float(min(0.5, np.nextafter(ordinary[len(ordinary) - 1 - allowed], 1)))
+
+
 def _triples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     read = Reader()
     for batch in batches:
@@ -197,7 +211,7 @@ def sample(docs: DataFrame, labels: DataFrame, max_docs: int, max_chars: int) ->
 
 def train(
     docs: DataFrame, labels: DataFrame, max_docs: int = 3000, max_chars: int = 30_000_000, caution: float = 3.0,
-    windows: tuple[int, ...] = (1, 2, 4), discounts: tuple[float, ...] = (1, 2, 4, 8, 16, 32, 64),
+    windows: tuple[int, ...] = (1, 2, 4), discounts: tuple[float, ...] = (1, 2, 4, 8, 16, 32, 64), lost: float = 0.04,
 ) -> Judge:
     """Models from three quarters of a bounded sample of labelled texts; the rest from the last quarter.
 
@@ -205,7 +219,8 @@ def train(
     nothing and scores 0.  The pairs of words are counted by Spark; their number is
     bounded by the sample.  Window and discount are those of the smallest loss on the last
     quarter.  There and in the weights, wrongly accusing the ordinary class counts
-    ``caution`` times as much as missing the toxic one.
+    ``caution`` times as much as missing the toxic one.  ``lost`` is the share of the
+    ordinary texts of that quarter that may reach the threshold of the judge.
     """
     texts = sample(docs, labels, max_docs, max_chars)
     best, least = Judge(None, windows[0], np.zeros(3)), np.inf
@@ -248,7 +263,7 @@ def train(
             p = np.clip(judge.chances(found), 1e-6, 1 - 1e-6)
             loss = -(share * np.log(np.where(truth > 0, p, 1 - p))).sum()
             if loss < least:
-                best, least = judge, loss
+                best, least = replace(judge, threshold=threshold(p, truth, lost)), loss
     return best
 
 
