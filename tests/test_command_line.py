@@ -17,7 +17,7 @@ def test_generate_judge_summarise_delete(spark, tmp_path, capsys):
     assert (report["run_id"], report["valid"]) == ("20240506T120000", 300)
 
     spark.sql("select * from values ('GEL') as t(currency_code)").write.parquet(str(tmp_path / "codes"))
-    assert call(*etl, "--currencies", "GEL,EUR,USD")["run_id"] == "20240506T120000"
+    assert call(*etl, "--currencies", "GEL,EUR,USD")["valid"] == 0  # no new files
     report = call(*etl, "--currency-path", tmp_path / "codes", "--run-id", "only-gel")
     assert 0 < report["valid"] < 300 and report["valid"] + report["invalid"] == 300
 
@@ -37,10 +37,22 @@ def test_generate_judge_summarise_delete(spark, tmp_path, capsys):
     assert call(*etl, "--currencies", "GEL", "--run-id", "one-code")["valid"] == report["valid"]
     assert call(*base, tmp_path / "exact", "--exact", "--run-id", "one-code") == {"runs": ["one-code"]}
 
-    # Other inputs in the same slot: a run of its own.
+    # New files in the same slot: a run of its own over these alone.
     call("generate", "--out", feed, "--customers", 20, "--transactions", 100)
     other = call(*etl, "--currencies", "GEL,EUR,USD")
-    assert (other["run_id"], other["valid"]) == ("20240506T120000-2", 400)
+    assert (other["run_id"], other["valid"]) == ("20240506T120000-2", 100)
+
+    call("compact", "--marts", marts, "--into", tmp_path / "compact")
+    assert total(tmp_path / "compact") == total(marts)
+    assert call("prune", "--table", table) == {"deleted": 0}
+
+    call("generate", "--out", feed, "--customers", 20, "--transactions", 50)
+    assert call("delete", "--feed", feed / "transactions", "--read-by", table)["deleted"] > 0
+    last = call(*etl, "--currencies", "GEL,EUR,USD", "--dimension", tmp_path / "dim", "--run-id", "last")
+    assert last["valid"] == 50
+    again = call("orphans", "--table", table, "--dimension", tmp_path / "dim", "--currencies", "GEL")
+    assert again["valid"] == again["orphan"] == 0
+    call("compact", "--dimension", tmp_path / "dim", "--into", tmp_path / "small")
 
     assert call("delete", "--feed", feed / "trans") == {"deleted": 0}
     assert call("delete", "--prefix", feed / "trans") == {"deleted": 1}

@@ -1,3 +1,5 @@
+import json
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 from datetime import datetime, timedelta
 
@@ -20,9 +22,11 @@ from veriledger.plans.marts import (
 )
 from veriledger.schemas import MONTHLY_DDL, PER_CUSTOMER_DDL, PER_MERCHANT_DDL, RUN_TABLE_DDL, column_names
 from veriledger.sources import synthetic
-from veriledger.sources.cleanup import delete_prefix
+from veriledger.sources.cleanup import delete_consumed, delete_prefix
 from veriledger.sources.feeds import read_customers, read_transactions
-from veriledger.sources.run_tables import RunTaken, has_run, lookback, read_runs, write_run
+from veriledger.sources.run_tables import (
+    RunTaken, has_run, lookback, manifests, prune_attempts, read_lookback, read_manifest, read_runs, write_run,
+)
 
 
 @pytest.fixture
@@ -229,7 +233,7 @@ def test_marts_of_runs(spark, run, tmp_path):
 
 def test_marts_need_a_finished_run(spark, run, tmp_path):
     etl.run_etl(spark, run)
-    (tmp_path / "judged" / "run_id=r1" / "_SUCCESS").unlink()
+    (tmp_path / "judged" / "_manifests" / "run-r1.json").unlink()
     with pytest.raises(ValueError):
         run_marts(spark, run.table, str(tmp_path / "marts"), ["r1"])
 
@@ -241,10 +245,10 @@ def test_pending_runs_are_summarised_once(spark, run, tmp_path):
     assert run_marts(spark, run.table, folder) == ["r1"]
     for i in (3, 2):
         etl.run_etl(spark, replace(run, run_id=f"r{i}", run_time=RUN_TIME + timedelta(hours=6 * i)))
-    (tmp_path / "judged" / "run_id=r3" / "_SUCCESS").unlink()
+    (tmp_path / "judged" / "_manifests" / "run-r3.json").unlink()
     assert run_marts(spark, run.table, folder) == ["r2"]
     assert run_marts(spark, run.table, folder) == []
-    (tmp_path / "marts" / MONTHLY / "run_id=r2" / "_SUCCESS").unlink()
+    (tmp_path / "marts" / MONTHLY / "_manifests" / "run-r2.json").unlink()
     assert run_marts(spark, run.table, folder) == ["r2"]
     got = {r.customer_id: r.num_transactions for r in read_mart(spark, folder, PER_CUSTOMER).collect()}
     assert got["c14"] == 2
@@ -301,7 +305,7 @@ def test_unfinished_runs_are_read_nowhere(spark, run, tmp_path):
     etl.run_etl(spark, run)
     second = replace(run, run_id="r2", run_time=RUN_TIME + timedelta(hours=6))
     etl.run_etl(spark, second)
-    (tmp_path / "judged" / "run_id=r2" / "_SUCCESS").unlink()
+    (tmp_path / "judged" / "_manifests" / "run-r2.json").unlink()
     for ids in (None, ["r1", "r2"], ["r1", "r2", "r3"]):
         assert {r.run_id for r in read_runs(spark, run.table, RUN_TABLE_DDL, ids).collect()} == {"r1"}
     assert read_runs(spark, run.table, RUN_TABLE_DDL, ["r2"]).isEmpty()
@@ -318,13 +322,101 @@ def test_a_run_of_another_owner_is_not_replaced(spark, run):
     etl.run_etl(spark, replace(run, owner="one"))
 
 
-def test_unnamed_runs_of_other_inputs_stand_beside_each_other(spark, run, tmp_path):
+def test_unnamed_runs_read_only_new_files(spark, run, tmp_path):
     slot = replace(run, named=False)
-    assert etl.run_etl(spark, slot)["run_id"] == "r1"
-    assert etl.run_etl(spark, slot)["run_id"] == "r1"
-    other = write_lines(tmp_path / "other", [{**BASE, "transaction_id": "fresh"}])
-    assert etl.run_etl(spark, replace(slot, transactions=other))["run_id"] == "r1-2"
-    assert set(r.run_id for r in read_runs(spark, run.table, RUN_TABLE_DDL).collect()) == {"r1", "r1-2"}
+    first = etl.run_etl(spark, slot)
+    assert first["run_id"] == "r1" and first["valid"] == counts_in(CASES, "valid")
+    # Retried without a new file: nothing to do.
+    assert etl.run_etl(spark, slot)["valid"] == 0
+    # Retried after another file has landed: that file only.
+    write_lines(tmp_path / "transactions", [{**BASE, "transaction_id": "fresh"}], name="later [1].json")
+    again = etl.run_etl(spark, slot)
+    assert (again["run_id"], again["valid"], again["invalid"]) == ("r1-2", 1, 0)
+    rows = read_runs(spark, run.table, RUN_TABLE_DDL)
+    assert rows.where("transaction_id = 'fresh'").count() == 1
+    assert rows.count() == len(CASES) + len(MALFORMED) + 1
+    # A file written anew is new; a named run may keep to new files too.
+    write_lines(tmp_path / "transactions", [{**BASE, "transaction_id": i} for i in "xy"], name="later [1].json")
+    named = replace(run, run_id="n", new_files=True)
+    assert etl.run_etl(spark, named)["valid"] == 2
+    assert etl.run_etl(spark, named)["valid"] == 2  # repeated, it replaces itself
+    assert read_runs(spark, run.table, RUN_TABLE_DDL).where("run_id = 'n'").count() == 2
+
+
+def test_files_of_an_attempt_that_does_not_count_are_still_new(spark, run, tmp_path):
+    slot = replace(run, named=False)
+    etl.run_etl(spark, slot)
+    (tmp_path / "judged" / "_manifests" / "run-r1.json").unlink()
+    assert etl.run_etl(spark, slot)["valid"] == counts_in(CASES, "valid")
+    assert read_runs(spark, run.table, RUN_TABLE_DDL).count() == len(CASES) + len(MALFORMED)
+
+
+def test_only_files_that_were_read_are_deleted(spark, run, tmp_path):
+    etl.run_etl(spark, replace(run, named=False))
+    write_lines(tmp_path / "transactions", [{**BASE, "transaction_id": "fresh"}], name="later.json")
+    assert delete_consumed(spark, run.transactions, run.table) == 1
+    assert [p.name for p in (tmp_path / "transactions").glob("*.json")] == ["later.json"]
+    assert delete_consumed(spark, run.transactions, run.table) == 0
+
+
+def test_new_customer_files_only_go_into_the_dimension(spark, run, tmp_path):
+    slot = replace(run, named=False, dimension=str(tmp_path / "dim"))
+    etl.run_etl(spark, slot)
+    write_lines(tmp_path / "customers", [{"customer_id": "new", "age": 30}], name="more.json")
+    write_lines(tmp_path / "transactions", [{**BASE, "transaction_id": "n", "customer_id": "new"}], name="more.json")
+    assert etl.run_etl(spark, slot)["valid"] == 1
+    versions = read_runs(spark, slot.dimension, etl.VERSIONS_DDL)
+    assert versions.where("run_id = 'r1-2'").count() == 1
+
+
+def test_of_two_writers_of_a_run_one_wins(spark, tmp_path):
+    table = str(tmp_path / "t")
+    frames = {n: spark.range(n, n + 1).selectExpr("id as n").withColumn("pad", F.lit("x")) for n in range(8)}
+
+    def write(n):
+        try:
+            write_run(frames[n], table, "r", owner=f"writer {n}")
+            return n
+        except RunTaken:
+            return None
+
+    with ThreadPoolExecutor(8) as pool:
+        won = [n for n in pool.map(write, frames) if n is not None]
+    rows = read_runs(spark, table, "n bigint, pad string, run_id string").collect()
+    assert len(rows) == 1 and rows[0].n in won
+    assert read_manifest(spark, table, "r")["owner"] == f"writer {rows[0].n}"
+
+
+def test_a_reader_during_a_repetition_sees_the_old_rows(spark, tmp_path):
+    table, ddl = str(tmp_path / "t"), "id bigint, run_id string"
+    write_run(spark.range(3), table, "r")
+    before = read_runs(spark, table, ddl)
+    write_run(spark.range(5), table, "r")
+    assert (before.count(), read_runs(spark, table, ddl).count()) == (3, 5)
+    assert prune_attempts(spark, table) == 0  # too young
+    assert prune_attempts(spark, table, timedelta(seconds=-1)) == 1
+    assert read_runs(spark, table, ddl).count() == 5
+
+
+def test_a_lookback_opens_only_the_runs_in_its_time(spark, tmp_path):
+    table = str(tmp_path / "t")
+    stamp = F.timestamp_micros(F.lit(0))
+    rows = spark.range(1).withColumns({"upload_time": stamp, "upload_hour": stamp})
+    write_run(rows, table, "proto", ["upload_hour"])
+    model = read_manifest(spark, table, "proto")
+    # A table of a thousand runs, of which only a manifest is left for all but one.
+    for hour in range(1000):
+        when = datetime(2024, 1, 1) + timedelta(hours=hour)
+        manifest = {**model, "run_id": f"r{hour}", "from_time": str(when), "to_time": str(when)}
+        (tmp_path / "t" / "_manifests" / f"run-r{hour}.json").write_text(json.dumps(manifest))
+    (tmp_path / "t" / "_manifests" / "run-proto.json").unlink()
+    when = datetime(2024, 1, 1) + timedelta(hours=999)
+    last = rows.withColumns({c: F.lit(str(when)).cast("timestamp") for c in ("upload_time", "upload_hour")})
+    write_run(last, table, "r999", ["upload_hour"], times=(when, when))
+    ddl = "id bigint, upload_time timestamp, run_id string, upload_hour timestamp"
+    # Any other run's folder is missing, so to open one would fail.
+    assert read_lookback(spark, table, ddl, when, 0.5).count() == 1
+    assert manifests(spark, table, when - timedelta(hours=6)).count() == 7
 
 
 def test_marts_follow_a_repeated_run(spark, run, tmp_path):

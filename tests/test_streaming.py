@@ -10,7 +10,7 @@ from veriledger.schemas import RUN_TABLE_DDL, TRANSACTION_DDL
 from veriledger.sources.run_tables import read_runs
 from veriledger.streaming.bounded import dedup_stream, late_rows, window_totals
 from veriledger.streaming.incremental import stream_customers, stream_transactions
-from veriledger.streaming.landing import land, read_landed, read_messages
+from veriledger.streaming.landing import _land_batch, land, read_landed, read_messages
 
 
 def finish(query):
@@ -30,6 +30,53 @@ def test_landing_keeps_each_message_once(spark, tmp_path):
         assert got.count() == wave
 
 
+def forget_commit(check, batch):
+    """As after a crash between the write and the commit of a batch."""
+    (check / "commits" / str(batch)).unlink()
+    (check / "commits" / f".{batch}.crc").unlink(missing_ok=True)
+
+
+def test_a_landed_batch_done_again_adds_nothing(spark, feed, tmp_path):
+    feed.land_customers(CUSTOMERS, "c.json")
+    queue, landing, check = tmp_path / "queue", tmp_path / "tx", tmp_path / "land-check"
+
+    def land_all():
+        finish(land(read_messages(spark, path=str(queue)), str(landing), str(check)))
+
+    write_lines(queue, [{**BASE, "transaction_id": "t1"}], name="1.txt")
+    land_all()
+    feed.judge()
+    forget_commit(check, 0)
+    land_all()
+    feed.judge()
+    assert outcome(feed.table()) == [("t1", "valid")]
+    # Deleted by its reader, it does not come back either.
+    (file,) = landing.glob("*.json")
+    file.unlink()
+    forget_commit(check, 0)
+    land_all()
+    assert list(landing.glob("*.json")) == []
+
+
+def test_a_batch_that_broke_off_while_landing_is_completed(spark, tmp_path):
+    landing, frame = str(tmp_path / "landing"), spark.createDataFrame([(str(i),) for i in range(40)], "value string").repartition(4)
+    _land_batch(frame, landing, "s", 3)
+    files = sorted((tmp_path / "landing").glob("*.json"))
+    assert len(files) == 4 and sorted(spark.read.text(landing).toPandas().value) == sorted(str(i) for i in range(40))
+    # Back to the moment when two of the files had been moved and one of them had been deleted.
+    aside = tmp_path / "landing" / "_landing" / "stream-s-batch-000000003"
+    aside.mkdir()
+    (aside / "_SUCCESS").touch()
+    (aside.parent / f"{aside.name}.done").unlink()
+    for number, file in enumerate(files[2:], 2):
+        file.rename(aside / f"part-{number:05d}-x.txt")
+    files[0].unlink()
+    _land_batch(spark.createDataFrame([("never written",)], "value string"), landing, "s", 3)
+    assert sorted((tmp_path / "landing").glob("*.json")) == files[1:]
+    assert "never written" not in spark.read.text(landing).toPandas().value.tolist()
+    assert [p.name for p in aside.parent.glob("*.done")] == ["stream-s-batch-000000003.done"]
+
+
 @pytest.fixture
 def feed(spark, tmp_path):
     ticks = iter(RUN_TIME + timedelta(minutes=i) for i in range(1000))
@@ -100,7 +147,7 @@ def test_landed_files_go_once_they_are_judged(spark, feed, tmp_path):
         write_lines(queue, [{**BASE, "transaction_id": f"t{wave}"}], name=f"{wave}.txt")
         finish(land(read_messages(spark, path=str(queue)), str(landing), str(tmp_path / "land-check")))
         feed.judge(clean="delete")
-    left = [p for p in landing.rglob("part-*") if p.stat().st_size]
+    left = [p for p in landing.glob("*.json") if p.stat().st_size]
     assert len(left) == 1
     assert outcome(feed.table()) == [(f"t{i}", "valid") for i in range(3)]
 
@@ -132,10 +179,7 @@ def test_a_batch_done_again_counts_once(spark, feed, tmp_path):
     write_lines(tmp_path / "tx", transactions(), name="1.json")
     feed.judge()
     before = outcome(feed.table())
-    # As after a crash between the write and the commit of the batch.
-    commit = tmp_path / "tx-check" / "commits" / "0"
-    commit.unlink()
-    (tmp_path / "tx-check" / "commits" / ".0.crc").unlink(missing_ok=True)
+    forget_commit(tmp_path / "tx-check", 0)
     feed.judge()
     assert outcome(feed.table()) == before
 

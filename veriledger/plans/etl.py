@@ -41,15 +41,22 @@ from veriledger.schemas import (
     RUN_TABLE_DDL,
     TRANSACTION_COLUMNS,
 )
-from veriledger.session import fingerprint, pin_session
+from veriledger.session import pin_session
 from veriledger.sources.catalog import keep_registered
 from veriledger.sources.feeds import (
-    feed_pattern,
+    feed_files,
     read_currencies,
     read_customers_with_raw,
     read_transactions_with_raw,
 )
-from veriledger.sources.run_tables import free_run_id, lookback, read_runs, write_run
+from veriledger.sources.run_tables import (
+    check_owner,
+    consumed_files,
+    free_run_id,
+    read_lookback,
+    read_runs,
+    write_run,
+)
 
 log = logging.getLogger(__name__)
 
@@ -134,9 +141,10 @@ class EtlRun:
     ``rebalance`` spends one more shuffle on even files: otherwise each task of the join
     writes a file of its own for every verdict it meets, most of them small.  ``rules`` takes
     the place of the default rules and their ``limits``.  A run that is not ``named``, whose id
-    is just its time slot, never replaces a run of other inputs: it takes the next free id.
-    ``owner`` signs the run; one signed by another owner is not replaced.  ``catalog`` is the
-    name of a table of the session catalog to be kept over the run table.
+    is just its time slot, never replaces a run: it takes the next free id and reads only
+    the transaction files that no finished run of the table has read, and so does a named one
+    with ``new_files``.  ``owner`` signs the run; one signed by another owner is not replaced.
+    ``catalog`` is the name of a table of the session catalog to be kept over the run table.
     """
 
     run_id: str
@@ -153,16 +161,18 @@ class EtlRun:
     rebalance: bool = False
     rules: Sequence[Rule] | None = None
     named: bool = True
+    new_files: bool = False
     owner: str | None = None
     catalog: str | None = None
     currency_table: bool | None = None
 
 
 def write_customer_versions(
-    customers: DataFrame, dimension: str, run_id: str, run_time: datetime, owner: str | None = None
+    customers: DataFrame, dimension: str, run_id: str, run_time: datetime, owner: str | None = None, consumed: DataFrame | None = None
 ) -> str:
     """Add the customers of one run to the dimension, replacing an earlier attempt."""
-    return write_run(as_versions(customers, run_time), dimension, run_id, owner=owner)
+    rows = as_versions(customers, run_time)
+    return write_run(rows, dimension, run_id, owner=owner, times=(run_time, run_time), consumed=consumed)
 
 
 def _read_versions(spark: SparkSession, dimension: str) -> DataFrame:
@@ -188,8 +198,7 @@ def seen_ids(spark: SparkSession, run: EtlRun) -> DataFrame:
 
     Orphans were not judged: one that is sent again may have a customer by now.
     """
-    table = read_runs(spark, run.table, RUN_TABLE_DDL)
-    recent = lookback(table, run.run_time, run.skip_seen_hours)
+    recent = read_lookback(spark, run.table, RUN_TABLE_DDL, run.run_time, run.skip_seen_hours)
     return recent.where(
         F.col("verdict").isin(*JUDGED)
         & (F.col("run_id") != run.run_id)
@@ -232,10 +241,12 @@ def run_on(
     customers: DataFrame,
     run: EtlRun,
     unique_customers: bool = False,
+    consumed: DataFrame | None = None,
 ) -> dict[str, int]:
     """Judge the given frames and write them as the run; returns rows per verdict.
 
-    The counts are observed while writing, so they cost no job of their own.
+    The counts are observed while writing, so they cost no job of their own.  ``consumed``
+    lists the files the transactions come from; it counts once the run does.
     """
     seen = None if run.skip_seen_hours is None else seen_ids(spark, run)
     codes = run.currencies
@@ -249,41 +260,73 @@ def run_on(
     )
     if run.rebalance:
         observed = observed.hint("rebalance", "verdict")
+    report: dict[str, int] = {}
+
+    def counted() -> dict[str, int]:
+        report.update({verdict: 0 for verdict in VERDICTS} | _observed(counts))
+        return report
+
     path = write_run(
-        observed, run.table, run.run_id, ["verdict", "upload_hour"], owner=run.owner
-    )
+        observed, run.table, run.run_id, ["verdict", "upload_hour"], owner=run.owner,
+        times=(run.run_time, run.run_time), counts=counted, consumed=consumed,
+    )
     if run.catalog:
-        keep_registered(spark, run.catalog, run.table, RUN_TABLE_DDL, RUN_LEVELS, run.run_id)
-    report = {verdict: 0 for verdict in VERDICTS} | _observed(counts)
+        keep_registered(spark, run.catalog, run.table, RUN_TABLE_DDL, RUN_LEVELS, run.run_id, path)
     log.info("run %s written to %s: %s", run.run_id, path, report)
     return report
 
 
+def _unread(spark: SparkSession, feed: str, run: EtlRun, table: str) -> DataFrame:
+    """The files of a feed that no other finished run of a table has read, as they are now."""
+    files = feed_files(spark, feed, run.prefix)
+    return files.join(consumed_files(spark, table, run.run_id), files.columns, "left_anti")
+
+
+def _pinned(spark: SparkSession, files: DataFrame) -> tuple[DataFrame, list[str]]:
+    """A list of files that stays as it is now, and its paths; one row a file of the run."""
+    rows = files.collect()
+    return spark.createDataFrame(rows, files.schema), [r.path for r in rows]
+
+
 def run_etl(spark: SparkSession, run: EtlRun) -> dict[str, int]:
-    """One batch run from the JSON feeds; returns rows per verdict and bad customer lines."""
+    """One batch run from the JSON feeds; returns rows per verdict and bad customer lines.
+
+    A run that reads only new files and finds none writes nothing.  Files that land while a
+    run is working belong to a later one, since the files of a run are listed at its start.
+    """
     pin_session(spark)
     if run.customers is None and run.dimension is None:
         raise ValueError("a run needs a customer feed or a dimension")
+    latest = run.run_id
     if not run.named:
-        feeds = [f for f in (run.customers, run.transactions) if f]
-        owner = fingerprint(spark, *[feed_pattern(f, run.prefix) for f in feeds])
-        run = replace(run, owner=owner, run_id=free_run_id(spark, run.table, run.run_id, owner))
-    transactions = read_transactions_with_raw(
-        spark, run.transactions, run.prefix, run.double_amounts
-    )
+        run = replace(run, run_id=free_run_id(spark, run.table, run.run_id))
+    only_new = run.new_files or not run.named
+    if only_new:
+        files, paths = _pinned(spark, _unread(spark, run.transactions, run, run.table))
+        if not paths:
+            log.info("no new files in %s: run %s is not written", run.transactions, run.run_id)
+            nothing = {verdict: 0 for verdict in VERDICTS}
+            return nothing if run.named else {"run_id": latest, **nothing}
+    else:
+        files, paths = _pinned(spark, feed_files(spark, run.transactions, run.prefix))
+    check_owner(spark, run.table, run.run_id, run.owner)
+    transactions = read_transactions_with_raw(spark, paths, False, run.double_amounts)
     customers, bad_lines = None, None
     if run.customers:
-        feed = read_customers_with_raw(spark, run.customers, run.prefix)
+        # Without a dimension all customers of the feed are wanted, however often they were read.
+        known, sources = feed_files(spark, run.customers, run.prefix), None
+        if run.dimension and only_new:
+            known = _unread(spark, run.customers, run, run.dimension)
+        sources, customer_paths = _pinned(spark, known)
+        feed = read_customers_with_raw(spark, customer_paths)
         bad_lines = Observation(f"customers-{run.run_id}")
         bad = F.count_if(F.col(RAW_LINE).isNotNull()).alias("malformed_customers")
         customers = feed.observe(bad_lines, bad).where(F.col(RAW_LINE).isNull()).drop(RAW_LINE)
     if run.dimension:
         if customers is not None:
-            write_customer_versions(
-                customers, run.dimension, run.run_id, run.run_time, run.owner
-            )
+            write_customer_versions(customers, run.dimension, run.run_id, run.run_time, run.owner, sources)
         customers = read_dimension(spark, run.dimension)
-    report = run_on(spark, transactions, customers, run, unique_customers=bool(run.dimension))
+    report = run_on(spark, transactions, customers, run, unique_customers=bool(run.dimension), consumed=files)
     if bad_lines is not None:
         report |= _observed(bad_lines)
         if report.get("malformed_customers"):

@@ -16,12 +16,13 @@ from pyspark.sql import functions as F
 from veriledger.operators import marts
 from veriledger.operators.cleaning import exact_amounts
 from veriledger.operators.rules import VALID
-from veriledger.plans.etl import read_verdict
-from veriledger.schemas import MONTHLY_DDL, PER_CUSTOMER_DDL, PER_MERCHANT_DDL
+from veriledger.schemas import MONTHLY_DDL, PER_CUSTOMER_DDL, PER_MERCHANT_DDL, RUN_TABLE_DDL
 from veriledger.session import pin_session
 from veriledger.sources.run_tables import (
-    finish_times,
-    lookback,
+    attempts,
+    manifests,
+    read_attempts,
+    read_lookback,
     read_runs,
     write_run,
 )
@@ -46,8 +47,8 @@ _STORED = {
 }
 
 
-def write_marts(valid: DataFrame, folder: str, run_id: str, exact: bool = False) -> None:
-    """The three marts of some valid rows, as one run.
+def write_marts(valid: DataFrame, folder: str, run_id: str, exact: bool = False, source: str | None = None) -> None:
+    """The three marts of some valid rows, as one run; ``source`` names the attempt they sum up.
 
     With ``exact`` money is summed as decimals of cents, whatever the order of rows; NaN
     amounts are then left out instead of turning the sum to NaN.
@@ -60,18 +61,22 @@ def write_marts(valid: DataFrame, folder: str, run_id: str, exact: bool = False)
     for name, build in _BUILDERS.items():
         mart = build(valid)
         money = {c: F.col(c).cast("double") for c in mart.columns if c in _MONEY}
-        path = write_run(mart.withColumns(money), f"{folder}/{name}", run_id)
+        path = write_run(mart.withColumns(money), f"{folder}/{name}", run_id, source=source)
         log.info("mart %s written to %s", name, path)
 
 
 def pending_runs(spark: SparkSession, table: str, folder: str) -> list[str]:
     """Finished runs of a judged table that are not in all three marts as they are now.
 
-    A run that was written again after its summary is pending again.  One listing a table.
+    A summary names the attempt it sums up, so a run that was written again is pending again.
     """
-    done = [finish_times(spark, f"{folder}/{name}") for name in _BUILDERS]
-    written = finish_times(spark, table)
-    return [r for r, at in written.items() if any(d.get(r, -1) <= at for d in done)]
+    pending = manifests(spark, table).select("run_id", "attempt")
+    for name in _BUILDERS:
+        done = manifests(spark, f"{folder}/{name}").select("run_id", F.col("source").alias("attempt"))
+        done = done.withColumn(f"in_{name}", F.lit(True))
+        pending = pending.join(done, ["run_id", "attempt"], "left")
+    missing = " or ".join(f"in_{name} is null" for name in _BUILDERS)
+    return sorted(r.run_id for r in pending.where(missing).select("run_id").collect())
 
 
 def run_marts(
@@ -90,13 +95,13 @@ def run_marts(
     if run_ids is None:
         run_ids = pending_runs(spark, table, folder)
     for run_id in run_ids:
-        while True:
-            before = finish_times(spark, table).get(run_id)
-            if before is None:
+        summarised = None
+        while (found := attempts(spark, table, [run_id])) != summarised:
+            if not found:
                 raise ValueError(f"run {run_id} of {table} has not been written to its end")
-            write_marts(read_verdict(spark, table, VALID, [run_id]), folder, run_id, exact)
-            if finish_times(spark, table).get(run_id) == before:
-                break
+            rows = read_attempts(spark, table, RUN_TABLE_DDL, found)
+            write_marts(rows.where(F.col("verdict") == VALID), folder, run_id, exact, found[0][1])
+            summarised = found
     return list(run_ids)
 
 
@@ -114,8 +119,8 @@ def run_marts_lookback(
     Overlapping lookbacks count rows twice and late ones miss rows; ``run_marts`` does not.
     """
     pin_session(spark)
-    valid = read_verdict(spark, table, VALID)
-    write_marts(lookback(valid, now, hours), folder, run_id, exact)
+    recent = read_lookback(spark, table, RUN_TABLE_DDL, now, hours)
+    write_marts(recent.where(F.col("verdict") == VALID), folder, run_id, exact)
 
 
 def compact_marts(spark: SparkSession, folder: str, into: str) -> None:

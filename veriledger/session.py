@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 import os
 import tempfile
 import uuid
@@ -61,20 +60,6 @@ def input_bytes(spark: SparkSession, *paths: str) -> int:
     return total
 
 
-def fingerprint(spark: SparkSession, *paths: str) -> str:
-    """A digest of the files below some paths or path patterns: names, sizes and times."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    found = []
-    for path in map(hadoop.Path, paths):
-        fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        for top in fs.globStatus(path) or []:
-            files = fs.listFiles(top.getPath(), True)
-            while files.hasNext():
-                status = files.next()
-                found.append((status.getPath().toString(), status.getLen(), status.getModificationTime()))
-    return hashlib.sha256(repr(sorted(found)).encode()).hexdigest()
-
-
 def size_session(spark: SparkSession, *paths: str) -> dict[str, str]:
     """Set the task sizes of the session for a job over these inputs."""
     settings = sized_for(input_bytes(spark, *paths), spark.sparkContext.defaultParallelism)

@@ -90,12 +90,12 @@ def append_rows(df: DataFrame, name: str) -> None:
 
 
 def keep_registered(
-    spark: SparkSession, name: str, location: str, ddl: str, levels: Sequence[str], run_id: str
+    spark: SparkSession, name: str, location: str, ddl: str, levels: Sequence[str], run_id: str, attempt: str
 ) -> None:
     """A catalog table over a run table, with the directories of one more run.
 
-    The table is created on first use.  Only the directories of the run are listed; those
-    that an earlier attempt had and this one has not are taken out.
+    The table is created on first use.  Only the directories below ``attempt``, the folder of the
+    attempt that counts, are listed; those of an earlier attempt are taken out.
     """
     if "." in name:
         ensure_namespace(spark, name.rpartition(".")[0])
@@ -105,15 +105,18 @@ def keep_registered(
             f"PARTITIONED BY ({', '.join(levels)}) LOCATION '{location}'"
         )
     jvm = spark.sparkContext._jvm
-    top = jvm.org.apache.hadoop.fs.Path(f"{location.rstrip('/')}/{levels[0]}={run_id}" + "/*=*" * (len(levels) - 1))
+    top = jvm.org.apache.hadoop.fs.Path(attempt + "/*=*" * (len(levels) - 1))
     fs = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     unescape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
     held = spark.sql(f"SHOW PARTITIONS {name} PARTITION ({levels[0]}='{run_id}')").collect()
     for row in held:
         spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({_partition(row[0], unescape)})")
     for status in fs.globStatus(top) or []:
-        parts = "/".join(status.getPath().toString().split("/")[-len(levels) :])
-        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION ({_partition(parts, unescape)})")
+        folder = status.getPath().toString()
+        parts = "/".join([f"{levels[0]}={run_id}", *folder.split("/")[1 - len(levels) :]])
+        spark.sql(
+            f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION ({_partition(parts, unescape)}) LOCATION '{folder}'"
+        )
     log.info("run %s registered in %s", run_id, name)
 
 

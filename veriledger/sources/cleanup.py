@@ -6,7 +6,8 @@ import logging
 
 from pyspark.sql import SparkSession
 
-from veriledger.sources.feeds import feed_pattern
+from veriledger.sources.feeds import feed_files, feed_pattern
+from veriledger.sources.run_tables import consumed_files
 
 log = logging.getLogger(__name__)
 
@@ -16,8 +17,8 @@ def delete_feed(spark: SparkSession, path: str, prefix: bool = False) -> int:
 
     The path means what it means to the reader: a directory, or with ``prefix`` everything
     whose name begins so.  Only the entries directly matching are listed; directories go as
-    a whole.  Files that land while a run is working would go too, so feeds that keep
-    arriving should be read as a stream, which removes just the files it has finished with.
+    a whole.  Files that land while a run is working would go too: ``delete_consumed`` takes
+    only those that finished runs have read.
     """
     jvm = spark.sparkContext._jvm
     pattern = jvm.org.apache.hadoop.fs.Path(feed_pattern(path, prefix))
@@ -29,6 +30,23 @@ def delete_feed(spark: SparkSession, path: str, prefix: bool = False) -> int:
     return removed
 
 
+def delete_consumed(spark: SparkSession, path: str, table: str, prefix: bool = False) -> int:
+    """Delete the files of a feed that finished runs of ``table`` have read; returns how many.
+
+    A file that landed later, or was written anew after it had been read, stays.
+    """
+    files = feed_files(spark, path, prefix)
+    read = files.join(consumed_files(spark, table), files.columns, "left_semi")
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    removed = 0
+    for row in read.select("path").toLocalIterator():
+        where = hadoop.Path(row.path)
+        fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        removed += bool(fs.delete(where, False))
+    log.info("deleted %d files of %s that %s has read", removed, path, table)
+    return removed
+
+
 def delete_prefix(spark: SparkSession, prefix: str) -> int:
     """Delete everything whose path starts with ``prefix``."""
     return delete_feed(spark, prefix, prefix=True)

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import logging
+import re
+from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from veriledger.operators.cleaning import mark_malformed
 from veriledger.schemas import CUSTOMER_DDL, TRANSACTION_DDL, retyped, with_raw_line
@@ -21,13 +24,34 @@ def feed_pattern(path: str, prefix: bool = False) -> str:
     return f"{path}*" if prefix and not path.endswith("/") else path
 
 
-def read_feed(spark: SparkSession, path: str, ddl: str, prefix: bool = False) -> DataFrame:
-    """All JSON lines below a directory, at any depth.
+def feed_files(spark: SparkSession, path: str, prefix: bool = False) -> DataFrame:
+    """``path, length, modified`` of the files of a feed as they are now; their content is not read."""
+    try:
+        reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+        files = reader.load(feed_pattern(path, prefix))
+        return files.select("path", "length", F.col("modificationTime").alias("modified"))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "path string, length bigint, modified timestamp")
+
+
+def _literal(path: str) -> str:
+    """A path as a pattern that matches just it."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+
+
+def read_feed(spark: SparkSession, path: str | Sequence[str], ddl: str, prefix: bool = False) -> DataFrame:
+    """All JSON lines below a directory, at any depth, or those of a list of files.
 
     With ``prefix`` the path is a name prefix instead: ``.../customers`` then also takes
     in ``.../customers_2``.  Spark lists the files itself, in parallel when there are
     many.  A path without files gives an empty frame of the same schema and a warning.
     """
+    if not isinstance(path, str):
+        if not path:
+            return spark.createDataFrame([], ddl)
+        return spark.read.schema(ddl).json([_literal(p) for p in path])
     try:
         reader = spark.read.schema(ddl).option("recursiveFileLookup", "true")
         return reader.json(feed_pattern(path, prefix))
@@ -58,12 +82,12 @@ def read_transactions(
     return read_feed(spark, path, transaction_ddl(double_amounts), prefix)
 
 
-def read_customers_with_raw(spark: SparkSession, path: str, prefix: bool = False) -> DataFrame:
+def read_customers_with_raw(spark: SparkSession, path: str | Sequence[str], prefix: bool = False) -> DataFrame:
     return mark_malformed(read_feed(spark, path, with_raw_line(CUSTOMER_DDL), prefix))
 
 
 def read_transactions_with_raw(
-    spark: SparkSession, path: str, prefix: bool = False, double_amounts: bool = False
+    spark: SparkSession, path: str | Sequence[str], prefix: bool = False, double_amounts: bool = False
 ) -> DataFrame:
     """Transactions plus the raw text of lines that are no JSON at all."""
     ddl = with_raw_line(transaction_ddl(double_amounts))
