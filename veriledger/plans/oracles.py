@@ -242,7 +242,7 @@ ORACLES: dict[str, str] = {
             select * exclude (rn) from (
                 select *, row_number() over (
                     partition by customer_id
-                    order by version desc, balance desc) as rn
+                    order by version desc, {", ".join(f"{c.strip()} desc nulls last" for c in _CU_PAYLOAD.split(","))}) as rn
                 from versions) r
             where rn = 1)
         select lt.transaction_id, lt.customer_id, lt.amount, latest.age,
