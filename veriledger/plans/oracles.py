@@ -148,6 +148,9 @@ def _reason_counts(**more: str) -> str:
 
 _FLOAT_CUSTOMERS = f"select * replace (cast(balance as float) as balance) from ({LC}) c"
 _COUNTS = "count(*) as num_rows, count(transaction_id) as num_ids"
+_TWO_FLOAT_RUNS = _line_pipeline(
+    feed=_FLOAT_FEED, key=f"transaction_id, {FIRST_RUN}", customers=_FLOAT_CUSTOMERS
+)
 
 # The feed sent twice: at first the customers of one segment are missing; then ids judged
 # before are skipped.  Both runs have the same transactions without duplicates.
@@ -289,11 +292,18 @@ ORACLES: dict[str, str] = {
     "stored_monthly_mart": _TWO_RUNS + _MONTHLY_MART,
     "stream_run_report": _line_pipeline(feed=_FLOAT_FEED, customers=_FLOAT_CUSTOMERS)
     + f"select verdict, {_COUNTS} from lo group by 1",
-    "stream_landed_and_cleaned": _line_pipeline(feed=_FLOAT_FEED, customers=_FLOAT_CUSTOMERS)
-    + f"select verdict, {_COUNTS} from lo group by 1",
-    "stream_two_feeds_report": _line_pipeline(
-        feed=_FLOAT_FEED, key=f"transaction_id, {FIRST_RUN}", customers=_FLOAT_CUSTOMERS
-    )
+    "stream_landed_and_cleaned": f"""{_TWO_FLOAT_RUNS}
+        select verdict, {_COUNTS} from lo group by 1
+        union all select 'left', {_COUNTS} from lt where not {FIRST_RUN}""",
+    "repeated_landing": _line_pipeline(feed=_FLOAT_FEED, customers=_FLOAT_CUSTOMERS)
     + f"select verdict, {_COUNTS} from lo group by 1",
+    "retried_slot": f"""{_TWO_FLOAT_RUNS}
+        select case when {FIRST_RUN} then 'slot' else 'slot-2' end as run_id, verdict, {_COUNTS} from lo group by 1, 2""",
+    "read_files_deleted": f"select currency, {_COUNTS} from ({_FLOAT_FEED}) t where not {FIRST_RUN} group by 1",
+    "lookback_over_many_runs": """
+        select *, 'run-' || (event_id % 200) as run_id from events where event_id % 200 >= 194""",
+    "created_and_appended": """
+        select date_trunc('hour', ts) as upload_hour, event_type, count(*) as num_rows from events group by 1, 2""",
+    "stream_two_feeds_report": f"{_TWO_FLOAT_RUNS} select verdict, {_COUNTS} from lo group by 1",
     "stream_dedup": "select * from events",
 }

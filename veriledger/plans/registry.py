@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,8 +37,10 @@ from veriledger.schemas import (
 )
 from veriledger.session import shared_folder
 from veriledger.sources import synthetic
-from veriledger.sources.feeds import read_currencies, write_feed
-from veriledger.sources.run_tables import lookback, read_runs
+from veriledger.sources.catalog import append_rows, ensure_namespace, ensure_table
+from veriledger.sources.cleanup import delete_consumed
+from veriledger.sources.feeds import read_currencies, read_transactions, write_feed
+from veriledger.sources.run_tables import lookback, read_lookback, read_runs, write_run
 from veriledger.streaming.bounded import dedup_stream
 from veriledger.streaming.incremental import stream_customers, stream_transactions
 from veriledger.streaming.landing import land, read_messages
@@ -573,9 +576,87 @@ def stored_json_run(spark: SparkSession, sf: str) -> DataFrame:
     ).agg(F.count("*").alias("num_rows"), F.count("transaction_id").alias("num_ids"))
 
 
+def _two_halves(spark: SparkSession, sf: str, folder: str, between: Callable[[etl.EtlRun], object]) -> etl.EtlRun:
+    """A feed that arrives in two halves, with ``between`` called after each; the run that reads it."""
+    feed, customers = _both_feeds(spark, sf)
+    write_feed(customers, f"{folder}/customers")
+    run = replace(
+        _run(folder, "slot", 0), customers=f"{folder}/customers", transactions=f"{folder}/transactions", named=False
+    )
+    for half in (in_first_run(), ~in_first_run()):
+        write_feed(feed.where(half), run.transactions)
+        between(run)
+    return run
+
+
+@query
+def retried_slot(spark: SparkSession, sf: str) -> DataFrame:
+    """A time slot run, run again, and once more after another file has landed: each file is judged once."""
+    folder = shared_folder(spark, "retried")
+
+    def twice(run: etl.EtlRun) -> None:
+        for _ in range(2):
+            etl.run_etl(spark, run)
+
+    run = _two_halves(spark, sf, folder, twice)
+    return read_runs(spark, run.table, RUN_TABLE_DDL).groupBy("run_id", "verdict").agg(
+        F.count("*").alias("num_rows"), F.count("transaction_id").alias("num_ids")
+    )
+
+
+@query
+def read_files_deleted(spark: SparkSession, sf: str) -> DataFrame:
+    """Only files that a finished run has read are deleted: what is left of the feed, by currency."""
+    folder = shared_folder(spark, "deleted")
+    done = []
+
+    def judge_first(run: etl.EtlRun) -> None:
+        if not done:
+            done.append(etl.run_etl(spark, run))
+
+    run = _two_halves(spark, sf, folder, judge_first)
+    delete_consumed(spark, run.transactions, run.table)
+    left = read_transactions(spark, run.transactions)
+    return left.groupBy("currency").agg(F.count("*").alias("num_rows"), F.count("transaction_id").alias("num_ids"))
+
+
+@query
+def lookback_over_many_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """The events as 200 runs of an hour each; a lookback opens those of the last six."""
+    table = f"{shared_folder(spark, 'many-runs')}/events"
+    events = testbed.table(spark, sf, "events")
+    start = datetime(2024, 1, 1)
+
+    def write(number: int) -> None:
+        when = start + timedelta(hours=number)
+        rows = events.where(F.col("event_id") % 200 == number)
+        stamped = rows.withColumns({c: F.lit(str(when)).cast("timestamp") for c in ("upload_time", "upload_hour")})
+        write_run(stamped, table, f"run-{number}", ["upload_hour"], times=(when, when))
+
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(write, range(200)))
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in events.schema)
+    ddl = f"{fields}, upload_time timestamp, run_id string, upload_hour timestamp"
+    recent = read_lookback(spark, table, ddl, start + timedelta(hours=199, minutes=30))
+    return recent.select(*events.columns, "run_id")
+
+
+@query
+def created_and_appended(spark: SparkSession, sf: str) -> DataFrame:
+    """A namespace and an hourly table, created if absent; events appended in two parts; rows by hour."""
+    name = f"ledger_{uuid.uuid4().hex}"
+    events = testbed.table(spark, sf, "events").select("event_id", "event_type", F.col("ts").cast("timestamp").alias("upload_time"))
+    for part in (0, 1):
+        ensure_namespace(spark, name)
+        ensure_table(spark, f"{name}.events", "event_id bigint, event_type string, upload_time timestamp", "upload_time", "HOUR")
+        append_rows(events.where(F.col("event_id") % 2 == part), f"{name}.events")
+    stored = spark.table(f"{name}.events")
+    return stored.groupBy(plain_time("upload_hour"), "event_type").agg(F.count("*").alias("num_rows"))
+
+
 def _landed(spark: SparkSession, folder: str, name: str, feed: DataFrame) -> str:
     """A feed as messages, landed by a stream."""
-    synthetic.as_messages(feed).write.text(f"{folder}/queue/{name}")
+    synthetic.as_messages(feed).write.mode("append").text(f"{folder}/queue/{name}")
     land(
         read_messages(spark, path=f"{folder}/queue/{name}"),
         f"{folder}/landing/{name}",
@@ -623,13 +704,44 @@ def stream_two_feeds_report(spark: SparkSession, sf: str) -> DataFrame:
     return _stream_report(spark, folder)
 
 
+def _left(rows: DataFrame) -> DataFrame:
+    """A line of a report: what is left of a feed."""
+    return rows.agg(
+        F.lit("left").alias("verdict"), F.count("*").alias("num_rows"), F.count("transaction_id").alias("num_ids")
+    )
+
+
 @query
 def stream_landed_and_cleaned(spark: SparkSession, sf: str) -> DataFrame:
-    """A stream that deletes the landed files it has judged loses no row."""
+    """Two waves through a stream that deletes what it has judged: no row is lost, and the first wave is gone."""
     folder = shared_folder(spark, "cleaned")
     feed, customers = _both_feeds(spark, sf)
     _with_customers(spark, folder, customers)
-    _judged_stream(spark, folder, "transactions", feed, clean="delete")
+    # Spark deletes the files of a batch while it plans the next one; with no threads, at once.
+    threads = "spark.sql.streaming.fileSource.cleaner.numThreads"
+    before = spark.conf.get(threads, None)
+    spark.conf.set(threads, "0")
+    try:
+        for half in (in_first_run(), ~in_first_run()):
+            _judged_stream(spark, folder, "transactions", feed.where(half), clean="delete")
+    finally:
+        spark.conf.unset(threads) if before is None else spark.conf.set(threads, before)
+    left = _left(read_transactions(spark, f"{folder}/landing/transactions"))
+    return _stream_report(spark, folder).unionByName(left)
+
+
+@query
+def repeated_landing(spark: SparkSession, sf: str) -> DataFrame:
+    """A batch landed and judged, then landed again as after a crash: every row still counts once."""
+    folder = shared_folder(spark, "repeated")
+    feed, customers = _both_feeds(spark, sf)
+    _with_customers(spark, folder, customers)
+    _judged_stream(spark, folder, "transactions", feed)
+    commits = f"{folder}/checkpoints/land-transactions/commits"
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    fs = hadoop.Path(commits).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.delete(hadoop.Path(f"{commits}/0"), False)
+    _judged_stream(spark, folder, "transactions", feed.limit(0))
     return _stream_report(spark, folder)
 
 

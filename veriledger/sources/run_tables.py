@@ -21,7 +21,6 @@ from itertools import count
 from urllib.parse import quote
 
 from py4j.protocol import Py4JJavaError
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,6 +59,11 @@ def _hadoop(spark: SparkSession, path: str):
     return where, where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    where, fs = _hadoop(spark, path)
+    return fs.exists(where)
+
+
 def _is(error: Py4JJavaError, *names: str) -> bool:
     return error.java_exception.getClass().getSimpleName() in names
 
@@ -112,11 +116,10 @@ def manifests(spark: SparkSession, table: str, since: datetime | None = None) ->
 
     A run that states no times may hold any.
     """
-    try:
-        found = spark.read.schema(MANIFEST_DDL).json(f"{table.rstrip('/')}/{_MANIFESTS}")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    folder = f"{table.rstrip('/')}/{_MANIFESTS}"
+    if _exists(spark, folder):
+        found = spark.read.schema(MANIFEST_DDL).json(folder)
+    else:
         found = spark.createDataFrame([], MANIFEST_DDL)
     if since is not None:
         found = found.where(F.col("to_time").isNull() | (F.col("to_time") >= F.lit(str(since)).cast("timestamp")))
@@ -234,18 +237,18 @@ def write_run(
     return path
 
 
+def read_beside(spark: SparkSession, table: str, what: str, ddl: str) -> DataFrame:
+    """What attempts have written beside their rows, with their ``attempt``, whether they count or not."""
+    folder, ddl = f"{table.rstrip('/')}/{what}", f"{ddl}, attempt string"
+    return spark.read.schema(ddl).parquet(folder) if _exists(spark, folder) else spark.createDataFrame([], ddl)
+
+
 def consumed_files(spark: SparkSession, table: str, but_run: str | None = None) -> DataFrame:
     """The input files that finished runs of a table have read: ``path, length, modified``.
 
     Lists of attempts that do not count have no part, nor that of the run ``but_run``.
     """
-    ddl = f"{FILES_DDL}, attempt string"
-    try:
-        lists = spark.read.schema(ddl).parquet(f"{table.rstrip('/')}/{_CONSUMED}")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        lists = spark.createDataFrame([], ddl)
+    lists = read_beside(spark, table, _CONSUMED, FILES_DDL)
     live = manifests(spark, table)
     if but_run is not None:
         live = live.where(F.col("run_id") != but_run)
