@@ -128,6 +128,45 @@ def test_ties_and_rows_that_take_no_part(spark):
     assert [i for _, i in want[1000]] == list(range(1001, 1011))
 
 
+def test_repeated_ids_are_one_candidate_and_one_query(spark):
+    source = np.random.default_rng(4)
+    rows = [(i, source.normal(size=8).tolist(), 0) for i in range(1, 200)]
+    near = source.normal(size=8)
+    rows += [(100, near.tolist(), 0), (200, near.tolist(), 0)]
+    rows += [(777, (near + source.normal(size=8) * 0.01).tolist(), 0) for _ in range(40)]  # one id, often and close
+    rows += [(300, source.normal(size=8).tolist(), 0) for _ in range(3)]  # a query of three vectors
+    frame = vectors(spark, rows)
+    for name in ("list", "block", "key", "limit", "vector", "asks", "id", "rank", "score"):
+        frame = frame.selectExpr("*", f"'x' as `{name}`")
+    found = {}
+    for r in dimension_scan.nearest_neighbours(frame, recall=1.0, epsilon=20.0).collect():
+        found.setdefault(r.query_id, {})[r.rank] = (r.vec_id, r.score)
+    good = [(i, np.array(v, dtype=np.float32).astype(float)) for i, v, _ in rows]
+    for q in (100, 200, 300):
+        best = {}
+        for i, y in good:
+            if i != q:
+                best[i] = min([best.get(i, math.inf), *(float(np.sqrt(((x - y) ** 2).sum())) for j, x in good if j == q)])
+        want = sorted((d, i) for i, d in best.items())[:10]
+        assert [found[q][k][0] for k in range(1, 11)] == [i for _, i in want]
+        assert np.allclose([found[q][k][1] for k in range(1, 11)], [d for d, _ in want], rtol=1e-12)
+
+
+def test_clustered_vectors_need_few_lists(spark):
+    source = np.random.default_rng(5)
+    centres = source.normal(size=(60, 24)) * 8
+    rows = [(i, (centres[i % 60] + source.normal(size=24)).tolist(), 0) for i in range(6000)]
+    frame = vectors(spark, rows)
+    taken = dimension_scan.taking_part(frame)
+    coarse = dimension_scan.learn(taken, 6000, 10, 0.99)
+    assert coarse.probes < 0.2 * len(coarse.centres)
+    want, hits = brute(rows), 0
+    for r in dimension_scan.nearest_neighbours(frame).collect():
+        hits += r.vec_id in {i for _, i in want[r.query_id]}
+    assert hits / (10 * len(want)) >= 0.9
+    print(f"clustered: {coarse.probes} of {len(coarse.centres)} lists, recall {hits / (10 * len(want)):.3f}")
+
+
 def test_fewer_candidates_than_wanted(spark):
     rows = [(i, [float(i), 1.0], 0) for i in range(4)] + [(9, [1.0, 2.0, 3.0], 0)]
     found = dimension_scan.nearest_neighbours(vectors(spark, rows)).collect()

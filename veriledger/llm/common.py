@@ -55,6 +55,21 @@ def written(frame: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def smallest(rows: DataFrame, code: Column, then: list[str], n: int, size: int) -> DataFrame:
+    """The ``size`` rows of smallest 64-bit hash ``code``, out of ``n``.
+
+    Only hashes below a threshold that leaves some more rows than wanted are sorted at all, so
+    the task that merges them does not receive ``size`` rows from each of all others.  If
+    the threshold has left too few, as with many equal hashes, all rows are sorted.
+    """
+    few = rows
+    if n > 4 * size:
+        bound = int(-(1 << 63) + (2 * size + 1000) / n * (1 << 64))
+        close = rows.filter(code <= min(bound, (1 << 63) - 1))
+        few = close if close.count() >= size else rows
+    return few.orderBy(code, *then).limit(size)
+
+
 def groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
     """The groups of a stream sorted by ``key``, one at a time."""
     held: list[pa.RecordBatch] = []

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from veriledger.llm.common import groups, written
+from veriledger.llm.common import groups, smallest, written
 
 _INDEX = "vec_id bigint, list int, vector binary"
 _INDEX_ARROW = pa.schema([("vec_id", pa.int64()), ("list", pa.int32()), ("vector", pa.binary())])
@@ -80,7 +80,7 @@ def learn(rows: DataFrame, n: int, k: int, recall: float, sample_values: int = 1
     """
     width = len(rows.first()["embedding"])
     size = max(64, min(20_000, sample_values // width))
-    got = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(size).select("embedding").toArrow()
+    got = smallest(rows, F.xxhash64("vec_id"), ["vec_id"], n, size).select("embedding").toArrow()
     x = np.array(got.column("embedding").to_pylist(), dtype=np.float64)
     random = np.random.default_rng(seed)
     rotation = np.linalg.qr(random.standard_normal((width, width)))[0]
@@ -110,12 +110,13 @@ def learn(rows: DataFrame, n: int, k: int, recall: float, sample_values: int = 1
 
 def scan(
     columns: list[np.ndarray], query: np.ndarray, k: int, limit: float, epsilon: float, vectors: np.ndarray,
-    exact_query: np.ndarray, step: int = 256,
+    exact_query: np.ndarray, step: int = 256, names: np.ndarray | None = None,
 ) -> tuple[np.ndarray, np.ndarray]:
     """Rows of a list that may be among the ``k`` nearest, with exact distances.
 
     ``columns`` are the rotated vectors in blocks of columns, ``vectors`` the original ones.
-    ``limit`` is a distance beyond which nothing is wanted.
+    ``limit`` is a distance beyond which nothing is wanted.  With ``names`` rows of the same
+    name are one candidate, at its smallest distance.
     """
     width, count = len(query), len(vectors)
     rows, scores = np.zeros(0, dtype=np.int64), np.zeros(0)
@@ -136,7 +137,10 @@ def scan(
         if len(alive):
             exact = np.sqrt(((vectors[alive] - exact_query) ** 2).sum(axis=1))
             rows, scores = np.concatenate([rows, alive]), np.concatenate([scores, exact])
-            best = np.lexsort((rows, scores))[:k]
+            best = np.lexsort((rows, scores))
+            if names is not None:
+                best = best[np.sort(np.unique(names[rows[best]], return_index=True)[1])]
+            best = best[:k]
             rows, scores = rows[best], scores[best]
             if len(rows) == k:
                 limit = min(limit, scores[-1])
@@ -158,10 +162,13 @@ def _searched(coarse, k: int, epsilon: float, block: int = 16):
             vectors, names = every[order], ids[order]
             turned = np.ascontiguousarray((vectors @ rotation).T)
             columns = [turned[i : i + block] for i in range(0, width, block)]
+            repeated = names if (names[1:] == names[:-1]).any() else None
             out: tuple[list, list, list] = ([], [], [])
             for q in np.flatnonzero(asks):
                 # One more than wanted, as the query may find itself.
-                rows, scores = scan(columns, every[q] @ rotation, k + 1, limits[q], epsilon, vectors, every[q])
+                rows, scores = scan(
+                    columns, every[q] @ rotation, k + 1, limits[q], epsilon, vectors, every[q], names=repeated
+                )
                 other = names[rows] != ids[q]
                 found = names[rows][other][:k]
                 out[0].append(np.full(len(found), ids[q]))
@@ -173,8 +180,10 @@ def _searched(coarse, k: int, epsilon: float, block: int = 16):
 
 
 def _best(found: DataFrame, k: int) -> DataFrame:
+    """The ``k`` nearest ids of each query, each at its smallest distance."""
     order = W.partitionBy("query_id").orderBy("score", "vec_id")
-    return found.distinct().withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    once = found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
+    return once.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
 def nearest_neighbours(
@@ -186,11 +195,13 @@ def nearest_neighbours(
     ``score`` is the Euclidean distance of the original vectors in double precision, ties go
     to the smaller id; a query finds all other rows if they are fewer than ``k``.  See
     ``taking_part`` for the rows that are left out.  Rows that repeat an id are one
-    candidate, at its smallest distance, and never their own neighbour.
+    candidate or one query, at the smallest distance, and never their own neighbour.  An
+    empty table gives an empty one; other columns have no part, whatever their names.
 
     Every row is indexed.  A list is searched in blocks of about ``block_rows`` rows and
-    chunks of about ``chunk_queries`` queries, so that neither a list with a third of all
-    rows nor one that many queries probe has to fit in a task.  Each query searches its
+    chunks of about ``chunk_queries`` of the queries that probe it, so that neither a list
+    with a third of all rows nor one that many queries probe has to fit in a task, and a
+    list is copied only as often as its own queries ask for.  Each query searches its
     nearest list first; its k-th distance there bounds the scan of the other lists.  Lists
     are probed up to the calibrated number, and on until they hold more than ``k`` rows.
     """
@@ -235,21 +246,21 @@ def nearest_neighbours(
                 )
 
     queries = index.filter(F.col("vec_id") % every == 0)
-    chunks = max(1, -(-queries.count() // chunk_queries))
     probes = queries.select("vec_id", "vector").mapInArrow(probe, _PROBES)
-    lists = spark.createDataFrame([(i, -(-c // block_rows)) for i, c in sizes.items()], "list int, blocks int")
-    placed = index.join(F.broadcast(lists), "list")
-    candidates = placed.select(
-        "list", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int").alias("block"),
-        F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk"),
-        F.lit(False).alias("asks"), F.col("vec_id").alias("id"), F.lit(0.0).alias("limit"), "vector",
-    )
+    asked = {(r["nearest"], r["list"]): r["count"] for r in probes.groupBy("nearest", "list").count().collect()}  # two rows a list
 
-    def searched(asking: DataFrame) -> DataFrame:
+    def searched(asking: DataFrame, nearest: bool) -> DataFrame:
         """``asking`` has ``query_id, list, vector, limit``."""
-        placed_asking = asking.join(F.broadcast(lists), "list").select(
+        plan = [(i, -(-n // block_rows), -(-asked[nearest, i] // chunk_queries)) for i, n in sizes.items() if (nearest, i) in asked]
+        lists = F.broadcast(spark.createDataFrame(plan, "list int, blocks int, chunks int"))
+        candidates = index.join(lists, "list").select(
+            "list", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int").alias("block"),
+            F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"),
+            F.lit(False).alias("asks"), F.col("vec_id").alias("id"), F.lit(0.0).alias("limit"), "vector",
+        )
+        placed_asking = asking.join(lists, "list").select(
             "list", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
-            F.pmod(F.xxhash64("query_id"), F.lit(chunks)).cast("int").alias("chunk"),
+            F.pmod(F.xxhash64("query_id"), F.col("chunks")).cast("int").alias("chunk"),
             F.lit(True).alias("asks"), F.col("query_id").alias("id"), "limit", "vector",
         )
         both = candidates.unionByName(placed_asking).withColumn("key", F.xxhash64("list", "block", "chunk"))
@@ -257,13 +268,11 @@ def nearest_neighbours(
         return ordered.mapInArrow(_searched(coarse, k, epsilon), _FOUND)
 
     first = written(
-        _best(searched(probes.filter("nearest").withColumn("limit", F.lit(float("inf")))), k), "nearest-list"
+        _best(searched(probes.filter("nearest").withColumn("limit", F.lit(float("inf"))), True), k), "nearest-list"
     )
     limits = first.filter(F.col("rank") == k).select("query_id", F.col("score").alias("limit"))
     others = probes.filter("not nearest").join(limits, "query_id", "left").withColumn(
         "limit", F.coalesce("limit", F.lit(float("inf")))
     )
-    every_found = first.select("query_id", "vec_id", "score").unionByName(searched(others))
-    return _best(every_found.groupBy("query_id", "vec_id").agg(F.min("score").alias("score")), k).select(
-        "query_id", "rank", "vec_id", "score"
-    )
+    every_found = first.select("query_id", "vec_id", "score").unionByName(searched(others, False))
+    return _best(every_found, k).select("query_id", "rank", "vec_id", "score")
