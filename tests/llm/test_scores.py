@@ -8,9 +8,12 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
 from samples import ODD, SF, documents, prose, words
 
 from veriledger.llm import gated_lm, queries, secret_forest, toxicity
+from veriledger.llm.common import near_smallest, remainder, smallest
 
 
 def fold(doc_id, divisor):
@@ -256,3 +259,40 @@ def test_language_statistics(spark):
     assert speech.coverage("xxhelloTHERExx") == pytest.approx(10 / 14)
     assert speech.transitions("hello") > speech.transitions("qzxqj")
     assert SF
+
+
+def test_samples_are_those_of_a_whole_sort(spark):
+    rows = spark.range(20_000).selectExpr("id as doc_id", "id % 7 = 0 as kind", "id % 5 = 0 as late").repartition(6)
+    code = F.xxhash64("doc_id")
+    every = sorted(r.doc_id for r in rows.orderBy(code).limit(300).collect())
+    assert sorted(r.doc_id for r in smallest(rows, code, ["doc_id"], 20_000, 300).collect()) == every
+    same = F.lit(1).cast("bigint")  # one hash for all rows
+    assert smallest(rows, same, ["doc_id"], 20_000, 300).count() == 300
+    few = near_smallest(rows, "kind", code, 200, ~F.col("late"))
+    assert few.count() < 6_000
+    order = Window.partitionBy("kind").orderBy("late", code)
+
+    def ranked(frame):
+        return sorted(r.doc_id for r in frame.withColumn("n", F.row_number().over(order)).filter("n <= 200").collect())
+
+    assert ranked(few) == ranked(rows)
+    assert near_smallest(rows, "kind", same, 200).count() == 20_000
+
+
+def test_the_threshold_of_the_judge_on_held_out_documents(spark):
+    folder = "/root/testdata/sf0.1"
+    judge = queries.toxicity_judge(spark, folder)
+    docs, labels = (spark.read.parquet(f"{folder}/{n}.parquet") for n in ("documents", "labels"))
+    held = labels.filter(remainder("doc_id", 5) == 0)
+    rows = toxicity.score(docs.join(held, "doc_id", "left_semi"), judge).join(held, "doc_id").collect()
+    assert 0 < judge.threshold <= 0.5
+    assert np.mean([r.score >= judge.threshold for r in rows if r.toxic == 1]) >= 0.85
+    assert np.mean([r.score >= judge.threshold for r in rows if r.toxic == 0]) <= 0.06
+
+
+def test_thresholds():
+    chances, truth = np.array([0.1, 0.2, 0.3, 0.9]), np.array([0, 0, 0, 1])
+    assert toxicity.threshold(chances, truth, 0.0) == pytest.approx(0.3) and toxicity.threshold(chances, truth, 0.0) > 0.3
+    assert 0.2 < toxicity.threshold(chances, truth, 0.34) <= 0.3
+    assert toxicity.threshold(np.array([0.8]), np.array([0]), 0.0) == 0.5
+    assert toxicity.threshold(np.array([0.8]), np.array([1]), 0.5) == 0.5

@@ -55,6 +55,12 @@ def written(frame: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def _bound(n: int, size: int) -> int:
+    """A 64-bit hash below which more than ``size`` of ``n`` rows are to be expected; the largest if few are more."""
+    most = (1 << 63) - 1
+    return most if n <= 4 * size else min(most, int(-(1 << 63) + (2 * size + 1000) / n * (1 << 64)))
+
+
 def smallest(rows: DataFrame, code: Column, then: list[str], n: int, size: int) -> DataFrame:
     """The ``size`` rows of smallest 64-bit hash ``code``, out of ``n``.
 
@@ -62,14 +68,32 @@ def smallest(rows: DataFrame, code: Column, then: list[str], n: int, size: int)
     the task that merges them does not receive ``size`` rows from each of all others.  If
     the threshold has left too few, as with many equal hashes, all rows are sorted.
     """
-    few = rows
-    if n > 4 * size:
-        bound = int(-(1 << 63) + (2 * size + 1000) / n * (1 << 64))
-        close = rows.filter(code <= min(bound, (1 << 63) - 1))
-        few = close if close.count() >= size else rows
+    close = rows.filter(code <= _bound(n, size))
+    few = close if n <= 4 * size or close.count() >= size else rows
     return few.orderBy(code, *then).limit(size)
 
 
+def near_smallest(rows: DataFrame, kind: str, code: Column, size: int, first: Column | None = None) -> DataFrame:
+    """``rows`` without most of those that are not among the ``size`` of smallest hash of their kind.
+
+    ``kind`` is a column of few values.  Rows that satisfy ``first`` come before all others of
+    their kind.  What stays is enough to rank: a small multiple of ``size`` for each kind,
+    or the whole kind where it is small or its hashes are too unevenly spread.
+    """
+    early = F.lit(True) if first is None else first
+    counts = {r[kind]: r["n"] for r in rows.groupBy(kind).agg(F.count_if(early).alias("n")).collect()}
+    bounds = {k: _bound(n, size) for k, n in counts.items() if n > 4 * size}
+    if not bounds:
+        return rows
+    close = {k: early & (code <= bound) for k, bound in bounds.items()}
+    left = rows.agg(*[F.count_if((F.col(kind) == k) & c).alias(f"k{i}") for i, (k, c) in enumerate(close.items())]).first()
+    keep = F.lit(True)
+    for i, (k, c) in enumerate(close.items()):
+        if left[i] >= size:
+            keep &= (F.col(kind) != k) | c
+    return rows.filter(keep)
+
+
 def groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
     """The groups of a stream sorted by ``key``, one at a time."""
     held: list[pa.RecordBatch] = []

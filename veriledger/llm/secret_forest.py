@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from veriledger.llm.common import bounded_batches, written
+from veriledger.llm.common import bounded_batches, near_smallest, written
 
 # A run of characters that keys are made of, long enough for one.
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_\-]{16,}={0,2}")
@@ -262,8 +262,9 @@ def judged(
     """
     labelled = written(findings.withColumn("label", label.cast("int")), "findings")
     order = W.partitionBy("label").orderBy(F.xxhash64("doc_id", "start"), "doc_id", "start", "candidate")
+    known = labelled.filter(learn & F.col("label").isNotNull())
     sample = written(
-        labelled.filter(learn & F.col("label").isNotNull()).withColumn("place", F.row_number().over(order))
+        near_smallest(known, "label", F.xxhash64("doc_id", "start"), most).withColumn("place", F.row_number().over(order))
         .filter(F.col("place") <= most).select(F.col("label").cast("double").alias("label"), "features"),
         "labelled-findings",
     )

@@ -19,7 +19,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from veriledger.llm.common import bounded_batches, release, written
+from veriledger.llm.common import bounded_batches, near_smallest, release, written
 
 _WORD = re.compile(r"[^\W_]+")
 _TRIPLES = "before bigint, left bigint, right bigint, toxic int"
@@ -193,10 +193,14 @@ def sample(docs: DataFrame, labels: DataFrame, max_docs: int, max_chars: int) ->
         F.max("toxic").cast("int").alias("toxic")
     )
     found = docs.filter("text is not null").withColumns({"chars": F.length("text"), "code": F.xxhash64("text")})
-    labelled = found.select("doc_id", "code", "chars").join(known, "doc_id").dropDuplicates(["doc_id", "code"])
-    order = W.partitionBy("toxic").orderBy(F.col("chars") > max_chars // 100, F.xxhash64("doc_id"), "doc_id", "code")
+    labelled = written(
+        found.select("doc_id", "code", "chars").join(known, "doc_id").dropDuplicates(["doc_id", "code"]), "toxicity-labels"
+    )
+    long = F.col("chars") > max_chars // 100
+    order = W.partitionBy("toxic").orderBy(long, F.xxhash64("doc_id"), "doc_id", "code")
     # At most 2 * max_docs rows, of numbers.
-    ranked = labelled.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= max_docs).collect()
+    few = near_smallest(labelled, "toxic", F.xxhash64("doc_id"), max_docs, ~long)
+    ranked = few.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= max_docs).collect()
     picked = []
     for toxic in (0, 1):
         rows = sorted((r for r in ranked if r.toxic == toxic), key=lambda r: r.place)
