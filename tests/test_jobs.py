@@ -20,8 +20,8 @@ from veriledger.plans.marts import (
     run_marts,
     run_marts_lookback,
 )
-from veriledger.schemas import MONTHLY_DDL, PER_CUSTOMER_DDL, PER_MERCHANT_DDL, RUN_TABLE_DDL, column_names
-from veriledger.sources import synthetic
+from veriledger.schemas import CUSTOMER_DDL, MONTHLY_DDL, PER_CUSTOMER_DDL, PER_MERCHANT_DDL, RUN_TABLE_DDL, column_names
+from veriledger.sources import dimension_table, synthetic
 from veriledger.sources.cleanup import delete_consumed, delete_prefix
 from veriledger.sources.feeds import read_customers, read_transactions
 from veriledger.sources.run_tables import (
@@ -106,7 +106,7 @@ def test_late_transaction_meets_its_customer_in_the_dimension(spark, run, tmp_pa
         customers=update, dimension=dim,
     )
     assert etl.run_etl(spark, second)["valid"] == 1
-    ages = {r.customer_id: r.age for r in etl.read_dimension(spark, dim).collect()}
+    ages = {r.customer_id: r.age for r in dimension_table.read_dimension(spark, dim).collect()}
     assert ages["c1"] == 31 and ages["c14"] == 14
     without = replace(second, run_id="r3", dimension=None)
     assert etl.run_etl(spark, without)["orphan"] == 1
@@ -160,11 +160,11 @@ def test_compacted_dimension_reads_the_same(spark, run, tmp_path):
     for i in range(2):
         customers = write_lines(tmp_path / f"cu{i}", [{"customer_id": "a", "age": i}, {"customer_id": f"b{i}"}])
         etl.run_etl(spark, replace(run, run_id=f"r{i}", run_time=RUN_TIME + timedelta(hours=i), customers=customers, dimension=dim))
-    etl.compact_dimension(spark, dim, compact)
-    latest = sorted(map(str, etl.read_dimension(spark, dim).collect()))
-    assert sorted(map(str, etl.read_dimension(spark, compact).collect())) == latest and len(latest) == 3
+    dimension_table.compact_dimension(spark, dim, compact)
+    latest = sorted(map(str, dimension_table.read_dimension(spark, dim).collect()))
+    assert sorted(map(str, dimension_table.read_dimension(spark, compact).collect())) == latest and len(latest) == 3
     needed = spark.sql("select * from values ('a'), ('a'), ('zz') as t(customer_id)")
-    assert [r.age for r in etl.read_dimension(spark, dim, needed).collect()] == [1]
+    assert [r.age for r in dimension_table.read_dimension(spark, dim, needed).collect()] == [1]
 
 
 def test_rebalanced_files(spark, run, tmp_path):
@@ -365,7 +365,7 @@ def test_new_customer_files_only_go_into_the_dimension(spark, run, tmp_path):
     write_lines(tmp_path / "customers", [{"customer_id": "new", "age": 30}], name="more.json")
     write_lines(tmp_path / "transactions", [{**BASE, "transaction_id": "n", "customer_id": "new"}], name="more.json")
     assert etl.run_etl(spark, slot)["valid"] == 1
-    versions = read_runs(spark, slot.dimension, etl.VERSIONS_DDL)
+    versions = read_runs(spark, slot.dimension, dimension_table.VERSIONS_DDL)
     assert versions.where("run_id = 'r1-2'").count() == 1
 
 
@@ -468,7 +468,7 @@ def test_own_rules_and_a_named_table(spark, run, tmp_path):
 
 def test_a_dimension_is_not_compacted_into_itself(spark, tmp_path):
     with pytest.raises(ValueError):
-        etl.compact_dimension(spark, str(tmp_path / "d"), f"{tmp_path}/d/")
+        dimension_table.compact_dimension(spark, str(tmp_path / "d"), f"{tmp_path}/d/")
 
 
 def test_exact_amounts_of_any_size(spark):
@@ -478,3 +478,38 @@ def test_exact_amounts_of_any_size(spark):
     found = [(r.amount, r.total_amount) for r in exact_amounts(frame).collect()]
     assert [tuple(None if v is None else float(v) for v in r) for r in found] == [(0.51, 1.0), (None, 1e17), (None, None)]
     assert float(exact_amounts(frame, 3).first().amount) == 0.505
+
+
+def test_a_dimension_merges_itself(spark, tmp_path):
+    dim, ddl = str(tmp_path / "dim"), "customer_id string, age int"
+    for i in range(11):
+        customers = spark.createDataFrame([("a", i), (f"b{i}", i), (None, 1), ("a", i - 1)], ddl)
+        full = customers.withColumns({c: F.lit(None) for c in column_names(CUSTOMER_DDL) if c not in customers.columns})
+        full = full.select(*column_names(CUSTOMER_DDL))
+        dimension_table.write_customer_versions(full, dim, f"r{i:02d}", RUN_TIME + timedelta(hours=i), fan=2)
+        got = {r.customer_id: r.age for r in dimension_table.read_dimension(spark, dim).collect()}
+        assert got == {"a": i, **{f"b{k}": k for k in range(i + 1)}}
+    runs = manifests(spark, dim).select("run_id", "counts").collect()
+    assert len(runs) <= 5 and max(r.counts["tier"] for r in runs) == 3
+    assert manifests(spark, dim, retired=True).count() > 11
+    # Rows were merged, not copied: every customer is there once a run.
+    rows = read_runs(spark, dim, dimension_table.VERSIONS_DDL)
+    assert rows.groupBy("run_id", "customer_id").count().where("count > 1").isEmpty()
+    with pytest.raises(RunTaken):
+        dimension_table.write_customer_versions(full, dim, "r00", RUN_TIME)
+    dimension_table.write_customer_versions(full, dim, "r10", RUN_TIME + timedelta(hours=10), fan=2)  # the newest may be
+
+
+def test_a_batch_reads_only_the_buckets_of_its_customers(spark, tmp_path):
+    dim = str(tmp_path / "dim")
+    names = column_names(CUSTOMER_DDL)
+    customers = spark.range(500).selectExpr("concat('c', id) as customer_id", "cast(id as int) as age", *[f"null as {n}" for n in names[2:]])
+    dimension_table.write_customer_versions(customers, dim, "r", RUN_TIME)
+    needed = spark.createDataFrame([("c1",), ("c2",), (None,), ("unknown",)], "customer_id string")
+    found = dimension_table.read_dimension(spark, dim, needed)
+    assert {r.customer_id: r.age for r in found.collect()} == {"c1": 1, "c2": 2}
+    kept = {r.bucket for r in needed.where("customer_id is not null").select(dimension_table.bucket_of().alias("bucket")).collect()}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert len(kept) == 3 and f"PartitionFilters: [isnotnull(bucket" in plan or "PartitionFilters: [bucket" in plan
+    scanned = [line for line in plan.splitlines() if "PartitionFilters" in line and "bucket" in line.split("PartitionFilters")[1].split("]")[0]]
+    assert scanned and all(str(b) in scanned[0] for b in kept)

@@ -22,11 +22,12 @@ from datetime import datetime, timedelta
 from pyspark.sql import SparkSession
 
 from veriledger.operators.rules import Limits
-from veriledger.plans.etl import EtlRun, compact_dimension, judge_orphans_again, run_etl, run_id_for
+from veriledger.plans.etl import EtlRun, judge_orphans_again, run_etl, run_id_for
 from veriledger.plans.marts import compact_marts, run_marts, run_marts_lookback
 from veriledger.session import build_session, size_session
 from veriledger.sources import synthetic
 from veriledger.sources.cleanup import delete_consumed, delete_feed
+from veriledger.sources.dimension_table import compact_dimension
 from veriledger.sources.feeds import write_feed
 from veriledger.sources.run_tables import prune_attempts
 from veriledger.streaming.incremental import utc_now

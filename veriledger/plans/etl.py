@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 from veriledger.functions.times import start_of_hour
 from veriledger.operators.cleaning import clean_customers, clean_transactions
 from veriledger.operators.dedup import drop_seen, keep_smallest
-from veriledger.operators.dimension import as_versions, latest_customers, latest_versions
 from veriledger.operators.joins import flag_currency, with_customers, with_known_customers
 from veriledger.operators.rules import (
     INDETERMINATE,
@@ -34,7 +33,6 @@ from veriledger.operators.rules import (
 )
 from veriledger.schemas import (
     CUSTOMER_COLUMNS,
-    CUSTOMER_DDL,
     JUDGED_COLUMNS,
     RAW_LINE,
     RUN_LEVELS,
@@ -43,6 +41,7 @@ from veriledger.schemas import (
 )
 from veriledger.session import pin_session
 from veriledger.sources.catalog import keep_registered
+from veriledger.sources.dimension_table import read_dimension, write_customer_versions
 from veriledger.sources.feeds import (
     feed_files,
     read_currencies,
@@ -64,8 +63,6 @@ ORPHAN, MALFORMED = "orphan", "malformed"
 JUDGED = (VALID, INVALID, INDETERMINATE)
 VERDICTS = (*JUDGED, ORPHAN, MALFORMED)
 
-VERSIONS_DDL = f"{CUSTOMER_DDL}, loaded_at timestamp, run_id string"
-
 Codes = DataFrame | Sequence[str]
 
 
@@ -167,32 +164,6 @@ class EtlRun:
     currency_table: bool | None = None
 
 
-def write_customer_versions(
-    customers: DataFrame, dimension: str, run_id: str, run_time: datetime, owner: str | None = None, consumed: DataFrame | None = None
-) -> str:
-    """Add the customers of one run to the dimension, replacing an earlier attempt."""
-    rows = as_versions(customers, run_time)
-    return write_run(rows, dimension, run_id, owner=owner, times=(run_time, run_time), consumed=consumed)
-
-
-def _read_versions(spark: SparkSession, dimension: str) -> DataFrame:
-    return read_runs(spark, dimension, VERSIONS_DDL).drop("run_id")
-
-
-def read_dimension(
-    spark: SparkSession, dimension: str, needed: DataFrame | None = None
-) -> DataFrame:
-    """The newest version of every customer ever loaded, or of the needed ids only."""
-    return latest_customers(_read_versions(spark, dimension), needed)
-
-
-def compact_dimension(spark: SparkSession, dimension: str, into: str) -> str:
-    """Write the newest versions to another folder, to go on from there."""
-    if into.rstrip("/") == dimension.rstrip("/"):
-        raise ValueError("a dimension cannot be compacted into itself: it is read meanwhile")
-    return write_run(latest_versions(_read_versions(spark, dimension)), into, "compacted")
-
-
 def seen_ids(spark: SparkSession, run: EtlRun) -> DataFrame:
     """Ids other runs judged in the hours before this one.
 

@@ -251,6 +251,22 @@ ORACLES: dict[str, str] = {
         select lt.transaction_id, lt.customer_id, lt.amount, latest.age,
                coalesce(latest.job, 'unknown') as job, latest.balance
         from lt join latest on lt.customer_id = latest.customer_id""",
+    "dimension_of_merged_runs": f"""
+        with lt as ({LT}), lc as ({_FLOAT_CUSTOMERS}),
+        versions as (select *, 0 as version from lc
+                     union all
+                     select * exclude (segment) replace (cast(39 + segment as integer) as age), segment as version from (
+                         select *, list_position(['AUTOMOBILE', 'BUILDING', 'FURNITURE', 'MACHINERY', 'HOUSEHOLD'], job) as segment
+                         from lc) s where segment > 0),
+        latest as (
+            select * exclude (rn) from (
+                select *, row_number() over (
+                    partition by customer_id
+                    order by version desc, {", ".join(f"{c.strip()} desc nulls last" for c in _CU_PAYLOAD.split(","))}) as rn
+                from versions) r
+            where rn = 1)
+        select lt.transaction_id, lt.customer_id, lt.amount, latest.age, latest.job, cast(latest.balance as double) as balance
+        from lt join latest on lt.customer_id = latest.customer_id where lt.status = 'completed'""",
     "transactions_per_customer": _LINE + _CUSTOMER_MART,
     "transactions_per_customer_exact": _LINE + _EXACT_CUSTOMER_MART,
     "nan_amounts_customer_mart": _line_pipeline(DT) + _CUSTOMER_MART,

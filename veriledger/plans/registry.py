@@ -39,6 +39,7 @@ from veriledger.session import shared_folder
 from veriledger.sources import synthetic
 from veriledger.sources.catalog import append_rows, ensure_namespace, ensure_table
 from veriledger.sources.cleanup import delete_consumed
+from veriledger.sources.dimension_table import read_dimension, write_customer_versions
 from veriledger.sources.feeds import read_currencies, read_transactions, write_feed
 from veriledger.sources.run_tables import lookback, read_lookback, read_runs, write_run
 from veriledger.streaming.bounded import dedup_stream
@@ -50,6 +51,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 # Fixed parameters, stated again in the oracle texts.
 LOOKBACK_NOW = "2024-01-31 00:00:00"
 RUN_SPLIT = "1998-07-01 00:00:00"
+SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "MACHINERY", "HOUSEHOLD"]
 
 ENRICHED_COLUMNS = TRANSACTION_COLUMNS + [c for c in CUSTOMER_COLUMNS if c != "customer_id"]
 QUERIES: dict[str, Query] = {}
@@ -313,6 +315,20 @@ def enrich_with_dimension(spark: SparkSession, sf: str) -> DataFrame:
     return joined.select("transaction_id", "customer_id", "amount", "age", "job", "balance")
 
 
+@query
+def dimension_of_merged_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """Seven loads into a dimension that merges itself, and the customers of some transactions out of it."""
+    folder = f"{shared_folder(spark, 'merged-dimension')}/customers"
+    customers = testbed.line_customers(spark, sf)
+    loads = [customers, *[customers.where(F.col("job").eqNullSafe(F.lit(j))).withColumn("age", F.lit(40 + i)) for i, j in enumerate(SEGMENTS)]]
+    for number, load in enumerate([*loads, customers.limit(0)]):
+        write_customer_versions(load, folder, f"load-{number}", datetime(2024, 1, 1, number), fan=3)
+    feed = testbed.line_transactions(spark, sf).where("status = 'completed'")
+    known = read_dimension(spark, folder, feed.select("customer_id"))
+    joined = joins.with_customers(feed, known.select("customer_id", "age", "job", "balance"))
+    return joined.select("transaction_id", "customer_id", "amount", "age", "job", as_double("balance"))
+
+
 # --- marts --------------------------------------------------------------------------
 
 

@@ -30,7 +30,7 @@ from veriledger.functions.times import instant, lookback_start, start_of_hour
 _MANIFESTS, _CONSUMED = "_manifests", "_consumed"
 MANIFEST_DDL = (
     "run_id string, attempt string, owner string, source string, written bigint, "
-    "from_time timestamp, to_time timestamp, counts map<string,bigint>"
+    "from_time timestamp, to_time timestamp, counts map<string,bigint>, merged_into string"
 )
 FILES_DDL = "path string, length bigint, modified timestamp"
 
@@ -111,16 +111,19 @@ def read_manifest(spark: SparkSession, table: str, run_id: str) -> dict | None:
     return json.loads(text)
 
 
-def manifests(spark: SparkSession, table: str, since: datetime | None = None) -> DataFrame:
+def manifests(spark: SparkSession, table: str, since: datetime | None = None, retired: bool = False) -> DataFrame:
     """The manifests of a table's finished runs; with ``since`` only of those that reach to that time.
 
-    A run that states no times may hold any.
+    A run that states no times may hold any.  Runs whose rows are in another run by now are
+    left out, unless ``retired`` ones are asked for too.
     """
     folder = f"{table.rstrip('/')}/{_MANIFESTS}"
     if _exists(spark, folder):
         found = spark.read.schema(MANIFEST_DDL).json(folder)
     else:
         found = spark.createDataFrame([], MANIFEST_DDL)
+    if not retired:
+        found = found.where(F.col("merged_into").isNull())
     if since is not None:
         found = found.where(F.col("to_time").isNull() | (F.col("to_time") >= F.lit(str(since)).cast("timestamp")))
     return found
@@ -135,7 +138,7 @@ def attempts(
     """
     if run_ids is not None:
         found = [(r, read_manifest(spark, table, r)) for r in run_ids]
-        return [(r, m["attempt"]) for r, m in found if m]
+        return [(r, m["attempt"]) for r, m in found if m and not m["merged_into"]]
     rows = manifests(spark, table, since).select("run_id", "attempt").collect()
     return sorted((r.run_id, r.attempt) for r in rows)
 
@@ -187,6 +190,8 @@ def check_owner(spark: SparkSession, table: str, run_id: str, owner: str | None)
     held = read_manifest(spark, table, run_id)
     if held and held["owner"] and owner and held["owner"] != owner:
         raise RunTaken(f"run {run_id} of {table} belongs to {held['owner']}")
+    if held and held["merged_into"]:
+        raise RunTaken(f"run {run_id} of {table} has become part of {held['merged_into']}")
     return held
 
 
@@ -232,11 +237,19 @@ def write_run(
     manifest = {
         "run_id": run_id, "attempt": attempt, "owner": owner, "source": source, "written": int(time.time() * 1000),
         "from_time": first and str(first), "to_time": last and str(last), "counts": counts() if counts else {},
+        "merged_into": None,
     }
     _commit(spark, table, manifest)
     return path
 
 
+def retire_run(spark: SparkSession, table: str, run_id: str, attempt: str, into: str) -> None:
+    """The rows of an attempt are in another run by now: it is read no more, and the run is not repeated."""
+    held = read_manifest(spark, table, run_id)
+    if held and held["attempt"] == attempt:
+        put_file(spark, _manifest_path(table, run_id), json.dumps({**held, "merged_into": into}), replace=True)
+
+
 def read_beside(spark: SparkSession, table: str, what: str, ddl: str) -> DataFrame:
     """What attempts have written beside their rows, with their ``attempt``, whether they count or not."""
     folder, ddl = f"{table.rstrip('/')}/{what}", f"{ddl}, attempt string"
@@ -249,7 +262,7 @@ def consumed_files(spark: SparkSession, table: str, but_run: str | None = None)
     Lists of attempts that do not count have no part, nor that of the run ``but_run``.
     """
     lists = read_beside(spark, table, _CONSUMED, FILES_DDL)
-    live = manifests(spark, table)
+    live = manifests(spark, table, retired=True)
     if but_run is not None:
         live = live.where(F.col("run_id") != but_run)
     return lists.join(live.select("attempt"), "attempt", "left_semi").drop("attempt")
@@ -261,10 +274,12 @@ def prune_attempts(spark: SparkSession, table: str, older_than: timedelta = time
     Readers that began before a run was repeated still read its old attempt, and writers
     that are not done have no manifest yet: hence the age.
     """
-    kept = {attempt for _, attempt in attempts(spark, table)}
+    known = manifests(spark, table, retired=True).select("attempt", "merged_into").collect()
+    live, read = {r.attempt for r in known if not r.merged_into}, {r.attempt for r in known}
     before = int((time.time() - older_than.total_seconds()) * 1000)
     removed = 0
-    for pattern in (f"{run_path(table, '*')}/attempt=*", f"{table.rstrip('/')}/{_CONSUMED}/attempt=*"):
+    patterns = {f"{run_path(table, '*')}/attempt=*": live, f"{table.rstrip('/')}/{_CONSUMED}/attempt=*": read}
+    for pattern, kept in patterns.items():
         where, fs = _hadoop(spark, pattern)
         for status in fs.globStatus(where) or []:
             name = status.getPath().getName().removeprefix("attempt=")
