@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from veriledger.operators.exact_sums import as_double, exact_totals, merged_totals
+
 
 def _count_ids() -> Column:
     return F.count("transaction_id").alias("num_transactions")
@@ -93,3 +95,25 @@ def merge_totals(partials: DataFrame, key: str, total: str) -> DataFrame:
     return partials.groupBy(key).agg(
         F.sum("num_transactions").alias("num_transactions"), F.sum(total).alias(total)
     )
+
+
+def amount_totals(valid: DataFrame, *keys: str) -> DataFrame:
+    """``num_transactions`` and the ``amounts`` of each key, as a total that is the same in any order of addition."""
+    totals = exact_totals(valid, keys, "amount", "amounts", F.count("transaction_id"))
+    return totals.withColumnRenamed("__m0", "num_transactions")
+
+
+def merge_amount_totals(totals: DataFrame, *keys: str) -> DataFrame:
+    """One row per key over the totals of several runs, as if made of all their rows."""
+    merged = merged_totals(totals.select(*keys, "num_transactions", "amounts"), keys, "amounts", F.sum("num_transactions"))
+    return merged.withColumnRenamed("__m0", "num_transactions")
+
+
+def mart_of_totals(
+    totals: DataFrame, key: str, total: str, average: str | None = None, keep: bool = False
+) -> DataFrame:
+    """A mart from totals: the doubles nearest to them, and the average over the amounts; ``keep`` leaves the totals beside."""
+    worth = totals.select(key, "num_transactions", as_double("amounts").alias(total), "amounts")
+    n = F.col("amounts.n")
+    more = [F.when(n > 0, F.col(total) / n).alias(average)] if average else []
+    return worth.select(key, "num_transactions", total, *more, *(["amounts"] if keep else []))

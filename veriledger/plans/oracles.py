@@ -99,6 +99,9 @@ _EXACT_CUSTOMER_MART = f"""
                  count(case when not isnan(amount) then 1 end) as num_amounts
           from lv group by customer_id) sums
 """
+# The double nearest to a sum: amounts are whole multiples of 2^-60 here.
+_NEAREST = """cast(cast(sum(cast(amount * 1152921504606846976.0::double as hugeint)) as varchar) as double)
+              / 1152921504606846976.0::double"""
 _MERCHANT_MART = f"""
     select merchant_id, count(transaction_id) as num_transactions,
            {_SUM} as total_sales
@@ -271,6 +274,13 @@ ORACLES: dict[str, str] = {
     "transactions_per_customer_exact": _LINE + _EXACT_CUSTOMER_MART,
     "nan_amounts_customer_mart": _line_pipeline(DT) + _CUSTOMER_MART,
     "nan_amounts_customer_mart_exact": _line_pipeline(DT) + _EXACT_CUSTOMER_MART,
+    "transactions_per_customer_reproducible": f"""{_LINE}
+        select customer_id, count(transaction_id) as num_transactions, {_NEAREST} as total_amount,
+               {_NEAREST} / count(amount) as average_transaction_amount
+        from lv group by customer_id""",
+    "stored_reproducible_mart": f"""{_TWO_RUNS}
+        select merchant_id, count(transaction_id) as num_transactions, {_NEAREST} as total_sales
+        from lv group by merchant_id""",
     "transactions_per_merchant": _LINE + _MERCHANT_MART,
     "monthly_transactions": _LINE + _MONTHLY_MART,
     "monthly_transactions_by_year": f"""{_LINE}

@@ -356,6 +356,13 @@ def transactions_per_customer_exact(spark: SparkSession, sf: str) -> DataFrame:
     return _exact_mart(line_valid(spark, sf))
 
 
+@query
+def transactions_per_customer_reproducible(spark: SparkSession, sf: str) -> DataFrame:
+    """With sums of doubles that are the same in any order of addition; nothing is rounded."""
+    totals = marts.amount_totals(line_valid(spark, sf), "customer_id")
+    return marts.mart_of_totals(totals, "customer_id", "total_amount", "average_transaction_amount")
+
+
 @query
 def transactions_per_merchant(spark: SparkSession, sf: str) -> DataFrame:
     mart = marts.transactions_per_merchant(line_valid(spark, sf))
@@ -528,6 +535,16 @@ def stored_compacted_mart(spark: SparkSession, sf: str) -> DataFrame:
     return customer_mart(read_mart(spark, compact, PER_CUSTOMER))
 
 
+@query
+def stored_reproducible_mart(spark: SparkSession, sf: str) -> DataFrame:
+    """The merchants of two stored runs, merged, compacted and read: the bits of one sum over all rows."""
+    folder = shared_folder(spark, "reproducible")
+    judged = f"{_two_stored_runs(spark, sf)}/judged"
+    run_marts(spark, judged, f"{folder}/marts", reproducible=True)
+    compact_marts(spark, f"{folder}/marts", f"{folder}/compact", reproducible=True)
+    return read_mart(spark, f"{folder}/compact", PER_MERCHANT, reproducible=True)
+
+
 @query
 def stored_mart_after_rerun(spark: SparkSession, sf: str) -> DataFrame:
     """A run repeated with more rows after its summary: the marts follow."""
