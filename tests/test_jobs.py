@@ -513,3 +513,25 @@ def test_a_batch_reads_only_the_buckets_of_its_customers(spark, tmp_path):
     assert len(kept) == 3 and f"PartitionFilters: [isnotnull(bucket" in plan or "PartitionFilters: [bucket" in plan
     scanned = [line for line in plan.splitlines() if "PartitionFilters" in line and "bucket" in line.split("PartitionFilters")[1].split("]")[0]]
     assert scanned and all(str(b) in scanned[0] for b in kept)
+
+
+@pytest.mark.parametrize("bits", [1 << 15, 1 << 20])
+def test_bitmaps_rule_out_new_ids_and_no_others(spark, run, tmp_path, bits):
+    rows = [{**BASE, "transaction_id": f"t{i}"} for i in range(300)]
+    first = replace(run, transactions=write_lines(tmp_path / "first", rows[:200]), id_bits=bits)
+    etl.run_etl(spark, first)
+    feed = write_lines(tmp_path / "second", [*rows[150:], {**BASE, "transaction_id": None}])
+    second = replace(first, run_id="r2", run_time=RUN_TIME + timedelta(hours=1), transactions=feed, skip_seen_hours=24)
+    sent = read_transactions(spark, feed)
+    asked = etl.seen_ids(spark, second, sent)
+    assert sorted(r.transaction_id for r in asked.collect()) == [f"t{i}" for i in range(150, 200)]
+    assert etl.seen_ids(spark, second).count() == 200  # without a batch: all of them
+    assert etl.run_etl(spark, second)["valid"] == 101
+    # New ids only: the rows of the runs are not searched.
+    third = replace(second, run_id="r3", run_time=RUN_TIME + timedelta(hours=2))
+    new = spark.createDataFrame([("brand new",)], "transaction_id string")
+    if bits > 1 << 15:
+        plan = etl.seen_ids(spark, third, new)._jdf.queryExecution().executedPlan().toString()
+        assert "Join" not in plan
+    # A run without a bitmap, or with another size, is searched whole.
+    assert etl.seen_ids(spark, replace(third, id_bits=1 << 16), new).count() == 301

@@ -43,6 +43,7 @@ def parser() -> argparse.ArgumentParser:
     etl.add_argument("--dimension", help="folder of accumulated customers")
     etl.add_argument("--prefix", action="store_true", help="feed paths are name prefixes")
     etl.add_argument("--skip-seen-hours", type=float)
+    etl.add_argument("--id-bits", type=int, default=0, help="bits of a bitmap of judged ids to keep and to use")
     etl.add_argument("--new-files", action="store_true", help="read only files that no run of the table has read")
 
     orphans = jobs.add_parser("orphans", help="judge stored orphans against the customers known by now")
@@ -161,6 +162,7 @@ def run_job(spark: SparkSession, args: argparse.Namespace) -> dict:
         rebalance=args.rebalance,
         named=args.run_id is not None,
         new_files=args.new_files,
+        id_bits=args.id_bits,
         **shared,
     )
     return {"run_id": run_id, **run_etl(spark, run)}

@@ -8,7 +8,7 @@ same upload time, and repeating a run replaces its rows.
 from __future__ import annotations
 
 import logging
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field, replace
 from datetime import datetime, timedelta
 
@@ -16,7 +16,7 @@ from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from veriledger.functions.times import start_of_hour
+from veriledger.functions.times import lookback_start, start_of_hour
 from veriledger.operators.cleaning import clean_customers, clean_transactions
 from veriledger.operators.dedup import drop_seen, keep_smallest
 from veriledger.operators.joins import flag_currency, with_customers, with_known_customers
@@ -31,6 +31,7 @@ from veriledger.operators.rules import (
     reasons_of,
     verdict_of,
 )
+from veriledger.operators.sketch import BITMAP_DDL, bitmap_of, merged_bitmaps, possibly_in
 from veriledger.schemas import (
     CUSTOMER_COLUMNS,
     JUDGED_COLUMNS,
@@ -39,7 +40,7 @@ from veriledger.schemas import (
     RUN_TABLE_DDL,
     TRANSACTION_COLUMNS,
 )
-from veriledger.session import pin_session
+from veriledger.session import pin_session, shared_folder
 from veriledger.sources.catalog import keep_registered
 from veriledger.sources.dimension_table import read_dimension, write_customer_versions
 from veriledger.sources.feeds import (
@@ -49,10 +50,13 @@ from veriledger.sources.feeds import (
     read_transactions_with_raw,
 )
 from veriledger.sources.run_tables import (
+    attempts,
     check_owner,
     consumed_files,
     free_run_id,
-    read_lookback,
+    lookback,
+    read_attempts,
+    read_beside,
     read_runs,
     write_run,
 )
@@ -142,6 +146,8 @@ class EtlRun:
     the transaction files that no finished run of the table has read, and so does a named one
     with ``new_files``.  ``owner`` signs the run; one signed by another owner is not replaced.
     ``catalog`` is the name of a table of the session catalog to be kept over the run table.
+    With ``id_bits`` a run keeps a bitmap of so many bits of the ids it judged, and the search
+    for ids seen before looks only for those that the bitmaps of the runs do not rule out.
     """
 
     run_id: str
@@ -161,20 +167,50 @@ class EtlRun:
     new_files: bool = False
     owner: str | None = None
     catalog: str | None = None
+    id_bits: int = 0
     currency_table: bool | None = None
 
 
-def seen_ids(spark: SparkSession, run: EtlRun) -> DataFrame:
+# Beside the rows of an attempt: a bitmap of the ids it judged.
+_SEEN, _SEEN_DDL = "_seen", f"bits bigint, {BITMAP_DDL}"
+
+
+def _judged_bitmap(bits: int) -> Callable[[DataFrame], DataFrame]:
+    def make(stored: DataFrame) -> DataFrame:
+        ids = stored.where(F.col("verdict").isin(*JUDGED))
+        return bitmap_of(ids, "transaction_id", bits).select(F.lit(bits).cast("bigint").alias("bits"), "bitmap_row", "bitmap")
+
+    return make
+
+
+def seen_ids(spark: SparkSession, run: EtlRun, transactions: DataFrame | None = None) -> DataFrame:
     """Ids other runs judged in the hours before this one.
 
-    Orphans were not judged: one that is sent again may have a customer by now.
+    Orphans were not judged: one that is sent again may have a customer by now.  With ``id_bits``
+    only those of ``transactions``: the bitmaps of the runs rule out nearly all ids that are
+    new, and the rows of the runs are searched for the others alone, or not at all if none
+    is left.  Should a run have no bitmap of that size, all its ids are taken.
     """
-    recent = read_lookback(spark, run.table, RUN_TABLE_DDL, run.run_time, run.skip_seen_hours)
-    return recent.where(
-        F.col("verdict").isin(*JUDGED)
-        & (F.col("run_id") != run.run_id)
-        & (F.col("upload_time") < F.lit(str(run.run_time)))
+    since = lookback_start(run.run_time, run.skip_seen_hours)
+    runs = [pair for pair in attempts(spark, run.table, since=since) if pair[0] != run.run_id]
+    recent = lookback(read_attempts(spark, run.table, RUN_TABLE_DDL, runs), run.run_time, run.skip_seen_hours)
+    ids = recent.where(
+        F.col("verdict").isin(*JUDGED) & (F.col("upload_time") < F.lit(str(run.run_time)))
     ).select("transaction_id")
+    if not run.id_bits or transactions is None or not runs:
+        return ids
+    counted = F.col("bits") == run.id_bits
+    bitmaps = read_beside(spark, run.table, _SEEN, _SEEN_DDL).where(F.col("attempt").isin([a for _, a in runs]))
+    if bitmaps.where(counted).select("attempt").distinct().count() < len(runs):
+        return ids
+    possible = possibly_in(transactions.select("transaction_id"), "transaction_id", merged_bitmaps(bitmaps), run.id_bits)
+    path = shared_folder(spark, "possibly-seen")
+    possible.distinct().write.parquet(path)
+    asked = spark.read.schema("transaction_id string").parquet(path)
+    if asked.isEmpty():
+        return asked
+    # Few ids: Spark broadcasts them, and nothing of the runs but hits is shuffled.
+    return ids.join(asked, "transaction_id", "left_semi")
 
 
 def stored_orphans(spark: SparkSession, run: EtlRun) -> DataFrame:
@@ -219,7 +255,7 @@ def run_on(
     The counts are observed while writing, so they cost no job of their own.  ``consumed``
     lists the files the transactions come from; it counts once the run does.
     """
-    seen = None if run.skip_seen_hours is None else seen_ids(spark, run)
+    seen = None if run.skip_seen_hours is None else seen_ids(spark, run, transactions)
     codes = run.currencies
     if isinstance(codes, str):
         codes = read_currencies(spark, codes, run.currency_table)
@@ -240,6 +276,7 @@ def run_on(
     path = write_run(
         observed, run.table, run.run_id, ["verdict", "upload_hour"], owner=run.owner,
         times=(run.run_time, run.run_time), counts=counted, consumed=consumed,
+        beside={_SEEN: _judged_bitmap(run.id_bits)} if run.id_bits else None,
     )
     if run.catalog:
         keep_registered(spark, run.catalog, run.table, RUN_TABLE_DDL, RUN_LEVELS, run.run_id, path)

@@ -306,6 +306,7 @@ ORACLES: dict[str, str] = {
         select 'second' as run_id, verdict, {_COUNTS} from lo where not {FIRST_RUN} group by all""",
     "stored_extra_rule": _reason_counts(paid_by_card="(deposit_method = 'card')"),
     "resent_orphans": _RESENT,
+    "resent_orphans_by_bitmap": _RESENT,
     "stored_json_run": _line_pipeline(feed=_FLOAT_FEED, customers=_FLOAT_CUSTOMERS) + f"""
         select verdict, timestamp '2024-01-01 00:30:00' as upload_time,
                timestamp '2024-01-01 00:00:00' as upload_hour, {_COUNTS}

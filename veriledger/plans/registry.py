@@ -579,20 +579,30 @@ def stored_extra_rule(spark: SparkSession, sf: str) -> DataFrame:
     return rules.reason_counts(read_runs(spark, f"{folder}/judged", RUN_TABLE_DDL))
 
 
-@query
-def resent_orphans(spark: SparkSession, sf: str) -> DataFrame:
-    """A feed sent again once more customers are known: ids judged before are skipped, orphans not."""
+def _resent(spark: SparkSession, sf: str, **options) -> DataFrame:
     folder = shared_folder(spark, "resent")
     feed, customers = _both_feeds(spark, sf)
     few = customers.where(~F.col("job").eqNullSafe(F.lit("BUILDING")))
-    etl.run_on(spark, feed, few, _run(folder, "first", 0))
-    etl.run_on(spark, feed, customers, _run(folder, "second", 6, skip_seen_hours=24))
+    etl.run_on(spark, feed, few, _run(folder, "first", 0, **options))
+    etl.run_on(spark, feed, customers, _run(folder, "second", 6, skip_seen_hours=24, **options))
     judged = read_runs(spark, f"{folder}/judged", RUN_TABLE_DDL)
     return judged.groupBy("run_id", "verdict").agg(
         F.count("*").alias("num_rows"), F.count("transaction_id").alias("num_ids")
     )
 
 
+@query
+def resent_orphans(spark: SparkSession, sf: str) -> DataFrame:
+    """A feed sent again once more customers are known: ids judged before are skipped, orphans not."""
+    return _resent(spark, sf)
+
+
+@query
+def resent_orphans_by_bitmap(spark: SparkSession, sf: str) -> DataFrame:
+    """The same, with bitmaps that rule out ids that were not judged."""
+    return _resent(spark, sf, id_bits=1 << 16)
+
+
 @query
 def stored_json_run(spark: SparkSession, sf: str) -> DataFrame:
     """The whole batch job from JSON files, with the time it stamps on its rows."""

@@ -216,14 +216,16 @@ def write_run(
     counts: Callable[[], dict[str, int]] | None = None,
     source: str | None = None,
     consumed: DataFrame | None = None,
+    beside: dict[str, Callable[[DataFrame], DataFrame]] | None = None,
 ) -> str:
     """Write the rows of one run as a new attempt and let it count; returns the attempt's folder.
 
     It replaces an earlier attempt of the same run.  With an ``owner`` the run is signed, and a
     run signed by another one is not replaced.  ``times`` are the first and last time of
     the rows, ``counts`` says at the end how many there are of each kind, ``source`` from
-    what they were made, and ``consumed`` which input files (``path, length, modified``):
-    all this counts from the same moment as the rows.
+    what they were made, and ``consumed`` which input files (``path, length, modified``).
+    ``beside`` makes further tables, by name, from the rows as they were stored; see
+    ``read_beside``.  All this counts from the same moment as the rows.
     """
     spark = df.sparkSession
     check_owner(spark, table, run_id, owner)
@@ -233,6 +235,9 @@ def write_run(
     writer.parquet(path)
     if consumed is not None:
         consumed.write.parquet(f"{table.rstrip('/')}/{_CONSUMED}/attempt={attempt}")
+    for name, make in (beside or {}).items():
+        stored = spark.read.schema(df.schema).parquet(path)
+        make(stored).write.parquet(f"{table.rstrip('/')}/{name}/attempt={attempt}")
     first, last = times or (None, None)
     manifest = {
         "run_id": run_id, "attempt": attempt, "owner": owner, "source": source, "written": int(time.time() * 1000),
@@ -278,11 +283,11 @@ def prune_attempts(spark: SparkSession, table: str, older_than: timedelta = time
     live, read = {r.attempt for r in known if not r.merged_into}, {r.attempt for r in known}
     before = int((time.time() - older_than.total_seconds()) * 1000)
     removed = 0
-    patterns = {f"{run_path(table, '*')}/attempt=*": live, f"{table.rstrip('/')}/{_CONSUMED}/attempt=*": read}
-    for pattern, kept in patterns.items():
+    for pattern in (f"{run_path(table, '*')}/attempt=*", f"{table.rstrip('/')}/_*/attempt=*"):
         where, fs = _hadoop(spark, pattern)
         for status in fs.globStatus(where) or []:
             name = status.getPath().getName().removeprefix("attempt=")
+            kept = read if status.getPath().getParent().getName() == _CONSUMED else live
             if name not in kept and status.getModificationTime() < before:
                 removed += bool(fs.delete(status.getPath(), True))
     return removed
