@@ -13,7 +13,8 @@ from veriledger.llm import dimension_scan, line_templates, pfair, queries
 
 
 def cleaned(spark, rows, **options):
-    frame = documents(spark, rows, ["leaf", "code", "line", "doc"])
+    names = ["leaf", "code", "line", "doc", "gone_id", "gone_lines", "key", "place", "first", "shape", "words", "n_lines"]
+    frame = documents(spark, rows, names)
     return {r.doc_id: r for r in line_templates.without_recurring_lines(frame, **options).collect()}
 
 
@@ -31,12 +32,44 @@ def test_variable_fields(spark):
         assert (found[i].n_lines, found[i].n_dropped) == (4, 2)
 
 
-def test_repeats_within_a_document_and_short_lines_stay(spark):
+def test_repeats_within_a_document_stay_and_short_lines_recur_by_shape(spark):
     line = "one two three four"
-    found = cleaned(spark, [(1, f"{line}\n{line}\nok\n"), (2, f"ok\n{line}\nall mine here now"), (3, "ok\nno no")])
-    assert found[1].text == f"{line}\n{line}\nok\n"
-    assert found[2].text == "ok\nall mine here now"
-    assert found[3].text == "ok\nno no"
+    found = cleaned(spark, [(1, f"{line}\n{line}\nok\n\n12"), (2, f"ok\n{line}\nall mine here now\n\n13"), (3, "ok\nno no\nv1 v2\nPage 1"), (4, "v3 v4\nPage 2\nno yes")])
+    assert found[1].text == f"{line}\n{line}\nok\n\n12"
+    assert found[2].text == "all mine here now\n\n13"  # blank lines and bare numbers are no templates
+    assert found[3].text == "no no\nv1 v2\nPage 1"
+    assert found[4].text == "v3 v4\nno yes"
+
+
+NAMES = ["ann", "bob", "cat", "dan", "eve", "fay"]
+TEMPLATES = [
+    "The user called {} signed in today from home", "The user called {} lost his red new phone", "User {} signed in today from home",
+    "Your order will be delivered to the following address: {}",
+]
+
+
+def test_several_templates_of_one_leaf(spark):
+    rows = [(i, "\n".join(t.format(n) for t in TEMPLATES)) for i, n in enumerate(NAMES)]
+    found = cleaned(spark, rows)
+    assert found[0].n_dropped == 0
+    assert all(found[i].text == "" and found[i].n_dropped == len(TEMPLATES) for i in range(1, 6))
+
+
+def test_other_lines_change_nothing(spark):
+    rows = [(i, "\n".join(t.format(n) for t in TEMPLATES)) for i, n in enumerate(NAMES)]
+    more = [(100 + i, f"The user called {prose(i, 6)}\nUser {prose(500 + i, 3)} from home") for i in range(300)]
+    alone, among = cleaned(spark, rows), cleaned(spark, rows + more)
+    assert {i: among[i].text for i in alone} == {i: r.text for i, r in alone.items()}
+    assert all(among[i].n_dropped == 0 for i, _ in more)
+
+
+def test_long_lines(spark):
+    words = prose(1, 20_000).split(" ")
+    other = words.copy()
+    other[9_000] = "another"
+    far = [w if i % 2 else "x" for i, w in enumerate(words)]
+    found = cleaned(spark, [(1, " ".join(words)), (2, " ".join(other)), (3, " ".join(far)), (4, "y" * 300_000), (5, "y" * 300_000)])
+    assert [found[i].n_dropped for i in (1, 2, 3, 4, 5)] == [0, 1, 0, 0, 1]
 
 
 def test_different_lines_of_one_leaf_stay(spark):

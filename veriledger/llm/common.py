@@ -43,7 +43,7 @@ def release() -> None:
         trim(0)
 
 
-def written(frame: DataFrame, purpose: str) -> DataFrame:
+def written(frame: DataFrame, purpose: str, compression: str = "snappy") -> DataFrame:
     """``frame`` written to the shared folder and read back.
 
     Cuts the lineage: what follows survives lost executors without repeating the work, and
@@ -51,7 +51,7 @@ def written(frame: DataFrame, purpose: str) -> DataFrame:
     """
     spark = frame.sparkSession
     path = shared_folder(spark, purpose)
-    frame.write.parquet(path)
+    frame.write.option("compression", compression).parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 
 

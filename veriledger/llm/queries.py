@@ -160,33 +160,34 @@ LINES_SQL = r"""
                               lambda t: case when regexp_matches(t, '[0-9]') then '<*>' else t end) as tokens
         from line where doc_id is not null
     ), usable as (
-        select doc_id, nr, tokens, (len(tokens), tokens[1], tokens[2], tokens[3]) as leaf
-        from shaped where len(tokens) >= 3
+        select doc_id, nr, tokens, len(tokens)::int as n, greatest(1, len(tokens) * 30 // 100)::int as m
+        from shaped where tokens not in ([''], ['<*>'], ['<*>', '<*>'])
     ), shape as (
-        select leaf, tokens, min(doc_id) as first_doc, max(doc_id) as last_doc from usable group by all
-    ), leaves as (
-        select leaf, count(*) as different from shape group by leaf
-        having count(*) > 1 and min(first_doc) < max(last_doc)
-    ), token as (
-        select leaf, different, tokens, unnest(range(len(tokens))) as place, unnest(tokens) as token
-        from shape join leaves using (leaf)
-    ), constant as (
-        select leaf, place, token from token group by all having 2 * count(*) > max(different)
-    ), agreeing as (
-        select leaf, tokens from token join constant using (leaf, place, token)
-        group by all having count(*) >= len(tokens) * 0.7
-    ), member as (
-        select shape.*, agreeing.leaf is not null as general
-        from shape left join agreeing using (leaf, tokens)
+        select tokens, n, m, min(doc_id) as first_doc, max(doc_id) as last_doc from usable group by all
+    ), windows as (
+        select *, 'leading' as kind,
+               unnest(list_distinct(list_append(generate_series(3, n - m, (m + 1) // 2), n - m))) as start
+        from shape where n - m >= 3
+        union all
+        select *, 'trailing',
+               unnest(list_distinct(list_append(generate_series(0, n - 3 - m, (m + 1) // 2), n - 3 - m)))
+        from shape where n - 3 - m >= 0
+    ), outside as (
+        select tokens, n, kind, start, first_doc, last_doc,
+               case when start > 0 then tokens[1:start] else [] end as head, tokens[start + m + 1:] as rest
+        from windows
+    ), shared as (
+        select n, kind, start, head, rest, min(first_doc) as first_doc
+        from outside group by n, kind, start, head, rest having min(first_doc) < max(last_doc)
     ), template as (
-        select leaf, tokens,
-               case when general then min(first_doc) over (partition by leaf, general) else first_doc end as first_doc,
-               case when general then max(last_doc) over (partition by leaf, general) else last_doc end as last_doc
-        from member
+        select tokens, min(first_doc) as first_doc from (
+            select tokens, shared.first_doc from outside join shared using (n, kind, start, head, rest)
+            union all
+            select tokens, first_doc from shape where first_doc < last_doc
+        ) group by tokens
     ), gone as (
         select distinct usable.doc_id, nr
-        from usable join template using (leaf, tokens)
-        where first_doc < last_doc and usable.doc_id <> first_doc
+        from usable join template using (tokens) where usable.doc_id <> first_doc
     ), cleaned as (
         select line.doc_id, count(*) as n_lines, count(gone.nr) as n_dropped,
                coalesce(string_agg(words, chr(10) order by line.nr) filter (gone.nr is null), '') as text
