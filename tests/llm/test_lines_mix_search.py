@@ -119,6 +119,15 @@ def test_mixture_of_uneven_sources(spark):
             assert abs(sum(b[0] == k for b in blocks) - share * (slot + 1) / 6) < 1
 
 
+def test_names_of_the_mixture_may_be_taken(spark):
+    frame = documents(spark, [(i, "t", "a" if i % 2 else "b") for i in range(40)], ["kept_5", "mix_slot", "kept_6", "offset", "mix_part"])
+    found = pfair.mixed(frame, {"a": 1})
+    assert found.columns == [
+        "doc_id", "text", "lang", "source", "n_chars", "kept_5", "kept_6_", "kept_6", "offset", "kept_9", "mix_block", "mix_slot", "mix_position",
+    ]
+    assert sorted(r.mix_position for r in found.collect()) == list(range(40))
+
+
 def test_odd_mixtures(spark):
     found = pfair.mixed(documents(spark, ODD), {"src0": 1}).collect()
     assert sorted(r.mix_position for r in found) == list(range(len(ODD)))

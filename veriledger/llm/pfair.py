@@ -8,6 +8,7 @@ less than one block away from its target.
 
 from __future__ import annotations
 
+import uuid
 from math import gcd
 
 from pyspark.sql import Column, DataFrame
@@ -91,12 +92,20 @@ def mixed(
     shares, whose sum is bounded.  Rows with the same id stand next to each other in an
     order given by their other columns; a null id comes first in its part.  An empty table
     gives an empty one.  Input columns whose names begin with ``mix_`` come back as
-    ``kept_`` and their place.
+    ``kept_`` and their place, and underscores if there is such a column too.  Texts of any
+    length are carried, not looked at.
     """
     if any(c.lower().startswith("mix_") or c.lower() in _OWN for c in rows.columns):
-        clash = {c: f"kept_{i}" for i, c in enumerate(rows.columns)}
+        clash = {c: f"__{uuid.uuid4().hex}" for c in rows.columns}
         inner = mixed(rows.withColumnsRenamed(clash), shares, rest, block_rows, clash[id_col], clash[source_col])
-        return inner.withColumnsRenamed({f"{v}": k for k, v in clash.items() if not k.lower().startswith("mix_")})
+        taken, back = {c.lower() for c in rows.columns}, {}
+        for i, (name, aside) in enumerate(clash.items()):
+            if name.lower().startswith("mix_"):
+                name = f"kept_{i}"
+                while name in taken:
+                    name += "_"
+            back[aside] = name
+        return inner.withColumnsRenamed(back)
     names, values = reduced(shares, rest)
     spark, total = rows.sparkSession, sum(values)
     number = F.coalesce(

@@ -289,7 +289,8 @@ def secrets(
 
     ``learn`` says which findings the forest may learn from, all by default.  Null and empty
     texts have no candidates, a null path counts as empty, repeated rows are searched each,
-    an empty table gives an empty one.  Other columns are ignored, whatever their names.
+    an empty table gives an empty one.  Texts of any length are searched whole.  Other
+    columns are ignored, whatever their names.
     """
     bounded_batches(docs.sparkSession)
     found = written(candidates(docs, language(docs, text_col), id_col, text_col, path_col), "candidates")

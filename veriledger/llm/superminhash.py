@@ -326,7 +326,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     but five in a million.  Null and empty texts have no shingles and are linked with
     nothing.  A row without id takes no part: it has no component and is kept.  Rows that
     repeat an id share its result, which takes all their texts into account.  An empty table
-    gives an empty one.  Other columns are ignored, whatever their names.
+    gives an empty one.  Texts of any length are read whole.  Other columns are ignored,
+    whatever their names.
     """
     bounded_batches(docs.sparkSession)
     rows = written(sign(docs, id_col, text_col), "signatures")

@@ -104,7 +104,11 @@ class _Shard:
 
     def commit(self) -> pa.RecordBatch:
         self.out.close()
-        self.store.move(self.temporary, f"{self.folder}/{self.name}")
+        whole = f"{self.folder}/{self.name}"
+        # An earlier attempt of the task may have left the same bytes, onto which not every store moves.
+        if self.store.get_file_info(whole).type != fs.FileType.NotFound:
+            self.store.delete_file(whole)
+        self.store.move(self.temporary, whole)
         row = [[self.name], [self.bytes], [self.digest.hexdigest()], [self.records]]
         return pa.record_batch([pa.array(v, f.type) for v, f in zip(row, _MANIFEST_ARROW, strict=True)], schema=_MANIFEST_ARROW)
 
@@ -157,7 +161,10 @@ def write_archives(
 
     Null html is an empty payload.  Rows with a null page id are records too, never the
     response of a group that has another id; of rows that repeat the largest id, the first
-    answers and the others revisit it.  An empty table gives an empty manifest.
+    answers and the others revisit it.  An empty table gives an empty manifest.  A payload
+    is held whole by the task that writes it, whatever its size.  Other columns have no
+    part, whatever their names.  Names and bounds of the files follow the number of
+    shuffle partitions: the same bytes come from the same settings.
     """
     spark = pages.sparkSession
     bounded_batches(spark)
