@@ -157,12 +157,23 @@ def recurring_lines(
     # Texts are split and masked once; what follows reads the columns it needs of this table.
     lines = written(_lines(plain, depth, least_tokens), "lines", "zstd")
     shapes = written(
-        lines.groupBy("leaf", "tail", "code").agg(F.min("doc").alias("first"), F.max("doc").alias("last")), "shapes", "zstd"
-    )
+        lines.groupBy("leaf", "tail", "code").agg(
+            F.min("doc").alias("first"), F.max("doc").alias("last"), F.count("*").alias("n")
+        ),
+        "shapes", "zstd",
+    )
     exact = shapes.filter("first < last").select("leaf", "code", "first")
     recurring = exact.unionByName(_generalised(shapes, lines, depth, variable)).groupBy("leaf", "code").agg(F.min("first").alias("first"))
+    # Lines that make up a thousandth of all are not dealt out by their code, as one of them may
+    # be a third of all lines: they meet their few rows, a thousand at most, where they are.
+    key = ["leaf", "code"]
+    total = shapes.agg(F.sum("n")).first()[0] or 0
+    hot = F.broadcast(shapes.filter(F.col("n") > max(1000, total // 1000)).select(*key))
+    placed = lines.select("doc", "line", *key)
+    frequent = placed.join(F.broadcast(recurring.join(hot, key, "left_semi")), key)
+    others = placed.join(hot, key, "left_anti").join(recurring, key)
     return (
-        lines.select("doc", "line", "leaf", "code").join(recurring, ["leaf", "code"]).filter("doc <> first")
+        frequent.unionByName(others).filter("doc <> first")
         .groupBy("doc").agg(F.collect_set("line").alias("dropped"))  # at most the lines of one document
         .withColumnRenamed("doc", "doc_id")
     )
