@@ -175,6 +175,23 @@ _RESENT = f"""
     select 'second' as run_id, verdict, {_COUNTS} from second group by all
 """
 
+# The customers of one segment come later: what they had left as orphans is judged then, once more.
+_WAITED = f"""
+    {_line_pipeline(feed=_FLOAT_FEED, customers=f"select * from ({_FLOAT_CUSTOMERS}) f where job is distinct from 'BUILDING'")}
+    , full_lc as ({_FLOAT_CUSTOMERS}),
+    full_cd as ({_first_of("full_lc", "customer_id", _CU_PAYLOAD)}),
+    waited as (
+        select tc.transaction_id,
+               case when {_ALL_RULES.replace("customer_id", "tc.customer_id")} then 'valid'
+                    when not ({_ALL_RULES.replace("customer_id", "tc.customer_id")}) then 'invalid'
+                    else 'indeterminate' end as verdict
+        from (select * exclude (age) from lo where verdict = 'orphan') tc
+        join full_cd on tc.customer_id = full_cd.customer_id)
+    select false as waited, verdict, {_COUNTS} from lo group by all
+    union all
+    select true as waited, verdict, {_COUNTS} from waited group by all
+"""
+
 _ENRICHED = f"transaction_id, {_TX_PAYLOAD}, {_CU_PAYLOAD}"
 
 ORACLES: dict[str, str] = {
@@ -332,5 +349,6 @@ ORACLES: dict[str, str] = {
     "created_and_appended": """
         select date_trunc('hour', ts) as upload_hour, event_type, count(*) as num_rows from events group by 1, 2""",
     "stream_two_feeds_report": f"{_TWO_FLOAT_RUNS} select verdict, {_COUNTS} from lo group by 1",
+    "waiting_orphans": _WAITED,
     "stream_dedup": "select * from events",
 }

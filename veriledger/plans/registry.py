@@ -43,7 +43,7 @@ from veriledger.sources.dimension_table import read_dimension, write_customer_ve
 from veriledger.sources.feeds import read_currencies, read_transactions, write_feed
 from veriledger.sources.run_tables import lookback, read_lookback, read_runs, write_run
 from veriledger.streaming.bounded import dedup_stream
-from veriledger.streaming.incremental import stream_customers, stream_transactions
+from veriledger.streaming.incremental import stream_customers, stream_orphans, stream_transactions
 from veriledger.streaming.landing import land, read_messages
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -708,16 +708,17 @@ def _landed(spark: SparkSession, folder: str, name: str, feed: DataFrame) -> str
     return f"{folder}/landing/{name}"
 
 
-def _judged_stream(spark: SparkSession, folder: str, name: str, feed: DataFrame, clean: str | None = None) -> None:
+def _judged_stream(spark: SparkSession, folder: str, name: str, feed: DataFrame, clean: str | None = None, **options) -> None:
     run = replace(
         _run(folder, "", 0), transactions=_landed(spark, folder, name, feed), dimension=f"{folder}/dimension"
     )
-    stream_transactions(spark, run, f"{folder}/checkpoints/{name}", clean).awaitTermination()
+    stream_transactions(spark, run, f"{folder}/checkpoints/{name}", clean, **options).awaitTermination()
 
 
-def _with_customers(spark: SparkSession, folder: str, customers: DataFrame) -> None:
+def _with_customers(spark: SparkSession, folder: str, customers: DataFrame, **options) -> None:
+    landing = _landed(spark, folder, "customers", customers)
     stream_customers(
-        spark, _landed(spark, folder, "customers", customers), f"{folder}/dimension", f"{folder}/checkpoints/customers"
+        spark, landing, f"{folder}/dimension", f"{folder}/checkpoints/customers", **options
     ).awaitTermination()
 
 
@@ -788,6 +789,32 @@ def repeated_landing(spark: SparkSession, sf: str) -> DataFrame:
     return _stream_report(spark, folder)
 
 
+@query
+def waiting_orphans(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers of one segment come after the feed: their transactions wait in a stream and are judged then."""
+    folder = shared_folder(spark, "waiting")
+    waiting, arrivals = f"{folder}/waiting", f"{folder}/arrivals"
+    feed, customers = _both_feeds(spark, sf)
+    late = F.col("job").eqNullSafe(F.lit("BUILDING"))
+
+    def look() -> str:
+        run = replace(_run(folder, "", 0), dimension=f"{folder}/dimension")
+        looking = stream_orphans(spark, run, waiting, arrivals, f"{folder}/checkpoints/waiting")
+        looking.awaitTermination()
+        return looking.id
+
+    _with_customers(spark, folder, customers.where(~late), arrivals=arrivals)
+    _judged_stream(spark, folder, "transactions", feed, waiting=waiting)
+    look()
+    _with_customers(spark, folder, customers.where(late), arrivals=arrivals)
+    stream = look()
+    judged = read_runs(spark, f"{folder}/judged", RUN_TABLE_DDL)
+    waited = F.col("run_id").startswith(f"stream-{stream}-").alias("waited")
+    return judged.groupBy(waited, "verdict").agg(
+        F.count("*").alias("num_rows"), F.count("transaction_id").alias("num_ids")
+    )
+
+
 @query
 def stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """Events, doubled on the way in, deduplicated as a stream."""
