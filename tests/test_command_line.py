@@ -1,6 +1,9 @@
 import json
 
+import pytest
+
 from veriledger.__main__ import main
+from veriledger.plans.mart_deltas import read_kept_mart
 from veriledger.plans.marts import PER_CUSTOMER, read_mart
 
 
@@ -30,6 +33,11 @@ def test_generate_judge_summarise_delete(spark, tmp_path, capsys):
     assert total(marts) == 300
     assert call(*base, marts) == {"runs": ["only-gel"]}
     assert total(marts) == 300 + report["valid"]
+    assert call(*base, tmp_path / "kept", "--deltas") == {"runs": ["20240506T120000", "only-gel"]}
+    kept = read_kept_mart(spark, str(tmp_path / "kept"), PER_CUSTOMER)
+    assert kept.selectExpr("sum(num_transactions)").first()[0] == total(marts)
+    with pytest.raises(SystemExit):
+        call(*base, tmp_path / "kept", "--deltas", "--exact")
     look = tmp_path / "look"
     call(*base, look, "--run-time", "2024-05-06T14:00:00", "--lookback-hours", 6)
     assert total(look) == 300 + report["valid"]

@@ -23,6 +23,7 @@ from pyspark.sql import SparkSession
 
 from veriledger.operators.rules import Limits
 from veriledger.plans.etl import EtlRun, judge_orphans_again, run_etl, run_id_for
+from veriledger.plans.mart_deltas import keep_marts
 from veriledger.plans.marts import compact_marts, run_marts, run_marts_lookback
 from veriledger.session import build_session, size_session
 from veriledger.sources import synthetic
@@ -69,6 +70,7 @@ def parser() -> argparse.ArgumentParser:
     marts.add_argument("--table", required=True)
     marts.add_argument("--marts", required=True, help="folder of the marts")
     marts.add_argument("--exact", action="store_true", help="sum money as decimals of cents")
+    marts.add_argument("--deltas", action="store_true", help="keep marts that are read from a few merged deltas")
     marts.add_argument("--lookback-hours", type=float, help="instead of one run, the last hours")
 
     etl.add_argument("--run-id", help="default: the six-hour slot of the run time, for files not read before")
@@ -132,6 +134,10 @@ def run_job(spark: SparkSession, args: argparse.Namespace) -> dict:
     run_time = args.run_time or utc_now()
     run_id = args.run_id or run_id_for(run_time)
     if args.job == "marts":
+        if args.deltas:
+            if args.run_id or args.exact or args.lookback_hours:
+                raise SystemExit("--deltas keeps all runs: it goes with no --run-id, --exact or --lookback-hours")
+            return {"runs": keep_marts(spark, args.table, args.marts)}
         if args.lookback_hours:
             run_marts_lookback(
                 spark, args.table, args.marts, run_id, run_time, args.lookback_hours, args.exact

@@ -119,6 +119,12 @@ def _negated(digits: Column) -> Column:
     return F.transform(digits, lambda d: F.struct(d["place"].alias("place"), (-d["value"]).cast(_VALUE).alias("value")))
 
 
+def negated(total: str) -> Column:
+    """A total that takes away what the given one adds, its counts included."""
+    counts = [(-F.col(f"{total}.{c}")).alias(c) for c in ("nan", "plus", "minus", "n")]
+    return F.struct(_negated(F.col(f"{total}.digits")).alias("digits"), *counts).cast(TOTAL)
+
+
 def canonical(digits: Column) -> Column:
     """The same number with one value a place, none of them 0, all of its sign and below 2^24 in size.
 

@@ -41,7 +41,7 @@ _BUILDERS = {
     MONTHLY: marts.monthly_transactions,
 }
 # Of each mart its key, how the key is made, and the names of its sum and average.
-_TOTALS = {
+TOTALS = {
     PER_CUSTOMER: ("customer_id", "customer_id", "total_amount", "average_transaction_amount"),
     PER_MERCHANT: ("merchant_id", "merchant_id", "total_sales", None),
     MONTHLY: ("transaction_month", "month(timestamp)", "total_amount", None),
@@ -78,14 +78,14 @@ def write_marts(
 
 
 def _reproducible(valid: DataFrame, name: str) -> DataFrame:
-    key, made, _, _ = _TOTALS[name]
+    key, made, _, _ = TOTALS[name]
     totals = marts.amount_totals(valid.withColumn(key, F.expr(made)), key)
     return _with_totals(totals, name)
 
 
 def _with_totals(totals: DataFrame, name: str) -> DataFrame:
     """The stored form of a mart: its doubles and what they were made of."""
-    key, _, total, average = _TOTALS[name]
+    key, _, total, average = TOTALS[name]
     mart = marts.mart_of_totals(totals, key, total, average, keep=True)
     return mart.withColumn("num_amounts", F.col("amounts.n")) if name == PER_CUSTOMER else mart
 
@@ -171,7 +171,7 @@ def read_mart(
     """
     partials = read_runs(spark, f"{folder}/{name}", _STORED[name])
     if reproducible:
-        key, _, total, average = _TOTALS[name]
+        key, _, total, average = TOTALS[name]
         totals = marts.merge_amount_totals(partials, key)
         return _with_totals(totals, name) if partial else marts.mart_of_totals(totals, key, total, average)
     if name == PER_CUSTOMER:

@@ -295,6 +295,10 @@ ORACLES: dict[str, str] = {
         select customer_id, count(transaction_id) as num_transactions, {_NEAREST} as total_amount,
                {_NEAREST} / count(amount) as average_transaction_amount
         from lv group by customer_id""",
+    "stored_mart_by_deltas": f"""{_TWO_RUNS}
+        select customer_id, count(transaction_id) as num_transactions, {_NEAREST} as total_amount,
+               {_NEAREST} / count(amount) as average_transaction_amount
+        from lv group by customer_id""",
     "stored_reproducible_mart": f"""{_TWO_RUNS}
         select merchant_id, count(transaction_id) as num_transactions, {_NEAREST} as total_sales
         from lv group by merchant_id""",

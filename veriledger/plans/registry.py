@@ -20,6 +20,7 @@ from veriledger.functions import text
 from veriledger.functions.times import bucket
 from veriledger.operators import cleaning, dedup, dimension, joins, marts, rules
 from veriledger.plans import etl, testbed
+from veriledger.plans.mart_deltas import keep_marts, read_kept_mart
 from veriledger.plans.marts import (
     MONTHLY,
     PER_CUSTOMER,
@@ -556,6 +557,21 @@ def stored_mart_after_rerun(spark: SparkSession, sf: str) -> DataFrame:
     return customer_mart(read_mart(spark, f"{folder}/marts", PER_CUSTOMER))
 
 
+@query
+def stored_mart_by_deltas(spark: SparkSession, sf: str) -> DataFrame:
+    """A run of the whole feed cut down to half after its delta was merged with that of a second run."""
+    folder = shared_folder(spark, "deltas")
+    feed, customers = _both_feeds(spark, sf)
+    for run_id, hour, rows in (
+        ("first", 0, feed),
+        ("second", 6, feed.where(~in_first_run())),
+        ("first", 0, feed.where(in_first_run())),
+    ):
+        etl.run_on(spark, rows, customers, _run(folder, run_id, hour))
+        keep_marts(spark, f"{folder}/judged", f"{folder}/marts", fan=2)
+    return read_kept_mart(spark, f"{folder}/marts", PER_CUSTOMER)
+
+
 @query
 def stored_lookback_by_name(spark: SparkSession, sf: str) -> DataFrame:
     """Two runs written by the job into a table of the catalog, and a lookback over it by name."""

@@ -32,6 +32,8 @@ MANIFEST_DDL = (
     "run_id string, attempt string, owner string, source string, written bigint, "
     "from_time timestamp, to_time timestamp, counts map<string,bigint>, merged_into string"
 )
+# A count of runs that are kept after they were merged: their rows may have to be taken away again.
+GENERATION = "generation"
 FILES_DDL = "path string, length bigint, modified timestamp"
 
 Attempts = Sequence[tuple[str, str]]
@@ -279,8 +281,9 @@ def prune_attempts(spark: SparkSession, table: str, older_than: timedelta = time
     Readers that began before a run was repeated still read its old attempt, and writers
     that are not done have no manifest yet: hence the age.
     """
-    known = manifests(spark, table, retired=True).select("attempt", "merged_into").collect()
-    live, read = {r.attempt for r in known if not r.merged_into}, {r.attempt for r in known}
+    kept_on = F.col("merged_into").isNull() | F.col("counts")[GENERATION].isNotNull()
+    known = manifests(spark, table, retired=True).select("attempt", kept_on.alias("kept_on")).collect()
+    live, read = {r.attempt for r in known if r.kept_on}, {r.attempt for r in known}
     before = int((time.time() - older_than.total_seconds()) * 1000)
     removed = 0
     for pattern in (f"{run_path(table, '*')}/attempt=*", f"{table.rstrip('/')}/_*/attempt=*"):
