@@ -20,6 +20,7 @@ from veriledger.functions.times import lookback_start, start_of_hour
 from veriledger.operators.cleaning import clean_customers, clean_transactions
 from veriledger.operators.dedup import drop_seen, keep_smallest
 from veriledger.operators.joins import flag_currency, with_customers, with_known_customers
+from veriledger.operators.profile import PROFILE_DDL, compared, merged_profiles, profile_of
 from veriledger.operators.rules import (
     INDETERMINATE,
     INVALID,
@@ -55,8 +56,10 @@ from veriledger.sources.run_tables import (
     consumed_files,
     free_run_id,
     lookback,
+    manifests,
     read_attempts,
     read_beside,
+    read_manifest,
     read_runs,
     write_run,
 )
@@ -148,6 +151,7 @@ class EtlRun:
     ``catalog`` is the name of a table of the session catalog to be kept over the run table.
     With ``id_bits`` a run keeps a bitmap of so many bits of the ids it judged, and the search
     for ids seen before looks only for those that the bitmaps of the runs do not rule out.
+    With ``profile`` sketches of each verdict are stored beside the run, see ``run_profiles``.
     """
 
     run_id: str
@@ -169,10 +173,13 @@ class EtlRun:
     catalog: str | None = None
     id_bits: int = 0
     currency_table: bool | None = None
+    profile: bool = False
 
 
 # Beside the rows of an attempt: a bitmap of the ids it judged.
 _SEEN, _SEEN_DDL = "_seen", f"bits bigint, {BITMAP_DDL}"
+# And the profiles of its verdicts.
+_PROFILE = "_profile"
 
 
 def _judged_bitmap(bits: int) -> Callable[[DataFrame], DataFrame]:
@@ -273,10 +280,13 @@ def run_on(
         report.update({verdict: 0 for verdict in VERDICTS} | _observed(counts))
         return report
 
+    beside = {_SEEN: _judged_bitmap(run.id_bits)} if run.id_bits else {}
+    if run.profile:
+        beside[_PROFILE] = profile_of
     path = write_run(
         observed, run.table, run.run_id, ["verdict", "upload_hour"], owner=run.owner,
         times=(run.run_time, run.run_time), counts=counted, consumed=consumed,
-        beside={_SEEN: _judged_bitmap(run.id_bits)} if run.id_bits else None,
+        beside=beside,
     )
     if run.catalog:
         keep_registered(spark, run.catalog, run.table, RUN_TABLE_DDL, RUN_LEVELS, run.run_id, path)
@@ -342,6 +352,27 @@ def run_etl(spark: SparkSession, run: EtlRun) -> dict[str, int]:
     return {"run_id": run.run_id, **report} if not run.named else report
 
 
+def run_profiles(spark: SparkSession, table: str, since: datetime | None = None) -> DataFrame:
+    """The profiles of a table's finished runs, one row a run and verdict; runs without one are left out.
+
+    No row of a run is read, only the sketches beside it.
+    """
+    live = manifests(spark, table, since).select("attempt", "run_id", "to_time")
+    return read_beside(spark, table, _PROFILE, PROFILE_DDL).join(live, "attempt").drop("attempt")
+
+
+def compare_run(spark: SparkSession, table: str, run_id: str, hours: float | None = None) -> DataFrame:
+    """A run beside the runs before it, or those of the ``hours`` before it, verdict by verdict."""
+    held = read_manifest(spark, table, run_id)
+    if held is None:
+        raise ValueError(f"run {run_id} of {table} has not been written to its end")
+    moment = datetime.fromisoformat(held["to_time"])
+    profiles = run_profiles(spark, table, None if hours is None else lookback_start(moment, hours))
+    mine = F.col("run_id") == run_id
+    earlier = profiles.where(~mine & (F.col("to_time") < F.lit(str(moment)).cast("timestamp")))
+    return compared(profiles.where(mine).drop("run_id", "to_time"), merged_profiles(earlier))
+
+
 def read_verdict(spark: SparkSession, table: str, verdict: str, run_ids=None) -> DataFrame:
     """One verdict of a run table; only its directories are read."""
     return read_runs(spark, table, RUN_TABLE_DDL, run_ids).where(F.col("verdict") == verdict)

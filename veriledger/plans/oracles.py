@@ -325,6 +325,10 @@ ORACLES: dict[str, str] = {
     "stored_mart_after_rerun": _LINE + _CUSTOMER_MART,
     "stored_lookback_by_name": f"""{_TWO_RUNS}
         select 'second' as run_id, verdict, {_COUNTS} from lo where not {FIRST_RUN} group by all""",
+    "stored_run_profile": f"""{_TWO_RUNS}
+        select verdict, count(*) as num_rows, count(distinct customer_id) as num_customers,
+               true as customers_near, true as median_near
+        from lo group by verdict""",
     "stored_extra_rule": _reason_counts(paid_by_card="(deposit_method = 'card')"),
     "resent_orphans": _RESENT,
     "resent_orphans_by_bitmap": _RESENT,

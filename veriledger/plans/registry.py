@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from veriledger.functions import text
 from veriledger.functions.times import bucket
 from veriledger.operators import cleaning, dedup, dimension, joins, marts, rules
+from veriledger.operators.profile import merged_profiles, quantile
 from veriledger.plans import etl, testbed
 from veriledger.plans.mart_deltas import keep_marts, read_kept_mart
 from veriledger.plans.marts import (
@@ -585,6 +586,30 @@ def stored_lookback_by_name(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def stored_run_profile(spark: SparkSession, sf: str) -> DataFrame:
+    """Two runs with profiles, merged: rows exactly, and whether the sketches are as near as they promise to be."""
+    folder = shared_folder(spark, "profile")
+    feed, customers = _both_feeds(spark, sf)
+    for run_id, hour, rows in (("first", 0, in_first_run()), ("second", 6, ~in_first_run())):
+        etl.run_on(spark, feed.where(rows), customers, _run(folder, run_id, hour, profile=True))
+    table = f"{folder}/judged"
+    told = merged_profiles(etl.run_profiles(spark, table)).withColumn("median", quantile("amounts", 0.5))
+    rows = read_runs(spark, table, RUN_TABLE_DDL).join(told.select("verdict", "median"), "verdict")
+    exact = rows.groupBy("verdict").agg(
+        F.count_distinct("customer_id").alias("num_customers"),
+        F.count("amount").alias("num_amounts"),
+        F.count_if(F.col("amount") <= F.col("median")).alias("below"),
+        F.count_if(F.col("amount") < F.col("median")).alias("under"),
+    )
+    half, slack = F.col("num_amounts") / 2, F.col("num_amounts") * 0.02 + 1
+    return told.join(exact, "verdict").select(
+        "verdict", "num_rows", "num_customers",
+        (F.abs(F.hll_sketch_estimate("customers") - F.col("num_customers")) <= F.col("num_customers") * 0.07).alias("customers_near"),
+        ((F.col("under") - slack <= half) & (half <= F.col("below") + slack)).alias("median_near"),
+    )
+
+
 @query
 def stored_extra_rule(spark: SparkSession, sf: str) -> DataFrame:
     """A run with a rule of its own: how many rows each reason applies to."""
