@@ -1,0 +1,118 @@
+"""Files along a curve through several columns: same rows, and few of them read by a search."""
+
+import random
+from dataclasses import replace
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from fixtures import RUN_TIME
+from veriledger.operators.clustering import boundaries, clustered, interleaved, range_number, searchable_times
+from veriledger.plans import etl
+from veriledger.schemas import JUDGED_COLUMNS, RUN_TABLE_DDL
+from veriledger.sources import synthetic
+from veriledger.sources.run_tables import attempts, read_runs, run_path
+
+
+def rows_read(frame):
+    """Rows that the scans of an executed query gave out: what was left of row groups and pages ruled out is not counted."""
+    frame.collect()
+
+    def total(node):
+        children = [node.children().apply(i) for i in range(node.children().size())]
+        if node.nodeName().startswith("AdaptiveSparkPlan"):
+            children.append(node.executedPlan())
+        elif "QueryStage" in node.nodeName():
+            children.append(node.plan())
+        mine = node.metrics().get("numOutputRows") if node.nodeName().startswith("Scan") else None
+        return (mine.get().value() if mine and mine.isDefined() else 0) + sum(map(total, children))
+
+    return total(frame._jdf.queryExecution().executedPlan())
+
+
+def test_interleaved_bits(spark):
+    cases = [(a, b) for a in range(8) for b in range(8)]
+    frame = spark.createDataFrame(cases, "a int, b int")
+    got = frame.select("a", "b", interleaved([F.col("a"), F.col("b")], 3).alias("z")).collect()
+    for r in got:
+        assert r.z == int("".join(x + y for x, y in zip(f"{r.a:03b}", f"{r.b:03b}", strict=True)), 2)
+    assert sorted(r.z for r in got) == list(range(64))
+
+
+@pytest.mark.parametrize("bits", [1, 3, 8])
+def test_range_numbers_are_those_of_a_search(spark, bits):
+    draw = random.Random(bits)
+    values = [None if draw.random() < 0.1 else f"c-{draw.randrange(40)}" for _ in range(500)] + ["c-7"] * 300
+    frame = spark.createDataFrame([(v,) for v in values], "v string")
+    bounds = boundaries(frame, ["v"], bits).first().v
+    assert len(bounds) == 2**bits - 1 and bounds == sorted(bounds)
+    literal = F.lit(bounds)
+    for r in frame.select("v", range_number(F.col("v"), literal, bits).alias("at")).collect():
+        assert r.at == (0 if r.v is None else sum(b <= r.v for b in bounds))
+
+
+def test_odd_tables(spark):
+    schema = "customer_id string, timestamp timestamp, tags array<string>"
+    for rows in ([], [(None, None, None)] * 5, [("a", datetime(2024, 1, 1), ["x"])] * 50 + [(None, datetime(2024, 2, 1), [])]):
+        frame = spark.createDataFrame(rows, schema)
+        got = clustered(frame, ["customer_id", "timestamp"])
+        assert got.columns == frame.columns
+        assert sorted(map(str, got.collect())) == sorted(map(str, frame.collect()))
+    for columns in ([], ["customer_id"] * 9):
+        with pytest.raises(ValueError):
+            clustered(frame, columns)
+
+
+def hot_feed(spark, path):
+    """A third of all rows are one customer's; dealt at random, as a feed is."""
+    rows = synthetic.transactions(spark, 60_000, 500, partitions=8)
+    hot = F.when(F.xxhash64("transaction_id") % 3 == 0, F.lit("hot")).otherwise(F.col("customer_id"))
+    seconds = F.pmod(F.xxhash64("transaction_id", F.lit(1)), F.lit(360 * 86_400))
+    rows.withColumns({"customer_id": hot, "timestamp": F.timestamp_seconds(seconds + 1_700_000_000)}).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def test_a_search_reads_few_rows(spark, tmp_path):
+    feed = hot_feed(spark, str(tmp_path / "feed"))
+    files = {"spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in files}
+    for key, value in files.items():
+        spark.conf.set(key, value)
+    try:
+        curve = clustered(feed, ["customer_id", "timestamp"])
+        with searchable_times(spark):
+            curve.write.option("parquet.page.row.count.limit", 250).parquet(str(tmp_path / "curve"))
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    found = spark.read.parquet(str(tmp_path / "curve"))
+    # Equal files, although a third of all rows share a customer.
+    sizes = [r["count"] for r in found.groupBy(F.input_file_name()).count().collect()]
+    assert len(sizes) == 16 and max(sizes) < 2 * 60_000 / 16
+    one = feed.where("customer_id <> 'hot'").agg(F.min("customer_id")).first()[0]
+    day = "timestamp >= timestamp '2024-03-01' and timestamp < timestamp '2024-03-04'"
+    for condition, share in ((f"customer_id = '{one}'", 0.15), (day, 0.25), (f"customer_id = 'hot' and {day}", 0.1)):
+        search, plain = found.where(condition), feed.where(condition)
+        assert sorted(map(str, search.collect())) == sorted(map(str, plain.collect()))
+        assert rows_read(search) < share * 60_000, condition
+        assert rows_read(plain) > 0.9 * 60_000
+
+
+def test_a_clustered_run_holds_the_rows_of_a_plain_one(spark, tmp_path):
+    customers = synthetic.customers(spark, 200, partitions=2)
+    feed = synthetic.with_dirt(synthetic.transactions(spark, 5_000, 200, partitions=4), 0.02)
+    plain = etl.EtlRun("r1", RUN_TIME, None, "", str(tmp_path / "plain"), ["GEL", "USD", "EUR"])
+    curve = replace(plain, table=str(tmp_path / "curve"), cluster=("customer_id", "timestamp"), id_bits=1 << 16, profile=True)
+    reports, tables = [], []
+    for run in (plain, curve, curve):
+        reports.append(etl.run_on(spark, feed, customers, run))
+        rows = read_runs(spark, run.table, RUN_TABLE_DDL)
+        tables.append(sorted(str(r) for r in rows.select(*JUDGED_COLUMNS, "reasons", "verdict").collect()))
+    assert reports[0] == reports[1] == reports[2] and tables[0] == tables[1] == tables[2]
+    # Of the loose rows nothing is left: the two attempts are those written in order.
+    assert len(list((tmp_path / "curve" / "run_id=r1").glob("attempt=*"))) == 2
+    (_, attempt), = attempts(spark, curve.table)
+    assert f"attempt={attempt}" in {p.name for p in (tmp_path / "curve" / "run_id=r1").iterdir()}
+    assert run_path(curve.table, "r1").endswith("run_id=r1")
+    assert etl.run_profiles(spark, curve.table).count() == sum(n > 0 for n in reports[1].values())

@@ -61,6 +61,7 @@ def parser() -> argparse.ArgumentParser:
         judging.add_argument("--max-age", type=int, default=Limits.max_age)
 
     etl.add_argument("--double-amounts", action="store_true", help="read amounts as doubles")
+    etl.add_argument("--cluster", default="", help="columns to search by, with commas between")
     etl.add_argument("--rebalance", action="store_true", help="write evenly sized files")
     etl.add_argument(
         "--size", action="store_true", help="set task sizes from the size of the feeds"
@@ -166,6 +167,7 @@ def run_job(spark: SparkSession, args: argparse.Namespace) -> dict:
         skip_seen_hours=args.skip_seen_hours,
         double_amounts=args.double_amounts,
         rebalance=args.rebalance,
+        cluster=[c for c in args.cluster.split(",") if c],
         named=args.run_id is not None,
         new_files=args.new_files,
         id_bits=args.id_bits,

@@ -329,6 +329,10 @@ ORACLES: dict[str, str] = {
         select verdict, count(*) as num_rows, count(distinct customer_id) as num_customers,
                true as customers_near, true as median_near
         from lo group by verdict""",
+    "stored_clustered_run": f"""{_TWO_RUNS}
+        select case when {FIRST_RUN} then 'first' else 'second' end as run_id, verdict, transaction_id, customer_id,
+               cast(timestamp as timestamp) as timestamp, amount, merchant_id
+        from lo""",
     "stored_extra_rule": _reason_counts(paid_by_card="(deposit_method = 'card')"),
     "resent_orphans": _RESENT,
     "resent_orphans_by_bitmap": _RESENT,

@@ -494,6 +494,18 @@ def stored_run_report(spark: SparkSession, sf: str) -> DataFrame:
     return report.select("verdict", "num_rows", "num_ids", cents("total_amount"))
 
 
+@query
+def stored_clustered_run(spark: SparkSession, sf: str) -> DataFrame:
+    """Two runs whose files follow a curve through customers and times, and all of their rows."""
+    folder = shared_folder(spark, "clustered")
+    feed, customers = _both_feeds(spark, sf)
+    for run_id, hour, rows in (("first", 0, in_first_run()), ("second", 6, ~in_first_run())):
+        etl.run_on(spark, feed.where(rows), customers, _run(folder, run_id, hour, cluster=("customer_id", "timestamp")))
+    return read_runs(spark, f"{folder}/judged", RUN_TABLE_DDL).select(
+        "run_id", "verdict", "transaction_id", "customer_id", plain_time("timestamp"), "amount", "merchant_id"
+    )
+
+
 # The stored runs of this process, by session and input: several queries read the same ones.
 _STORED: dict[tuple[str, str], str] = {}
 

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veriledger.functions.times import instant, lookback_start, start_of_hour
+from veriledger.operators.clustering import searchable_times
 
 # Spark's readers skip names that begin with an underscore.
 _MANIFESTS, _CONSUMED = "_manifests", "_consumed"
@@ -219,6 +220,7 @@ def write_run(
     source: str | None = None,
     consumed: DataFrame | None = None,
     beside: dict[str, Callable[[DataFrame], DataFrame]] | None = None,
+    order: Callable[[DataFrame], DataFrame] | None = None,
 ) -> str:
     """Write the rows of one run as a new attempt and let it count; returns the attempt's folder.
 
@@ -227,14 +229,26 @@ def write_run(
     the rows, ``counts`` says at the end how many there are of each kind, ``source`` from
     what they were made, and ``consumed`` which input files (``path, length, modified``).
     ``beside`` makes further tables, by name, from the rows as they were stored; see
-    ``read_beside``.  All this counts from the same moment as the rows.
+    ``read_beside``.  All this counts from the same moment as the rows.  With an ``order`` they
+    are first written as they come, as an attempt that never counts, and then in that order.
     """
     spark = df.sparkSession
     check_owner(spark, table, run_id, owner)
     attempt = uuid.uuid4().hex
     path = attempt_path(table, run_id, attempt)
-    writer = df.write.option("maxRecordsPerFile", max_records_per_file).partitionBy(*partition_by)
-    writer.parquet(path)
+
+    def write(rows: DataFrame, where: str) -> None:
+        rows.write.option("maxRecordsPerFile", max_records_per_file).partitionBy(*partition_by).parquet(where)
+
+    if order is None:
+        write(df, path)
+    else:
+        loose = attempt_path(table, run_id, uuid.uuid4().hex)
+        write(df, loose)
+        with searchable_times(spark):
+            write(order(spark.read.schema(df.schema).parquet(loose)), path)
+        where, fs = _hadoop(spark, loose)
+        fs.delete(where, True)
     if consumed is not None:
         consumed.write.parquet(f"{table.rstrip('/')}/{_CONSUMED}/attempt={attempt}")
     for name, make in (beside or {}).items():
