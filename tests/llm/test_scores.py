@@ -173,7 +173,7 @@ def test_gradients():
         setattr(model, name, model.weights[at : at + size].reshape(shape))
         at += size
     source = np.random.default_rng(2)
-    x, y = source.integers(0, 257, (5, 3)), source.integers(0, 257, (5, 3))
+    x, y = source.integers(0, gated_lm.SHORTLIST + 1, (5, 3)), source.integers(0, gated_lm.SHORTLIST + 1, (5, 3))
     fresh = source.random((5, 3)) < 0.3
     h = source.normal(size=(3, gated_lm.HIDDEN))
 
@@ -197,7 +197,7 @@ def test_scores_do_not_depend_on_lanes():
     """The state is carried through each whole document, whatever else is in the batch."""
     model = gated_lm.GatedModel.start(tiny_words())
     source = np.random.default_rng(3)
-    docs = [source.integers(0, 257, n).astype(np.int32) for n in (1, 700, 3, 55, 40, 2000, 17)]
+    docs = [source.integers(0, gated_lm.SHORTLIST + 1, n).astype(np.int32) for n in (1, 700, 3, 55, 40, 2000, 17)]
     together = gated_lm.score_of(model, docs, 5)
     alone = [gated_lm.score_of(model, [d], 5)[0] for d in docs]
     assert np.allclose(together, alone, rtol=1e-4)
