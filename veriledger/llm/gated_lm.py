@@ -177,12 +177,13 @@ def _shares(h: np.ndarray, w: np.ndarray, b: np.ndarray) -> np.ndarray:
 class GatedModel:
     """State, gates and outputs.
 
-    ``z = sigmoid(ez[x] + uz * h)``, ``c = tanh(eh[x] + uh * h)``, ``h = (1 - z) * h + z * c``;
-    the class of the next word is softmax(wc h + bc), the word within it softmax(ww h + bw).
+    ``z, r = sigmoid(eg[x] + h ug)``, the update and the reset gate, ``c = tanh(eh[x] + (r * h) uh)``,
+    ``h = (1 - z) * h + z * c``; each unit sees the whole last state.  The class of the next word is
+    softmax(wc h + bc), the word within it softmax(ww h + bw).
     """
 
     SHAPES = {
-        "ez": (SHORTLIST + 1, HIDDEN), "eh": (SHORTLIST + 1, HIDDEN), "uz": (HIDDEN,), "uh": (HIDDEN,),
+        "eg": (SHORTLIST + 1, 2 * HIDDEN), "eh": (SHORTLIST + 1, HIDDEN), "ug": (HIDDEN, 2 * HIDDEN), "uh": (HIDDEN, HIDDEN),
         "wc": (CLASSES + 1, HIDDEN), "bc": (CLASSES + 1,), "ww": (SHORTLIST, HIDDEN), "bw": (SHORTLIST,),
     }
 
@@ -207,17 +208,22 @@ class GatedModel:
         return model
 
     def states(self, x: np.ndarray, fresh: np.ndarray, h: np.ndarray):
-        """The states of a window (steps by lanes), and what backpropagation needs."""
+        """States before and after each step of a window (steps by lanes), between them both gates and the candidates."""
         steps = len(x)
-        before, z, c, after = (np.empty((steps, *h.shape), dtype=np.float32) for _ in range(4))
-        ez, eh = self.ez[x], self.eh[x]
+        before, c, after = (np.empty((steps, *h.shape), dtype=np.float32) for _ in range(3))
+        gates, eh = self.eg[x], self.eh[x]
         begins = fresh.any(axis=1)
         for t in range(steps):
-            before[t] = h if not begins[t] else np.where(fresh[t][:, None], np.float32(0), h)
-            z[t] = 1 / (1 + np.exp(-(ez[t] + self.uz * before[t])))
-            c[t] = np.tanh(eh[t] + self.uh * before[t])
-            h = after[t] = before[t] + z[t] * (c[t] - before[t])
-        return before, z, c, after
+            old, g = before[t], gates[t]
+            old[:] = h if not begins[t] else np.where(fresh[t][:, None], np.float32(0), h)
+            g += old @ self.ug
+            np.exp(np.negative(g, out=g), out=g)
+            g += 1
+            np.reciprocal(g, out=g)
+            np.tanh(eh[t] + (g[:, HIDDEN:] * old) @ self.uh, out=c[t])
+            after[t] = old + g[:, :HIDDEN] * (c[t] - old)
+            h = after[t]
+        return before, gates, c, after
 
     def outputs(self, h: np.ndarray, y: np.ndarray, backward: bool):
         """Natural log-likelihood of the words ``y`` after the states ``h``; gradients if wanted."""
@@ -249,26 +255,34 @@ class GatedModel:
             dh[order] += back
         return (out, grads, dh) if backward else (out, None, None)
 
-    def gradients(self, x, fresh, before, z, c, dh, grads) -> np.ndarray:
+    def gradients(self, x, fresh, before, gates, c, dh, grads) -> np.ndarray:
         """Back through the window; one vector in the order of the weights."""
         steps = len(x)
-        # How a state's gradient reaches its gate and its candidate.
-        to_z, to_c, keep = (c - before) * z * (1 - z), z * (1 - c * c), 1 - z
-        dz, dc = np.empty_like(z), np.empty_like(c)
+        z, r = gates[..., :HIDDEN], gates[..., HIDDEN:]
+        # How a state's gradient reaches its update gate and its candidate, and that of r * h the reset gate.
+        to_z, to_c, keep, to_r = (c - before) * z * (1 - z), z * (1 - c * c), 1 - z, before * r * (1 - r)
+        dg, dc = np.empty_like(gates), np.empty_like(c)
         flow = np.zeros_like(dh[0])
         begins = fresh.any(axis=1)
+        back_g, back_c = np.ascontiguousarray(self.ug.T), np.ascontiguousarray(self.uh.T)
         for t in range(steps - 1, -1, -1):
             total = dh[t] + flow
-            np.multiply(total, to_z[t], out=dz[t])
+            np.multiply(total, to_z[t], out=dg[t, :, :HIDDEN])
             np.multiply(total, to_c[t], out=dc[t])
-            flow = total * keep[t] + dz[t] * self.uz + dc[t] * self.uh
+            reset = dc[t] @ back_c
+            np.multiply(reset, to_r[t], out=dg[t, :, HIDDEN:])
+            flow = total * keep[t] + reset * r[t] + dg[t] @ back_g
             if begins[t]:
                 flow[fresh[t]] = 0
-        grads["uz"], grads["uh"] = (dz * before).sum((0, 1)), (dc * before).sum((0, 1))
-        flat = x.ravel().astype(np.intp)
-        for name, d in (("ez", dz), ("eh", dc)):
-            units = np.ascontiguousarray(d.reshape(len(flat), -1).T, dtype=np.float64)
-            grads[name] = np.column_stack([np.bincount(flat, weights=u, minlength=SHORTLIST + 1) for u in units])
+        dg, dc, old = dg.reshape(-1, 2 * HIDDEN), dc.reshape(-1, HIDDEN), before.reshape(-1, HIDDEN)
+        grads["ug"], grads["uh"] = old.T @ dg, (r.reshape(-1, HIDDEN) * old).T @ dc
+        # The rows of each word, one run after another.
+        flat = x.ravel()
+        order = np.argsort(flat.astype(np.int16), kind="stable")
+        words, starts = np.unique(flat[order], return_index=True)
+        for name, d in (("eg", dg), ("eh", dc)):
+            grads[name] = np.zeros((SHORTLIST + 1, d.shape[1]), dtype=d.dtype)
+            grads[name][words] = np.add.reduceat(d[order], starts, axis=0)
         return np.concatenate([np.asarray(grads[name], dtype=np.float32).ravel() for name in self.SHAPES])
 
 
