@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veriledger.schemas import RAW_LINE
+from veriledger.session import shared_folder
 
 _SPREAD = "__spread"
+# A number this small is cheaper to shuffle than a whole hash, and still more than there are partitions.
+_SHARES = 1 << 16
 
 
 def keyed_join(
@@ -29,10 +32,13 @@ def keyed_join(
     partitions.  Neither side is broadcast by hint: Spark does so while the size it knows
     or has measured is below its threshold, and shuffles beyond.
     """
-    hashed = F.xxhash64(key)
+    def number(*columns: str) -> Column:
+        return F.pmod(F.xxhash64(*columns), F.lit(_SHARES)).cast("int")
+
+    hashed = number(key)
     spread = hashed
     if spread_by:
-        spread = F.when(F.col(key).isNull(), F.xxhash64(*spread_by)).otherwise(hashed)
+        spread = F.when(F.col(key).isNull(), number(*spread_by)).otherwise(hashed)
     return (
         left.withColumn(_SPREAD, spread)
         .join(right.withColumn(_SPREAD, hashed), [key, _SPREAD], how)
@@ -56,9 +62,18 @@ def with_known_customers(transactions: DataFrame, customers: DataFrame) -> DataF
 
 
 def orphans(transactions: DataFrame, customers: DataFrame) -> DataFrame:
-    """Transactions whose customer is NULL or not known."""
-    known = customers.select("customer_id")
-    return keyed_join(transactions, known, "customer_id", "left_anti", _identity(transactions))
+    """Transactions whose customer is NULL or not known.
+
+    The ids that are not known are found and written first, without the rows that have them.  Spark
+    broadcasts them while they are few, and the transactions are not shuffled; else it joins as usual.
+    """
+    spark = transactions.sparkSession
+    asked = transactions.select("customer_id").where(F.col("customer_id").isNotNull()).distinct()
+    path = shared_folder(spark, "unknown-customers")
+    keyed_join(asked, customers.select("customer_id"), "customer_id", "left_anti").write.parquet(path)
+    unknown = spark.read.schema(asked.schema).parquet(path).withColumn("__unknown", F.lit(True))
+    marked = keyed_join(transactions, unknown, "customer_id", "left", _identity(transactions))
+    return marked.where(F.col("customer_id").isNull() | F.col("__unknown")).drop("__unknown")
 
 
 def in_reference(df: DataFrame, codes: DataFrame, column: str) -> DataFrame:
