@@ -250,7 +250,7 @@ def _slices(texts: list[str], limit: int) -> Iterator[tuple[int, int]]:
 
 
 def encode_and_decode(
-    docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", slice_chars: int = 2_000_000,
+    docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", slice_chars: int = 500_000,
     keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """``doc_id, ids, decoded`` for every row: the ids of the whole text, and what they decode to.
