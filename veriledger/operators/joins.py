@@ -10,8 +10,7 @@ from pyspark.sql import functions as F
 from veriledger.schemas import RAW_LINE
 from veriledger.session import shared_folder
 
-_SPREAD = "__spread"
-# A number this small is cheaper to shuffle than a whole hash, and still more than there are partitions.
+# More than there are partitions.
 _SHARES = 1 << 16
 
 
@@ -32,18 +31,18 @@ def keyed_join(
     partitions.  Neither side is broadcast by hint: Spark does so while the size it knows
     or has measured is below its threshold, and shuffles beyond.
     """
-    def number(*columns: str) -> Column:
+    def number(*columns: Column) -> Column:
         return F.pmod(F.xxhash64(*columns), F.lit(_SHARES)).cast("int")
 
-    hashed = number(key)
-    spread = hashed
+    one, other = left.alias("__one"), right.alias("__other")
+    mine, theirs = F.col(f"__one.`{key}`"), F.col(f"__other.`{key}`")
+    spread = number(mine)
     if spread_by:
-        spread = F.when(F.col(key).isNull(), number(*spread_by)).otherwise(hashed)
-    return (
-        left.withColumn(_SPREAD, spread)
-        .join(right.withColumn(_SPREAD, hashed), [key, _SPREAD], how)
-        .drop(_SPREAD)
-    )
+        spread = F.when(mine.isNull(), number(*[F.col(f"__one.`{c}`") for c in spread_by])).otherwise(spread)
+    # The number is a part of the condition and no column: it is worked out where rows are dealt, and not shuffled.
+    joined = one.join(other, (mine == theirs) & (spread == number(theirs)), how)
+    more = [] if how in ("left_semi", "left_anti") else [F.col(f"__other.`{c}`") for c in right.columns if c != key]
+    return joined.select(mine, *[F.col(f"__one.`{c}`") for c in left.columns if c != key], *more)
 
 
 def with_customers(transactions: DataFrame, customers: DataFrame) -> DataFrame:
