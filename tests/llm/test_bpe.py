@@ -72,3 +72,14 @@ def test_every_character(own, library):
 def test_one_long_word(own, library):
     text = "ab" * 700 + "the" * 300
     assert own.encode([text])[0].tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_words_still_in_use_are_not_merged_again_once_memory_is_full():
+    with open(PATH, encoding="utf-8") as file:
+        small = bpe_tree.WordBpe(file.read(), memory=50)
+    merged, real = [], small._merged
+    small._merged = lambda words: merged.extend(words) or real(words)
+    for i in range(20):
+        small.encode([" ".join(["common", "words", *(f"rare{chr(97 + i)}{chr(97 + j)}" for j in range(15))])])
+    assert merged.count("common") == merged.count("words") == 1
+    assert len(small.known) <= 50

@@ -145,7 +145,8 @@ class PairTrees:
 class WordBpe:
     """A tokenizer file of the word-end kind: lower-cased words, bytes, merges.
 
-    Encodes stretch by stretch between blanks, and remembers at most ``memory`` stretches.
+    Encodes stretch by stretch between blanks, and remembers at most ``memory`` stretches, or those of
+    one call; where there are more, only those stay that the call in hand asks for.
     """
 
     def __init__(self, spec: str, memory: int = 400_000):
@@ -181,6 +182,8 @@ class WordBpe:
     def _words(self, stretch: str) -> list[str | bytes]:
         """The words of a stretch in order; a special token as its id."""
         if not self.special.search(stretch):
+            if stretch.isascii():  # which NFC leaves as it is
+                return self.word.findall(stretch.lower())
             return self.word.findall(lowered(unicodedata.normalize("NFC", stretch)))
         found: list[str | bytes] = []
         for piece in self.special.split(stretch):
@@ -206,9 +209,9 @@ class WordBpe:
 
     def learn(self, stretches: set[str]) -> None:
         """Make sure that these stretches are known."""
-        if len(self.known) + len(stretches) > self.memory:
-            self.known = {}
         new = [s for s in stretches if s not in self.known]
+        if len(self.known) + len(new) > self.memory:
+            self.known = {s: self.known[s] for s in stretches.difference(new)}
         parts = [self._words(s) for s in new]
         words = self._merged([w for w in dict.fromkeys(chain.from_iterable(parts)) if isinstance(w, str)])
         words.update((b, b) for b in self.added.values())
