@@ -19,6 +19,8 @@ from veriledger.llm.queries import BLOCK_ROWS, OTHER_SHARE, SHARES, TOKENIZER
 
 # Parameter: the share of ordinary documents that may be rejected with the toxic ones.
 LOST = 0.04
+# Parameter: stretches that an encoding worker remembers, beside all that earlier stages left in its executor.
+STRETCHES = 200_000
 
 
 def own_name() -> str:
@@ -115,7 +117,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Whole texts are encoded; null counts as empty and has no ids; repeated rows are encoded
     each.  An empty table gives an empty one; other columns have no part, whatever their names.
     """
-    rows = bpe_tree.encode_and_decode(placed(docs), TOKENIZER, keep=("mix_position",))
+    rows = bpe_tree.encode_and_decode(placed(docs), TOKENIZER, keep=("mix_position",), memory=STRETCHES)
     return rows.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

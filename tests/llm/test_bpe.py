@@ -1,14 +1,16 @@
 """Encoding against the library itself."""
 
+import gc
 import hashlib
 import random
+import weakref
 
 import public_tokenizers
 import pytest
-from samples import ODD, SF, documents
+from samples import ODD, SF, documents, prose
 from tokenizers import Tokenizer
 
-from veriledger.llm import bpe_tree, queries
+from veriledger.llm import bpe_tree, queries, superminhash, toxicity
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -83,3 +85,20 @@ def test_words_still_in_use_are_not_merged_again_once_memory_is_full():
         small.encode([" ".join(["common", "words", *(f"rare{chr(97 + i)}{chr(97 + j)}" for j in range(15))])])
     assert merged.count("common") == merged.count("words") == 1
     assert len(small.known) <= 50
+
+
+def test_a_small_memory_changes_no_result(spark):
+    frame = documents(spark, [*ODD, *((100 + i, prose(i, 200)) for i in range(40))])
+    few, many = (bpe_tree.encode_and_decode(frame, PATH, slice_chars=500, memory=m).collect() for m in (20, 100_000))
+    assert sorted(few, key=str) == sorted(many, key=str)
+
+
+@pytest.mark.parametrize("task", [toxicity._triples, superminhash._signed(1000)])
+def test_a_worker_drops_the_tokenizer_when_another_operator_takes_it(task):
+    with open(PATH, encoding="utf-8") as file:
+        spec = file.read()
+    held = weakref.ref(bpe_tree._loaded(spec))
+    assert bpe_tree._loaded(spec) is held()  # kept from task to task of its own
+    assert list(task(iter([]))) == []
+    gc.collect()
+    assert held() is None

@@ -28,6 +28,16 @@ def texts(spark):
 # Toxicity
 
 
+def test_the_sample_takes_no_python_workers_for_its_rows(spark, monkeypatch):
+    """A list made a frame is read by workers of another kind, which idle beside those that score."""
+    docs = documents(spark, [(i, prose(i, 20)) for i in range(40)]).localCheckpoint()
+    labels = spark.range(40).selectExpr("id as doc_id", "cast(id % 2 as int) as toxic")
+    nothing = labels.filter("doc_id < 0")
+    monkeypatch.setattr(type(spark.sparkContext), "parallelize", None)
+    assert toxicity.sample(docs, labels, 10, 10_000).groupBy("toxic").count().count() == 2
+    assert toxicity.sample(docs, nothing, 10, 10_000).collect() == []
+
+
 def insulting(count):
     rows, labels = [], []
     for i in range(count):

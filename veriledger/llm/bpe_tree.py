@@ -20,9 +20,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veriledger.llm.common import bounded_batches, release
+from veriledger.llm.common import bounded_batches, kept, release
 
 NOTHING = np.iinfo(np.int64).max
+STRETCHES = 400_000  # remembered by a worker, some 200 bytes each
 _ROW = "doc_id bigint, ids array<int>, decoded string"
 _ARROW = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("decoded", pa.string())])
 # Letters whose lower case came with Unicode 16 and 17, which Python's tables may lack.
@@ -149,7 +150,7 @@ class WordBpe:
     one call; where there are more, only those stay that the call in hand asks for.
     """
 
-    def __init__(self, spec: str, memory: int = 400_000):
+    def __init__(self, spec: str, memory: int = STRETCHES):
         data = json.loads(spec)
         model = data["model"]
         vocab: dict[str, int] = model["vocab"]
@@ -229,15 +230,8 @@ class WordBpe:
         return " ".join(map(self.tokens.__getitem__, ids.tolist()))
 
 
-_LOADED: dict[int, WordBpe] = {}
-
-
-def _loaded(spec: str) -> WordBpe:
-    key = hash(spec)
-    if key not in _LOADED:
-        _LOADED.clear()
-        _LOADED[key] = WordBpe(spec)
-    return _LOADED[key]
+def _loaded(spec: str, memory: int = STRETCHES) -> WordBpe:
+    return kept(("bpe", hash(spec), memory), lambda: WordBpe(spec, memory))
 
 
 def _slices(texts: list[str], limit: int) -> Iterator[tuple[int, int]]:
@@ -254,15 +248,15 @@ def _slices(texts: list[str], limit: int) -> Iterator[tuple[int, int]]:
 
 def encode_and_decode(
     docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", slice_chars: int = 500_000,
-    keep: tuple[str, ...] = (),
+    keep: tuple[str, ...] = (), memory: int = STRETCHES,
 ) -> DataFrame:
     """``doc_id, ids, decoded`` for every row: the ids of the whole text, and what they decode to.
 
     The columns named in ``keep`` come after these as they are; their names differ from these.
 
     ``tokenizer`` is the path of a tokenizer file of bounded size, read on the driver and
-    broadcast.  There is no shuffle; a task holds one Arrow batch and its encoding.  A text
-    is read whole however long it is, a word too.  Null texts count as empty and have no
+    broadcast.  There is no shuffle; a task holds one Arrow batch and its encoding, and its
+    worker remembers ``memory`` stretches between blanks, which only saves time.  A text is read whole however long it is, a word too.  Null texts count as empty and have no
     ids; repeated rows are encoded each; an empty table gives an empty one.  Other columns
     are ignored, whatever their names.
     """
@@ -271,7 +265,7 @@ def encode_and_decode(
         spec = docs.sparkSession.sparkContext.broadcast(file.read())
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = _loaded(spec.value)
+        bpe = _loaded(spec.value, memory)
         for batch in batches:
             texts = batch.column("text").to_pylist()
             for start, end in _slices(texts, slice_chars):

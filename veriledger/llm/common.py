@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import gc
-from collections.abc import Iterator
+from collections.abc import Callable, Hashable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +43,31 @@ def release() -> None:
         trim(0)
 
 
+# What this worker keeps from task to task.
+_KEPT: dict[Hashable, object] = {}
+
+
+def kept(key: Hashable, make: Callable[[], object]) -> object:
+    """What ``make`` gives, kept for later tasks of the same worker; only one thing is kept at a time."""
+    if key not in _KEPT:
+        forget()
+        _KEPT[key] = make()
+    return _KEPT[key]
+
+
+def forget() -> None:
+    """Drop what another operator's tasks have kept: its memory would be held besides that of the task in hand."""
+    if _KEPT:
+        _KEPT.clear()
+        release()
+
+
+def small_frame(spark: SparkSession, rows: list[tuple], schema: pa.Schema) -> DataFrame:
+    """A few rows of the driver as a frame; unlike a list, an Arrow table takes no Python workers of its own."""
+    columns = list(zip(*rows, strict=True)) or [()] * len(schema)
+    return spark.createDataFrame(pa.table([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema))
+
+
 def written(frame: DataFrame, purpose: str, compression: str = "snappy") -> DataFrame:
     """``frame`` written to the shared folder and read back.
 

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veriledger.llm.common import bounded_batches, groups, release, written
+from veriledger.llm.common import bounded_batches, forget, groups, release, written
 from veriledger.llm.components import EDGES, components, edge_batch, spanning
 
 WIDTH = 5
@@ -119,6 +119,7 @@ def signatures(sets: list[np.ndarray], slots: int = SLOTS) -> np.ndarray:
 
 def _signed(slice_words: int):
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         shingle = Shingler()
         for batch in batches:
             ids, texts = batch.column("doc_id"), batch.column("text").to_pylist()
@@ -198,6 +199,8 @@ def _shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets = [shingle(t).tobytes() for t in batch.column("text").to_pylist()]
         names = [n for n in batch.schema.names if n != "text"]
         yield pa.record_batch([*(batch.column(n) for n in names), pa.array(sets, pa.binary())], names=[*names, "shingles"])
+    del shingle
+    release()
 
 
 def _crossing(left: list[np.ndarray], right: list[np.ndarray], columns: int = 4096) -> np.ndarray:

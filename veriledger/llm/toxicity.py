@@ -19,13 +19,16 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from veriledger.llm.common import bounded_batches, near_smallest, release, written
+from veriledger.llm.common import bounded_batches, forget, near_smallest, release, small_frame, written
 
 _WORD = re.compile(r"[^\W_]+")
 _TRIPLES = "before bigint, left bigint, right bigint, toxic int"
 _TRIPLES_ARROW = pa.schema(
     [("before", pa.int64()), ("left", pa.int64()), ("right", pa.int64()), ("toxic", pa.int32())]
 )
+_PICKED_ARROW = pa.schema(
+    [("doc_id", pa.int64()), ("code", pa.int64()), ("toxic", pa.int32()), ("calibrates", pa.bool_())]
+)
 START = 0  # the code of the place before the first word
 
 
@@ -163,12 +166,15 @@ def threshold(chances: np.ndarray, truth: np.ndarray, lost: float) -> float:
 
 
 def _triples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    forget()
     read = Reader()
     for batch in batches:
         for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
             codes = np.concatenate([[START], read(text)])
             columns = [codes[:-2], codes[1:-1], codes[2:], np.full(len(codes) - 2, toxic, dtype=np.int32)]
             yield pa.record_batch([pa.array(c) for c in columns], schema=_TRIPLES_ARROW)
+    del read
+    release()
 
 
 def fitting(sizes: list[int], most: int) -> list[bool]:
@@ -208,7 +214,7 @@ def sample(docs: DataFrame, labels: DataFrame, max_docs: int, max_chars: int) ->
         if rows and not taken:
             raise ValueError(f"no text labelled {toxic} has at most {max_chars} characters")
         picked += [(r.doc_id, r.code, toxic, place % 4 == 3) for place, r in enumerate(taken, 1)]
-    frame = docs.sparkSession.createDataFrame(picked, "doc_id bigint, code bigint, toxic int, calibrates boolean")
+    frame = small_frame(docs.sparkSession, picked, _PICKED_ARROW)
     texts = found.select("doc_id", "code", "text").join(F.broadcast(frame), ["doc_id", "code"]).dropDuplicates(["doc_id", "code"])
     return written(texts.select("text", "toxic", "calibrates"), "toxicity-sample")
 
@@ -282,9 +288,10 @@ def scored(docs: DataFrame, judge: Judge, text_col: str = "text", name: str = "t
     shared = docs.sparkSession.sparkContext.broadcast(judge)
 
     def score_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         read = Reader()
         for batch in batches:
-            found = [shared.value.scores([read(t)])[0] for t in batch.column(text_col).to_pylist()]
+            found = [shared.value.scores([read(t.as_py())])[0] for t in batch.column(text_col)]
             yield pa.record_batch([*batch.columns, pa.array(found, pa.float64())], names=[*batch.schema.names, name])
         del read
         release()
