@@ -64,6 +64,16 @@ def test_no_documents(spark):
     assert content_sort.exact_duplicates(documents(spark, [])).collect() == []
 
 
+def test_ends_of_partitions_take_no_python_workers_for_their_rows(spark, monkeypatch):
+    """A list made a frame is read by workers of another kind, which idle beside those that compare."""
+    rows = [(i, "hot" if i % 3 else prose(i % 7, 20)) for i in range(60)]
+    frame, none = documents(spark, rows).localCheckpoint(), documents(spark, []).localCheckpoint()
+    monkeypatch.setattr(type(spark.sparkContext), "parallelize", None)
+    found = content_sort.exact_duplicates(frame).collect()
+    assert sorted([(r.doc_id, r.keep_id, r.group_size, r.text_sha256) for r in found], key=str) == expected(rows)
+    assert content_sort.exact_duplicates(none).collect() == []
+
+
 def test_archives_of_odd_pages(spark):
     long = "é" * 600
     rows = [

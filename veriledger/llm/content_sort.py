@@ -15,7 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veriledger.llm.common import BLANKS, bounded_batches, written
+from veriledger.llm.common import BLANKS, bounded_batches, small_frame, written
 
 _ROWS = (
     "row_id bigint, text_sha256 string, keep_id bigint, group_size bigint, head boolean, "
@@ -35,6 +35,16 @@ _ARROW = pa.schema(
         ("edge_text", pa.string()),
     ]
 )
+_FOLLOWING = pa.schema([("part", pa.int32()), ("next_part", pa.int32())])
+_FIXES = pa.schema(
+    [
+        ("part", pa.int32()),
+        ("run", pa.int64()),
+        ("whole_keep", pa.int64()),
+        ("whole_size", pa.int64()),
+        ("whole_head", pa.bool_()),
+    ]
+)
 
 
 def normalised(text: str | Column) -> Column:
@@ -141,9 +151,7 @@ def _stitched(runs: DataFrame) -> DataFrame:
     spark = runs.sparkSession
     ends = runs.filter("head and (first_run or last_run)")
     parts = sorted(r.part for r in ends.select("part").distinct().collect())
-    following = spark.createDataFrame(
-        list(zip(parts, parts[1:], strict=False)), "part int, next_part int"
-    )
+    following = small_frame(spark, list(zip(parts, parts[1:], strict=False)), _FOLLOWING)
     joined = (
         ends.filter("last_run").select("part", "edge_text")
         .join(F.broadcast(following), "part")
@@ -172,9 +180,7 @@ def _stitched(runs: DataFrame) -> DataFrame:
                 break
         total = sum(r.group_size for r in chain)
         fixes += [(r.part, r.run, chain[0].keep_id, total, i == 0) for i, r in enumerate(chain)]
-    return spark.createDataFrame(
-        fixes, "part int, run bigint, whole_keep bigint, whole_size bigint, whole_head boolean"
-    )
+    return small_frame(spark, fixes, _FIXES)
 
 
 def exact_duplicates(
