@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from fixtures import BASE, RUN_TIME, write_lines
 from veriledger.plans import etl
-from veriledger.schemas import RUN_TABLE_DDL
+from veriledger.schemas import CUSTOMER_DDL, RUN_TABLE_DDL
+from veriledger.sources import dimension_table
 from veriledger.sources.run_tables import read_runs
+from veriledger.streaming import incremental
 from veriledger.streaming.bounded import late_rows
 from veriledger.streaming.incremental import stream_customers, stream_orphans, stream_transactions
 
@@ -178,3 +180,30 @@ def test_orphans_too_late_are_counted(flow):
     flow.now -= timedelta(days=3)
     flow.judge(("t0", "z"))
     assert late_rows(flow.look()) >= 1
+
+
+def test_a_batch_that_is_larger_than_the_dimension_is_read_once(flow, monkeypatch):
+    asked = []
+    monkeypatch.setattr(incremental, "read_dimension", lambda *a: asked.append(a[2]) or dimension_table.read_dimension(*a))
+    flow.customers(*[f"c{i}" for i in range(300)])
+    flow.judge(("small", "c1"))
+    flow.judge(*[(f"t{i}", f"c{i % 400}") for i in range(4000)])
+    flow.customers(*[f"c{i}" for i in range(300, 350)])
+    flow.look()
+    assert asked[0] is not None and asked[1] is None
+    rows = flow.rows()
+    assert len(rows) == len(set(rows)) == 1 + 4000 + 500
+    assert [rows.count(("t399", v)) for v in ("valid", "orphan")] == [0, 1]
+    assert [rows.count(("t300", v)) for v in ("valid", "orphan")] == [1, 1]
+
+
+def test_what_a_feed_asks_of_a_dimension(spark, tmp_path):
+    customers = spark.range(2000).selectExpr("cast(id as string) customer_id", *[f"cast(null as {kind}) {name}" for name, kind in map(str.split, CUSTOMER_DDL.split(",")[1:])])
+    folder = str(tmp_path / "dim")
+    dimension_table.write_customer_versions(customers, folder, "one", RUN_TIME)
+    for name, n in (("few", 1), ("many", 60_000)):
+        spark.range(n).selectExpr("cast(id % 3000 as string) customer_id", "uuid() transaction_id").write.parquet(str(tmp_path / name))
+    few, many = (spark.read.parquet(str(tmp_path / name)) for name in ("few", "many"))
+    assert dimension_table.asked_of(spark, folder, many) is None
+    assert [r.customer_id for r in dimension_table.asked_of(spark, folder, few).collect()] == ["0"]
+    assert dimension_table.read_dimension(spark, folder, None).count() == 2000
