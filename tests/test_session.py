@@ -1,6 +1,8 @@
+import uuid
+
 import pytest
 
-from veriledger.session import MIB, input_bytes, shared_folder, size_session, sized_for
+from veriledger.session import DEFAULTS, MIB, input_bytes, pin_session, shared_folder, size_session, sized_for
 
 TIB = 1024**4
 
@@ -50,3 +52,32 @@ def test_no_machine_local_folder_on_a_cluster():
         shared_folder(Session, "x")
     Session.sparkContext.master = "local[2]"
     assert "x-" in shared_folder(Session, "x")
+
+
+def test_settings_of_a_cluster_stay(spark):
+    before = {k: spark.conf.get(k) for k in DEFAULTS}
+    try:
+        for key, (default, value) in DEFAULTS.items():
+            for chosen, kept in ((default, value), ("12345678", "12345678")):
+                spark.conf.set(key, chosen)
+                assert pin_session(spark).conf.get(key).removesuffix("b") == kept.removesuffix("b")
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+def test_few_verdicts_are_written_without_a_sort(spark, tmp_path):
+    before = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    spark.conf.unset("spark.sql.maxConcurrentOutputFileWriters")
+    try:
+        rows = pin_session(spark).range(0, 1000, 1, 2).selectExpr("id", "concat('v', id % 4) verdict")
+        name = f"sorted_{uuid.uuid4().hex}"
+        rows.createOrReplaceTempView(name)
+        spark.sql(f"create table {name}_t (id bigint, verdict string) using parquet partitioned by (verdict) location '{tmp_path}/t'")
+        plan = spark.sql(f"explain insert into {name}_t select * from {name}").first()[0]
+        assert "InsertIntoHadoopFsRelationCommand" in plan and "Sort" not in plan
+        spark.sql(f"insert into {name}_t select * from {name}")
+        assert sorted((r.verdict, r["count"]) for r in spark.table(f"{name}_t").groupBy("verdict").count().collect()) == [(f"v{i}", 250) for i in range(4)]
+        spark.sql(f"drop table {name}_t")
+    finally:
+        spark.conf.set("spark.sql.maxConcurrentOutputFileWriters", before)

@@ -1,5 +1,5 @@
 from veriledger.operators import joins
-from veriledger.plans import registry
+from veriledger.plans import etl, registry, testbed
 
 
 def test_transactions_stay_where_they_are_when_few_customers_are_unknown(spark):
@@ -24,3 +24,16 @@ def test_transactions_stay_where_they_are_when_few_customers_are_unknown(spark):
 def test_each_query_of_stored_marts_writes_its_own_runs(spark):
     folders = [registry._two_stored_runs(spark, "/root/testdata/sf0.001") for _ in range(2)]
     assert folders[0] != folders[1]
+
+
+def test_a_feed_that_is_read_several_times_is_put_together_once(spark, monkeypatch):
+    feeds, run_on = [], etl.run_on
+    monkeypatch.setattr(etl, "run_on", lambda spark, feed, *a, **b: feeds.append(feed) or run_on(spark, feed, *a, **b))
+    sf = "/root/testdata/sf0.001"
+    for build in (registry.stored_run_report, registry.resent_orphans_by_bitmap):
+        assert build(spark, sf).agg({"num_rows": "sum"}).first()[0] > 0
+    assert len(feeds) == 4
+    plain = testbed.line_transactions(spark, sf)
+    for feed in feeds:
+        assert "Join" not in feed._jdf.queryExecution().executedPlan().toString()
+        assert feed.dtypes == plain.dtypes and feed.exceptAll(plain).isEmpty() and plain.exceptAll(feed).isEmpty()
