@@ -535,3 +535,23 @@ def test_bitmaps_rule_out_new_ids_and_no_others(spark, run, tmp_path, bits):
         assert "Join" not in plan
     # A run without a bitmap, or with another size, is searched whole.
     assert etl.seen_ids(spark, replace(third, id_bits=1 << 16), new).count() == 301
+
+
+def test_many_ids_that_may_have_been_seen_are_not_searched_for_one_by_one(spark, run, tmp_path):
+    rows = [{**BASE, "transaction_id": f"t{i % 300}"} for i in range(400)]
+    first = replace(run, transactions=write_lines(tmp_path / "first", rows[:200]), id_bits=1 << 15)
+    etl.run_etl(spark, first)
+    feed = write_lines(tmp_path / "second", rows)
+    second = replace(first, run_id="r2", run_time=RUN_TIME + timedelta(hours=1), transactions=feed, skip_seen_hours=24)
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    try:
+        sent = read_transactions(spark, feed)
+        few = etl.seen_ids(spark, second, sent)
+        assert "BroadcastHashJoin" in few._jdf.queryExecution().executedPlan().toString() and few.count() == 200
+        spark.conf.set(key, "100b")
+        many = etl.seen_ids(spark, second, sent)
+        assert "Join" not in many._jdf.queryExecution().executedPlan().toString() and many.count() == 200
+        assert etl.run_etl(spark, second)["valid"] == 100
+    finally:
+        spark.conf.set(key, before)

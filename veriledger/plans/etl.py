@@ -42,7 +42,7 @@ from veriledger.schemas import (
     RUN_TABLE_DDL,
     TRANSACTION_COLUMNS,
 )
-from veriledger.session import pin_session, shared_folder
+from veriledger.session import broadcast_bytes, pin_session, planned_bytes, shared_folder
 from veriledger.sources.catalog import keep_registered
 from veriledger.sources.dimension_table import read_dimension, write_customer_versions
 from veriledger.sources.feeds import (
@@ -206,7 +206,9 @@ def seen_ids(spark: SparkSession, run: EtlRun, transactions: DataFrame | None =
     Orphans were not judged: one that is sent again may have a customer by now.  With ``id_bits``
     only those of ``transactions``: the bitmaps of the runs rule out nearly all ids that are
     new, and the rows of the runs are searched for the others alone, or not at all if none
-    is left.  Should a run have no bitmap of that size, all its ids are taken.
+    is left.  Should a run have no bitmap of that size, or should so many ids be left that Spark
+    would not broadcast them, all ids are taken: to search for many would shuffle both
+    sides once more, before the caller does so again to drop what was seen.
     """
     since = lookback_start(run.run_time, run.skip_seen_hours)
     runs = [pair for pair in attempts(spark, run.table, since=since) if pair[0] != run.run_id]
@@ -222,10 +224,13 @@ def seen_ids(spark: SparkSession, run: EtlRun, transactions: DataFrame | None =
         return ids
     possible = possibly_in(transactions.select("transaction_id"), "transaction_id", merged_bitmaps(bitmaps), run.id_bits)
     path = shared_folder(spark, "possibly-seen")
-    possible.distinct().write.parquet(path)
+    # An id may be there several times: it is asked for all the same, and no row is shuffled for that.
+    possible.write.option("compression", "zstd").parquet(path)
     asked = spark.read.schema("transaction_id string").parquet(path)
     if asked.isEmpty():
         return asked
+    if planned_bytes(asked) > broadcast_bytes(spark):
+        return ids
     # Few ids: Spark broadcasts them, and nothing of the runs but hits is shuffled.
     return ids.join(asked, "transaction_id", "left_semi")
 
